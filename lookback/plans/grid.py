@@ -5,49 +5,53 @@ every earlier year, the grid is one plan:
 
 1. *facts*: events of the file years ``[first_year, last]`` are unnested once,
    matched against the whole codebook by a broadcast equi-join on the code, and
-   unioned with the enrolment rows.  One aggregation per
-   ``(bene_id, file_year, year)`` (partial before the shuffle) gives per file year:
-   a bitmask of conditions with a rule-passing include hit, a bitmask of
-   conditions with an exclusion hit, the first include date per condition, the
-   sum of HMO months and the number of enrolment rows.  A hot id or code is
-   collapsed map-side here.
-2. *windows*: one ``Window.partitionBy("bene_id").orderBy("file_year")`` pass
-   (at most one row per id, file year and enrolment ``year``) evaluates
-   range frames: ``bit_or`` of the include mask over the last ``p`` years (one
-   frame per distinct look-back ``p``), the exclusion mask at the oldest window
-   year (or over the window), the HMO sum over the window, and the running
-   minimum of each first date.
+   unioned with the enrolment rows.  One aggregation per ``(bene_id, file_year)``
+   (partial before the shuffle) gives per file year: a bitmask of conditions with
+   a rule-passing include hit, a bitmask of conditions with an exclusion hit, the
+   first include date per condition, the sum of HMO months and whether the key
+   has enrolment rows.  A hot id or code is collapsed map-side here.
+2. *windows*: one ``Window.partitionBy("bene_id").orderBy("file_year")`` pass (at
+   most one row per id and file year) evaluates range frames: ``bit_or`` of the
+   include mask over the last ``p`` years (one frame per distinct look-back
+   ``p``), the exclusion mask at the oldest window year (or over the window),
+   the HMO sum over the window, and the running minimum of each first date.
 3. *NULL guards* of the ``NOT IN`` semantics come from a per-file-year global
-   aggregate (at most one row per year, broadcast by that proven bound).
-4. rows that stand for enrolment rows of the requested years are kept and
-   expanded back to one row per enrolment row (see ``expand_copies``).
+   aggregate (at most one row per year, broadcast by that proven bound); they
+   are planned only when the events may hold a NULL id.
+4. the per-(id, file year) results are joined back to the enrolment rows of the
+   requested years (the spine), so duplicate enrolment rows each get their row;
+   AQE's skew join splits the partition of an id repeated by many copies.
 
 Output (wide): ``bene_id, rfrnc_yr`` and per condition ``{c}`` (status 0-3) and
 ``{c}_ever``.  ``feature_grid_long`` stacks it to
 ``bene_id, rfrnc_yr, condition, status, ever``.
+
+The per-condition expression families (masks, dates, statuses) are written as
+Spark SQL expression text over generated column names, so a plan for dozens of
+conditions is built with a few JVM calls instead of thousands; codebook codes
+never enter that text, they travel as rows of the broadcast code table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lookback.functions.codes import coverage_flag, rule_max_pos_col, status_code
+from lookback.functions.codes import rule_max_pos_col
 from lookback.operators.matching import unnest_codes
 from lookback.sources.codebook import BROADCAST_CODES_MAX, EXCLUDE, INCLUDE, Codebook
 
 # Bits used per LONG mask column (the sign bit is left alone).
 MASK_BITS = 62
-# Duplicated enrolment rows are re-created in chunks of this many rows per task.
-COPY_CHUNK = 100_000
 
 
 def _mask_layout(n: int) -> int:
     return (n + MASK_BITS - 1) // MASK_BITS
 
 
-def _long(v: int) -> Column:
-    return F.lit(v).cast("long")
+def _ident(name: str) -> str:
+    """A column name quoted for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _bit(i: int) -> int:
@@ -65,51 +69,45 @@ def _period_masks(codebook: Codebook) -> dict[int, list[int]]:
 
 
 def _indexed_codes(codebook: Codebook) -> DataFrame:
+    """Code rows with the condition's index in the codebook and its rule."""
     idx = None
     for i, spec in enumerate(codebook.conditions):
         cond = F.col("condition") == spec.name
         idx = F.when(cond, F.lit(i)) if idx is None else idx.when(cond, F.lit(i))
-    codes = (codebook.codes
-             .select("code", "kind", idx.alias("cidx"), rule_max_pos_col("criteria").alias("max_pos")))
+    codes = codebook.codes.select("code", "kind", idx.alias("cidx"),
+                                  rule_max_pos_col("criteria").alias("max_pos"))
     return F.broadcast(codes) if codebook.n_codes <= BROADCAST_CODES_MAX else codes
 
 
 def grid_facts(events: DataFrame, enrol: DataFrame, codebook: Codebook, first_year: int,
                last_year: int) -> DataFrame:
-    """Step 1: one row per ``(bene_id, file_year, year)`` of events or enrolment."""
+    """Step 1: one row per ``(bene_id, file_year)`` seen in the events or the enrolment."""
     n = len(codebook.conditions)
-    n_masks = _mask_layout(n)
     has_excl = any(s.n_exclude > 0 for s in codebook.conditions)
     span = F.col("file_year").between(first_year, last_year)
 
     hits = (unnest_codes(events.where(span), codebook.normalize)
             .join(_indexed_codes(codebook), "code")
-            .select("bene_id", "file_year", F.lit(None).cast("int").alias("year"),
-                    "admission_date", "pos", "kind", "cidx", "max_pos",
+            .select("bene_id", "file_year", "admission_date", "pos", "kind", "cidx", "max_pos",
                     F.lit(None).cast("long").alias("hmo_mo"), F.lit(0).alias("is_enrol")))
-    rows = (enrol.where(span)
-            .select("bene_id", "file_year", F.col("year").cast("int").alias("year"),
-                    F.lit(None).cast(hits.schema["admission_date"].dataType).alias("admission_date"),
-                    F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("kind"),
-                    F.lit(None).cast("int").alias("cidx"), F.lit(None).cast("int").alias("max_pos"),
-                    F.col("hmo_mo").cast("long").alias("hmo_mo"), F.lit(1).alias("is_enrol")))
+    date_type = hits.schema["admission_date"].dataType.simpleString()
+    rows = enrol.where(span).selectExpr(
+        "bene_id", "file_year", f"CAST(NULL AS {date_type}) AS admission_date",
+        "CAST(NULL AS INT) AS pos", "CAST(NULL AS STRING) AS kind", "CAST(NULL AS INT) AS cidx",
+        "CAST(NULL AS INT) AS max_pos", "CAST(hmo_mo AS BIGINT) AS hmo_mo", "1 AS is_enrol")
     both = hits.unionByName(rows)
 
-    inc = F.col("kind") == INCLUDE
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("cidx") % MASK_BITS)
-    group = F.expr(f"cidx div {MASK_BITS}")
+    inc, exc = f"kind = '{INCLUDE}'", f"kind = '{EXCLUDE}'"
+    bit = f"shiftleft(CAST(1 AS BIGINT), cidx % {MASK_BITS})"
     aggs = []
-    for k in range(n_masks):
-        aggs.append(F.bit_or(F.when(inc & (F.col("pos") <= F.col("max_pos")) & (group == k), bit))
-                    .alias(f"q{k}"))
+    for k in range(_mask_layout(n)):
+        grp = f"cidx div {MASK_BITS} = {k}"
+        aggs.append(f"bit_or(CASE WHEN {inc} AND pos <= max_pos AND {grp} THEN {bit} END) AS q{k}")
         if has_excl:
-            aggs.append(F.bit_or(F.when((F.col("kind") == EXCLUDE) & (group == k), bit))
-                        .alias(f"x{k}"))
-    for i in range(n):
-        aggs.append(F.min(F.when(inc & (F.col("cidx") == i), F.col("admission_date"))).alias(f"d{i}"))
-    aggs.append(F.sum("hmo_mo").alias("hmo"))
-    aggs.append(F.sum("is_enrol").alias("n_rows"))
-    return both.groupBy("bene_id", "file_year", "year").agg(*aggs)
+            aggs.append(f"bit_or(CASE WHEN {exc} AND {grp} THEN {bit} END) AS x{k}")
+    aggs += [f"min(CASE WHEN {inc} AND cidx = {i} THEN admission_date END) AS d{i}" for i in range(n)]
+    aggs += ["sum(hmo_mo) AS hmo", "max(is_enrol) AS enrolled"]
+    return both.groupBy("bene_id", "file_year").agg(*[F.expr(a) for a in aggs])
 
 
 def _null_guards(facts: DataFrame, codebook: Codebook, first_year: int, last_year: int,
@@ -117,60 +115,99 @@ def _null_guards(facts: DataFrame, codebook: Codebook, first_year: int, last_yea
     """Per reference year: which conditions have a non-empty exclusion set
     (``ne{k}``) and which have a NULL id in it (``nn{k}``).  <= one row per year."""
     n_masks = _mask_layout(len(codebook.conditions))
-    per_year = (facts.groupBy("file_year").agg(
-        *[F.bit_or(F.col(f"x{k}")).alias(f"ga{k}") for k in range(n_masks)],
-        *[F.bit_or(F.when(F.col("bene_id").isNull(), F.col(f"x{k}"))).alias(f"gn{k}")
-          for k in range(n_masks)]))
+    per_year = facts.groupBy("file_year").agg(
+        *[F.expr(f"bit_or(x{k}) AS ga{k}") for k in range(n_masks)],
+        *[F.expr(f"bit_or(CASE WHEN bene_id IS NULL THEN x{k} END) AS gn{k}") for k in range(n_masks)])
     parts = []
-    f = F.col("file_year")
     for p, masks in _period_masks(codebook).items():
+        # ref years whose exclusion file is this file year f
         if scope == "window":
-            lo = f
-        else:  # the oldest window year is f for ref year f+p-1, or first_year for all
-            lo = F.when(f == first_year, f).otherwise(f + (p - 1))
-        hi = F.least(f + (p - 1), F.lit(last_year))
-        parts.append(per_year.select(
-            F.explode(F.sequence(lo, F.greatest(lo, hi))).alias("ref_year"),
-            *[(F.col(f"ga{k}").bitwiseAND(_long(masks[k]))).alias(f"ne{k}") for k in range(n_masks)],
-            *[(F.col(f"gn{k}").bitwiseAND(_long(masks[k]))).alias(f"nn{k}") for k in range(n_masks)],
+            lo = "file_year"
+        else:  # the oldest window year is f for ref year f+p-1, or first_year for several
+            lo = f"CASE WHEN file_year = {first_year} THEN file_year ELSE file_year + {p - 1} END"
+        hi = f"least(file_year + {p - 1}, {last_year})"
+        parts.append(per_year.selectExpr(
+            f"explode(sequence({lo}, greatest({lo}, {hi}))) AS ref_year",
+            *[f"ga{k} & CAST({masks[k]} AS BIGINT) AS ne{k}" for k in range(n_masks)],
+            *[f"gn{k} & CAST({masks[k]} AS BIGINT) AS nn{k}" for k in range(n_masks)],
         ).where(F.col("ref_year") <= last_year))
     allp = parts[0]
     for extra in parts[1:]:
         allp = allp.unionByName(extra)
     return allp.groupBy("ref_year").agg(
-        *[F.bit_or(f"ne{k}").alias(f"ne{k}") for k in range(n_masks)],
-        *[F.bit_or(f"nn{k}").alias(f"nn{k}") for k in range(n_masks)])
+        *[F.expr(f"bit_or(ne{k}) AS ne{k}") for k in range(n_masks)],
+        *[F.expr(f"bit_or(nn{k}) AS nn{k}") for k in range(n_masks)])
+
 
+def _may_hold_null_ids(events: DataFrame, null_ids: str) -> bool:
+    if null_ids == "absent":
+        return False
+    if null_ids == "present":
+        return True
+    if null_ids != "auto":
+        raise ValueError(f"null_ids must be 'auto', 'absent' or 'present', got {null_ids!r}")
+    if not events.schema["bene_id"].nullable:
+        return False
+    # One pushed-down IS NULL probe (row groups without NULLs are skipped).
+    return bool(events.where(F.col("bene_id").isNull()).limit(1).count())
 
-def _has_bit(mask: Column, i: int) -> Column:
-    return mask.bitwiseAND(_long(_bit(i))) != 0
 
+def _window_columns(codebook: Codebook, first_year: int, scope: str, has_excl: bool) -> list:
+    """Step 2: the windowed columns, one frame family per distinct look-back."""
+    w = Window.partitionBy("bene_id").orderBy("file_year")
+    running = w.rangeBetween(Window.unboundedPreceding, 0)
+    n_masks = _mask_layout(len(codebook.conditions))
+    cols = []
+    for p in sorted({s.ref_period for s in codebook.conditions}):
+        frame = w.rangeBetween(-(p - 1), 0)
+        cols.append(F.sum("hmo").over(frame).alias(f"hmo_p{p}"))
+        for k in range(n_masks):
+            cols.append(F.bit_or(f"q{k}").over(frame).alias(f"m{k}_p{p}"))
+            if not has_excl:
+                continue
+            if scope == "window":
+                ex = F.bit_or(f"x{k}").over(frame)
+            elif p == 1:
+                ex = F.bit_or(f"x{k}").over(w.rangeBetween(0, 0))
+            else:
+                at_start = F.bit_or(f"x{k}").over(w.rangeBetween(-(p - 1), -(p - 1)))
+                at_first = F.bit_or(F.expr(f"CASE WHEN file_year = {first_year} THEN x{k} END")) \
+                    .over(running)
+                ex = F.when(F.col("file_year") - (p - 1) >= first_year, at_start).otherwise(at_first)
+            cols.append(ex.alias(f"e{k}_p{p}"))
+    for i in range(len(codebook.conditions)):
+        cols.append(F.min(f"d{i}").over(running).alias(f"ever{i}"))
+    return cols
 
-def expand_copies(df: DataFrame, n_col: str = "n_rows", key: str = "bene_id",
-                  chunk: int = COPY_CHUNK) -> DataFrame:
-    """One output row per counted copy.
 
-    Rows with one copy pass through untouched.  Rows with more copies are first
-    split into chunks of at most ``chunk`` copies, the chunk rows are spread over
-    tasks by hash of (key, chunk), and each chunk is expanded there, so a key
-    with millions of duplicate rows is re-created by many tasks.
-    """
-    n = F.col(n_col)
-    single = df.where(n == 1)
-    multi = df.where(n > 1)
-    chunks = multi.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), ((n - 1) / chunk).cast("long"))))
-    chunks = chunks.repartition(key, "_chunk")
-    copies = chunks.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"),
-                                      F.least(F.lit(chunk).cast("long"),
-                                              n.cast("long") - F.col("_chunk") * chunk))))
-    return single.unionByName(copies.drop("_chunk", "_copy"))
+def _status_exprs(codebook: Codebook, has_excl: bool, guarded: bool) -> list[str]:
+    """Per condition: the 0/1 claims flag, then the status and first date."""
+    out = []
+    for i, spec in enumerate(codebook.conditions):
+        k, p, b = i // MASK_BITS, spec.ref_period, _bit(i)
+        terms = [f"(coalesce(m{k}_p{p}, 0) & {b}) != 0"]
+        if has_excl:
+            terms.append(f"(coalesce(e{k}_p{p}, 0) & {b}) = 0")
+        if guarded:
+            terms.append(f"(coalesce(nn{k}, 0) & {b}) = 0")
+            terms.append(f"(bene_id IS NOT NULL OR (coalesce(ne{k}, 0) & {b}) = 0)")
+        met = f"CAST({' AND '.join(terms)} AS INT)"
+        cov = f"CASE WHEN hmo_p{p} = 0 THEN 1 ELSE 0 END"
+        out.append(f"CAST(CASE WHEN {met} = 0 AND {cov} = 0 THEN 0 WHEN {met} = 1 AND {cov} = 0 THEN 1 "
+                   f"WHEN {met} = 0 AND {cov} = 1 THEN 2 ELSE 3 END AS INT) AS {_ident(spec.name)}")
+        out.append(f"CASE WHEN bene_id IS NULL THEN NULL ELSE ever{i} END AS "
+                   f"{_ident(spec.name + '_ever')}")
+    return out
 
 
 def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
-                 first_year: int, exclusion_scope: str = "oldest_year") -> DataFrame:
-    """Wide features of every enrolment row of ``years``, all codebook conditions."""
+                 first_year: int, exclusion_scope: str = "oldest_year",
+                 null_ids: str = "auto") -> DataFrame:
+    """Wide features of every enrolment row of ``years``, all codebook conditions.
+
+    ``null_ids`` says whether event rows may carry a NULL id ("auto" probes);
+    only then are the NULL guards of the ``NOT IN`` semantics planned.
+    """
     if exclusion_scope not in ("oldest_year", "window"):
         raise ValueError(f"exclusion_scope must be 'oldest_year' or 'window', got {exclusion_scope!r}")
     years = sorted({int(y) for y in years})
@@ -181,68 +218,42 @@ def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
         raise ValueError(f"empty look-back window: ref_year={years[0]} is before "
                          f"first_year={first_year}")
     last_year = years[-1]
-    specs = codebook.conditions
-    n_masks = _mask_layout(len(specs))
-    has_excl = any(s.n_exclude > 0 for s in specs)
+    has_excl = any(s.n_exclude > 0 for s in codebook.conditions)
 
     facts = grid_facts(events, enrol, codebook, first_year, last_year)
-
-    w = Window.partitionBy("bene_id").orderBy("file_year")
     fy = F.col("file_year")
-    cols = [F.col("bene_id"), F.col("file_year"), F.col("year"), F.col("n_rows")]
-    for p in sorted({s.ref_period for s in specs}):
-        frame = w.rangeBetween(-(p - 1), 0)
-        cols.append(F.sum("hmo").over(frame).alias(f"hmo_p{p}"))
-        for k in range(n_masks):
-            cols.append(F.bit_or(f"q{k}").over(frame).alias(f"m{k}_p{p}"))
-            if not has_excl:
-                continue
-            if exclusion_scope == "window":
-                ex = F.bit_or(f"x{k}").over(frame)
-            elif p == 1:
-                ex = F.bit_or(f"x{k}").over(w.rangeBetween(0, 0))
-            else:
-                at_start = F.bit_or(f"x{k}").over(w.rangeBetween(-(p - 1), -(p - 1)))
-                at_first = F.bit_or(F.when(fy == first_year, F.col(f"x{k}"))).over(
-                    w.rangeBetween(Window.unboundedPreceding, 0))
-                ex = F.when(fy - (p - 1) >= first_year, at_start).otherwise(at_first)
-            cols.append(ex.alias(f"e{k}_p{p}"))
-    running = w.rangeBetween(Window.unboundedPreceding, 0)
-    for i in range(len(specs)):
-        cols.append(F.min(f"d{i}").over(running).alias(f"ever{i}"))
-    win = facts.select(*cols).where((F.col("n_rows") > 0) & fy.isin(years))
+    win = (facts.select("bene_id", "file_year", "enrolled",
+                        *_window_columns(codebook, first_year, exclusion_scope, has_excl))
+           .where((F.col("enrolled") == 1) & fy.isin(years)))
 
-    if has_excl:
+    guarded = has_excl and _may_hold_null_ids(events, null_ids)
+    if guarded:
         guards = _null_guards(facts, codebook, first_year, last_year, exclusion_scope)
         win = win.join(F.broadcast(guards), fy == F.col("ref_year"), "left").drop("ref_year")
 
-    out = [F.col("bene_id"), F.col("year").alias("rfrnc_yr"), F.col("n_rows")]
-    is_null_id = F.col("bene_id").isNull()
-    for i, spec in enumerate(specs):
-        k, p = i // MASK_BITS, spec.ref_period
-        met = _has_bit(F.coalesce(F.col(f"m{k}_p{p}"), F.lit(0).cast("long")), i)
-        if has_excl:
-            zero = F.lit(0).cast("long")
-            met = (met & ~_has_bit(F.coalesce(F.col(f"e{k}_p{p}"), zero), i)
-                   & ~_has_bit(F.coalesce(F.col(f"nn{k}"), zero), i)
-                   & (~is_null_id | ~_has_bit(F.coalesce(F.col(f"ne{k}"), zero), i)))
-        cov = coverage_flag(F.col(f"hmo_p{p}"))
-        out.append(status_code(met.cast("int"), cov).alias(spec.name))
-        out.append(F.when(is_null_id, F.lit(None)).otherwise(F.col(f"ever{i}"))
-                   .alias(f"{spec.name}_ever"))
-    return expand_copies(win.select(*out)).drop("n_rows")
+    per_key = win.selectExpr("bene_id AS _rid", "file_year AS _ryear",
+                             *_status_exprs(codebook, has_excl, guarded))
+
+    # Step 4: one output row per enrolment row of the requested years.
+    spine = enrol.where(fy.isin(years)).selectExpr("bene_id", "file_year",
+                                                    "CAST(year AS INT) AS rfrnc_yr")
+    joined = spine.join(per_key, spine["bene_id"].eqNullSafe(per_key["_rid"])
+                        & (spine["file_year"] == per_key["_ryear"]), "left")
+    feats = [c for spec in codebook.conditions for c in (spec.name, f"{spec.name}_ever")]
+    return joined.select("bene_id", "rfrnc_yr", *feats)
 
 
 def feature_grid_long(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
-                      first_year: int, exclusion_scope: str = "oldest_year") -> DataFrame:
+                      first_year: int, exclusion_scope: str = "oldest_year",
+                      null_ids: str = "auto") -> DataFrame:
     """Long form ``bene_id, rfrnc_yr, condition, status, ever`` of :func:`feature_grid`."""
-    wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope)
+    wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope, null_ids)
     return stack_conditions(wide, codebook.names)
 
 
 def stack_conditions(wide: DataFrame, names: list[str]) -> DataFrame:
     """Unpivot ``{c}, {c}_ever`` column pairs to ``condition, status, ever`` rows."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("condition"), F.col(c).alias("status"),
-                               F.col(f"{c}_ever").alias("ever")) for c in names])
+    pairs = F.array(*[F.struct(F.lit(c).alias("condition"), F.col(_ident(c)).alias("status"),
+                               F.col(_ident(f"{c}_ever")).alias("ever")) for c in names])
     return (wide.select("bene_id", "rfrnc_yr", F.explode(pairs).alias("s"))
             .select("bene_id", "rfrnc_yr", "s.condition", "s.status", "s.ever"))

@@ -8,8 +8,9 @@ NULL id are dropped, as an inner join on the id would.
 The matrix comes straight out of the single-pass grid, already wide, so no
 join chain is run.  ``merge_chain`` keeps the per-condition-table entry point:
 it unions the tables and pivots them with one aggregation on the id instead of
-``n - 1`` joins.  An id that repeats d times in every input gives d rows
-(the join chain would give d^n, every pair within the group).
+``n - 1`` joins, then joins the pivot to the rows of the first table.  An id
+that repeats d times gives d rows (the join chain would give d^n, every pair
+within the group); AQE's skew join splits such a repeated id.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookback.plans.grid import expand_copies, feature_grid
+from lookback.plans.grid import feature_grid
 from lookback.sources.codebook import Codebook
 
 
@@ -31,9 +32,10 @@ def matrix_columns(names: Sequence[str]) -> list[str]:
 
 
 def feature_matrix(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
-                   first_year: int, exclusion_scope: str = "oldest_year") -> DataFrame:
+                   first_year: int, exclusion_scope: str = "oldest_year",
+                   null_ids: str = "auto") -> DataFrame:
     """The matrix of every year in ``years`` (one merge job per year, in one plan)."""
-    wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope)
+    wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope, null_ids)
     return wide.where(F.col("bene_id").isNotNull()).select(*matrix_columns(codebook.names))
 
 
@@ -56,11 +58,11 @@ def merge_chain(frames: Sequence[tuple[str, DataFrame]], ref_year: int) -> DataF
     for i, name in enumerate(names):
         aggs.append(F.max(F.when(F.col("_cidx") == i, F.col("_status"))).alias(name))
         aggs.append(F.max(F.when(F.col("_cidx") == i, F.col("_ever"))).alias(f"{name}_ever"))
-    aggs.append(F.count(F.when(F.col("_cidx") == 0, F.lit(1))).alias("n_rows"))
     wide = long.where(F.col("bene_id").isNotNull()).groupBy("bene_id").agg(*aggs)
     present = None
     for name in names:
         cond = F.col(name).isNotNull()
         present = cond if present is None else present & cond
-    wide = wide.where(present).withColumn("rfrnc_yr", F.lit(int(ref_year)))
-    return expand_copies(wide).select(*matrix_columns(names))
+    first_rows = frames[0][1].select("bene_id").where(F.col("bene_id").isNotNull())
+    out = first_rows.join(wide.where(present), "bene_id", "inner")
+    return out.withColumn("rfrnc_yr", F.lit(int(ref_year))).select(*matrix_columns(names))
