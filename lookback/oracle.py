@@ -70,9 +70,9 @@ def _hit_where(rule: str, inc) -> tuple[str, str]:
     return "adm", f"(diagnoses[1] IN ({i}) OR diagnoses[2] IN ({i}))"
 
 
-def met_sql(entry: dict, ref_year: int, scope: str = "oldest_year") -> str:
+def met_sql(entry: dict, ref_year: int, scope: str = "oldest_year", first_year: int = F0) -> str:
     inc, exc, p, rule = lists(entry)
-    lo = max(ref_year - p + 1, F0)
+    lo = max(ref_year - p + 1, first_year)
     src, cond = _hit_where(rule, inc)
     hit = f"SELECT DISTINCT bene_id FROM {src} WHERE {cond} AND file_year BETWEEN {lo} AND {ref_year}"
     if not exc:
@@ -83,15 +83,15 @@ def met_sql(entry: dict, ref_year: int, scope: str = "oldest_year") -> str:
             f"GROUP BY bene_id")
 
 
-def cov_sql(p: int, ref_year: int) -> str:
-    lo = max(ref_year - p + 1, F0)
+def cov_sql(p: int, ref_year: int, first_year: int = F0) -> str:
+    lo = max(ref_year - p + 1, first_year)
     return (f"SELECT bene_id, CAST(CASE WHEN sum(hmo_mo) = 0 THEN 1 ELSE 0 END AS INT) AS cov "
             f"FROM bene WHERE year BETWEEN {lo} AND {ref_year} GROUP BY bene_id")
 
 
-def ever_sql(entry: dict, ref_year: int, scope: str = "history") -> str:
+def ever_sql(entry: dict, ref_year: int, scope: str = "history", first_year: int = F0) -> str:
     inc, _, p, _ = lists(entry)
-    lo = F0 if scope == "history" else max(ref_year - p + 1, F0)
+    lo = first_year if scope == "history" else max(ref_year - p + 1, first_year)
     not_null = " AND bene_id IS NOT NULL" if scope == "history" else ""
     return (f"SELECT bene_id, min(admission_date) AS ever FROM px WHERE diag IN ({_q(inc)}) "
             f"AND file_year BETWEEN {lo} AND {ref_year}{not_null} GROUP BY bene_id")
@@ -103,7 +103,7 @@ STATUS = ("CAST(CASE WHEN coalesce(m.met, 0) = 0 AND c.cov = 0 THEN 0 "
 
 
 def pair_sql(cond: str, entry: dict, ref_year: int, scope: str = "oldest_year",
-             ever_scope: str = "history", parts: bool = False) -> str:
+             ever_scope: str = "history", parts: bool = False, first_year: int = F0) -> str:
     _, _, p, _ = lists(entry)
     ever_on = "b.bene_id = e.bene_id" if ever_scope == "history" else "b.bene_id IS NOT DISTINCT FROM e.bene_id"
     if parts:
@@ -112,9 +112,10 @@ def pair_sql(cond: str, entry: dict, ref_year: int, scope: str = "oldest_year",
     else:
         cols = f"b.bene_id, CAST(b.year AS INT) AS rfrnc_yr, {STATUS} AS {cond}, e.ever AS {cond}_ever"
     return (f"SELECT {cols} FROM bene b "
-            f"LEFT JOIN ({met_sql(entry, ref_year, scope)}) m ON b.bene_id IS NOT DISTINCT FROM m.bene_id "
-            f"LEFT JOIN ({cov_sql(p, ref_year)}) c ON b.bene_id IS NOT DISTINCT FROM c.bene_id "
-            f"LEFT JOIN ({ever_sql(entry, ref_year, ever_scope)}) e ON {ever_on} "
+            f"LEFT JOIN ({met_sql(entry, ref_year, scope, first_year)}) m "
+            f"ON b.bene_id IS NOT DISTINCT FROM m.bene_id "
+            f"LEFT JOIN ({cov_sql(p, ref_year, first_year)}) c ON b.bene_id IS NOT DISTINCT FROM c.bene_id "
+            f"LEFT JOIN ({ever_sql(entry, ref_year, ever_scope, first_year)}) e ON {ever_on} "
             f"WHERE b.year = {ref_year}")
 
 

@@ -57,16 +57,21 @@ def year_paths(prefix: str, years: Iterable[int], template: str = DEFAULT_TEMPLA
     return [template.format(prefix=prefix, year=int(y)) for y in years]
 
 
-def _year_pattern(template: str) -> str:
-    # Regex that captures the year from a full path built by ``template``.
-    tail = template.split("{year}", 1)[1]
-    head = template.split("{year}", 1)[0].replace("{prefix}", "")
-    return re.escape(head) + r"(\d{4})" + re.escape(tail) + "$"
+def _year_pattern(template: str, prefix: str = "") -> str:
+    """Regex capturing the year from a scanned path built by ``template``.
+
+    The yearly "file" may be a single file or a folder of part files, so the
+    match ends at the end of the path or at a ``/``.
+    """
+    head, tail = template.split("{year}", 1)
+    head = head.replace("{prefix}", prefix.rstrip("/").rsplit("/", 1)[-1])
+    lead = "/" if head and "{prefix}" in template.split("{year}", 1)[0] else ""
+    return lead + re.escape(head) + r"(\d{4})" + re.escape(tail) + "(?:/|$)"
 
 
-def file_year_col(template: str = DEFAULT_TEMPLATE) -> Column:
+def file_year_col(template: str = DEFAULT_TEMPLATE, prefix: str = "") -> Column:
     """``file_year`` recovered from the scanned file's path (inverse of O53)."""
-    return F.regexp_extract(F.col("_metadata.file_path"), _year_pattern(template), 1).cast("int")
+    return F.regexp_extract(F.col("_metadata.file_path"), _year_pattern(template, prefix), 1).cast("int")
 
 
 def read_years(spark: SparkSession, prefix: str, years: Iterable[int],
@@ -83,7 +88,7 @@ def read_years(spark: SparkSession, prefix: str, years: Iterable[int],
         raise ValueError("no years to read")
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(*paths)
-    return df.withColumn("file_year", file_year_col(template))
+    return df.withColumn("file_year", file_year_col(template, prefix))
 
 
 def read_year(spark: SparkSession, prefix: str, year: int,
