@@ -40,8 +40,16 @@ def _views(spark: SparkSession, sf: str):
     return demo_events(spark, sf), demo_enrolment(spark, sf)
 
 
+_BOOKS: dict = {}
+
+
 def _book(spark: SparkSession, which=None, exclusion_codes: str = "compat"):
-    return read_codebook(spark, which or DEMO_CODEBOOK, exclusion_codes=exclusion_codes)
+    """The parsed demo codebook, parsed once per session (it is configuration)."""
+    import json
+    key = (id(spark), json.dumps(which or DEMO_CODEBOOK, sort_keys=True), exclusion_codes)
+    if key not in _BOOKS:
+        _BOOKS[key] = read_codebook(spark, which or DEMO_CODEBOOK, exclusion_codes=exclusion_codes)
+    return _BOOKS[key]
 
 
 def _event_cols(df: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from lookback.functions.codes import rule_max_pos_col
 from lookback.operators.matching import unnest_codes
-from lookback.sources.codebook import BROADCAST_CODES_MAX, EXCLUDE, INCLUDE, Codebook
+from lookback.sources.codebook import BROADCAST_CODES_MAX, EXCLUDE, Codebook
 
 # Bits used per LONG mask column (the sign bit is left alone).
 MASK_BITS = 62
@@ -74,8 +74,8 @@ def _indexed_codes(codebook: Codebook) -> DataFrame:
     for i, spec in enumerate(codebook.conditions):
         cond = F.col("condition") == spec.name
         idx = F.when(cond, F.lit(i)) if idx is None else idx.when(cond, F.lit(i))
-    codes = codebook.codes.select("code", "kind", idx.alias("cidx"),
-                                  rule_max_pos_col("criteria").alias("max_pos"))
+    codes = codebook.codes.select("code", (F.col("kind") == EXCLUDE).alias("is_exc"),
+                                  idx.alias("cidx"), rule_max_pos_col("criteria").alias("max_pos"))
     return F.broadcast(codes) if codebook.n_codes <= BROADCAST_CODES_MAX else codes
 
 
@@ -88,16 +88,16 @@ def grid_facts(events: DataFrame, enrol: DataFrame, codebook: Codebook, first_ye
 
     hits = (unnest_codes(events.where(span), codebook.normalize)
             .join(_indexed_codes(codebook), "code")
-            .select("bene_id", "file_year", "admission_date", "pos", "kind", "cidx", "max_pos",
+            .select("bene_id", "file_year", "admission_date", "pos", "is_exc", "cidx", "max_pos",
                     F.lit(None).cast("long").alias("hmo_mo"), F.lit(0).alias("is_enrol")))
     date_type = hits.schema["admission_date"].dataType.simpleString()
     rows = enrol.where(span).selectExpr(
         "bene_id", "file_year", f"CAST(NULL AS {date_type}) AS admission_date",
-        "CAST(NULL AS INT) AS pos", "CAST(NULL AS STRING) AS kind", "CAST(NULL AS INT) AS cidx",
+        "CAST(NULL AS INT) AS pos", "CAST(NULL AS BOOLEAN) AS is_exc", "CAST(NULL AS INT) AS cidx",
         "CAST(NULL AS INT) AS max_pos", "CAST(hmo_mo AS BIGINT) AS hmo_mo", "1 AS is_enrol")
     both = hits.unionByName(rows)
 
-    inc, exc = f"kind = '{INCLUDE}'", f"kind = '{EXCLUDE}'"
+    inc, exc = "NOT is_exc", "is_exc"
     bit = f"shiftleft(CAST(1 AS BIGINT), cidx % {MASK_BITS})"
     aggs = []
     for k in range(_mask_layout(n)):

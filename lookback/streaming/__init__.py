@@ -1 +1,7 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The reference reads closed sets of yearly files; it has no stream source,
+watermark, window over event time, state or late data.  Every operator is a
+batch DataFrame plan (see ``lookback.plans``).  A new year's files are handled
+by running the grid or the matrix again for the years wanted.
+"""
