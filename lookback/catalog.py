@@ -25,7 +25,8 @@ from lookback.plans.pair import condition_feature, condition_parts, spine
 from lookback.sources.code_text import parse_code_text
 from lookback.sources.codebook import read_codebook
 from lookback.sources.demo import (DEMO_CODEBOOK, EXCL_CODEBOOK, FIRST_YEAR, LAST_YEAR,
-                                   REF_YEAR, demo_enrolment, demo_events, wide_codebook)
+                                   REF_YEAR, demo_enrolment, demo_events, demo_null_ids,
+                                   wide_codebook)
 from lookback.sources.yearly import history_years, in_years, union_years, window_years
 
 Y, F0, L = REF_YEAR, FIRST_YEAR, LAST_YEAR
@@ -184,7 +185,7 @@ def _pair(condition, book=None, scope="oldest_year", ever_scope="history"):
 
 def q_grid_status(spark, sf):
     ev, en = _views(spark, sf)
-    return feature_grid_long(ev, en, _book(spark), YEARS, F0)
+    return feature_grid_long(ev, en, _book(spark), YEARS, F0, null_ids=demo_null_ids(spark, sf))
 
 
 def q_grid_summary(spark, sf):
@@ -194,22 +195,24 @@ def q_grid_summary(spark, sf):
 
 def q_matrix_year(spark, sf):
     ev, en = _views(spark, sf)
-    return feature_matrix(ev, en, _book(spark), [Y], F0)
+    return feature_matrix(ev, en, _book(spark), [Y], F0, null_ids=demo_null_ids(spark, sf))
 
 
 def q_matrix_all(spark, sf):
     ev, en = _views(spark, sf)
-    return feature_matrix(ev, en, _book(spark), YEARS, F0)
+    return feature_matrix(ev, en, _book(spark), YEARS, F0, null_ids=demo_null_ids(spark, sf))
 
 
 def q_matrix_k27(spark, sf):
     ev, en = _views(spark, sf)
-    return feature_matrix(ev, en, _book(spark, wide_codebook()), [Y], F0)
+    return feature_matrix(ev, en, _book(spark, wide_codebook()), [Y], F0,
+                          null_ids=demo_null_ids(spark, sf))
 
 
 def q_grid_k27(spark, sf):
     ev, en = _views(spark, sf)
-    return feature_grid_long(ev, en, _book(spark, wide_codebook()), YEARS, F0)
+    return feature_grid_long(ev, en, _book(spark, wide_codebook()), YEARS, F0,
+                             null_ids=demo_null_ids(spark, sf))
 
 
 def q_merge_chain(spark, sf):

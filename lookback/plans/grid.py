@@ -180,24 +180,34 @@ def _window_columns(codebook: Codebook, first_year: int, scope: str, has_excl: b
     return cols
 
 
-def _status_exprs(codebook: Codebook, has_excl: bool, guarded: bool) -> list[str]:
-    """Per condition: the 0/1 claims flag, then the status and first date."""
-    out = []
+def _status_exprs(codebook: Codebook, has_excl: bool, guarded: bool) -> tuple[list[str], list[str]]:
+    """Two projections: per look-back p a combined claims mask and a coverage
+    term, then per condition its status and first date.
+
+    In the grid the claims flag is 0/1 and the coverage flag is never NULL
+    (every spine key has its own enrolment row in the window), so the status
+    table (0,0)->0, (1,0)->1, (0,1)->2, (1,1)->3 is exactly ``met + 2 * cov``.
+    """
+    n_masks = _mask_layout(len(codebook.conditions))
+    first = ["bene_id", "file_year"]
+    for p in sorted({s.ref_period for s in codebook.conditions}):
+        first.append(f"CASE WHEN hmo_p{p} = 0 THEN 2 ELSE 0 END AS cov2_p{p}")
+        for k in range(n_masks):
+            mask = f"coalesce(m{k}_p{p}, 0)"
+            if has_excl:
+                mask += f" & ~coalesce(e{k}_p{p}, 0)"
+            if guarded:
+                mask += (f" & ~coalesce(nn{k}, 0)"
+                         f" & CASE WHEN bene_id IS NULL THEN ~coalesce(ne{k}, 0) ELSE -1 END")
+            first.append(f"{mask} AS met{k}_p{p}")
+    second = ["bene_id AS _rid", "file_year AS _ryear"]
     for i, spec in enumerate(codebook.conditions):
-        k, p, b = i // MASK_BITS, spec.ref_period, _bit(i)
-        terms = [f"(coalesce(m{k}_p{p}, 0) & {b}) != 0"]
-        if has_excl:
-            terms.append(f"(coalesce(e{k}_p{p}, 0) & {b}) = 0")
-        if guarded:
-            terms.append(f"(coalesce(nn{k}, 0) & {b}) = 0")
-            terms.append(f"(bene_id IS NOT NULL OR (coalesce(ne{k}, 0) & {b}) = 0)")
-        met = f"CAST({' AND '.join(terms)} AS INT)"
-        cov = f"CASE WHEN hmo_p{p} = 0 THEN 1 ELSE 0 END"
-        out.append(f"CAST(CASE WHEN {met} = 0 AND {cov} = 0 THEN 0 WHEN {met} = 1 AND {cov} = 0 THEN 1 "
-                   f"WHEN {met} = 0 AND {cov} = 1 THEN 2 ELSE 3 END AS INT) AS {_ident(spec.name)}")
-        out.append(f"CASE WHEN bene_id IS NULL THEN NULL ELSE ever{i} END AS "
-                   f"{_ident(spec.name + '_ever')}")
-    return out
+        k, p = i // MASK_BITS, spec.ref_period
+        second.append(f"CAST(shiftright(met{k}_p{p}, {i % MASK_BITS}) & 1 AS INT) + cov2_p{p} "
+                      f"AS {_ident(spec.name)}")
+        second.append(f"CASE WHEN bene_id IS NULL THEN NULL ELSE ever{i} END AS "
+                      f"{_ident(spec.name + '_ever')}")
+    return first + [f"ever{i}" for i in range(len(codebook.conditions))], second
 
 
 def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
@@ -231,8 +241,8 @@ def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
         guards = _null_guards(facts, codebook, first_year, last_year, exclusion_scope)
         win = win.join(F.broadcast(guards), fy == F.col("ref_year"), "left").drop("ref_year")
 
-    per_key = win.selectExpr("bene_id AS _rid", "file_year AS _ryear",
-                             *_status_exprs(codebook, has_excl, guarded))
+    first, second = _status_exprs(codebook, has_excl, guarded)
+    per_key = win.selectExpr(*first).selectExpr(*second)
 
     # Step 4: one output row per enrolment row of the requested years.
     spine = enrol.where(fy.isin(years)).selectExpr("bene_id", "file_year",

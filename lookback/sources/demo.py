@@ -90,3 +90,13 @@ def demo_enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (orders.groupBy(F.col("o_custkey").alias("bene_id"), year.alias("year"))
             .agg(F.least(F.lit(12), F.sum(urgent)).cast("int").alias("hmo_mo"))
             .withColumn("file_year", F.col("year")))
+
+
+def demo_null_ids(spark: SparkSession, sf_dir: str) -> str:
+    """Whether the demo events can carry a NULL entity id.
+
+    The id comes from ``orders.o_custkey`` alone, so one pushed-down
+    ``IS NULL`` probe of that column answers it without building the view.
+    """
+    probe = _table(spark, sf_dir, "orders").select("o_custkey").where(F.col("o_custkey").isNull())
+    return "present" if probe.limit(1).count() else "absent"
