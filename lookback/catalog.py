@@ -25,7 +25,8 @@ from lookback.plans.pair import condition_feature, condition_parts, spine
 from lookback.sources.code_text import parse_code_text
 from lookback.sources.codebook import read_codebook
 from lookback.sources.demo import (DEMO_CODEBOOK, EXCL_CODEBOOK, FIRST_YEAR, LAST_YEAR,
-                                   REF_YEAR, demo_enrolment, demo_events, demo_null_ids,
+                                   REF_YEAR, demo_admissions, demo_enrolment, demo_event_codes,
+                                   demo_events, demo_null_ids,
                                    wide_codebook)
 from lookback.sources.yearly import history_years, in_years, union_years, window_years
 
@@ -38,7 +39,13 @@ HIT_YEARS = window_years(Y, 3, F0)
 
 
 def _views(spark: SparkSession, sf: str):
-    return demo_events(spark, sf), demo_enrolment(spark, sf)
+    """Long-form events (one row per code with its position) and enrolment."""
+    return demo_event_codes(spark, sf), demo_enrolment(spark, sf)
+
+
+def _arrays(spark: SparkSession, sf: str):
+    """Events with their code array, for the array operators."""
+    return demo_events(spark, sf)
 
 
 _BOOKS: dict = {}
@@ -58,17 +65,17 @@ def _event_cols(df: DataFrame) -> DataFrame:
 
 
 def q_scan_year(spark, sf):
-    ev, _ = _views(spark, sf)
+    ev = demo_admissions(spark, sf)
     return ev.where(F.col("file_year") == 1998).select("adm_id", "bene_id", "admission_date", "file_year")
 
 
 def q_scan_window(spark, sf):
-    ev, _ = _views(spark, sf)
+    ev = demo_admissions(spark, sf)
     return _event_cols(ev.where(in_years(window_years(Y, 3, F0))))
 
 
 def q_union_years(spark, sf):
-    ev, _ = _views(spark, sf)
+    ev = demo_admissions(spark, sf)
     return union_years(_event_cols(ev.where(F.col("file_year") == y)) for y in history_years(1997, F0))
 
 
@@ -92,12 +99,12 @@ def q_spine(spark, sf):
 
 
 def q_unnest(spark, sf):
-    ev, _ = _views(spark, sf)
+    ev = _arrays(spark, sf)
     return unnest_codes(ev, keep=["adm_id", "bene_id", "file_year"])
 
 
 def q_overlap(spark, sf):
-    ev, _ = _views(spark, sf)
+    ev = _arrays(spark, sf)
     return (ev.where(overlaps("diagnoses", OVERLAP_CODES))
             .select("adm_id", "bene_id", "file_year", F.size("diagnoses").alias("n_codes")))
 

@@ -21,9 +21,16 @@ def unnest_codes(events: DataFrame, normalize: bool = False, keep: list[str] | N
     """One row per array element: ``bene_id, admission_date, file_year, pos, code``.
 
     NULL and empty arrays give no rows; NULL elements are kept (they match nothing).
+    Events already in long form (columns ``pos`` - 0-based position - and
+    ``code`` instead of the ``diagnoses`` array) pass through unchanged.
     """
     cols = list(keep) if keep is not None else EVENT_KEYS
-    out = events.select(*cols, F.posexplode("diagnoses").alias("pos", "code"))
+    if "diagnoses" in events.columns:
+        out = events.select(*cols, F.posexplode("diagnoses").alias("pos", "code"))
+    elif {"pos", "code"} <= set(events.columns):
+        out = events.select(*cols, F.col("pos").cast("int").alias("pos"), "code")
+    else:
+        raise ValueError("events need a 'diagnoses' array or long-form 'pos' and 'code' columns")
     if normalize:
         out = out.withColumn("code", normalize_code(F.col("code")))
     return out

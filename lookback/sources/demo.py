@@ -10,7 +10,7 @@ Parquet tables; filters on ``file_year`` are pushed below the aggregations.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The demo codebook on the driver tables (key order c1, c2, c3).
@@ -61,8 +61,48 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def demo_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``adm_id, bene_id, admission_date, file_year``: the events without their codes."""
+    orders = _table(spark, sf_dir, "orders")
+    return orders.select(
+        F.col("o_orderkey").alias("adm_id"),
+        F.col("o_custkey").alias("bene_id"),
+        F.col("o_orderdate").alias("admission_date"),
+        F.year("o_orderdate").cast("int").alias("file_year"),
+    )
+
+
+def demo_event_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long-form events: ``adm_id, bene_id, admission_date, file_year, pos, code``.
+
+    One row per coded line of an order; ``pos`` is the 0-based rank of the line
+    by (line number, part key, brand), the position the code has in the array
+    form.  The rank is a ``row_number`` window per order: one shuffle by order
+    key, and a spillable buffer, so no order's lines are ever held as one value.
+    """
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand").where(F.col("p_brand").isNotNull())
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "p_brand")
+    coded = (lines.join(part, lines.l_partkey == part.p_partkey)
+             .select("l_orderkey", (F.row_number().over(w) - 1).cast("int").alias("pos"),
+                     F.col("p_brand").alias("code")))
+    return orders.join(coded, orders.o_orderkey == coded.l_orderkey).select(
+        F.col("o_orderkey").alias("adm_id"),
+        F.col("o_custkey").alias("bene_id"),
+        F.col("o_orderdate").alias("admission_date"),
+        F.year("o_orderdate").cast("int").alias("file_year"),
+        "pos", "code",
+    )
+
+
 def demo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``adm_id, bene_id, admission_date, file_year, diagnoses``: one row per order."""
+    """``adm_id, bene_id, admission_date, file_year, diagnoses``: one row per order.
+
+    The array form, for the operators that work on arrays themselves (overlap,
+    unnest).  It collects each order's lines into one array, so its size is
+    that of an order; every other demo query uses :func:`demo_event_codes`.
+    """
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")

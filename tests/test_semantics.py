@@ -203,3 +203,15 @@ def test_random_fixtures_grid_and_pair_against_bruteforce(spark, seed):
                 if y == Y:
                     pair = _pair_rows(condition_feature(ev, en, cb, cond, y, F0, exclusion_scope=scope))
                     assert pair == want, (seed, scope, cond, y, "pair")
+
+
+def test_long_form_events_equal_array_form(micro):
+    ev, en, cb = micro
+    long = ev.select("bene_id", "admission_date", "file_year",
+                     F.posexplode("diagnoses").alias("pos", "code"))
+    for cond in MICRO_BOOK:
+        assert _pair_rows(condition_feature(long, en, cb, cond, Y, F0)) == \
+            _pair_rows(condition_feature(ev, en, cb, cond, Y, F0))
+    a = rows_of(tuple(r) for r in feature_grid(ev, en, cb, range(F0, Y + 1), F0).collect())
+    b = rows_of(tuple(r) for r in feature_grid(long, en, cb, range(F0, Y + 1), F0).collect())
+    assert a == b
