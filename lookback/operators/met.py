@@ -38,11 +38,12 @@ def exclusion_years(ref_year: int, ref_period: int, first_year: int, scope: str)
 
 def not_in(ids: DataFrame, excluded: DataFrame, col: str = "bene_id") -> DataFrame:
     """``ids WHERE col NOT IN (SELECT col FROM excluded)`` with SQL NULL semantics."""
-    ex = excluded.select(col)
+    # one distinct set feeds both the NULL flags and the anti join (shared exchange)
+    ex = excluded.select(col).distinct()
     flags = ex.agg(F.struct(
         F.coalesce(F.max(F.col(col).isNull().cast("int")), F.lit(0)).alias("has_null"),
         F.count(F.lit(1)).alias("n"))).scalar()
-    kept = ids.join(ex.where(F.col(col).isNotNull()).distinct(), col, "left_anti")
+    kept = ids.join(ex.where(F.col(col).isNotNull()), col, "left_anti")
     return kept.where((flags["has_null"] == 0) & (F.col(col).isNotNull() | (flags["n"] == 0)))
 
 
