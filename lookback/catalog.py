@@ -54,7 +54,8 @@ _BOOKS: dict = {}
 def _book(spark: SparkSession, which=None, exclusion_codes: str = "compat"):
     """The parsed demo codebook, parsed once per session (it is configuration)."""
     import json
-    key = (id(spark), json.dumps(which or DEMO_CODEBOOK, sort_keys=True), exclusion_codes)
+    key = (id(spark), spark.sparkContext.applicationId,
+           json.dumps(which or DEMO_CODEBOOK, sort_keys=True), exclusion_codes)
     if key not in _BOOKS:
         _BOOKS[key] = read_codebook(spark, which or DEMO_CODEBOOK, exclusion_codes=exclusion_codes)
     return _BOOKS[key]

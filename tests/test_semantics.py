@@ -215,3 +215,28 @@ def test_long_form_events_equal_array_form(micro):
     a = rows_of(tuple(r) for r in feature_grid(ev, en, cb, range(F0, Y + 1), F0).collect())
     b = rows_of(tuple(r) for r in feature_grid(long, en, cb, range(F0, Y + 1), F0).collect())
     assert a == b
+
+
+def test_hot_id_holds_a_third_of_the_rows(spark):
+    """One id with a third of all events and of all enrolment rows (copies):
+    every copy keeps its row and the values match the brute-force SQL."""
+    rng = random.Random(11)
+    adm, bene = [], []
+    for i in range(600):
+        y = F0 + i % 4
+        who = "hot" if i % 3 == 0 else f"p{i % 50}"
+        adm.append((who, dt.date(y, 1 + i % 12, 1 + i % 28), y,
+                    [rng.choice(CODES[:-1]) for _ in range(1 + i % 3)]))
+    for i in range(300):
+        y = F0 + i % 4
+        who = "hot" if i % 3 == 0 else f"p{i % 50}"
+        bene.append((who, y, rng.choice([0, 0, 1])))
+    ev, en = frames(spark, adm, bene)
+    cb = read_codebook(spark, MICRO_BOOK)
+    con = duck(adm, bene)
+    grid = feature_grid_long(ev, en, cb, [Y], F0).collect()
+    assert sum(1 for r in grid if r.bene_id == "hot" and r.condition == "A") == 25
+    for cond, entry in MICRO_BOOK.items():
+        want = rows_of(con.execute(pair_sql(cond, entry, Y, first_year=F0)).fetchall())
+        got = rows_of((r.bene_id, r.rfrnc_yr, r.status, r.ever) for r in grid if r.condition == cond)
+        assert got == want, cond
