@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "lookback") -> SparkSession:
+                  app_name: str = "lookback", extra_conf: dict | None = None) -> SparkSession:
     """A local session configured like the tests and the bench."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -28,6 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("LOOKBACK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
