@@ -1 +1 @@
-"""operators"""
+"""Operators: code matching and unnest, claims rule, coverage, first event, statistics."""
