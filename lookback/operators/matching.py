@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookback.functions.codes import rule_max_pos
-from lookback.sources.codebook import Codebook, normalize_code
+from lookback.sources.codebook import BROADCAST_CODES_MAX, Codebook, normalize_code
 
 EVENT_KEYS = ["bene_id", "admission_date", "file_year"]
 
@@ -48,7 +48,6 @@ def code_hits(events: DataFrame, codebook: Codebook, condition: str, kind: str =
     codes = (codebook.include_codes(condition) if kind == "include"
              else codebook.exclude_codes(condition)).select("code")
     n = spec.n_include if kind == "include" else spec.n_exclude
-    from lookback.sources.codebook import BROADCAST_CODES_MAX
     return _join_codes(unnest_codes(events, codebook.normalize, keep), codes, n <= BROADCAST_CODES_MAX)
 
 
