@@ -41,7 +41,14 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet",
 
 
 def _write_arrow(df: DataFrame, path: str) -> None:
+    import pyarrow.fs as pafs
+
     schema = df.schema
+    # overwrite semantics: the folder is emptied first (a metadata operation on
+    # the driver), so files of an earlier run with more partitions cannot linger
+    fs, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    if fs.get_file_info(root).type == pafs.FileType.Directory:
+        fs.delete_dir_contents(root)
 
     def write_partition(batches):
         import pyarrow as pa
