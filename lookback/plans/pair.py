@@ -6,7 +6,7 @@ spine (enrolment rows of the reference year's file, duplicates kept)
   LEFT JOIN ever  on a plain id match (a NULL id never gets a date)
 Output ``bene_id, rfrnc_yr, {condition}, {condition}_ever``.
 
-``ever_scope="window"`` is the notebook form: the first date inside the look-back
+``ever_scope="window"`` is the exploratory form: the first date inside the look-back
 window only, joined NULL-safe like the other two.
 
 All three sides are aggregated per id before the joins, so a hot id is reduced
