@@ -240,3 +240,22 @@ def test_hot_id_holds_a_third_of_the_rows(spark):
         want = rows_of(con.execute(pair_sql(cond, entry, Y, first_year=F0)).fetchall())
         got = rows_of((r.bene_id, r.rfrnc_yr, r.status, r.ever) for r in grid if r.condition == cond)
         assert got == want, cond
+
+
+def test_grid_on_year_gaps_and_partitioned_source(spark, tmp_path):
+    from lookback.sources.yearly import read_partitioned
+    ev, en = frames(spark, MICRO_ADM, MICRO_BENE)
+    ev.write.partitionBy("file_year").parquet(str(tmp_path / "adm"))
+    en.write.partitionBy("file_year").parquet(str(tmp_path / "bene"))
+    pev = read_partitioned(spark, str(tmp_path / "adm"), range(F0, Y + 1))
+    pen = read_partitioned(spark, str(tmp_path / "bene"), range(F0, Y + 1))
+    cb = read_codebook(spark, MICRO_BOOK)
+    grid = feature_grid_long(pev, pen, cb, [2001, 2003], F0).collect()
+    assert {r.rfrnc_yr for r in grid} <= {2001, 2003}
+    for cond in MICRO_BOOK:
+        for y in (2001, 2003):
+            got = rows_of((r.bene_id, r.rfrnc_yr, r.status, r.ever) for r in grid
+                          if r.condition == cond and r.rfrnc_yr == y)
+            assert got == _pair_rows(condition_feature(ev, en, cb, cond, y, F0)), (cond, y)
+    plan = condition_feature(pev, pen, cb, "A", 2003, F0)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(file_year" in plan
