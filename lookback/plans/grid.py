@@ -249,7 +249,8 @@ def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
                                                     "CAST(year AS INT) AS rfrnc_yr")
     joined = spine.join(per_key, spine["bene_id"].eqNullSafe(per_key["_rid"])
                         & (spine["file_year"] == per_key["_ryear"]), "left")
-    feats = [c for spec in codebook.conditions for c in (spec.name, f"{spec.name}_ever")]
+    feats = [F.col(_ident(c)) for spec in codebook.conditions
+             for c in (spec.name, f"{spec.name}_ever")]
     return joined.select("bene_id", "rfrnc_yr", *feats)
 
 

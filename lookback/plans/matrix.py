@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookback.plans.grid import feature_grid
+from lookback.plans.grid import _ident, feature_grid
 from lookback.sources.codebook import Codebook
 
 
@@ -31,12 +31,16 @@ def matrix_columns(names: Sequence[str]) -> list[str]:
     return cols + ["rfrnc_yr"]
 
 
+def _matrix_select(names: Sequence[str]) -> list:
+    return [F.col(_ident(c)) for c in matrix_columns(names)]
+
+
 def feature_matrix(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
                    first_year: int, exclusion_scope: str = "oldest_year",
                    null_ids: str = "auto") -> DataFrame:
     """The matrix of every year in ``years`` (one merge job per year, in one plan)."""
     wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope, null_ids)
-    return wide.where(F.col("bene_id").isNotNull()).select(*matrix_columns(codebook.names))
+    return wide.where(F.col("bene_id").isNotNull()).select(*_matrix_select(codebook.names))
 
 
 def merge_chain(frames: Sequence[tuple[str, DataFrame]], ref_year: int) -> DataFrame:
@@ -48,8 +52,9 @@ def merge_chain(frames: Sequence[tuple[str, DataFrame]], ref_year: int) -> DataF
     if not frames:
         raise ValueError("no condition tables to merge")
     names = [name for name, _ in frames]
-    parts = [df.select("bene_id", F.lit(i).alias("_cidx"), F.col(name).cast("int").alias("_status"),
-                       F.col(f"{name}_ever").alias("_ever"))
+    parts = [df.select("bene_id", F.lit(i).alias("_cidx"),
+                       F.col(_ident(name)).cast("int").alias("_status"),
+                       F.col(_ident(f"{name}_ever")).alias("_ever"))
              for i, (name, df) in enumerate(frames)]
     long = parts[0]
     for p in parts[1:]:
@@ -61,8 +66,8 @@ def merge_chain(frames: Sequence[tuple[str, DataFrame]], ref_year: int) -> DataF
     wide = long.where(F.col("bene_id").isNotNull()).groupBy("bene_id").agg(*aggs)
     present = None
     for name in names:
-        cond = F.col(name).isNotNull()
+        cond = F.col(_ident(name)).isNotNull()
         present = cond if present is None else present & cond
     first_rows = frames[0][1].select("bene_id").where(F.col("bene_id").isNotNull())
     out = first_rows.join(wide.where(present), "bene_id", "inner")
-    return out.withColumn("rfrnc_yr", F.lit(int(ref_year))).select(*matrix_columns(names))
+    return out.withColumn("rfrnc_yr", F.lit(int(ref_year))).select(*_matrix_select(names))

@@ -259,3 +259,17 @@ def test_grid_on_year_gaps_and_partitioned_source(spark, tmp_path):
             assert got == _pair_rows(condition_feature(ev, en, cb, cond, y, F0)), (cond, y)
     plan = condition_feature(pev, pen, cb, "A", 2003, F0)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(file_year" in plan
+
+
+def test_condition_names_with_dots_and_spaces(spark):
+    book = {"ra.oa": MICRO_BOOK["A"], "heart failure": MICRO_BOOK["P"], "x`y": MICRO_BOOK["X"]}
+    ev, en = frames(spark, MICRO_ADM, MICRO_BENE)
+    cb = read_codebook(spark, book)
+    m = feature_matrix(ev, en, cb, [Y], F0)
+    assert m.columns == ["bene_id", "x`y", "x`y_ever", "heart failure", "heart failure_ever",
+                         "ra.oa", "ra.oa_ever", "rfrnc_yr"]
+    got = {r["bene_id"]: (r["ra.oa"], r["heart failure"], r["x`y"]) for r in m.collect()}
+    assert got == {b: (e["A"][0], e["P"][0], e["X"][0]) for b, e in MICRO_EXPECTED.items()}
+    from lookback.plans.matrix import merge_chain
+    frames_ = [(c, condition_feature(ev, en, cb, c, Y, F0)) for c in cb.names]
+    assert merge_chain(frames_, Y).count() == 7
