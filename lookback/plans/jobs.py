@@ -22,7 +22,7 @@ from lookback.plans.matrix import feature_matrix, merge_chain
 from lookback.plans.pair import condition_feature
 from lookback.sources.codebook import read_codebook
 from lookback.sources.sinks import read_features, write_features
-from lookback.sources.yearly import history_years, read_years
+from lookback.sources.yearly import history_years, read_years, window_years
 
 _FMT = {"parquet": "parquet", "csv": "csv", "feather": "arrow", "arrow": "arrow"}
 
@@ -40,9 +40,11 @@ def condition_year_job(spark: SparkSession, year: int, condition: str, ccw_json:
                        exclusion_scope: str = "oldest_year") -> str:
     """Features of one condition in one reference year; returns the output path."""
     book = read_codebook(spark, ccw_json)
-    years = history_years(year, first_year)
-    events = read_years(spark, dw_adm_prefix, years)
-    enrol = read_years(spark, dw_bene_prefix, years)
+    # events: the whole history (first date); enrolment: the look-back window,
+    # which holds the reference year itself (spine and coverage)
+    events = read_years(spark, dw_adm_prefix, history_years(year, first_year))
+    enrol = read_years(spark, dw_bene_prefix,
+                       window_years(year, book.spec(condition).ref_period, first_year))
     df = condition_feature(events, enrol, book, condition, year, first_year, exclusion_scope)
     path = f"{output_prefix}_{condition}_{year}"
     write_features(df, path, fmt=_fmt(output_format), partition_by=())
