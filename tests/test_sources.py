@@ -91,3 +91,23 @@ def test_jdbc_options_only(spark):
         overlap_query("t", "i", "a", [])
     reader = jdbc_reader(spark, "jdbc:postgresql://db.invalid:5432/x", q, user="u", password="p")
     assert reader is not None  # nothing is opened until load()
+
+
+def test_file_year_filter_skips_files(spark, tmp_dir):
+    rows = [("b1", dt.date(2004, 1, 1), ["x"])]
+    for y in (2001, 2002, 2003):
+        spark.createDataFrame(rows, EVENTS).coalesce(1).write.parquet(f"{tmp_dir}/adm_{y}.parquet")
+    df = read_years(spark, f"{tmp_dir}/adm", [2001, 2002, 2003]).where(F.col("file_year") == 2002)
+    assert df.count() == 1
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    scans = []
+
+    def walk(p):
+        if "Scan" in p.nodeName() and p.metrics().contains("numFiles"):
+            scans.append(p.metrics().apply("numFiles").value())
+        it = p.children().iterator()
+        while it.hasNext():
+            walk(it.next())
+    walk(plan)
+    assert scans == [1]  # the other years' files are never opened
