@@ -181,15 +181,16 @@ def _window_columns(codebook: Codebook, first_year: int, scope: str, has_excl: b
 
 
 def _status_exprs(codebook: Codebook, has_excl: bool, guarded: bool) -> tuple[list[str], list[str]]:
-    """Two projections: per look-back p a combined claims mask and a coverage
-    term, then per condition its status and first date.
+    """Two projections: before the spine join, per look-back p a combined claims
+    mask and a coverage term (a few columns, whatever the number of
+    conditions); after it, per condition its status and first date.
 
     In the grid the claims flag is 0/1 and the coverage flag is never NULL
     (every spine key has its own enrolment row in the window), so the status
     table (0,0)->0, (1,0)->1, (0,1)->2, (1,1)->3 is exactly ``met + 2 * cov``.
     """
     n_masks = _mask_layout(len(codebook.conditions))
-    first = ["bene_id", "file_year"]
+    first = ["bene_id AS _rid", "file_year AS _ryear"]
     for p in sorted({s.ref_period for s in codebook.conditions}):
         first.append(f"CASE WHEN hmo_p{p} = 0 THEN 2 ELSE 0 END AS cov2_p{p}")
         for k in range(n_masks):
@@ -200,7 +201,7 @@ def _status_exprs(codebook: Codebook, has_excl: bool, guarded: bool) -> tuple[li
                 mask += (f" & ~coalesce(nn{k}, 0)"
                          f" & CASE WHEN bene_id IS NULL THEN ~coalesce(ne{k}, 0) ELSE -1 END")
             first.append(f"{mask} AS met{k}_p{p}")
-    second = ["bene_id AS _rid", "file_year AS _ryear"]
+    second = ["bene_id", "rfrnc_yr"]
     for i, spec in enumerate(codebook.conditions):
         k, p = i // MASK_BITS, spec.ref_period
         second.append(f"CAST(shiftright(met{k}_p{p}, {i % MASK_BITS}) & 1 AS INT) + cov2_p{p} "
@@ -242,16 +243,14 @@ def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
         win = win.join(F.broadcast(guards), fy == F.col("ref_year"), "left").drop("ref_year")
 
     first, second = _status_exprs(codebook, has_excl, guarded)
-    per_key = win.selectExpr(*first).selectExpr(*second)
+    per_key = win.selectExpr(*first)
 
     # Step 4: one output row per enrolment row of the requested years.
     spine = enrol.where(fy.isin(years)).selectExpr("bene_id", "file_year",
                                                     "CAST(year AS INT) AS rfrnc_yr")
     joined = spine.join(per_key, spine["bene_id"].eqNullSafe(per_key["_rid"])
                         & (spine["file_year"] == per_key["_ryear"]), "left")
-    feats = [F.col(_ident(c)) for spec in codebook.conditions
-             for c in (spec.name, f"{spec.name}_ever")]
-    return joined.select("bene_id", "rfrnc_yr", *feats)
+    return joined.selectExpr(*second)
 
 
 def feature_grid_long(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
