@@ -72,15 +72,17 @@ def demo_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def demo_event_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def demo_event_codes(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Long-form events: ``adm_id, bene_id, admission_date, file_year, pos, code``.
 
     One row per coded line of an order; ``pos`` is the 0-based rank of the line
     by (line number, part key, brand), the position the code has in the array
     form.  The rank is a ``row_number`` window per order: one shuffle by order
     key, and a spillable buffer, so no order's lines are ever held as one value.
+    ``orders`` replaces the orders table (same columns) when given.
     """
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = (orders if orders is not None else _table(spark, sf_dir, "orders")) \
+        .select("o_orderkey", "o_custkey", "o_orderdate")
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand").where(F.col("p_brand").isNotNull())
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "p_brand")
@@ -122,9 +124,12 @@ def demo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def demo_enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``bene_id, year, hmo_mo, file_year``: one row per customer and order year."""
-    orders = _table(spark, sf_dir, "orders")
+def demo_enrolment(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """``bene_id, year, hmo_mo, file_year``: one row per customer and order year.
+
+    ``orders`` replaces the orders table (same columns) when given.
+    """
+    orders = orders if orders is not None else _table(spark, sf_dir, "orders")
     year = F.year("o_orderdate").cast("int")
     urgent = F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)
     return (orders.groupBy(F.col("o_custkey").alias("bene_id"), year.alias("year"))
