@@ -80,12 +80,6 @@ class Codebook:
         n = sum(c.n_include + c.n_exclude for c in specs)
         return Codebook(codes, specs, self.exclusion_codes, self.normalize, n)
 
-    def codes_for_join(self) -> DataFrame:
-        """The code rows, with a broadcast hint when their size is proven small."""
-        if self.n_codes <= BROADCAST_CODES_MAX:
-            return F.broadcast(self.codes)
-        return self.codes
-
     def include_codes(self, condition: str) -> DataFrame:
         return self.codes.where((F.col("condition") == condition) & (F.col("kind") == INCLUDE))
 
