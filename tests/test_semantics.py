@@ -273,3 +273,38 @@ def test_condition_names_with_dots_and_spaces(spark):
     from lookback.plans.matrix import merge_chain
     frames_ = [(c, condition_feature(ev, en, cb, c, Y, F0)) for c in cb.names]
     assert merge_chain(frames_, Y).count() == 7
+
+
+def _random_book(rng: random.Random) -> dict:
+    codes = [c for c in CODES if c is not None]
+    book = {}
+    for k in range(4):
+        entry = {"ref_period": rng.randint(1, 4),
+                 "claims_criteria": rng.choice(["all", "primary", "first_two"]),
+                 "icd9": rng.sample(codes, rng.randint(1, 2)), "icd10": rng.sample(codes, rng.randint(0, 1))}
+        shape = rng.choice(["none", "icd9", "icd10", "both"])
+        if shape in ("icd9", "both"):
+            entry["icd9_exclusion"] = rng.sample(codes, 1)
+        if shape in ("icd10", "both"):
+            entry["icd10_exclusion"] = rng.sample(codes, 2)
+        book[f"r{k}"] = entry
+    return book
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_random_codebooks_grid_against_bruteforce(spark, seed):
+    rng = random.Random(seed)
+    adm, bene = _random_fixture(rng)
+    book = _random_book(rng)
+    ev, en = frames(spark, adm, bene)
+    cb = read_codebook(spark, book)
+    con = duck(adm, bene)
+    years = list(range(F0, Y + 1))
+    for scope in ("oldest_year", "window"):
+        grid = feature_grid_long(ev, en, cb, years, F0, scope).collect()
+        for cond, entry in book.items():
+            for y in years:
+                want = rows_of(con.execute(pair_sql(cond, entry, y, scope=scope, first_year=F0)).fetchall())
+                got = rows_of((r.bene_id, r.rfrnc_yr, r.status, r.ever) for r in grid
+                              if r.condition == cond and r.rfrnc_yr == y)
+                assert got == want, (seed, scope, cond, y, entry)
