@@ -7,6 +7,7 @@ reference year 1999, first year 1995, years 1995-2001.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +54,6 @@ _BOOKS: dict = {}
 
 def _book(spark: SparkSession, which=None, exclusion_codes: str = "compat"):
     """The parsed demo codebook, parsed once per session (it is configuration)."""
-    import json
     key = (id(spark), spark.sparkContext.applicationId,
            json.dumps(which or DEMO_CODEBOOK, sort_keys=True), exclusion_codes)
     if key not in _BOOKS:
