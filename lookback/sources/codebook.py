@@ -151,6 +151,10 @@ def read_codebook(spark: SparkSession, source, exclusion_codes: str = "compat",
         F.size(F.array_distinct(F.filter("include", lambda x: x.isNotNull()))).alias("n_inc"),
         F.size(F.array_distinct(F.filter("exclude", lambda x: x.isNotNull()))).alias("n_exc"),
     ).orderBy("cond_pos").collect()
+    names = [r.condition for r in rows]
+    if len(names) != len(set(names)):
+        raise ValueError("codebook source holds a condition more than once "
+                         "(several codebook files under one path?)")
     specs = []
     for r in rows:
         if r.ref_period is None or int(r.ref_period) < 1:

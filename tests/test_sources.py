@@ -73,6 +73,14 @@ def test_codebook_order_defaults_and_file(spark, tmp_dir):
     norm = read_codebook(spark, {"n": {"ref_period": 1, "icd9": ["410.01"], "icd10": ["i21.a1"]}},
                          normalize=True)
     assert sorted(r.code for r in norm.codes.collect()) == ["41001", "I21A1"]
+    # two codebook files under one path would double every condition
+    import os
+    os.makedirs(f"{tmp_dir}/books")
+    for i in range(2):
+        with open(f"{tmp_dir}/books/ccw{i}.json", "w") as f:
+            json.dump(book, f)
+    with pytest.raises(ValueError):
+        read_codebook(spark, f"{tmp_dir}/books")
 
 
 def test_parse_code_text(spark):
