@@ -62,12 +62,17 @@ def check_schema(df: DataFrame, expected: T.StructType | str) -> DataFrame:
 
     ``expected`` is a StructType (names and types must match exactly) or one of
     ``"events"`` / ``"enrolment"`` (names required, type families accepted).
+    Events may be in array form (``diagnoses``) or long form (``pos``, ``code``).
     Raises ``ValueError`` listing every mismatch.  Reads only the schema.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     problems = []
     if isinstance(expected, str):
-        for name, types in _ACCEPTED[expected].items():
+        accepted = dict(_ACCEPTED[expected])
+        if expected == "events" and "diagnoses" not in fields and {"pos", "code"} <= set(fields):
+            accepted.pop("diagnoses")
+            accepted.update({"pos": (T.IntegerType, T.LongType), "code": (T.StringType,)})
+        for name, types in accepted.items():
             if name not in fields:
                 problems.append(f"missing column {name!r}")
             elif not isinstance(fields[name], types):

@@ -52,6 +52,10 @@ def test_check_schema(spark):
     assert check_schema(ev, EVENTS) is ev
     with pytest.raises(ValueError):
         check_schema(ev.drop("diagnoses"), "events")
+    long = ev.select("bene_id", "admission_date", F.posexplode("diagnoses").alias("pos", "code"))
+    assert check_schema(long, "events") is long
+    with pytest.raises(ValueError):
+        check_schema(long.drop("code"), "events")
     en = spark.createDataFrame([("b", 2000, 1)], ENROLMENT)
     check_schema(en, "enrolment")
     with pytest.raises(ValueError):
