@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookback.operators.matching import code_hits, match_codes
+from lookback.functions.codes import rule_max_pos
+from lookback.operators.matching import code_hits
 from lookback.sources.codebook import Codebook
 from lookback.sources.yearly import in_years, window_years
 
@@ -53,7 +54,11 @@ def met(events: DataFrame, codebook: Codebook, condition: str, ref_year: int,
     """``bene_id, met`` (met = 1) for entities meeting the claims rule in ``ref_year``."""
     spec = codebook.spec(condition)
     years = window_years(ref_year, spec.ref_period, first_year)
-    hits = match_codes(events.where(in_years(years)), codebook, condition, criteria)
+    # one DISTINCT on the id: the per-file DISTINCT of the events does not change it
+    hits = code_hits(events.where(in_years(years)), codebook, condition, "include", keep=["bene_id"])
+    max_pos = rule_max_pos(criteria or spec.criteria)
+    if max_pos < rule_max_pos("all"):
+        hits = hits.where(F.col("pos") <= max_pos)
     ids = hits.select("bene_id").distinct()
     if spec.n_exclude > 0:
         ex_years = exclusion_years(ref_year, spec.ref_period, first_year, exclusion_scope)
