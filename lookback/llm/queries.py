@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, packing, url_rules
+from . import html_text, lang_id, near_dup, packing, url_rules
 
 #: The rules of op1: (verdict, host/path).
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -33,6 +33,17 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=3, num=85, den=100)
+
+
+def op3_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", lang_id.held_out(F.col("doc_id"), 4, 2))
+    model = lang_id.train(docs.where("not held_out and doc_id is not null"))
+    found = lang_id.identify(docs, model, spans=False)
+    return found.select("doc_id", lang_id.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(table(spark, sf_dir, "documents"), tokenizer_path())
     items = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
@@ -43,4 +54,4 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op8_packing, op9_html_text)}
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_near_dup, op3_lang_id, op8_packing, op9_html_text)}
