@@ -116,7 +116,8 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     # The sweep: in key order, the last rule started gives the stack; closed rules are popped.
     order = Window.partitionBy("_ukey", "_ucell").orderBy(
         F.concat(reversed_host(F.col("_ukey")), "_upath"), "_ukind").rowsBetween(Window.unboundedPreceding, 0)
-    swept = (starts.unionByName(points).withColumn("_uopen", F.last("_ustack", ignorenulls=True).over(order))
+    # Dealt by cell on purpose: the partitioning of the join above would put a rule host in one task.
+    swept = (starts.unionByName(points).repartition("_ukey", "_ucell").withColumn("_uopen", F.last("_ustack", ignorenulls=True).over(order))
              .where("_ukind = 1")
              .withColumn("_ufit", F.filter("_uopen", lambda r: F.startswith(F.col("_upath"), r["path"])))
              .where("size(_ufit) > 0")
