@@ -231,27 +231,34 @@ def held_out(id_col: Column, parts: int, part: int) -> Column:
 def identify(docs: DataFrame, model: Model, penalty: float = 14.0, word_cap: float = 8.0, id_col: str = "doc_id",
              text_col: str = "text", spans: bool = True) -> DataFrame:
     """Per row: the id column, ``lang_pred``, ``score`` and ``spans`` (start, end, lang)."""
+    frame = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    return with_language(frame, model, penalty, word_cap, "text", spans).drop("text")
+
+
+def with_language(docs: DataFrame, model: Model, penalty: float = 14.0, word_cap: float = 8.0,
+                  text_col: str = "text", spans: bool = False) -> DataFrame:
+    """All rows and columns of ``docs`` with ``lang_pred``, ``score`` and, if asked for, ``spans``."""
     ship_code(docs.sparkSession)
     short_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS numbers
-    kind = docs.schema[id_col].dataType.simpleString()
+    names, at = docs.columns, docs.columns.index(text_col)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = []
             texts, size = [], 0
-            for t in b.column(1).to_pylist():
+            for t in b.column(at).to_pylist():
                 texts.append(t)
                 size += len(t or "")
                 if size > 2 * CHUNK:
                     made += label(texts, sent.value, penalty, word_cap)
                     texts, size = [], 0
             made += label(texts, sent.value, penalty, word_cap)
-            out = [b.column(0), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())]
+            out = [*b.columns, pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())]
             yield pa.RecordBatch.from_arrays(out + ([pa.array([m[2] for m in made], span)] if spans else []),
-                                             names=["doc_id", "lang_pred", "score"] + (["spans"] if spans else []))
+                                             names=names + ["lang_pred", "score"] + (["spans"] if spans else []))
 
     more = ", spans array<struct<start: int, end: int, lang: string>>" if spans else ""
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
-        run, f"doc_id {kind}, lang_pred string, score double{more}")
+    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double{more}")

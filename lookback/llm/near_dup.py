@@ -44,14 +44,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bits import bit_map
 from .common import ship_code, short_batches, written
 
 #: Longest list whose pairs are all tried, as unlinked members per list.
 LIST_PAIRS = 16
 #: Rounds of hubs; what is still in long lists after them is tried pair by pair.
 MAX_ROUNDS = 10
-#: Largest bit map of candidate documents that is sent to the tasks: 2^29 bits are 64 MB.
-MAX_BITS = 1 << 29
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -90,10 +89,10 @@ def _set_key(values: np.ndarray) -> int:
     return int(np.uint64(xxh3_64_intdigest(values.tobytes())).view(np.int64))
 
 
-def _bit(doc: object, key: int, bits: int) -> int:
+def _row_key(doc: object, key: int) -> int:
     from xxhash import xxh3_64_intdigest
 
-    return xxh3_64_intdigest(f"{doc}/{key}".encode()) % bits
+    return int(np.uint64(xxh3_64_intdigest(f"{doc}/{key}".encode())).view(np.int64))
 
 
 def sketches(docs: DataFrame, width: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,41 +186,23 @@ class Linker:
         wanted = ids.distinct()
         reps = written(self.base.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
                        .join(wanted.withColumnRenamed("id", "key"), "key", "left_semi"), "near-wanted")
-        bits = 1 << 20
-        count = reps.count()
-        while bits < 64 * count and bits < MAX_BITS:
-            bits *= 2
-
-        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x in batches:
-                at = [_bit(d, k, bits) for d, k in zip(x.column(0).to_pylist(), x.column(1).to_pylist())]
+                at = [_row_key(d, k) for d, k in zip(x.column(0).to_pylist(), x.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], names=["at"])
 
-        at = reps.select("doc_id", "key").mapInArrow(place, "at long")
-        rows = (at.groupBy(F.expr("bitmap_bucket_number(at)").alias("bucket"))
-                .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits")).collect())  # <= MAX_BITS bits
-        full = np.zeros(bits // 8 + 4096, np.uint8)
-        for r in rows:  # buckets count from 1 for positions from 1 on, and 0 holds position 0
-            full[4096 * r["bucket"]:4096 * (r["bucket"] + 1)] |= np.frombuffer(r["bits"], np.uint8)
-        shared = self.spark.sparkContext.broadcast(full)
+        held = bit_map(reps.select("doc_id", "key").mapInArrow(names, "at long"), "at")
         width = self.width
-        # bitmap_bucket_number(p) is 1 + (p - 1) / 32768 and its position (p - 1) % 32768 for p > 0.
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = shared.value
             for x in batches:
-                keys, values = [], []
-                for doc, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist()):
-                    s = shingles(text, width)
-                    if not len(s):
-                        continue
-                    key = _set_key(s)
-                    p = _bit(doc, key, bits)
-                    bucket, position = (1 + (p - 1) // 32768, (p - 1) % 32768) if p > 0 else (0, (-p) % 32768)
-                    if held[4096 * bucket + position // 8] >> (position % 8) & 1:
-                        keys.append(key)
-                        values.append(s.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(values, pa.binary())], names=["key", "values"])
+                sets = [shingles(t, width) for t in x.column(1).to_pylist()]
+                keys = [_set_key(s) if len(s) else 0 for s in sets]
+                rows = np.array([_row_key(d, k) for d, k in zip(x.column(0).to_pylist(), keys)], np.int64)
+                take = [i for i in np.flatnonzero(held.has(rows)).tolist() if len(sets[i])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([keys[i] for i in take], pa.int64()), pa.array([sets[i].tobytes() for i in take], pa.binary())],
+                    names=["key", "values"])
 
         found = self.docs.select(self.docs[self.id_col], self.docs[self.text_col]).mapInArrow(run, "key long, values binary")
         return written(found, "near-sets")
@@ -340,3 +321,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, that of the smallest id.
+
+    Rows without an id can't be told apart and all stay; equal rows with one id count once.
+    """
+    gone = written(near_duplicates(docs, width, num, den, id_col=id_col, text_col=text_col)
+                   .groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("rows"))
+                   .where("doc_id is not null and (kept = 0 or rows > 1)"), "near-gone")
+    away = gone.where("kept = 0").select(F.col("doc_id").alias(id_col))
+    left = docs.join(away, id_col, "left_anti").select(*docs.columns)
+    if gone.where("kept = 1").isEmpty():
+        return left
+    again = gone.where("kept = 1").select(F.col("doc_id").alias(id_col))
+    once = left.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col, text_col])
+    return left.join(again, id_col, "left_anti").select(*docs.columns).unionByName(once)

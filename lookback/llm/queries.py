@@ -7,12 +7,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, lang_id, near_dup, packing, url_rules
+from . import html_text, lang_id, line_dedup, mixing, near_dup, packing, url_rules
 
 #: The rules of op1: (verdict, host/path).
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
              ("block", "net/es/"), ("block", "net/fr/")]
 
+#: The targets of op10 and the pipeline: temperatures that flatten the shares of source, language and topic.
+MIX_TARGETS = {"source": 0.8, "lang": 0.9, "topic": 0.9}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,6 +47,10 @@ def op3_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", lang_id.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines", "removed_words")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(table(spark, sf_dir, "documents"), tokenizer_path())
     items = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
@@ -54,4 +61,12 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_near_dup, op3_lang_id, op8_packing, op9_html_text)}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"), MIX_TARGETS)
+    return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"),
+                        F.round("mix_weight", 6).alias("weight"), F.round("mix_probability", 6).alias("probability"),
+                        F.col("mix_kept").alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_near_dup, op3_lang_id, op7_line_dedup, op8_packing, op9_html_text,
+                                      op10_mixing)}
