@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, lang_id, line_dedup, mixing, near_dup, packing, url_rules
+from . import html_text, lang_id, line_dedup, mixing, near_dup, packing, toxicity, url_rules
 
 #: The rules of op1: (verdict, host/path).
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -47,6 +47,12 @@ def op3_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", lang_id.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~lang_id.held_out(F.col("doc_id"), 5, 0)))
+    return toxicity.score(docs, model).select("doc_id", lang_id.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines", "removed_words")
 
@@ -68,5 +74,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("mix_kept").alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_near_dup, op3_lang_id, op7_line_dedup, op8_packing, op9_html_text,
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_near_dup, op3_lang_id, op6_toxicity, op7_line_dedup, op8_packing, op9_html_text,
                                       op10_mixing)}
