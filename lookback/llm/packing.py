@@ -34,16 +34,27 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 #: Texts with these go to the tokenizer as they are: special tokens, and characters for which
 #: Python's white space or lower case differ from the tokenizer's.
 ODD = regex.compile("<\\||[\x1c-\x1fΣİ᠎​﻿�]|\\p{Cn}|\\p{Co}")
-#: Words kept with their ids by each worker.
-CACHE_WORDS = 400_000
+CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+#: Words, and pieces of words, kept with their ids by each worker: 150 to 200 bytes each.
+CACHE_WORDS = 600_000
+CACHE_PIECES = 900_000
 _tokenizers: dict = {}
 
 
+def odd(text: str) -> bool:
+    """Whether a text has to go to the tokenizer as it is."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return ODD.search(text) is not None
+    return any(x in text for x in CONTROLS)
+
+
 class WordIds:
     """Token ids of whole texts, each distinct word tokenized once as long as it stays in the cache.
 
-    The tokenizer drops white space and marks the end of each word, so the ids of a text are those
-    of its words in order.  Unseen words are tokenized together, in one call.
+    The tokenizer drops white space, splits words at punctuation and marks the end of each piece, so the
+    ids of a text are those of its pieces in order.  Unseen pieces are tokenized together, in one call.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,42 +65,40 @@ class WordIds:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.cache: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.np = np
 
     def whole(self, text: str) -> bytes:
         return self.np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
-        parts = [PIECES.findall(w) for w in words]
-        ids = self.np.array(self.tokenizer.encode(" ".join(" ".join(p) for p in parts), add_special_tokens=False).ids, "<u4")
-        ends = self.np.flatnonzero(self.ends[ids]) + 1
-        counts = [len(p) for p in parts]
-        if len(ends) != sum(counts):
-            for w in words:
-                self.cache[w] = self.whole(w)
-            return
-        cuts = self.np.concatenate([[0], ends])[self.np.concatenate([[0], self.np.cumsum(counts)])].tolist()
-        raw = ids.tobytes()
-        self.cache.update(zip(words, (raw[4 * a:4 * b] for a, b in zip(cuts, cuts[1:]))))
+        if len(self.pieces) > CACHE_PIECES:
+            self.pieces.clear()
+        split = [PIECES.findall(w) for w in words]
+        held = self.pieces
+        new = list({p for parts in split for p in parts if p not in held})
+        if new:
+            ids = self.np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+            cuts = [0, *((self.np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
+            if len(cuts) == len(new) + 1:
+                raw = ids.tobytes()
+                held.update(zip(new, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+            else:  # a piece without an end mark: each by itself
+                held.update((p, self.whole(p)) for p in new)
+        for word, parts in zip(words, split):
+            self.words[word] = held[parts[0]] if len(parts) == 1 else b"".join([held[p] for p in parts])
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        out = []
-        for text in texts:
-            if ODD.search(text):
-                out.append(self.whole(text))
-                continue
-            words = unicodedata.normalize("NFC", text).lower().split()
-            get = self.cache.__getitem__
-            try:
-                out.append(b"".join(map(get, words)))
-            except KeyError:
-                self.learn([w for w in dict.fromkeys(words) if w not in self.cache])
-                out.append(b"".join(map(get, words)))
-        return out
+        plain = [None if odd(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        new = list({w for words in plain if words for w in words}.difference(self.words))
+        if new:
+            self.learn(new)
+        get = self.words.__getitem__
+        return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, plain)]
 
 
 def word_ids(path: str) -> WordIds:
