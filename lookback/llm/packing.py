@@ -36,8 +36,8 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 ODD = regex.compile("<\\||[\x1c-\x1fΣİ᠎​﻿�]|\\p{Cn}|\\p{Co}")
 CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 #: Words, and pieces of words, kept with their ids by each worker: 150 to 200 bytes each.
-CACHE_WORDS = 600_000
-CACHE_PIECES = 900_000
+CACHE_WORDS = 1_200_000
+CACHE_PIECES = 1_000_000
 _tokenizers: dict = {}
 
 
