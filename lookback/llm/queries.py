@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_text, lang_id, line_dedup, mixing, near_dup, packing, toxicity, url_rules
+from . import ann, fingerprint, html_text, lang_id, line_dedup, mixing, near_dup, packing, toxicity, url_rules
 
 #: The rules of op1: (verdict, host/path).
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -47,6 +47,10 @@ def op3_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", lang_id.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return fingerprint.edits(docs, fingerprint.lexicon(docs))
@@ -79,5 +83,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("mix_kept").alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_rules, op2_near_dup, op3_lang_id, op5_fingerprint, op6_toxicity, op7_line_dedup, op8_packing, op9_html_text,
+QUERIES = {f.__name__: f for f in (op1_url_rules, op2_near_dup, op3_lang_id, op4_ann, op5_fingerprint, op6_toxicity, op7_line_dedup, op8_packing, op9_html_text,
                                       op10_mixing)}
