@@ -15,14 +15,13 @@ Method.
 3. Lists with few members give their pairs.  A long list gives the pairs with its hub only, the
    member whose values are the most frequent ones (the likely original of a group of copies).
 4. Pairs are filtered by size, then by the estimate from the union sketch, then the full sets decide.
-5. A long list isn't done yet: members that the hub links are in its component, but those it doesn't
-   link may be linked with others.  For a member x let D(x) be the symmetric difference with the hub.
-   If D(x) and D(y) are disjoint then |x ^ y| = |D(x)| + |D(y)|, and from this follows that a member not
-   linked with the hub can only be linked with a member that shares an element of D.  So the D are
-   the sets of the next round: inverted lists within the hub's members, again rarest first, in which
-   only pairs with an unlinked member count.  Rounds go on until no long list is left.  So no group,
-   however large, emits all its pairs, and no link is lost but by the sketch bound of step 2
-   (about 1e-7 for a pair exactly on the threshold, far less above it).
+5. A long list isn't done yet: members whose component isn't the hub's may be linked with others.  The
+   hub's members are arranged in rings by their exact Jaccard distance from it; that distance is a
+   metric, so a link joins only members whose rings differ by at most 1 - num / den.  The open members
+   of a ring are compared with the members of those rings block against block, with the full
+   sets in memory, and only links that join components are returned.  So no group, however large,
+   emits its pairs, and no link is lost but by the sketch bound of step 2 (about 1e-7 for a pair
+   exactly on the threshold, far less above it).
 6. Components by alternating large-star and small-star steps.
 
 Scale.  The first pass keeps a sketch and a key per document.  Full sets are made in a second pass and
@@ -49,8 +48,10 @@ from .common import ship_code, short_batches, written
 
 #: Longest list whose pairs are all tried, as unlinked members per list.
 LIST_PAIRS = 16
-#: Rounds of hubs; what is still in long lists after them is tried pair by pair.
-MAX_ROUNDS = 10
+#: Width of a ring around a hub, as Jaccard distance.
+RING = 0.05
+#: Shingles of a block of members, on average.
+BLOCK_VALUES = 60_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -130,42 +131,32 @@ class Linker:
     def sizes_fit(self, a: str = "n_a", b: str = "n_b"):
         return F.least(a, b) * self.den >= F.greatest(a, b) * self.num
 
-    def prefixes(self, values: DataFrame) -> DataFrame:
-        """Inverted lists (scope, v, id, n, flag, cent) of each node's rarest values.
-
-        ``values`` has (scope, id, n, flag, size, first, v): a row per value, ``size`` values in all, of which
-        the ``first`` rarest make lists.  Values that only one node of the scope has come first and
-        make none.
-        """
-        counts = values.groupBy("scope", "v").agg(F.count("*").alias("df")).where("df > 1")
-        ranked = (values.join(counts, ["scope", "v"])
-                  .groupBy("scope", "id").agg(
-                      F.first("n").alias("n"), F.first("flag").alias("flag"), F.first("size").alias("size"),
-                      F.first("first").alias("first"), F.sum(F.log2("df")).alias("cent"),
-                      F.sort_array(F.collect_list(F.struct("df", "v"))).alias("held")))
-        take = F.greatest(F.lit(0), F.col("first") - (F.col("size") - F.size("held"))).cast("int")
-        return (ranked.withColumn("cent", F.col("cent") / F.col("size"))
-                .select("scope", "id", "n", "flag", "cent", F.explode(F.slice("held", F.lit(1), take)).alias("x"))
-                .select("scope", F.col("x.v").alias("v"), "id", "n", "flag", "cent"))
-
-    def pairs(self, lists: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
+    def prefixes(self) -> DataFrame:
+        """Inverted lists (v, id, n, cent) of each node's rarest values; ``cent`` tells how usual its values are."""
+        k, t, n = self.k, self.t, F.col("n")
+        least = F.when(n >= k, F.lit(self.shared)).otherwise(F.greatest(
+            F.lit(1), F.ceil(n * t - 1e-9) - F.greatest(F.lit(0), F.ceil(n / t) - k)))
+        values = self.nodes.select(F.col("key").alias("id"), "n", F.explode("sketch").alias("v"))
+        counts = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+        held = (values.join(counts, "v").groupBy("id").agg(
+            F.first("n").alias("n"), F.sum(F.log2("df")).alias("cent"), F.sort_array(F.collect_list(F.struct("df", "v"))).alias("held")))
+        # Values of one node only come first and make no list.
+        size = F.least(n, F.lit(k))
+        take = F.greatest(F.lit(0), (size - least + 1) - (size - F.size("held"))).cast("int")
+        return (held.select("id", "n", (F.col("cent") / size).alias("cent"), F.explode(F.slice("held", F.lit(1), take)).alias("x"))
+                .select(F.col("x.v").alias("v"), "id", "n", "cent"))
+
+    def pairs(self, lists: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(pairs to try, (hub, member) of the long lists); each pair once, of fitting sizes."""
-        stats = (lists.groupBy("scope", "v")
-                 .agg(F.count("*").alias("members"), F.sum(F.col("flag").cast("int")).alias("open"),
-                      F.max(F.struct("cent", "id", "n")).alias("hub"))
-                 .where("members > 1 and open > 0"))
-        known = lists.join(stats, ["scope", "v"])
-        few = F.lit(True) if last else F.col("open") <= LIST_PAIRS
-        opened = (known.where(few & F.col("flag")).groupBy("scope", "v")
-                  .agg(F.collect_list(F.struct("id", "n")).alias("with")))
-        direct = (known.where(few).select("scope", "v", "id", "n").join(opened, ["scope", "v"])
-                  .select(F.col("id").alias("x"), F.col("n").alias("n_x"), F.explode("with").alias("y"))
-                  .where("x != y.id")
-                  .select(F.least("x", "y.id").alias("a"), F.greatest("x", "y.id").alias("b"),
-                          F.when(F.col("x") < F.col("y.id"), F.col("n_x")).otherwise(F.col("y.n")).alias("n_a"),
-                          F.when(F.col("x") < F.col("y.id"), F.col("y.n")).otherwise(F.col("n_x")).alias("n_b"))
-                  .where(self.sizes_fit()).select("a", "b").distinct())
-        hubs = (known.where(~few).where("id != hub.id")
+        stats = (lists.groupBy("v").agg(F.count("*").alias("members"), F.max(F.struct("cent", "id", "n")).alias("hub"))
+                 .where("members > 1"))
+        known = lists.join(stats, "v")
+        direct = (known.where(F.col("members") <= LIST_PAIRS).groupBy("v")
+                  .agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("x"))
+                  .select(F.explode(F.expr("flatten(transform(x, (p, i) -> transform(slice(x, i + 2, size(x)),"
+                                           " q -> struct(p.id AS a, p.n AS n_a, q.id AS b, q.n AS n_b))))")).alias("p"))
+                  .select("p.*").where(self.sizes_fit()).select("a", "b").distinct())
+        hubs = (known.where(F.col("members") > LIST_PAIRS).where("id != hub.id")
                 .select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct())
         return direct, hubs
 
@@ -205,79 +196,101 @@ class Linker:
                     names=["key", "values"])
 
         found = self.docs.select(self.docs[self.id_col], self.docs[self.text_col]).mapInArrow(run, "key long, values binary")
-        return written(found, "near-sets")
+        return written(found.dropDuplicates(["key"]), "near-sets")
 
-    def verified(self, pairs: DataFrame, sets: DataFrame, differences: bool) -> DataFrame:
-        """(a, b, n_b, linked[, diff]) of every pair, by the full sets; ``diff`` is the symmetric difference."""
+    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """(a, b, n_b, distance, linked) of every pair, by the full sets."""
         num, den = self.num, self.den
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x in batches:
-                linked, size, diffs = [], [], []
+                linked, size, far = [], [], []
                 for p, q in zip(x.column(2), x.column(3)):
                     a, b = np.frombuffer(p.as_buffer(), np.int64), np.frombuffer(q.as_buffer(), np.int64)
                     both = np.sort(np.concatenate([a, b]))
-                    same = both[1:] == both[:-1]
-                    shared = int(np.count_nonzero(same))
-                    linked.append(den * shared >= num * (len(a) + len(b) - shared))
+                    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                    union = len(a) + len(b) - shared
+                    linked.append(den * shared >= num * union)
+                    far.append(1 - shared / union)
                     size.append(len(b))
-                    if differences:
-                        twice = np.zeros(len(both), bool)
-                        twice[1:] |= same
-                        twice[:-1] |= same
-                        diffs.append(both[~twice])
-                out = [x.column(0), x.column(1), pa.array(size, pa.int64()), pa.array(linked, pa.bool_())]
-                names = ["a", "b", "n_b", "linked"]
-                yield pa.RecordBatch.from_arrays(out + ([_lists(diffs)] if differences else []),
-                                                 names=names + (["diff"] if differences else []))
-
-        one = sets.dropDuplicates(["key"])
-        joined = (pairs.join(one.select(F.col("key").alias("b"), F.col("values").alias("v_b")), "b")
-                  .join(one.select(F.col("key").alias("a"), F.col("values").alias("v_a")), "a")
-                  .select("a", "b", "v_a", "v_b"))
-        return joined.mapInArrow(run, "a long, b long, n_b long, linked boolean" + (", diff array<long>" if differences else ""))
-
-    def links(self) -> DataFrame:
-        """(a, b) of linked nodes, enough to connect every component."""
-        k, t = self.k, self.t
-        n = F.col("n")
-        least = F.when(n >= k, F.lit(self.shared)).otherwise(F.greatest(
-            F.lit(1), F.ceil(n * t - 1e-9) - F.greatest(F.lit(0), F.ceil(n / t) - k)))
-        values = self.nodes.select(
-            F.lit(0).cast("long").alias("scope"), F.col("key").alias("id"), "n", F.lit(True).alias("flag"),
-            F.size("sketch").alias("size"), (F.size("sketch") - least + 1).alias("first"), F.explode("sketch").alias("v"))
-        found: list[DataFrame] = []
-        for turn in range(1, MAX_ROUNDS + 1):
-            lists = written(self.prefixes(values), f"near-lists-{turn}")
-            direct, hubs = self.pairs(lists, last=turn == MAX_ROUNDS)
-            direct = written(self.likely(direct), f"near-pairs-{turn}")
-            hubs = written(hubs, f"near-hubs-{turn}")
-            some, more = direct.count(), hubs.count()
-            if not some and not more:
-                break
-            ids = (direct.select(F.explode(F.array("a", "b")).alias("id"))
-                   .unionByName(hubs.select(F.explode(F.array("a", "b")).alias("id"))))
-            sets = self.sets(ids)
-            if some:
-                found.append(written(self.verified(direct, sets, False).where("linked").select("a", "b"), f"near-links-{turn}"))
-            if not more:
-                break
-            star = written(self.verified(hubs, sets, True), f"near-star-{turn}")
-            found.append(star.where("linked").select("a", "b"))
-            # The next round: differences from the hub, where it leaves a member unlinked.
-            unsure = star.where("not linked").select("a").distinct()
-            d, most = F.size("diff"), (1 - t) / (1 + t) * (1 + 1 / t)
-            shared = F.when(F.col("linked"), F.lit(1)).otherwise(F.greatest(
-                F.lit(1), F.ceil((d - F.floor(F.col("n_b") * most + 1e-9)) / 2)))
-            values = star.join(unsure, "a", "left_semi").select(
-                F.col("a").alias("scope"), F.col("b").alias("id"), F.col("n_b").alias("n"), (~F.col("linked")).alias("flag"),
-                d.alias("size"), (d - shared + 1).alias("first"), F.explode("diff").alias("v"))
-        if not found:
-            return self.spark.createDataFrame([], "a long, b long")
-        out = found[0]
-        for x in found[1:]:
-            out = out.unionByName(x)
-        return out
+                yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(size, pa.int64()), pa.array(far, pa.float64()),
+                                                  pa.array(linked, pa.bool_())], names=["a", "b", "n_b", "distance", "linked"])
+
+        joined = (pairs.join(sets.select(F.col("key").alias("b"), F.col("values").alias("v_b")), "b")
+                  .join(sets.select(F.col("key").alias("a"), F.col("values").alias("v_a")), "a").select("a", "b", "v_a", "v_b"))
+        return joined.mapInArrow(run, "a long, b long, n_b long, distance double, linked boolean")
+
+    def among(self, star: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between members of a hub's long lists that are in different components yet."""
+        num, den = self.num, self.den
+        root = roots.select(F.col("id").alias("b"), F.col("root"))
+        hub_root = roots.select(F.col("id").alias("a"), F.col("root").alias("hub_root"))
+        members = (star.join(root, "b", "left").join(hub_root, "a", "left")
+                   .select(F.col("a").alias("hub"), F.col("b").alias("id"), F.col("n_b").alias("n"),
+                           F.coalesce("root", "b").alias("root"), F.coalesce("hub_root", "a").alias("hub_root"),
+                           F.floor(F.col("distance") / RING).cast("int").alias("ring"))
+                   .withColumn("asks", F.col("root") != F.col("hub_root")))
+        members = written(members, "near-members")
+        rings = (members.groupBy("hub", "ring").agg(F.sum("n").alias("values"), F.sum(F.when(F.col("asks"), F.col("n"))).alias("open")))
+        one = rings.where("open > 0").select("hub", F.col("ring").alias("ring_y"), F.ceil(F.col("open") / BLOCK_VALUES).cast("int").alias("blocks_y"))
+        other = rings.select("hub", F.col("ring").alias("ring_x"), F.ceil(F.col("values") / BLOCK_VALUES).cast("int").alias("blocks_x"))
+        reach = math.ceil((1 - self.t) / RING + 1e-9) + 1
+        cells = written(one.join(other, "hub").where(F.abs(F.col("ring_x") - F.col("ring_y")) <= reach), "near-cells")
+
+        def dealt(rows: DataFrame, mine: str, theirs: str, asks: bool) -> DataFrame:
+            block = F.pmod(F.xxhash64("id"), F.col(f"blocks_{mine}")).cast("int").alias(mine)
+            return (rows.withColumnRenamed("ring", f"ring_{mine}").join(cells, ["hub", f"ring_{mine}"])
+                    .select("hub", "ring_x", "ring_y", block, F.explode(F.sequence(F.lit(0), F.col(f"blocks_{theirs}") - 1)).alias(theirs),
+                            "id", "root", F.lit(asks).alias("asks"))
+                    .select("hub", "ring_x", "ring_y", "x", "y", "id", "root", "asks"))
+
+        rows = dealt(members, "x", "y", False).unionByName(dealt(members.where("asks"), "y", "x", True))
+        rows = rows.join(sets.select(F.col("key").alias("id"), "values"), "id")
+
+        def run(table: pa.Table) -> pa.Table:
+            asks, ids, root = table["asks"].to_numpy(), table["id"].to_numpy(), table["root"].to_numpy()
+            values = [np.frombuffer(v.as_buffer(), np.int64) for c in table["values"].chunks for v in c]
+            made: list[tuple[int, int]] = []
+            xs = np.flatnonzero(~asks)
+            if len(xs):
+                size = np.array([len(values[i]) for i in xs])
+                vocab, at = np.unique(np.concatenate([values[i] for i in xs]), return_inverse=True)
+                starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+                mark = np.zeros(len(vocab) + 1, np.int32)
+                joined: set[tuple[int, int]] = set()
+                for i in np.flatnonzero(asks).tolist():
+                    spot = np.searchsorted(vocab, values[i])
+                    spot = spot[vocab[np.minimum(spot, len(vocab) - 1)] == values[i]]
+                    mark[spot] = 1
+                    shared = np.add.reduceat(mark[at], starts)
+                    mark[spot] = 0
+                    found = (den * shared >= num * (size + len(values[i]) - shared)) & (root[xs] != root[i])
+                    for j in xs[found].tolist():
+                        # One link between two components is enough.
+                        two = (int(min(root[i], root[j])), int(max(root[i], root[j])))
+                        if two not in joined:
+                            joined.add(two)
+                            made.append((int(ids[i]), int(ids[j])))
+            return pa.table({"a": pa.array([m[0] for m in made], pa.int64()), "b": pa.array([m[1] for m in made], pa.int64())})
+
+        return rows.groupBy("hub", "ring_x", "ring_y", "x", "y").applyInArrow(run, "a long, b long")
+
+    def roots(self) -> DataFrame:
+        """(id, root) of every linked node."""
+        direct, hubs = self.pairs(written(self.prefixes(), "near-lists"))
+        direct, hubs = written(self.likely(direct), "near-pairs"), written(hubs, "near-hubs")
+        ids = (direct.select(F.explode(F.array("a", "b")).alias("id"))
+               .unionByName(hubs.select(F.explode(F.array("a", "b")).alias("id"))))
+        sets = self.sets(ids)
+        links = written(self.verified(direct, sets).where("linked").select("a", "b"), "near-links")
+        star = written(self.verified(hubs, sets), "near-star")
+        found = components(links.unionByName(star.where("linked").select("a", "b")), "near-components")
+        if star.isEmpty():
+            return found
+        more = written(self.among(star, found, sets), "near-more")
+        if more.isEmpty():
+            return found
+        return components(found.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more), "near-components")
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -311,7 +324,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable) and ``kept``."""
     run = Linker(docs, width, num, den, k, id_col, text_col)
-    roots = components(run.links(), "near-components")
+    roots = run.roots()
     named = (run.base.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"))
              .join(roots.withColumnRenamed("id", "key"), "key", "left")
              .select("key", "low", F.coalesce("root", "key").alias("root")))
