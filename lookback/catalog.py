@@ -2,12 +2,12 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame; ``oracle.py`` holds
 the equivalent DuckDB SQL under the same key.  Parameters are the demo ones:
-reference year 1999, first year 1995, years 1995-2001.
+reference year 1999, first year 1995, and all years of the orders for the grid.
+Each query asks its views for the years it needs, so scans are pruned.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,47 +18,41 @@ from lookback.operators.coverage import coverage
 from lookback.operators.first_event import first_event
 from lookback.operators.matching import match_codes, unnest_codes
 from lookback.operators.met import met
-from lookback.operators.stats import (event_stats, member_count, member_flag, peek,
-                                      step_counts, unique_count)
+from lookback.operators.stats import (event_stats, member_count, member_flag,
+                                      pair_step_counts, peek, unique_count)
 from lookback.plans.grid import feature_grid_long
 from lookback.plans.matrix import feature_matrix, merge_chain
 from lookback.plans.pair import condition_feature, condition_parts, spine
 from lookback.sources.code_text import parse_code_text
 from lookback.sources.codebook import read_codebook
 from lookback.sources.demo import (DEMO_CODEBOOK, EXCL_CODEBOOK, FIRST_YEAR, LAST_YEAR,
-                                   REF_YEAR, demo_admissions, demo_enrolment, demo_event_codes,
-                                   demo_events, demo_null_ids,
-                                   wide_codebook)
+                                   REF_YEAR, WORDS_CODEBOOK, demo_admissions,
+                                   demo_document_enrolment, demo_documents, demo_enrolment,
+                                   demo_event_codes, demo_years, wide_codebook)
 from lookback.sources.yearly import history_years, in_years, union_years, window_years
 
 Y, F0, L = REF_YEAR, FIRST_YEAR, LAST_YEAR
 YEARS = list(range(F0, L + 1))
 # The code set of the overlap and limit queries.
-OVERLAP_CODES = ["Brand#1", "Brand#2"]
+OVERLAP_CODES = ["worthless", "idiot", "clown", "de"]
 # The file years of the hit and statistics queries.
 HIT_YEARS = window_years(Y, 3, F0)
+HISTORY = history_years(Y, F0)
 
 
-def _views(spark: SparkSession, sf: str):
+def _views(spark: SparkSession, sf: str, years=None, enrol_years=None):
     """Long-form events (one row per code with its position) and enrolment."""
-    return demo_event_codes(spark, sf), demo_enrolment(spark, sf)
+    return demo_event_codes(spark, sf, years=years), demo_enrolment(spark, sf, years=enrol_years or years)
 
 
 def _arrays(spark: SparkSession, sf: str):
-    """Events with their code array, for the array operators."""
-    return demo_events(spark, sf)
+    """Events that hold their codes as an array, and their enrolment."""
+    return demo_documents(spark, sf), demo_document_enrolment(spark, sf)
 
 
-_BOOKS: dict = {}
-
-
-def _book(spark: SparkSession, which=None, exclusion_codes: str = "compat"):
-    """The parsed demo codebook, parsed once per session (it is configuration)."""
-    key = (id(spark), spark.sparkContext.applicationId,
-           json.dumps(which or DEMO_CODEBOOK, sort_keys=True), exclusion_codes)
-    if key not in _BOOKS:
-        _BOOKS[key] = read_codebook(spark, which or DEMO_CODEBOOK, exclusion_codes=exclusion_codes)
-    return _BOOKS[key]
+def _book(spark: SparkSession, which=None, exclusion_codes: str = "compat", normalize: bool = False):
+    """A demo codebook; the exclusion mode is named by each query that has exclusions."""
+    return read_codebook(spark, which or DEMO_CODEBOOK, exclusion_codes=exclusion_codes, normalize=normalize)
 
 
 def _event_cols(df: DataFrame) -> DataFrame:
@@ -66,18 +60,15 @@ def _event_cols(df: DataFrame) -> DataFrame:
 
 
 def q_scan_year(spark, sf):
-    ev = demo_admissions(spark, sf)
-    return ev.where(F.col("file_year") == 1998).select("adm_id", "bene_id", "admission_date", "file_year")
+    return demo_admissions(spark, sf, [1998]).select("adm_id", "bene_id", "admission_date", "file_year")
 
 
 def q_scan_window(spark, sf):
-    ev = demo_admissions(spark, sf)
-    return _event_cols(ev.where(in_years(window_years(Y, 3, F0))))
+    return _event_cols(demo_admissions(spark, sf, window_years(Y, 3, F0)))
 
 
 def q_union_years(spark, sf):
-    ev = demo_admissions(spark, sf)
-    return union_years(_event_cols(ev.where(F.col("file_year") == y)) for y in history_years(1997, F0))
+    return union_years(_event_cols(demo_admissions(spark, sf, [y])) for y in history_years(1997, F0))
 
 
 def q_codebook(spark, sf):
@@ -95,43 +86,54 @@ def q_code_text(spark, sf):
 
 
 def q_spine(spark, sf):
-    _, en = _views(spark, sf)
-    return spine(en, Y)
+    return spine(demo_enrolment(spark, sf, years=[Y]), Y)
 
 
 def q_unnest(spark, sf):
-    ev = _arrays(spark, sf)
+    ev, _ = _arrays(spark, sf)
     return unnest_codes(ev, keep=["adm_id", "bene_id", "file_year"])
 
 
 def q_overlap(spark, sf):
-    ev = _arrays(spark, sf)
+    ev, _ = _arrays(spark, sf)
     return (ev.where(overlaps("diagnoses", OVERLAP_CODES))
             .select("adm_id", "bene_id", "file_year", F.size("diagnoses").alias("n_codes")))
 
 
 def _hits(condition):
     def q(spark, sf):
-        ev, _ = _views(spark, sf)
+        ev = demo_event_codes(spark, sf, years=HIT_YEARS)
         return match_codes(ev.where(in_years(HIT_YEARS)), _book(spark), condition)
     return q
 
 
-def _met(condition, book=None, scope="oldest_year"):
+def _array_hits(condition):
+    def q(spark, sf):
+        ev, _ = _arrays(spark, sf)
+        return match_codes(ev.where(in_years(HIT_YEARS)), _book(spark, WORDS_CODEBOOK), condition)
+    return q
+
+
+def _met(condition, book=None, scope="oldest_year", exclusion_codes="compat"):
+    def q(spark, sf):
+        ev = demo_event_codes(spark, sf, years=HIT_YEARS)
+        return met(ev, _book(spark, book, exclusion_codes), condition, Y, F0, exclusion_scope=scope)
+    return q
+
+
+def _array_met(condition, scope="oldest_year", exclusion_codes="compat"):
     def q(spark, sf):
-        ev, _ = _views(spark, sf)
-        return met(ev, _book(spark, book), condition, Y, F0, exclusion_scope=scope)
+        ev, _ = _arrays(spark, sf)
+        return met(ev, _book(spark, WORDS_CODEBOOK, exclusion_codes), condition, Y, F0, exclusion_scope=scope)
     return q
 
 
 def q_ever(spark, sf):
-    ev, _ = _views(spark, sf)
-    return first_event(ev, _book(spark), "c1", Y, F0)
+    return first_event(demo_event_codes(spark, sf, years=HISTORY), _book(spark), "c1", Y, F0)
 
 
 def q_coverage(spark, sf):
-    _, en = _views(spark, sf)
-    return coverage(en, Y, 2, F0)
+    return coverage(demo_enrolment(spark, sf, years=window_years(Y, 2, F0)), Y, 2, F0)
 
 
 def q_covered_ids(spark, sf):
@@ -139,22 +141,24 @@ def q_covered_ids(spark, sf):
 
 
 def q_event_stats(spark, sf):
-    ev, _ = _views(spark, sf)
-    return event_stats(ev, _book(spark), "c1", HIT_YEARS)
+    return event_stats(demo_event_codes(spark, sf, years=HIT_YEARS), _book(spark), "c1", HIT_YEARS)
 
 
 def q_unique_count(spark, sf):
     return unique_count(_hits("c1")(spark, sf))
 
 
+def q_unique_count_none(spark, sf):
+    """No word of the condition occurs: the count over an empty input is 0."""
+    return unique_count(_array_hits("w4")(spark, sf))
+
+
 def q_member_flag(spark, sf):
-    _, en = _views(spark, sf)
-    return member_flag(spine(en, Y), q_event_stats(spark, sf))
+    return member_flag(q_spine(spark, sf), q_event_stats(spark, sf))
 
 
 def q_member_count(spark, sf):
-    _, en = _views(spark, sf)
-    sp = spine(en, Y)
+    sp = q_spine(spark, sf)
     a = member_count(q_coverage(spark, sf), sp).select(F.lit(0).alias("k"), "n")
     b = member_count(q_event_stats(spark, sf), sp).select(F.lit(1).alias("k"), "n")
     # two one-row counts side by side: a union and one global aggregate, no join
@@ -164,14 +168,8 @@ def q_member_count(spark, sf):
 
 
 def q_step_counts(spark, sf):
-    ev, en = _views(spark, sf)
-    cb = _book(spark)
-    return step_counts([
-        ("spine", spine(en, Y)),
-        ("met", met(ev, cb, "c2", Y, F0)),
-        ("cov", coverage(en, Y, 2, F0)),
-        ("ever", first_event(ev, cb, "c2", Y, F0)),
-    ])
+    ev, en = _views(spark, sf, HISTORY)
+    return pair_step_counts(ev, en, _book(spark), "c2", Y, F0)
 
 
 def q_limit(spark, sf):
@@ -179,52 +177,60 @@ def q_limit(spark, sf):
 
 
 def q_status(spark, sf):
-    ev, en = _views(spark, sf)
+    ev, en = _views(spark, sf, HISTORY)
     return condition_parts(ev, en, _book(spark), "c2", Y, F0).drop("ever")
 
 
-def _pair(condition, book=None, scope="oldest_year", ever_scope="history"):
+def _pair(condition, book=None, scope="oldest_year", ever_scope="history", exclusion_codes="compat"):
     def q(spark, sf):
-        ev, en = _views(spark, sf)
-        return condition_feature(ev, en, _book(spark, book), condition, Y, F0,
+        ev, en = _views(spark, sf, HISTORY if ever_scope == "history" else HIT_YEARS, HIT_YEARS)
+        return condition_feature(ev, en, _book(spark, book, exclusion_codes), condition, Y, F0,
                                  exclusion_scope=scope, ever_scope=ever_scope)
     return q
 
 
-def q_grid_status(spark, sf):
-    ev, en = _views(spark, sf)
-    return feature_grid_long(ev, en, _book(spark), YEARS, F0, null_ids=demo_null_ids(spark, sf))
+def _array_pair(condition, scope="oldest_year", exclusion_codes="compat", normalize=False):
+    def q(spark, sf):
+        ev, en = _arrays(spark, sf)
+        return condition_feature(ev, en, _book(spark, WORDS_CODEBOOK, exclusion_codes, normalize), condition, Y, F0,
+                                 exclusion_scope=scope)
+    return q
 
 
-def q_grid_summary(spark, sf):
-    return (q_grid_status(spark, sf).groupBy("condition", "rfrnc_yr", "status")
-            .agg(F.count(F.lit(1)).alias("n"), F.count("ever").alias("n_ever")))
+def _grid(book=None, scope="oldest_year", exclusion_codes="compat"):
+    def q(spark, sf):
+        ev, en = _views(spark, sf)
+        return feature_grid_long(ev, en, _book(spark, book, exclusion_codes), demo_years(spark, sf), F0, exclusion_scope=scope)
+    return q
 
 
-def q_matrix_year(spark, sf):
-    ev, en = _views(spark, sf)
-    return feature_matrix(ev, en, _book(spark), [Y], F0, null_ids=demo_null_ids(spark, sf))
+q_grid_status = _grid()
 
 
-def q_matrix_all(spark, sf):
-    ev, en = _views(spark, sf)
-    return feature_matrix(ev, en, _book(spark), YEARS, F0, null_ids=demo_null_ids(spark, sf))
+def q_grid_arrays(spark, sf):
+    ev, en = _arrays(spark, sf)
+    return feature_grid_long(ev, en, _book(spark, WORDS_CODEBOOK, "all"), HISTORY, F0, exclusion_scope="window")
 
 
-def q_matrix_k27(spark, sf):
-    ev, en = _views(spark, sf)
-    return feature_matrix(ev, en, _book(spark, wide_codebook()), [Y], F0,
-                          null_ids=demo_null_ids(spark, sf))
+def q_grid_summary(spark, sf):
+    return (q_grid_status(spark, sf).groupBy("condition", "rfrnc_yr", "status")
+            .agg(F.count(F.lit(1)).alias("n"), F.count("ever").alias("n_ever")))
+
+
+def _matrix_one_year(book=None):
+    def q(spark, sf):
+        ev, en = _views(spark, sf, HISTORY)
+        return feature_matrix(ev, en, _book(spark, book), [Y], F0)
+    return q
 
 
-def q_grid_k27(spark, sf):
+def q_matrix_all(spark, sf):
     ev, en = _views(spark, sf)
-    return feature_grid_long(ev, en, _book(spark, wide_codebook()), YEARS, F0,
-                             null_ids=demo_null_ids(spark, sf))
+    return feature_matrix(ev, en, _book(spark), demo_years(spark, sf), F0)
 
 
 def q_merge_chain(spark, sf):
-    ev, en = _views(spark, sf)
+    ev, en = _views(spark, sf, HISTORY)
     cb = _book(spark)
     frames = [(c, condition_feature(ev, en, cb, c, Y, F0)) for c in cb.names]
     return merge_chain(frames, Y)
@@ -247,11 +253,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_met_first_two": _met("c3"),
     "q_met_excl": _met("x1", EXCL_CODEBOOK),
     "q_met_excl_window": _met("x1", EXCL_CODEBOOK, "window"),
+    "q_met_excl_all": _met("c3", scope="window", exclusion_codes="all"),
+    "q_array_hits_all": _array_hits("w1"),
+    "q_array_hits_primary": _array_hits("w2"),
+    "q_array_hits_first_two": _array_hits("w3"),
+    "q_array_met_primary": _array_met("w2", "window", "all"),
+    "q_array_met_first_two": _array_met("w3", "oldest_year", "all"),
     "q_ever": q_ever,
     "q_coverage": q_coverage,
     "q_covered_ids": q_covered_ids,
     "q_event_stats": q_event_stats,
     "q_unique_count": q_unique_count,
+    "q_unique_count_none": q_unique_count_none,
     "q_member_flag": q_member_flag,
     "q_member_count": q_member_count,
     "q_step_counts": q_step_counts,
@@ -262,12 +275,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_pair_first_two": _pair("c3"),
     "q_pair_excl": _pair("x1", EXCL_CODEBOOK),
     "q_pair_excl_window": _pair("x1", EXCL_CODEBOOK, "window"),
+    "q_array_pair_all": _array_pair("w1"),
+    "q_array_pair_primary": _array_pair("w2", "window", "all"),
+    "q_array_pair_first_two": _array_pair("w3", "oldest_year", "all"),
+    "q_array_pair_normalized": _array_pair("w2", normalize=True),
     "q_pair_window_ever": _pair("c1", ever_scope="window"),
     "q_grid_status": q_grid_status,
     "q_grid_summary": q_grid_summary,
-    "q_grid_k27": q_grid_k27,
-    "q_matrix_year": q_matrix_year,
+    "q_grid_window": _grid(scope="window", exclusion_codes="all"),
+    "q_grid_arrays": q_grid_arrays,
+    "q_grid_k27": _grid(wide_codebook()),
+    "q_matrix_year": _matrix_one_year(),
     "q_matrix_all": q_matrix_all,
-    "q_matrix_k27": q_matrix_k27,
+    "q_matrix_k27": _matrix_one_year(wide_codebook()),
     "q_merge_chain": q_merge_chain,
 }

@@ -21,12 +21,14 @@ def _col(c) -> Column:
 def overlaps(col, codes: Iterable[str]) -> Column:
     """Array shares at least one element with ``codes`` (array ``&&``), no unnest.
 
+    Each element is looked up in a constant set, however many codes there are.
+
     NULL elements give NULL when nothing matches, which a filter treats as false.
     """
     codes = [str(c) for c in codes]
     if not codes:
         raise ValueError("codes must not be empty")
-    return F.arrays_overlap(_col(col), F.array(*[F.lit(c) for c in codes]))
+    return F.exists(_col(col), lambda x: x.isin(codes))
 
 
 def code_at(col, position: int) -> Column:
@@ -71,8 +73,3 @@ def coverage_flag(hmo_sum) -> Column:
 
 def fill_zero(col) -> Column:
     return F.coalesce(_col(col), F.lit(0)).cast("int")
-
-
-def window_start(ref_year, ref_period: int, first_year: int) -> Column:
-    """First file year of the look-back window of ``ref_year``."""
-    return F.greatest(_col(ref_year) - F.lit(ref_period - 1), F.lit(first_year))

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookback.functions.codes import rule_max_pos
-from lookback.sources.codebook import BROADCAST_CODES_MAX, Codebook, normalize_code
+from lookback.functions.codes import code_at, rule_max_pos
+from lookback.sources.codebook import Codebook, normalize_code
 
 EVENT_KEYS = ["bene_id", "admission_date", "file_year"]
 
@@ -36,19 +36,33 @@ def unnest_codes(events: DataFrame, normalize: bool = False, keep: list[str] | N
     return out
 
 
-def _join_codes(unnested: DataFrame, codes: DataFrame, broadcast: bool) -> DataFrame:
-    c = F.broadcast(codes) if broadcast else codes
-    return unnested.join(c, "code")
+def leading_codes(events: DataFrame, n: int, normalize: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """The first ``n`` array elements as rows (``pos`` from 0), without unnesting the rest."""
+    cols = list(keep) if keep is not None else EVENT_KEYS
+    first = F.array(*[F.struct(F.lit(i).alias("pos"), code_at("diagnoses", i + 1).alias("code")) for i in range(n)])
+    out = events.select(*cols, F.inline(first))
+    if normalize:
+        out = out.withColumn("code", normalize_code(F.col("code")))
+    return out
+
+
+def coded_rows(events: DataFrame, codebook: Codebook, condition: str) -> DataFrame:
+    """Unnested rows whose code is in the condition's include or exclude list, with its ``kind``.
+
+    A code in both lists gives two rows.  The code table is sent to the scan when
+    its counted bytes allow, else both sides are shuffled on the code (AQE splits
+    a frequent one).
+    """
+    codes = codebook.codes.where(F.col("condition") == condition).select("code", "kind")
+    return unnest_codes(events, codebook.normalize).join(codebook.side(codes), "code")
 
 
 def code_hits(events: DataFrame, codebook: Codebook, condition: str, kind: str = "include",
               keep: list[str] | None = None) -> DataFrame:
     """Unnested rows whose code is in the condition's include (or exclude) list."""
-    spec = codebook.spec(condition)
     codes = (codebook.include_codes(condition) if kind == "include"
              else codebook.exclude_codes(condition)).select("code")
-    n = spec.n_include if kind == "include" else spec.n_exclude
-    return _join_codes(unnest_codes(events, codebook.normalize, keep), codes, n <= BROADCAST_CODES_MAX)
+    return unnest_codes(events, codebook.normalize, keep).join(codebook.side(codes), "code")
 
 
 def match_codes(events: DataFrame, codebook: Codebook, condition: str,
@@ -59,7 +73,12 @@ def match_codes(events: DataFrame, codebook: Codebook, condition: str,
     """
     rule = criteria or codebook.spec(condition).criteria
     max_pos = rule_max_pos(rule)
-    hits = code_hits(events, codebook, condition, "include")
-    if max_pos < 2_147_483_647:
-        hits = hits.where(F.col("pos") <= max_pos)
+    if max_pos < rule_max_pos("all") and "diagnoses" in events.columns:
+        # a position rule on an array looks at its first elements only
+        codes = codebook.include_codes(condition).select("code")
+        hits = leading_codes(events, max_pos + 1, codebook.normalize).join(codebook.side(codes), "code")
+    else:
+        hits = code_hits(events, codebook, condition, "include")
+        if max_pos < rule_max_pos("all"):
+            hits = hits.where(F.col("pos") <= max_pos)
     return hits.select(*EVENT_KEYS).distinct()

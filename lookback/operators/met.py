@@ -10,9 +10,8 @@ set.  Exclusion works like SQL ``NOT IN (subquery)``:
 * a NULL id in the exclusion set means nobody meets the rule; a NULL entity id
   survives only when the exclusion set is empty.
 
-The anti join is a plain equi anti join (shuffle or broadcast, chosen by size);
-the two NULL cases are scalar subqueries evaluated once, so no null-aware join
-and no nested loop is ever planned.
+Include and exclusion hits come from one scan and one aggregation per entity
+(``operators/per_id.py``): no anti join, no null-aware join, no nested loop.
 """
 
 from __future__ import annotations
@@ -20,49 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookback.functions.codes import rule_max_pos
-from lookback.operators.matching import code_hits
+from lookback.operators.per_id import met_flag, per_id
 from lookback.sources.codebook import Codebook
-from lookback.sources.yearly import in_years, window_years
-
-SCOPES = ("oldest_year", "window")
-
-
-def exclusion_years(ref_year: int, ref_period: int, first_year: int, scope: str) -> list[int]:
-    years = window_years(ref_year, ref_period, first_year)
-    if scope == "oldest_year":
-        return [min(years)]
-    if scope == "window":
-        return years
-    raise ValueError(f"exclusion_scope must be one of {SCOPES}, got {scope!r}")
-
-
-def not_in(ids: DataFrame, excluded: DataFrame, col: str = "bene_id") -> DataFrame:
-    """``ids WHERE col NOT IN (SELECT col FROM excluded)`` with SQL NULL semantics."""
-    # one distinct set feeds both the NULL flags and the anti join (shared exchange)
-    ex = excluded.select(col).distinct()
-    flags = ex.agg(F.struct(
-        F.coalesce(F.max(F.col(col).isNull().cast("int")), F.lit(0)).alias("has_null"),
-        F.count(F.lit(1)).alias("n"))).scalar()
-    kept = ids.join(ex.where(F.col(col).isNotNull()), col, "left_anti")
-    return kept.where((flags["has_null"] == 0) & (F.col(col).isNotNull() | (flags["n"] == 0)))
 
 
 def met(events: DataFrame, codebook: Codebook, condition: str, ref_year: int,
         first_year: int, exclusion_scope: str = "oldest_year",
         criteria: str | None = None) -> DataFrame:
     """``bene_id, met`` (met = 1) for entities meeting the claims rule in ``ref_year``."""
-    spec = codebook.spec(condition)
-    years = window_years(ref_year, spec.ref_period, first_year)
-    # one DISTINCT on the id: the per-file DISTINCT of the events does not change it
-    hits = code_hits(events.where(in_years(years)), codebook, condition, "include", keep=["bene_id"])
-    max_pos = rule_max_pos(criteria or spec.criteria)
-    if max_pos < rule_max_pos("all"):
-        hits = hits.where(F.col("pos") <= max_pos)
-    ids = hits.select("bene_id").distinct()
-    if spec.n_exclude > 0:
-        ex_years = exclusion_years(ref_year, spec.ref_period, first_year, exclusion_scope)
-        excluded = code_hits(events.where(in_years(ex_years)), codebook, condition, "exclude",
-                             keep=["bene_id"]).select("bene_id")
-        ids = not_in(ids, excluded)
-    return ids.withColumn("met", F.lit(1))
+    table = per_id(events, codebook, condition, ref_year, first_year, exclusion_scope, criteria)
+    return met_flag(table).where(F.col("met") == 1).select("bene_id", "met")

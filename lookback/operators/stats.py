@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lookback.operators.matching import code_hits
+from lookback.operators.per_id import met_flag, per_id
 from lookback.sources.codebook import Codebook
 from lookback.sources.yearly import in_years
 
@@ -36,7 +37,7 @@ def unique_ids(df: DataFrame, col: str = "bene_id") -> DataFrame:
 
 def unique_count(df: DataFrame, col: str = "bene_id") -> DataFrame:
     """Number of unique values, a NULL counting as one value: ``n_unique``."""
-    return df.agg((F.count_distinct(col) + F.max(F.col(col).isNull().cast("int")))
+    return df.agg((F.count_distinct(col) + F.coalesce(F.max(F.col(col).isNull().cast("int")), F.lit(0)))
                   .cast("long").alias("n_unique"))
 
 
@@ -62,7 +63,7 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def step_counts(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """``step, n_rows, n_cols`` for named intermediate frames (one aggregate each)."""
+    """``step, n_rows, n_cols`` for named frames that have nothing in common (one aggregate each)."""
     parts = [df.agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("n_rows"),
                     F.lit(len(df.columns)).alias("n_cols")) for name, df in steps]
     out = parts[0]
@@ -71,6 +72,24 @@ def step_counts(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
+def pair_step_counts(events: DataFrame, enrol: DataFrame, codebook: Codebook, condition: str,
+                     ref_year: int, first_year: int, exclusion_scope: str = "oldest_year") -> DataFrame:
+    """``step, n_rows, n_cols`` of the steps of a pair (spine, met, cov, ever), from one run.
+
+    All four counts are sums over the one table per id that the pair is built from.
+    """
+    table = met_flag(per_id(events, codebook, condition, ref_year, first_year, exclusion_scope,
+                            ever_scope="history", enrol=enrol, spine=True), unused=("hmo",))
+    counts = table.agg(
+        F.coalesce(F.sum("n_spine"), F.lit(0)).alias("spine"),
+        F.count(F.when(F.col("met") == 1, 1)).alias("met"),
+        F.count(F.when(F.col("enrolled") == 1, 1)).alias("cov"),
+        F.count(F.when(F.col("ever").isNotNull() & F.col("bene_id").isNotNull(), 1)).alias("ever"))
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(step).alias("step"), F.col(step).alias("n_rows"), F.lit(2).alias("n_cols"))
+        for step in ("spine", "met", "cov", "ever")])))
+
+
 def peek(df: DataFrame, n: int, order_by: Sequence[str] | None = None,
          seed: int | None = None) -> DataFrame:
     """``n`` rows: the first by ``order_by``, or a seeded pseudo-random choice.

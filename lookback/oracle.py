@@ -10,13 +10,14 @@ at a time, so they also check the single-pass plan.
 
 from __future__ import annotations
 
+from lookback.sources.code_text import STRIP_CHARS
 from lookback.sources.demo import (DEMO_CODEBOOK, EXCL_CODEBOOK, FIRST_YEAR, LAST_YEAR,
-                                   REF_YEAR, wide_codebook)
+                                   REF_YEAR, WORDS_CODEBOOK, wide_codebook)
 
 Y, F0, L = REF_YEAR, FIRST_YEAR, LAST_YEAR
 YEARS = list(range(F0, L + 1))
 HIT_LO, HIT_HI = Y - 2, Y
-OVERLAP_CODES = ["Brand#1", "Brand#2"]
+OVERLAP_CODES = ["worthless", "idiot", "clown", "de"]
 
 ADM = """adm AS (
   SELECT o_orderkey AS adm_id, o_custkey AS bene_id, o_orderdate AS admission_date,
@@ -29,7 +30,7 @@ ADM = """adm AS (
 
 BENE = """bene AS (
   SELECT o_custkey AS bene_id, CAST(year(o_orderdate) AS INT) AS year,
-         CAST(least(12, sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END)) AS INT) AS hmo_mo
+         CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS INT) AS hmo_mo
   FROM orders GROUP BY 1, 2)"""
 
 PX = """px AS (
@@ -38,6 +39,23 @@ PX = """px AS (
   FROM adm)"""
 
 
+def _words(code: str = "x") -> str:
+    """The views over documents under the same names; ``code`` is an expression on a word ``x``."""
+    return f"""adm AS (
+  SELECT doc_id AS adm_id, doc_id % 397 AS bene_id,
+         make_date(CAST({F0} + doc_id % 5 AS INT), 1, 1) + CAST(doc_id % 331 AS INT) AS admission_date,
+         CAST({F0} + doc_id % 5 AS INT) AS file_year,
+         list_transform(string_split(text, ' '), lambda x: {code}) AS diagnoses
+  FROM documents),
+bene AS (
+  SELECT bene_id, file_year AS year, sum(CASE WHEN adm_id % 11 = 0 THEN 0.5 ELSE 0 END) AS hmo_mo
+  FROM adm GROUP BY 1, 2)"""
+
+
+def _with_words(*extra: str, code: str = "x") -> str:
+    return "WITH " + ",\n".join([_words(code), PX, *extra]) + "\n"
+
+
 def _with(*extra: str) -> str:
     return "WITH " + ",\n".join([ADM, BENE, PX, *extra]) + "\n"
 
@@ -70,8 +88,9 @@ def _hit_where(rule: str, inc) -> tuple[str, str]:
     return "adm", f"(diagnoses[1] IN ({i}) OR diagnoses[2] IN ({i}))"
 
 
-def met_sql(entry: dict, ref_year: int, scope: str = "oldest_year", first_year: int = F0) -> str:
-    inc, exc, p, rule = lists(entry)
+def met_sql(entry: dict, ref_year: int, scope: str = "oldest_year", first_year: int = F0,
+            exclusion_codes: str = "compat") -> str:
+    inc, exc, p, rule = lists(entry, exclusion_codes)
     lo = max(ref_year - p + 1, first_year)
     src, cond = _hit_where(rule, inc)
     hit = f"SELECT DISTINCT bene_id FROM {src} WHERE {cond} AND file_year BETWEEN {lo} AND {ref_year}"
@@ -103,7 +122,8 @@ STATUS = ("CAST(CASE WHEN coalesce(m.met, 0) = 0 AND c.cov = 0 THEN 0 "
 
 
 def pair_sql(cond: str, entry: dict, ref_year: int, scope: str = "oldest_year",
-             ever_scope: str = "history", parts: bool = False, first_year: int = F0) -> str:
+             ever_scope: str = "history", parts: bool = False, first_year: int = F0,
+             exclusion_codes: str = "compat") -> str:
     _, _, p, _ = lists(entry)
     ever_on = "b.bene_id = e.bene_id" if ever_scope == "history" else "b.bene_id IS NOT DISTINCT FROM e.bene_id"
     if parts:
@@ -112,16 +132,16 @@ def pair_sql(cond: str, entry: dict, ref_year: int, scope: str = "oldest_year",
     else:
         cols = f"b.bene_id, CAST(b.year AS INT) AS rfrnc_yr, {STATUS} AS {cond}, e.ever AS {cond}_ever"
     return (f"SELECT {cols} FROM bene b "
-            f"LEFT JOIN ({met_sql(entry, ref_year, scope, first_year)}) m "
+            f"LEFT JOIN ({met_sql(entry, ref_year, scope, first_year, exclusion_codes)}) m "
             f"ON b.bene_id IS NOT DISTINCT FROM m.bene_id "
             f"LEFT JOIN ({cov_sql(p, ref_year, first_year)}) c ON b.bene_id IS NOT DISTINCT FROM c.bene_id "
             f"LEFT JOIN ({ever_sql(entry, ref_year, ever_scope, first_year)}) e ON {ever_on} "
             f"WHERE b.year = {ref_year}")
 
 
-def grid_sql(book: dict, years) -> str:
+def grid_sql(book: dict, years, scope: str = "oldest_year", exclusion_codes: str = "compat") -> str:
     parts = [f"SELECT bene_id, rfrnc_yr, '{c}' AS condition, {c} AS status, {c}_ever AS ever "
-             f"FROM ({pair_sql(c, e, y)}) g"
+             f"FROM ({pair_sql(c, e, y, scope, exclusion_codes=exclusion_codes)}) g"
              for c, e in book.items() for y in years]
     return "\nUNION ALL\n".join(parts)
 
@@ -164,7 +184,17 @@ def _sql() -> dict[str, str]:
                   f"WHERE diag IN ({c1_inc}) AND file_year BETWEEN {HIT_LO} AND {HIT_HI}) s GROUP BY bene_id")
     spine = f"SELECT bene_id, CAST(year AS INT) AS rfrnc_yr FROM bene WHERE year = {Y}"
     overlap = f"list_has_any(diagnoses, [{_q(OVERLAP_CODES)}])"
-    strip = r"^[\t\n\v\f\r ]+|[\t\n\v\f\r ]+$"
+    strip = " || ".join(f"chr({ord(c)})" for c in STRIP_CHARS)
+    w = WORDS_CODEBOOK
+    up = {k: {f: [x.replace(".", "").upper() for x in v] if isinstance(v, list) else v for f, v in e.items()} for k, e in w.items()}
+
+    def word_hits(entry: dict) -> str:
+        inc, _, _, rule = lists(entry)
+        src, cond = _hit_where(rule, inc)
+        return f"SELECT DISTINCT bene_id, admission_date, file_year FROM {src} WHERE {cond} AND file_year BETWEEN {HIT_LO} AND {HIT_HI}"
+
+    unique = ("SELECT CAST(count(DISTINCT bene_id) + coalesce(max(CASE WHEN bene_id IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) "
+              "AS n_unique")
     out = {
         "q_scan_year": _with() + "SELECT adm_id, bene_id, admission_date, file_year FROM adm WHERE file_year = 1998",
         "q_scan_window": _with() + f"SELECT adm_id, bene_id, file_year FROM adm WHERE file_year BETWEEN {Y - 2} AND {Y}",
@@ -176,12 +206,12 @@ def _sql() -> dict[str, str]:
             "(SELECT diag AS code, count(*) AS n_events FROM px GROUP BY diag) n ON n.code = k.code"),
         "q_code_text": (
             "SELECT doc_id, CAST(ord - 1 AS INT) AS code_pos, code FROM ("
-            f"SELECT doc_id, t.ord, regexp_replace(t.piece, '{strip}', '', 'g') AS code "
+            f"SELECT doc_id, t.ord, trim(t.piece, {strip}) AS code "
             "FROM documents, unnest(string_split(text, ',')) WITH ORDINALITY AS t(piece, ord)) s "
             "WHERE length(code) > 0"),
         "q_spine": _with() + spine,
-        "q_unnest": _with() + "SELECT adm_id, bene_id, file_year, pos, diag AS code FROM px",
-        "q_overlap": _with() + (f"SELECT adm_id, bene_id, file_year, CAST(len(diagnoses) AS INT) AS n_codes "
+        "q_unnest": _with_words() + "SELECT adm_id, bene_id, file_year, pos, diag AS code FROM px",
+        "q_overlap": _with_words() + (f"SELECT adm_id, bene_id, file_year, CAST(len(diagnoses) AS INT) AS n_codes "
                                 f"FROM adm WHERE {overlap}"),
         **hits,
         "q_met_all": _with() + met_sql(c1, Y),
@@ -189,13 +219,25 @@ def _sql() -> dict[str, str]:
         "q_met_first_two": _with() + met_sql(c3, Y),
         "q_met_excl": _with() + met_sql(x["x1"], Y),
         "q_met_excl_window": _with() + met_sql(x["x1"], Y, "window"),
+        "q_met_excl_all": _with() + met_sql(c3, Y, "window", exclusion_codes="all"),
+        "q_array_hits_all": _with_words() + word_hits(w["w1"]),
+        "q_array_hits_primary": _with_words() + word_hits(w["w2"]),
+        "q_array_hits_first_two": _with_words() + word_hits(w["w3"]),
+        "q_array_met_primary": _with_words() + met_sql(w["w2"], Y, "window", exclusion_codes="all"),
+        "q_array_met_first_two": _with_words() + met_sql(w["w3"], Y, exclusion_codes="all"),
+        "q_array_pair_all": _with_words() + pair_sql("w1", w["w1"], Y),
+        "q_array_pair_primary": _with_words() + pair_sql("w2", w["w2"], Y, "window", exclusion_codes="all"),
+        "q_array_pair_first_two": _with_words() + pair_sql("w3", w["w3"], Y, exclusion_codes="all"),
+        "q_array_pair_normalized": _with_words(code="upper(replace(x, '.', ''))") + pair_sql("w2", up["w2"], Y),
+        "q_grid_window": _with() + grid_sql(d, YEARS, "window", "all"),
+        "q_grid_arrays": _with_words() + grid_sql(w, range(F0, Y + 1), "window", "all"),
         "q_ever": _with() + ever_sql(c1, Y),
         "q_coverage": _with() + cov_sql(2, Y),
         "q_covered_ids": _with() + f"SELECT bene_id FROM ({cov_sql(2, Y)}) c WHERE cov = 1",
         "q_event_stats": _with() + stats_body,
         "q_unique_count": _with() + (
-            "SELECT CAST(count(DISTINCT bene_id) + max(CASE WHEN bene_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) "
-            f"AS n_unique FROM ({hits['q_hits_all'][len(_with()):]}) h"),
+            f"{unique} FROM ({hits['q_hits_all'][len(_with()):]}) h"),
+        "q_unique_count_none": _with_words() + f"{unique} FROM ({word_hits(w['w4'])}) h",
         "q_member_flag": _with(f"stats AS ({stats_body})", f"sp AS ({spine})") + (
             "SELECT sp.bene_id, sp.rfrnc_yr, CAST(CASE WHEN EXISTS (SELECT 1 FROM stats s WHERE "
             "s.bene_id IS NOT DISTINCT FROM sp.bene_id) THEN 1 ELSE 0 END AS INT) AS flag FROM sp"),
@@ -208,7 +250,7 @@ def _sql() -> dict[str, str]:
             f"SELECT 'met' AS step, count(*) AS n_rows, CAST(2 AS INT) AS n_cols FROM ({met_sql(c2, Y)}) a",
             f"SELECT 'cov' AS step, count(*) AS n_rows, CAST(2 AS INT) AS n_cols FROM ({cov_sql(2, Y)}) a",
             f"SELECT 'ever' AS step, count(*) AS n_rows, CAST(2 AS INT) AS n_cols FROM ({ever_sql(c2, Y)}) a"]),
-        "q_limit": _with() + f"SELECT adm_id, bene_id FROM adm WHERE {overlap} ORDER BY adm_id LIMIT 10",
+        "q_limit": _with_words() + f"SELECT adm_id, bene_id FROM adm WHERE {overlap} ORDER BY adm_id LIMIT 10",
         "q_status": _with() + pair_sql("c2", c2, Y, parts=True),
         "q_pair_all": _with() + pair_sql("c1", c1, Y),
         "q_pair_primary": _with() + pair_sql("c2", c2, Y),

@@ -16,8 +16,8 @@ every earlier year, the grid is one plan:
    ``p``), the exclusion mask at the oldest window year (or over the window),
    the HMO sum over the window, and the running minimum of each first date.
 3. *NULL guards* of the ``NOT IN`` semantics come from a per-file-year global
-   aggregate (at most one row per year, broadcast by that proven bound); they
-   are planned only when the events may hold a NULL id.
+   aggregate over the same facts (at most one row per year, broadcast by that
+   proven bound); they are always planned, and share the facts' exchange.
 4. the per-(id, file year) results are joined back to the enrolment rows of the
    requested years (the spine), so duplicate enrolment rows each get their row;
    AQE's skew join splits the partition of an id repeated by many copies.
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from lookback.functions.codes import rule_max_pos_col
 from lookback.operators.matching import unnest_codes
-from lookback.sources.codebook import BROADCAST_CODES_MAX, EXCLUDE, Codebook
+from lookback.sources.codebook import EXCLUDE, Codebook
 
 # Bits used per LONG mask column (the sign bit is left alone).
 MASK_BITS = 62
@@ -76,12 +76,15 @@ def _indexed_codes(codebook: Codebook) -> DataFrame:
         idx = F.when(cond, F.lit(i)) if idx is None else idx.when(cond, F.lit(i))
     codes = codebook.codes.select("code", (F.col("kind") == EXCLUDE).alias("is_exc"),
                                   idx.alias("cidx"), rule_max_pos_col("criteria").alias("max_pos"))
-    return F.broadcast(codes) if codebook.n_codes <= BROADCAST_CODES_MAX else codes
+    return codebook.side(codes)
 
 
 def grid_facts(events: DataFrame, enrol: DataFrame, codebook: Codebook, first_year: int,
-               last_year: int) -> DataFrame:
-    """Step 1: one row per ``(bene_id, file_year)`` seen in the events or the enrolment."""
+               last_year: int, enrol_from: int | None = None) -> DataFrame:
+    """Step 1: one row per ``(bene_id, file_year)`` seen in the events or the enrolment.
+
+    Enrolment is read from ``enrol_from`` on (default ``first_year``).
+    """
     n = len(codebook.conditions)
     has_excl = any(s.n_exclude > 0 for s in codebook.conditions)
     span = F.col("file_year").between(first_year, last_year)
@@ -89,12 +92,14 @@ def grid_facts(events: DataFrame, enrol: DataFrame, codebook: Codebook, first_ye
     hits = (unnest_codes(events.where(span), codebook.normalize)
             .join(_indexed_codes(codebook), "code")
             .select("bene_id", "file_year", "admission_date", "pos", "is_exc", "cidx", "max_pos",
-                    F.lit(None).cast("long").alias("hmo_mo"), F.lit(0).alias("is_enrol")))
+                    F.lit(0).alias("is_enrol")))
     date_type = hits.schema["admission_date"].dataType.simpleString()
-    rows = enrol.where(span).selectExpr(
+    months = enrol.schema["hmo_mo"].dataType.simpleString()  # kept: fractions of months count
+    hits = hits.withColumn("hmo_mo", F.lit(None).cast(months))
+    rows = enrol.where(F.col("file_year").between(enrol_from or first_year, last_year)).selectExpr(
         "bene_id", "file_year", f"CAST(NULL AS {date_type}) AS admission_date",
         "CAST(NULL AS INT) AS pos", "CAST(NULL AS BOOLEAN) AS is_exc", "CAST(NULL AS INT) AS cidx",
-        "CAST(NULL AS INT) AS max_pos", "CAST(hmo_mo AS BIGINT) AS hmo_mo", "1 AS is_enrol")
+        "CAST(NULL AS INT) AS max_pos", "hmo_mo", "1 AS is_enrol")
     both = hits.unionByName(rows)
 
     inc, exc = "NOT is_exc", "is_exc"
@@ -115,7 +120,11 @@ def _null_guards(facts: DataFrame, codebook: Codebook, first_year: int, last_yea
     """Per reference year: which conditions have a non-empty exclusion set
     (``ne{k}``) and which have a NULL id in it (``nn{k}``).  <= one row per year."""
     n_masks = _mask_layout(len(codebook.conditions))
+    # ``read`` counts by a hash of all columns: this branch then needs what the other one needs, and
+    # both share one exchange, so events and enrolment are read once for both.
+    every = F.xxhash64(*[F.col(c) for c in facts.columns])
     per_year = facts.groupBy("file_year").agg(
+        F.count(F.when(every == 0, 1)).alias("read"),
         *[F.expr(f"bit_or(x{k}) AS ga{k}") for k in range(n_masks)],
         *[F.expr(f"bit_or(CASE WHEN bene_id IS NULL THEN x{k} END) AS gn{k}") for k in range(n_masks)])
     parts = []
@@ -127,7 +136,7 @@ def _null_guards(facts: DataFrame, codebook: Codebook, first_year: int, last_yea
             lo = f"CASE WHEN file_year = {first_year} THEN file_year ELSE file_year + {p - 1} END"
         hi = f"least(file_year + {p - 1}, {last_year})"
         parts.append(per_year.selectExpr(
-            f"explode(sequence({lo}, greatest({lo}, {hi}))) AS ref_year",
+            f"explode(sequence({lo}, greatest({lo}, {hi}))) AS ref_year", "read",
             *[f"ga{k} & CAST({masks[k]} AS BIGINT) AS ne{k}" for k in range(n_masks)],
             *[f"gn{k} & CAST({masks[k]} AS BIGINT) AS nn{k}" for k in range(n_masks)],
         ).where(F.col("ref_year") <= last_year))
@@ -135,23 +144,11 @@ def _null_guards(facts: DataFrame, codebook: Codebook, first_year: int, last_yea
     for extra in parts[1:]:
         allp = allp.unionByName(extra)
     return allp.groupBy("ref_year").agg(
+        F.max("read").alias("read"),
         *[F.expr(f"bit_or(ne{k}) AS ne{k}") for k in range(n_masks)],
         *[F.expr(f"bit_or(nn{k}) AS nn{k}") for k in range(n_masks)])
 
 
-def _may_hold_null_ids(events: DataFrame, null_ids: str) -> bool:
-    if null_ids == "absent":
-        return False
-    if null_ids == "present":
-        return True
-    if null_ids != "auto":
-        raise ValueError(f"null_ids must be 'auto', 'absent' or 'present', got {null_ids!r}")
-    if not events.schema["bene_id"].nullable:
-        return False
-    # One pushed-down IS NULL probe (row groups without NULLs are skipped).
-    return bool(events.where(F.col("bene_id").isNull()).limit(1).count())
-
-
 def _window_columns(codebook: Codebook, first_year: int, scope: str, has_excl: bool) -> list:
     """Step 2: the windowed columns, one frame family per distinct look-back."""
     w = Window.partitionBy("bene_id").orderBy("file_year")
@@ -180,7 +177,7 @@ def _window_columns(codebook: Codebook, first_year: int, scope: str, has_excl: b
     return cols
 
 
-def _status_exprs(codebook: Codebook, has_excl: bool, guarded: bool) -> tuple[list[str], list[str]]:
+def _status_exprs(codebook: Codebook, has_excl: bool) -> tuple[list[str], list[str]]:
     """Two projections: before the spine join, per look-back p a combined claims
     mask and a coverage term (a few columns, whatever the number of
     conditions); after it, per condition its status and first date.
@@ -196,10 +193,9 @@ def _status_exprs(codebook: Codebook, has_excl: bool, guarded: bool) -> tuple[li
         for k in range(n_masks):
             mask = f"coalesce(m{k}_p{p}, 0)"
             if has_excl:
-                mask += f" & ~coalesce(e{k}_p{p}, 0)"
-            if guarded:
-                mask += (f" & ~coalesce(nn{k}, 0)"
-                         f" & CASE WHEN bene_id IS NULL THEN ~coalesce(ne{k}, 0) ELSE -1 END")
+                mask += (f" & ~coalesce(e{k}_p{p}, 0) & ~coalesce(nn{k}, 0)"
+                         f" & CASE WHEN bene_id IS NULL THEN ~coalesce(ne{k}, 0)"
+                         f" WHEN read < 0 THEN 0 ELSE -1 END")
             first.append(f"{mask} AS met{k}_p{p}")
     second = ["bene_id", "rfrnc_yr"]
     for i, spec in enumerate(codebook.conditions):
@@ -213,12 +209,14 @@ def _status_exprs(codebook: Codebook, has_excl: bool, guarded: bool) -> tuple[li
 
 def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
                  first_year: int, exclusion_scope: str = "oldest_year",
-                 null_ids: str = "auto") -> DataFrame:
+                 rfrnc_yr: str = "year") -> DataFrame:
     """Wide features of every enrolment row of ``years``, all codebook conditions.
 
-    ``null_ids`` says whether event rows may carry a NULL id ("auto" probes);
-    only then are the NULL guards of the ``NOT IN`` semantics planned.
+    ``rfrnc_yr`` is the row's ``year`` column (as in the per-pair tables) or, with
+    ``"file_year"``, the year of its file (as in the merged matrix).
     """
+    if rfrnc_yr not in ("year", "file_year"):
+        raise ValueError(f"rfrnc_yr must be 'year' or 'file_year', got {rfrnc_yr!r}")
     if exclusion_scope not in ("oldest_year", "window"):
         raise ValueError(f"exclusion_scope must be 'oldest_year' or 'window', got {exclusion_scope!r}")
     years = sorted({int(y) for y in years})
@@ -231,33 +229,37 @@ def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
     last_year = years[-1]
     has_excl = any(s.n_exclude > 0 for s in codebook.conditions)
 
-    facts = grid_facts(events, enrol, codebook, first_year, last_year)
+    # The windows of the first year asked for are the oldest enrolment needed.
+    longest = max(s.ref_period for s in codebook.conditions)
+    facts = grid_facts(events, enrol, codebook, first_year, last_year, max(first_year, years[0] - longest + 1))
     fy = F.col("file_year")
-    win = (facts.select("bene_id", "file_year", "enrolled",
+    # Rows with nothing to tell go here; the filter also keeps the window inputs out of the aggregation,
+    # whose functions then stand in the same order here and in the guards: they share its exchange.
+    told = [F.col(c).isNotNull().cast("int") for c in facts.columns if c not in ("bene_id", "file_year", "hmo", "enrolled")]
+    some = facts.where(F.greatest(*told, F.col("enrolled")) == 1)
+    win = (some.select("bene_id", "file_year", "enrolled",
                         *_window_columns(codebook, first_year, exclusion_scope, has_excl))
            .where((F.col("enrolled") == 1) & fy.isin(years)))
 
-    guarded = has_excl and _may_hold_null_ids(events, null_ids)
-    if guarded:
+    if has_excl:
         guards = _null_guards(facts, codebook, first_year, last_year, exclusion_scope)
         win = win.join(F.broadcast(guards), fy == F.col("ref_year"), "left").drop("ref_year")
 
-    first, second = _status_exprs(codebook, has_excl, guarded)
+    first, second = _status_exprs(codebook, has_excl)
     per_key = win.selectExpr(*first)
 
     # Step 4: one output row per enrolment row of the requested years.
     spine = enrol.where(fy.isin(years)).selectExpr("bene_id", "file_year",
-                                                    "CAST(year AS INT) AS rfrnc_yr")
+                                                    f"CAST({rfrnc_yr} AS INT) AS rfrnc_yr")
     joined = spine.join(per_key, spine["bene_id"].eqNullSafe(per_key["_rid"])
                         & (spine["file_year"] == per_key["_ryear"]), "left")
     return joined.selectExpr(*second)
 
 
 def feature_grid_long(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
-                      first_year: int, exclusion_scope: str = "oldest_year",
-                      null_ids: str = "auto") -> DataFrame:
+                      first_year: int, exclusion_scope: str = "oldest_year") -> DataFrame:
     """Long form ``bene_id, rfrnc_yr, condition, status, ever`` of :func:`feature_grid`."""
-    wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope, null_ids)
+    wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope)
     return stack_conditions(wide, codebook.names)
 
 

@@ -17,11 +17,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lookback.plans.matrix import feature_matrix, merge_chain
 from lookback.plans.pair import condition_feature
 from lookback.sources.codebook import read_codebook
-from lookback.sources.sinks import read_features, write_features
+from lookback.sources.sinks import feature_schema, read_features, write_features
 from lookback.sources.yearly import history_years, read_years, window_years
 
 _FMT = {"parquet": "parquet", "csv": "csv", "feather": "arrow", "arrow": "arrow"}
@@ -34,6 +35,12 @@ def _fmt(output_format: str) -> str:
         raise ValueError(f"output_format must be one of {sorted(_FMT)}, got {output_format!r}") from None
 
 
+def _pair_schema(condition: str, id_type: T.DataType | None, date_type: T.DataType | None) -> T.StructType:
+    """Columns of a per-pair table in their written order."""
+    by_name = {f.name: f for f in feature_schema([condition], id_type, date_type)}
+    return T.StructType([by_name[c] for c in ("bene_id", "rfrnc_yr", condition, f"{condition}_ever")])
+
+
 def condition_year_job(spark: SparkSession, year: int, condition: str, ccw_json: str,
                        dw_bene_prefix: str, dw_adm_prefix: str, output_prefix: str,
                        output_format: str = "parquet", first_year: int = 2000,
@@ -52,11 +59,18 @@ def condition_year_job(spark: SparkSession, year: int, condition: str, ccw_json:
 
 
 def merge_year_job(spark: SparkSession, year: int, input_prefix: str, output_prefix: str,
-                   ccw_json: str, output_format: str = "parquet") -> str:
-    """Merge the per-condition outputs of one year into the matrix; returns the path."""
+                   ccw_json: str, output_format: str = "parquet", id_type: T.DataType | None = None,
+                   date_type: T.DataType | None = None) -> str:
+    """Merge the per-condition outputs of one year into the matrix; returns the path.
+
+    CSV inputs have no types: ids are read as ``id_type`` (text by default, so that
+    leading zeros stay) and first dates as ``date_type`` (dates by default).
+    """
     book = read_codebook(spark, ccw_json)
     fmt = _fmt(output_format)
-    frames = [(c, read_features(spark, f"{input_prefix}_{c}_{year}", fmt=fmt)) for c in book.names]
+    frames = [(c, read_features(spark, f"{input_prefix}_{c}_{year}", fmt=fmt,
+                                schema=_pair_schema(c, id_type, date_type) if fmt == "csv" else None))
+              for c in book.names]
     path = f"{output_prefix}_{year}"
     write_features(merge_chain(frames, year), path, fmt=fmt, partition_by=())
     return path
@@ -69,9 +83,10 @@ def all_years_job(spark: SparkSession, years: Iterable[int], ccw_json: str,
     """The matrix of every year in one plan, written partitioned by ``rfrnc_yr``."""
     years = sorted({int(y) for y in years})
     book = read_codebook(spark, ccw_json)
-    scan = history_years(years[-1], first_year)
-    events = read_years(spark, dw_adm_prefix, scan)
-    enrol = read_years(spark, dw_bene_prefix, scan)
+    events = read_years(spark, dw_adm_prefix, history_years(years[-1], first_year))
+    # enrolment: from the oldest window of the first year asked for
+    longest = max(s.ref_period for s in book.conditions)
+    enrol = read_years(spark, dw_bene_prefix, history_years(years[-1], max(first_year, years[0] - longest + 1)))
     matrix = feature_matrix(events, enrol, book, years, first_year, exclusion_scope)
     fmt = _fmt(output_format)
     write_features(matrix, output_path, fmt=fmt, partition_by=("rfrnc_yr",) if fmt != "arrow" else ())

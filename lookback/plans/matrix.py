@@ -15,6 +15,7 @@ within the group); AQE's skew join splits such a repeated id.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -36,18 +37,22 @@ def _matrix_select(names: Sequence[str]) -> list:
 
 
 def feature_matrix(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
-                   first_year: int, exclusion_scope: str = "oldest_year",
-                   null_ids: str = "auto") -> DataFrame:
-    """The matrix of every year in ``years`` (one merge job per year, in one plan)."""
-    wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope, null_ids)
+                   first_year: int, exclusion_scope: str = "oldest_year") -> DataFrame:
+    """The matrix of every year in ``years`` (one merge job per year, in one plan).
+
+    ``rfrnc_yr`` is the year of the file, whatever the rows' ``year`` column says.
+    """
+    wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope, rfrnc_yr="file_year")
     return wide.where(F.col("bene_id").isNotNull()).select(*_matrix_select(codebook.names))
 
 
 def merge_chain(frames: Sequence[tuple[str, DataFrame]], ref_year: int) -> DataFrame:
     """Merge per-condition tables ``(bene_id, {c}, {c}_ever)`` into the matrix.
 
-    Only ids present in every table are kept (inner-join semantics); NULL ids
-    never match.  ``rfrnc_yr`` is the given year.
+    Only ids present in every table are kept (inner-join semantics), with a NULL
+    status too; NULL ids never match.  ``rfrnc_yr`` is the given year.  An id that
+    repeats in a table must repeat the same values: different ones raise an error,
+    as no one of them could be chosen rightly.
     """
     if not frames:
         raise ValueError("no condition tables to merge")
@@ -59,15 +64,18 @@ def merge_chain(frames: Sequence[tuple[str, DataFrame]], ref_year: int) -> DataF
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    aggs = []
-    for i, name in enumerate(names):
-        aggs.append(F.max(F.when(F.col("_cidx") == i, F.col("_status"))).alias(name))
-        aggs.append(F.max(F.when(F.col("_cidx") == i, F.col("_ever"))).alias(f"{name}_ever"))
+    value = F.struct(F.col("_status").alias("status"), F.col("_ever").alias("ever"))
+    aggs = [f(F.when(F.col("_cidx") == i, value)).alias(f"_{end}{i}")
+            for i in range(len(names)) for f, end in ((F.min, "lo"), (F.max, "hi"))]
     wide = long.where(F.col("bene_id").isNotNull()).groupBy("bene_id").agg(*aggs)
-    present = None
-    for name in names:
-        cond = F.col(_ident(name)).isNotNull()
-        present = cond if present is None else present & cond
+    present = functools.reduce(lambda a, b: a & b, [F.col(f"_hi{i}").isNotNull() for i in range(len(names))])
+    picked = [F.col("bene_id")]
+    for i, name in enumerate(names):
+        same = F.col(f"_lo{i}").eqNullSafe(F.col(f"_hi{i}"))
+        error = F.raise_error(F.concat(F.lit(f"merge: different rows of {name} for id "), F.col("bene_id").cast("string")))
+        picked += [F.when(same, F.col(f"_hi{i}.status")).otherwise(error.cast("int")).alias(name),
+                   F.col(f"_hi{i}.ever").alias(f"{name}_ever")]
+    wide = wide.where(present).select(*picked)
     first_rows = frames[0][1].select("bene_id").where(F.col("bene_id").isNotNull())
-    out = first_rows.join(wide.where(present), "bene_id", "inner")
+    out = first_rows.join(wide, "bene_id", "inner")
     return out.withColumn("rfrnc_yr", F.lit(int(ref_year))).select(*_matrix_select(names))

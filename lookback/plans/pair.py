@@ -4,16 +4,15 @@ spine (enrolment rows of the reference year's file, duplicates kept)
   LEFT JOIN met   on a NULL-safe id match, NULL -> 0
   LEFT JOIN cov   on a NULL-safe id match (no fill: a missing flag gives status 3)
   LEFT JOIN ever  on a plain id match (a NULL id never gets a date)
-The three sides are merged into one per-id table first, so the spine is
-joined (and shuffled) once.
+The three sides are one aggregation per id over one scan of the events
+(``operators/per_id.py``), so the spine is joined (and shuffled) once.
 Output ``bene_id, rfrnc_yr, {condition}, {condition}_ever``.
 
 ``ever_scope="window"`` is the exploratory form: the first date inside the look-back
 window only, joined NULL-safe like the other two.
 
-All three sides are aggregated per id before the join, so a hot id is reduced
-map-side; the spine is the only side that can repeat an id, and AQE splits a
-skewed spine partition.
+A hot id is reduced map-side; the spine is the only side that can repeat an id,
+and AQE splits a skewed spine partition.
 """
 
 from __future__ import annotations
@@ -22,9 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookback.functions.codes import fill_zero, status_code
-from lookback.operators.coverage import coverage
-from lookback.operators.first_event import first_event
-from lookback.operators.met import met
+from lookback.operators.per_id import cov_flag, met_flag, per_id
 from lookback.sources.codebook import Codebook
 
 
@@ -48,26 +45,14 @@ def condition_parts(events: DataFrame, enrol: DataFrame, codebook: Codebook, con
                     ever_scope: str = "history") -> DataFrame:
     """Spine with the intermediate flags: ``bene_id, rfrnc_yr, met, cov, status, ever``.
 
-    The three per-id sides are unioned and aggregated once per id (a NULL id is
-    one group, as in SQL), then joined to the spine once, NULL-safe, instead of
-    three joins that would each shuffle the spine.  A NULL id has no first date
-    in the history scope because that side drops NULL ids before the union.
+    The per-id table (a NULL id is one group, as in SQL) is joined to the spine
+    once, NULL-safe.  A NULL id has no first date in the history scope.
     """
-    spec = codebook.spec(condition)
-    m = met(events, codebook, condition, ref_year, first_year, exclusion_scope)
-    c = coverage(enrol, ref_year, spec.ref_period, first_year)
-    e = first_event(events, codebook, condition, ref_year, first_year, scope=ever_scope,
-                    keep_null_id=(ever_scope == "window"))
-    date_type = e.schema["ever"].dataType
-    none_i, none_d = F.lit(None).cast("int"), F.lit(None).cast(date_type)
-    sides = (m.select("bene_id", F.col("met").cast("int").alias("met"), none_i.alias("cov"),
-                      none_d.alias("ever"))
-             .unionByName(c.select("bene_id", none_i.alias("met"), F.col("cov").cast("int").alias("cov"),
-                                   none_d.alias("ever")))
-             .unionByName(e.select("bene_id", none_i.alias("met"), none_i.alias("cov"), "ever")))
-    per_id = sides.groupBy("bene_id").agg(F.max("met").alias("met"), F.max("cov").alias("cov"),
-                                          F.min("ever").alias("ever"))
-    df = left_join_on_id(spine(enrol, ref_year), per_id, null_safe=True)
+    table = per_id(events, codebook, condition, ref_year, first_year, exclusion_scope,
+                   ever_scope=ever_scope, enrol=enrol)
+    ever = F.col("ever") if ever_scope == "window" else F.when(F.col("bene_id").isNotNull(), F.col("ever"))
+    sides = cov_flag(met_flag(table)).select("bene_id", "met", "cov", ever.alias("ever"))
+    df = left_join_on_id(spine(enrol, ref_year), sides, null_safe=True)
     df = df.withColumn("met", fill_zero("met")).withColumn("status", status_code("met", "cov"))
     return df.select("bene_id", "rfrnc_yr", "met", "cov", "status", "ever")
 

@@ -2,13 +2,12 @@
 
 The library never creates a session behind the caller's back; these helpers
 are for tests, the bench and command-line use.  On a cluster the session comes
-from the platform, and ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from it.
+from the platform.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -32,22 +31,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only where none is set.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a fresh scratch folder is taken.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="lookback-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()

@@ -12,7 +12,7 @@ entries keeps key order) into the long ``codes`` table
 ``include`` / ``exclude``.  Only the per-condition header (a few dozen rows) is
 brought to the driver: names, periods and rules are needed to shape plans.
 The code rows stay a DataFrame; they are broadcast only when their counted
-size is under ``BROADCAST_CODES_MAX``.
+bytes are under ``broadcast_bytes``, else joined by a shuffle on the code.
 """
 
 from __future__ import annotations
@@ -30,10 +30,10 @@ CRITERIA = ("all", "primary", "first_two")
 # The kinds of code rows.
 INCLUDE, EXCLUDE = "include", "exclude"
 
-# Code rows up to this count are broadcast to the event scan; beyond it the
-# match falls back to a shuffle join on the code.
-BROADCAST_CODES_MAX = 2_000_000
-
+# Code tables up to this size are broadcast to the event scan.  Both ways give the same rows.
+BROADCAST_BYTES = 64 << 20
+# Bytes of a code row besides its texts, as an estimate from above (row header, offsets, hash entry).
+ROW_BYTES = 128
 
 
 @dataclass(frozen=True)
@@ -44,6 +44,7 @@ class ConditionSpec:
     criteria: str
     n_include: int
     n_exclude: int
+    n_bytes: int = 0
 
 
 @dataclass
@@ -54,7 +55,8 @@ class Codebook:
     conditions: list[ConditionSpec]
     exclusion_codes: str = "compat"
     normalize: bool = False
-    n_codes: int = 0
+    n_bytes: int = 0
+    broadcast_bytes: int = BROADCAST_BYTES
     _by_name: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
@@ -77,8 +79,12 @@ class Codebook:
             self.spec(c)
         specs = [c for c in self.conditions if c.name in wanted]
         codes = self.codes.where(F.col("condition").isin(sorted(wanted)))
-        n = sum(c.n_include + c.n_exclude for c in specs)
-        return Codebook(codes, specs, self.exclusion_codes, self.normalize, n)
+        return Codebook(codes, specs, self.exclusion_codes, self.normalize,
+                        sum(c.n_bytes for c in specs), self.broadcast_bytes)
+
+    def side(self, codes: DataFrame) -> DataFrame:
+        """``codes`` (rows of this codebook) as a join side: broadcast if the whole book is small enough."""
+        return F.broadcast(codes) if self.n_bytes <= self.broadcast_bytes else codes
 
     def include_codes(self, condition: str) -> DataFrame:
         return self.codes.where((F.col("condition") == condition) & (F.col("kind") == INCLUDE))
@@ -126,7 +132,7 @@ def codebook_frame(spark: SparkSession, source) -> DataFrame:
 
 
 def read_codebook(spark: SparkSession, source, exclusion_codes: str = "compat",
-                  normalize: bool = False) -> Codebook:
+                  normalize: bool = False, broadcast_bytes: int = BROADCAST_BYTES) -> Codebook:
     """Parse a codebook into a :class:`Codebook`.
 
     ``exclusion_codes="compat"`` reproduces how the original jobs built the
@@ -150,6 +156,8 @@ def read_codebook(spark: SparkSession, source, exclusion_codes: str = "compat",
         "cond_pos", "condition", "ref_period", "criteria",
         F.size(F.array_distinct(F.filter("include", lambda x: x.isNotNull()))).alias("n_inc"),
         F.size(F.array_distinct(F.filter("exclude", lambda x: x.isNotNull()))).alias("n_exc"),
+        F.aggregate(F.concat("include", "exclude"), F.lit(0).cast("long"),
+                    lambda a, x: a + ROW_BYTES + F.coalesce(F.octet_length(x), F.lit(0))).alias("n_bytes"),
     ).orderBy("cond_pos").collect()
     names = [r.condition for r in rows]
     if len(names) != len(set(names)):
@@ -162,7 +170,7 @@ def read_codebook(spark: SparkSession, source, exclusion_codes: str = "compat",
         if r.criteria not in CRITERIA:
             raise ValueError(f"condition {r.condition!r}: unknown claims_criteria {r.criteria!r}")
         specs.append(ConditionSpec(r.condition, int(r.cond_pos), int(r.ref_period),
-                                   r.criteria, int(r.n_inc), int(r.n_exc)))
+                                   r.criteria, int(r.n_inc), int(r.n_exc), int(r.n_bytes)))
     if not specs:
         raise ValueError("codebook has no conditions")
 
@@ -176,6 +184,5 @@ def read_codebook(spark: SparkSession, source, exclusion_codes: str = "compat",
     codes = (inc.unionByName(exc)
              .withColumn("code", code)
              .where(F.col("code").isNotNull())
-             .dropDuplicates(["condition", "kind", "code"]))
-    n_codes = sum(s.n_include + s.n_exclude for s in specs)
-    return Codebook(codes, specs, exclusion_codes, normalize, n_codes)
+             .distinct())  # position, period and rule follow from the condition
+    return Codebook(codes, specs, exclusion_codes, normalize, sum(s.n_bytes for s in specs), broadcast_bytes)

@@ -2,14 +2,19 @@
 
 There are no health-care tables in the test data, so the views map
 customers to entities, orders to admissions, the part brands of an order's
-lines (ordered by line number, part key, brand) to the diagnosis array, and the
-number of urgent orders of a customer in a year (at most 12) to HMO months.
-Years come from the order date.  Both views are plain DataFrame plans over the
-Parquet tables; filters on ``file_year`` are pushed below the aggregations.
+lines (ordered by line number, part key, brand) to the diagnosis codes, and the
+number of urgent orders of a customer in a year to HMO months.  Years come from
+the order date; the views take the ``years`` they are asked for and turn them
+into a range of that date, which is pushed down to the Parquet scan.  A second
+pair of views has its code arrays in the rows, as the original files do: the
+words of a document.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,11 +34,21 @@ EXCL_CODEBOOK = {
            "icd9_exclusion": ["Brand#3"], "icd10_exclusion": ["Brand#3"]},
 }
 
-# Demo years.
+# Demo reference years and the first file year.
 FIRST_YEAR = 1995
 LAST_YEAR = 2001
 REF_YEAR = 1999
 
+# The demo codebook on words of documents (array-form events).
+WORDS_CODEBOOK = {
+    "w1": {"ref_period": 1, "icd9": ["The", "the"], "icd10": ["la"]},
+    "w2": {"ref_period": 2, "claims_criteria": "primary", "icd9": ["The", "And"], "icd10": ["Le"],
+           "icd9_exclusion": ["worthless", "scum"], "icd10_exclusion": ["idiot", "clown"]},
+    "w3": {"ref_period": 3, "claims_criteria": "first_two", "icd9": ["of", "und"], "icd10": ["de"],
+           "icd10_exclusion": ["loser", "stupid"]},
+    "w4": {"ref_period": 1, "icd9": ["no such word"], "icd10": []},
+}
+
 
 def wide_codebook(n_conditions: int = 27, n_brands: int = 25) -> dict:
     """A larger demo codebook built by rule, for the full-size grid bench.
@@ -61,10 +76,37 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def demo_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, years: Sequence[int] | None = None,
+            orders: DataFrame | None = None) -> DataFrame:
+    """The orders of ``years`` (all by default); a run of years becomes a range of the order date."""
+    orders = orders if orders is not None else _table(spark, sf_dir, "orders")
+    if years is None:
+        return orders
+    day = orders.schema["o_orderdate"].dataType
+    runs: list[list[int]] = []
+    for y in sorted({int(y) for y in years}):
+        if runs and runs[-1][1] == y - 1:
+            runs[-1][1] = y
+        else:
+            runs.append([y, y])
+    ranges = [(F.col("o_orderdate") >= F.lit(f"{a}-01-01").cast(day)) & (F.col("o_orderdate") < F.lit(f"{b + 1}-01-01").cast(day))
+              for a, b in runs]
+    return orders.where(functools.reduce(lambda a, b: a | b, ranges, F.lit(False)) if len(ranges) != 1 else ranges[0])
+
+
+def demo_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """All file years of the demo tables from FIRST_YEAR on (one aggregate of two values)."""
+    r = _table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b")).first()
+    if r["a"] is None:
+        return [FIRST_YEAR]
+    if r["a"] < FIRST_YEAR:
+        raise ValueError(f"orders of {r['a']} lie before the first file year {FIRST_YEAR}")
+    return list(range(FIRST_YEAR, r["b"] + 1))
+
+
+def demo_admissions(spark: SparkSession, sf_dir: str, years: Sequence[int] | None = None) -> DataFrame:
     """``adm_id, bene_id, admission_date, file_year``: the events without their codes."""
-    orders = _table(spark, sf_dir, "orders")
-    return orders.select(
+    return _orders(spark, sf_dir, years).select(
         F.col("o_orderkey").alias("adm_id"),
         F.col("o_custkey").alias("bene_id"),
         F.col("o_orderdate").alias("admission_date"),
@@ -72,18 +114,21 @@ def demo_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def demo_event_codes(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+def demo_event_codes(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None,
+                     years: Sequence[int] | None = None) -> DataFrame:
     """Long-form events: ``adm_id, bene_id, admission_date, file_year, pos, code``.
 
     One row per coded line of an order; ``pos`` is the 0-based rank of the line
     by (line number, part key, brand), the position the code has in the array
     form.  The rank is a ``row_number`` window per order: one shuffle by order
     key, and a spillable buffer, so no order's lines are ever held as one value.
-    ``orders`` replaces the orders table (same columns) when given.
+    With ``years`` only lines of their orders are ranked.  ``orders`` replaces
+    the orders table (same columns) when given.
     """
-    orders = (orders if orders is not None else _table(spark, sf_dir, "orders")) \
-        .select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = _orders(spark, sf_dir, years, orders).select("o_orderkey", "o_custkey", "o_orderdate")
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    if years is not None:
+        lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand").where(F.col("p_brand").isNotNull())
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "p_brand")
     coded = (lines.join(part, lines.l_partkey == part.p_partkey)
@@ -98,50 +143,39 @@ def demo_event_codes(spark: SparkSession, sf_dir: str, orders: DataFrame | None
     )
 
 
-def demo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``adm_id, bene_id, admission_date, file_year, diagnoses``: one row per order.
-
-    The array form, for the operators that work on arrays themselves (overlap,
-    unnest).  It collects each order's lines into one array, so its size is
-    that of an order; every other demo query uses :func:`demo_event_codes`.
-    """
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    coded = (lines.join(part, lines.l_partkey == part.p_partkey, "left")
-             .groupBy("l_orderkey")
-             .agg(F.array_sort(F.collect_list(F.when(
-                 F.col("p_brand").isNotNull(),
-                 F.struct("l_linenumber", "l_partkey", "p_brand")))).alias("s")))
-    adm = orders.join(coded, orders.o_orderkey == coded.l_orderkey, "left")
-    return adm.select(
-        F.col("o_orderkey").alias("adm_id"),
-        F.col("o_custkey").alias("bene_id"),
-        F.col("o_orderdate").alias("admission_date"),
-        F.year("o_orderdate").cast("int").alias("file_year"),
-        F.coalesce(F.transform("s", lambda s: s["p_brand"]),
-                   F.array().cast("array<string>")).alias("diagnoses"),
-    )
-
-
-def demo_enrolment(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+def demo_enrolment(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None,
+                   years: Sequence[int] | None = None) -> DataFrame:
     """``bene_id, year, hmo_mo, file_year``: one row per customer and order year.
 
     ``orders`` replaces the orders table (same columns) when given.
     """
-    orders = orders if orders is not None else _table(spark, sf_dir, "orders")
+    orders = _orders(spark, sf_dir, years, orders)
     year = F.year("o_orderdate").cast("int")
     urgent = F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)
     return (orders.groupBy(F.col("o_custkey").alias("bene_id"), year.alias("year"))
-            .agg(F.least(F.lit(12), F.sum(urgent)).cast("int").alias("hmo_mo"))
+            .agg(F.sum(urgent).cast("int").alias("hmo_mo"))
             .withColumn("file_year", F.col("year")))
 
 
-def demo_null_ids(spark: SparkSession, sf_dir: str) -> str:
-    """Whether the demo events can carry a NULL entity id.
+def demo_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array-form events out of ``documents``: ``adm_id, bene_id, admission_date, file_year, diagnoses``.
 
-    The id comes from ``orders.o_custkey`` alone, so one pushed-down
-    ``IS NULL`` probe of that column answers it without building the view.
+    A document is an admission, its words (split at spaces) are its codes; the
+    entity, the file year and the date follow from its id.
     """
-    probe = _table(spark, sf_dir, "orders").select("o_custkey").where(F.col("o_custkey").isNull())
-    return "present" if probe.limit(1).count() else "absent"
+    docs = _table(spark, sf_dir, "documents")
+    year = (F.lit(FIRST_YEAR) + F.col("doc_id") % 5).cast("int")
+    return docs.select(
+        F.col("doc_id").alias("adm_id"),
+        (F.col("doc_id") % 397).alias("bene_id"),
+        F.date_add(F.make_date(year, F.lit(1), F.lit(1)), (F.col("doc_id") % 331).cast("int")).alias("admission_date"),
+        year.alias("file_year"),
+        F.split("text", " ").alias("diagnoses"))
+
+
+def demo_document_enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bene_id, year, hmo_mo, file_year`` beside :func:`demo_documents`; months may be fractions."""
+    ev = demo_documents(spark, sf_dir)
+    return (ev.groupBy("bene_id", F.col("file_year").alias("year"))
+            .agg(F.sum(F.when(F.col("adm_id") % 11 == 0, 0.5).otherwise(0.0)).alias("hmo_mo"))
+            .withColumn("file_year", F.col("year")))

@@ -28,10 +28,22 @@ def overlap_query(table: str, id_col: str, array_col: str, codes: list[str],
 
 def jdbc_reader(spark: SparkSession, url: str, query: str, user: str | None = None,
                 password: str | None = None, fetchsize: int = 10_000,
-                **options) -> DataFrameReader:
-    """A configured ``format("jdbc")`` reader for ``query`` (call ``.load()``)."""
-    reader = (spark.read.format("jdbc").option("url", url).option("query", query)
+                partition_column: str | None = None, lower_bound=None, upper_bound=None,
+                num_partitions: int | None = None, **options) -> DataFrameReader:
+    """A configured ``format("jdbc")`` reader for ``query`` (call ``.load()``).
+
+    With ``partition_column`` and its bounds the read is split into ``num_partitions`` tasks by ranges
+    of that column (rows beyond the bounds and NULLs fall into the outer ranges; none is left out).
+    """
+    reader = (spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) q")
               .option("fetchsize", str(fetchsize)))
+    split = {"partitionColumn": partition_column, "lowerBound": lower_bound,
+             "upperBound": upper_bound, "numPartitions": num_partitions}
+    if any(v is not None for v in split.values()):
+        missing = [k for k, v in split.items() if v is None]
+        if missing:
+            raise ValueError(f"a split read also needs {missing}")
+        options = {**split, **options}
     if user is not None:
         reader = reader.option("user", user)
     if password is not None:

@@ -1,69 +1,115 @@
 """Feature sinks and their read-back.
 
-* Parquet: ``partitionBy("rfrnc_yr")`` by default, one folder per year.
+* Parquet: ``partitionBy("rfrnc_yr")`` by default, one folder per year; rows are
+  rebalanced on the partition columns first, so a year is a few files of good
+  size, not one file per task, and AQE splits a big year.
 * CSV: header, NULL as an empty field, dates as ``yyyy-MM-dd``.
 * Arrow IPC ("feather"): Spark has no Arrow file writer, so every task writes its
-  own partition with ``mapInArrow`` as ``part-NNNNN.arrow`` through pyarrow's
-  file system layer.  The name depends only on the partition id and the file is
-  renamed into place, so a retried task overwrites its own output.
+  own partition with ``mapInArrow`` through pyarrow's file system layer, into a
+  folder of the run.  When the job has succeeded the driver moves the files into
+  place (a metadata operation) and then removes those they replace, so a failed
+  job leaves the old output as it was.  Paths are qualified through Hadoop's default
+  file system; a scheme that pyarrow can't open raises.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FORMATS = ("parquet", "csv", "arrow")
+MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
+
+
+def feature_schema(names: Sequence[str], id_type: T.DataType | None = None,
+                   date_type: T.DataType | None = None) -> T.StructType:
+    """Schema of per-pair tables and of the matrix: what a CSV, which has no types, is read with."""
+    fields = [T.StructField("bene_id", id_type or T.StringType())]
+    for c in names:
+        fields += [T.StructField(c, T.IntegerType()), T.StructField(f"{c}_ever", date_type or T.DateType())]
+    return T.StructType(fields + [T.StructField("rfrnc_yr", T.IntegerType())])
 
 
 def write_features(df: DataFrame, path: str, fmt: str = "parquet",
-                   partition_by: Sequence[str] = ("rfrnc_yr",), mode: str = "overwrite") -> None:
-    if fmt == "parquet":
-        w = df.write.mode(mode)
+                   partition_by: Sequence[str] | None = None, mode: str = "overwrite") -> None:
+    """Write ``df``; ``partition_by`` is ``("rfrnc_yr",)`` by default (none for Arrow, which can't be partitioned)."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    if fmt in ("arrow", "feather"):
         if partition_by:
-            w = w.partitionBy(*partition_by)
+            raise ValueError("Arrow output can't be partitioned by columns")
+        _write_arrow(df, path, mode)
+        return
+    columns = ("rfrnc_yr",) if partition_by is None else tuple(partition_by)
+    if columns:
+        df = df.hint("rebalance", *[F.col(c) for c in columns])
+    w = df.write.mode(mode)
+    if columns:
+        w = w.partitionBy(*columns)
+    if fmt == "parquet":
         w.parquet(path)
     elif fmt == "csv":
-        w = (df.write.mode(mode).option("header", True).option("nullValue", "")
-             .option("emptyValue", "").option("dateFormat", "yyyy-MM-dd")
-             .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"))
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.csv(path)
-    elif fmt in ("arrow", "feather"):
-        _write_arrow(df, path)
+        (w.option("header", True).option("nullValue", "")
+         .option("emptyValue", "").option("dateFormat", "yyyy-MM-dd")
+         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
     else:
         raise ValueError(f"fmt must be one of {FORMATS}, got {fmt!r}")
 
 
-def _write_arrow(df: DataFrame, path: str) -> None:
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and authority, as Hadoop's configuration resolves it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def _open(uri: str):
+    """(pyarrow file system, path in it) of a qualified path."""
+    import pyarrow as pa
+    import pyarrow.fs as pafs
+
+    parts = urlsplit(uri)
+    if parts.scheme == "file":
+        return pafs.LocalFileSystem(), parts.path
+    try:
+        return pafs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, OSError) as e:
+        raise ValueError(f"pyarrow can't open {parts.scheme}:// paths here: {e}") from e
+
+
+def _write_arrow(df: DataFrame, path: str, mode: str) -> None:
     import pyarrow.fs as pafs
 
     schema = df.schema
-    # overwrite semantics: the folder is emptied first (a metadata operation on
-    # the driver), so files of an earlier run with more partitions cannot linger
-    fs, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-    if fs.get_file_info(root).type == pafs.FileType.Directory:
-        fs.delete_dir_contents(root)
+    uri = qualified(df.sparkSession, path)
+    fs, root = _open(uri)
+    there = fs.get_file_info(root).type != pafs.FileType.NotFound
+    old = [i.path for i in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if i.path.endswith(".arrow")]
+    if there and mode in ("error", "errorifexists"):
+        raise ValueError(f"{path} exists")
+    if there and mode == "ignore":
+        return
+    run = uuid.uuid4().hex
+    staged = f"{root}/_run-{run}"
 
     def write_partition(batches):
         import pyarrow as pa
-        import pyarrow.fs as pafs
         import pyarrow.ipc as ipc
         from pyspark import TaskContext
 
-        fs, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-        fs.create_dir(root, recursive=True)
+        out_fs, out_root = _open(uri)
+        folder = f"{out_root}/_run-{run}"
+        out_fs.create_dir(folder, recursive=True)
         part = TaskContext.get().partitionId()
-        final = f"{root}/part-{part:05d}.arrow"
-        tmp = f"{root}/.tmp-{part:05d}-{uuid.uuid4().hex}"
+        final, tmp = f"{folder}/part-{part:05d}.arrow", f"{folder}/.tmp-{part:05d}-{uuid.uuid4().hex}"
         rows = 0
         writer = None
-        with fs.open_output_stream(tmp) as out:
+        with out_fs.open_output_stream(tmp) as out:
             for batch in batches:
                 if writer is None:
                     writer = ipc.new_file(out, batch.schema)
@@ -73,20 +119,31 @@ def _write_arrow(df: DataFrame, path: str) -> None:
                 from pyspark.sql.pandas.types import to_arrow_schema
                 writer = ipc.new_file(out, to_arrow_schema(schema))
             writer.close()
-        fs.move(tmp, final)
+        out_fs.move(tmp, final)  # a task that runs again replaces its own file
         yield pa.RecordBatch.from_pydict({"file": [final], "rows": [rows]})
 
-    # The action returns one small row per written file.
-    df.mapInArrow(write_partition, "file string, rows long").count()
+    try:
+        df.mapInArrow(write_partition, "file string, rows long").count()  # one small row per file
+        for i in fs.get_file_info(pafs.FileSelector(staged)):
+            if i.path.endswith(".arrow"):
+                name = i.path.rsplit("/", 1)[-1].removesuffix(".arrow")
+                fs.move(i.path, f"{root}/{name}-{run}.arrow")
+    finally:
+        if fs.get_file_info(staged).type == pafs.FileType.Directory:
+            fs.delete_dir(staged)
+    if mode == "overwrite":
+        for f in old:
+            fs.delete_file(f)
 
 
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet",
                   schema: T.StructType | None = None) -> DataFrame:
+    """Read features back.  A CSV has no types: it is read with ``schema`` (:func:`feature_schema`), or as text."""
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "csv":
-        r = spark.read.option("header", True).option("nullValue", "")
-        return r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", True).csv(path)
+        r = spark.read.option("header", True).option("nullValue", "").option("enforceSchema", False)
+        return r.schema(schema).csv(path) if schema is not None else r.csv(path)
     if fmt in ("arrow", "feather"):
         return _read_arrow(spark, path, schema)
     raise ValueError(f"fmt must be one of {FORMATS}, got {fmt!r}")
@@ -97,27 +154,25 @@ def _read_arrow(spark: SparkSession, path: str, schema: T.StructType | None) ->
     import pyarrow.ipc as ipc
     from pyspark.sql.pandas.types import from_arrow_schema
 
-    fs, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-    infos = fs.get_file_info(pafs.FileSelector(root))
-    files = sorted(i.path for i in infos if i.path.endswith(".arrow"))
+    uri = qualified(spark, path)
+    fs, root = _open(uri)
+    files = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(root)) if i.path.endswith(".arrow"))
     if not files:
         raise ValueError(f"no Arrow files under {path}")
     if schema is None:
         with fs.open_input_file(files[0]) as f:
             schema = from_arrow_schema(ipc.open_file(f).schema)
-    uri_prefix = path.split("://", 1)[0] + "://" if "://" in path else ""
 
     def read_files(batches):
-        import pyarrow.fs as pafs2
         import pyarrow.ipc as ipc2
+
+        in_fs, in_root = _open(uri)
         for b in batches:
             for name in b.column("file").to_pylist():
-                fs2, p = (pafs2.FileSystem.from_uri(uri_prefix + name) if uri_prefix
-                          else (pafs2.LocalFileSystem(), name))
-                with fs2.open_input_file(p) as f:
+                with in_fs.open_input_file(f"{in_root}/{name}") as f:
                     reader = ipc2.open_file(f)
                     for i in range(reader.num_record_batches):
                         yield reader.get_batch(i)
 
-    names = spark.createDataFrame([(f,) for f in files], "file string").repartition(len(files))
+    names = spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in files], "file string").repartition(len(files))
     return names.mapInArrow(read_files, schema)

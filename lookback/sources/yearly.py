@@ -82,13 +82,57 @@ def read_years(spark: SparkSession, prefix: str, years: Iterable[int],
     Only the named files are opened; column pruning and filter pushdown still
     apply to each of them.  Rows of different files are kept apart by
     ``file_year`` (UNION ALL semantics: duplicates across files are kept).
+    Files may differ in column types (an int, bigint or double ``hmo_mo``): each
+    is read with its own types and cast to ``schema``, or to the widest ones.
     """
     paths = year_paths(prefix, years, template)
     if not paths:
         raise ValueError("no years to read")
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(*paths)
-    return df.withColumn("file_year", file_year_col(template, prefix))
+    # Each yearly file has its own column types; files of equal types are one scan.
+    kinds: list[tuple[T.StructType, list[str]]] = []
+    for path in paths:
+        found = spark.read.parquet(path).schema
+        for known, members in kinds:
+            if known == found:
+                members.append(path)
+                break
+        else:
+            kinds.append((found, [path]))
+    target = schema if schema is not None else _common_schema([k for k, _ in kinds])
+    parts = []
+    for found, members in kinds:
+        df = spark.read.schema(found).parquet(*members)
+        held = {f.name for f in found}
+        parts.append(df.select(
+            *[(F.col(f"`{f.name}`") if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in target],
+            file_year_col(template, prefix).alias("file_year")))
+    return union_years(parts)
+
+
+# Numeric types from narrow to wide, as the yearly files mix them.
+_WIDER = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType())
+
+
+def _common_schema(schemas: Sequence[T.StructType]) -> T.StructType:
+    """The columns of the first schema; a column whose numeric type differs gets the widest one."""
+    out = []
+    for f in schemas[0]:
+        kinds = [s[f.name].dataType for s in schemas if f.name in s.fieldNames()]
+        kind = kinds[0]
+        for other in kinds[1:]:
+            if other == kind:
+                continue
+            if kind in _WIDER and other in _WIDER:
+                mixed = {type(kind), type(other)}
+                # a float can't hold every int or long
+                kind = T.DoubleType() if mixed & {T.FloatType, T.DoubleType} else max(kind, other, key=_WIDER.index)
+            elif isinstance(kind, T.DecimalType) or isinstance(other, T.DecimalType):
+                kind = T.DoubleType()
+            else:
+                raise ValueError(f"column {f.name!r} is {kind.simpleString()} in one year and {other.simpleString()} "
+                                 "in another; pass the schema to read")
+        out.append(T.StructField(f.name, kind, True))
+    return T.StructType(out)
 
 
 def read_year(spark: SparkSession, prefix: str, year: int,

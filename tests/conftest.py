@@ -13,7 +13,6 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from lookback.session import ensure_checkpoint_dir
     s = (SparkSession.builder.master("local[*]").appName("lookback-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.adaptive.enabled", "true")
@@ -21,7 +20,6 @@ def spark():
          .config("spark.ui.enabled", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
     yield s
 
 

@@ -52,8 +52,8 @@ def duck_connect(sf_dir: str):
 
 
 def compare(spark, sf_dir: str, names=None, con=None) -> dict:
-    import __spark_entry__ as entry
-    qs, sql = entry.queries(), entry.oracle_sql()
+    from lookback.catalog import QUERIES as qs
+    from lookback.oracle import ORACLE_SQL as sql
     con = con or duck_connect(sf_dir)
     out = {}
     for name in names or list(qs):
