@@ -11,7 +11,8 @@ least ``min_words`` words is removed; shorter ones (a licence line, a greeting)
 Scale.  The first pass shuffles hashes only, reduced before the shuffle.  Repeated hashes come back
 to the tasks as a bit map of a fixed largest size, so only the bytes of chunks that may repeat are
 shuffled, and again reduced by groups before; a false positive of the map costs a row, no error.
-Texts move once, in the join with the lines to remove.  A chunk that a third of the documents hold is
+Only texts with lines to remove are shuffled, in the join with those lines; the others, known by a bit
+map of ids, pass through.  A chunk that a third of the documents hold is
 one group in a reducible aggregation and a hot key of an equi-join, which AQE splits.
 
 Defined cases: null text stays null, empty text stays empty, nothing is removed; rows with a null id
@@ -107,10 +108,18 @@ def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_c
 
     found = written(frame.mapInArrow(bodies, f"doc_id {kind}, start int, count int, raw binary")
                     .withColumn("key", F.xxhash64("raw")), "line-chunks")
-    first = (found.groupBy("key", "raw").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("key", "raw", "first"))
-    return (found.join(first, ["key", "raw"]).where("doc_id != first.doc_id or start != first.start")
-            .select("doc_id", "start", "count"))
+    # Grouping by the bytes is the comparison.  As nearly every key then stands for one chunk, the
+    # occurrences find it by the key alone, and only those of clashing keys by their bytes.
+    groups = written(found.groupBy("key", "raw").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")),
+                     "line-groups")
+    one = (groups.groupBy("key").agg(F.count("*").alias("chunks"), F.max("n").alias("n"), F.min("first").alias("first"))
+           .where("chunks = 1 and n > 1").select("key", "first"))
+    clash = groups.groupBy("key").agg(F.count("*").alias("chunks")).where("chunks > 1").select("key")
+    clash = written(groups.where("n > 1").join(clash, "key", "left_semi").select("key", "raw", "first"), "line-clashes")
+    places = ["doc_id", "start", "count", "first"]
+    return (found.select("key", "doc_id", "start", "count").join(one, "key").select(*places)
+            .unionByName(found.join(clash, ["key", "raw"]).select(*places))
+            .where("doc_id != first.doc_id or start != first.start").select("doc_id", "start", "count"))
 
 
 def strip(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str, int, int]:
@@ -148,12 +157,22 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
     marks = (repeats(docs, min_words, id_col, text_col).groupBy("doc_id")
              .agg(F.collect_list(F.struct("start", "count")).alias("_spans"))  # bounded by the document's lines
              .withColumnRenamed("doc_id", "_marked"))
-    joined = docs.join(written(marks, "line-marks"), docs[id_col] == F.col("_marked"), "left").drop("_marked")
+    marks = written(marks, "line-marks")
+    held = bit_map(marks.select(F.xxhash64("_marked").alias("at")), "at")
     ship_code(spark)
     short_batches(spark)
     names = docs.columns
     at, last = names.index(text_col), len(names)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    keyed = docs.withColumn("_at", F.xxhash64(docs[id_col]))
+
+    def chosen(marked: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                take = held.has(b.column(last).to_numpy(zero_copy_only=False))
+                yield b.select(names).filter(pa.array(take if marked else ~take))
+
+        return run
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -164,4 +183,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
                 cols + [pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64())],
                 names=names + ["removed_lines", "removed_words"])
 
-    return joined.mapInArrow(run, f"{fields}, removed_lines long, removed_words long")
+    whole = keyed.mapInArrow(chosen(False), fields).selectExpr("*", "0L AS removed_lines", "0L AS removed_words")
+    some = keyed.mapInArrow(chosen(True), fields)
+    # A sort-merge join at every size: the texts with marks are a share of all, never a side to broadcast,
+    # and a plan that broadcast the marks of a small input would only hide the shuffle of a large one.
+    joined = some.join(marks.hint("merge"), some[id_col] == F.col("_marked"), "left").drop("_marked")
+    return whole.unionByName(joined.mapInArrow(run, f"{fields}, removed_lines long, removed_words long"))
