@@ -59,9 +59,14 @@ class WordIds:
 
     def __init__(self, path: str) -> None:
         import numpy as np
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For pieces that are normalised and split already: the same model behind a split at spaces.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -77,9 +82,10 @@ class WordIds:
             self.pieces.clear()
         split = [PIECES.findall(w) for w in words]
         held = self.pieces
-        new = list({p for parts in split for p in parts if p not in held})
-        if new:
-            ids = self.np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+        unseen = list({p for parts in split for p in parts if p not in held})
+        for a in range(0, len(unseen), 2000):
+            new = unseen[a:a + 2000]
+            ids = self.np.array(self.plain.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
             cuts = [0, *((self.np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
             if len(cuts) == len(new) + 1:
                 raw = ids.tobytes()
