@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_code
+from .common import ship_code, short_batches
 
 #: Bits for each key, as long as the map stays under MAX_BITS (2^29 bits are 64 MB).
 BITS_PER_KEY = 64
@@ -56,3 +56,22 @@ def bit_map(keys: DataFrame, column: str) -> BitMap:
         a = 4096 * (r["block"] - 1)
         full[a:a + 4096] = np.frombuffer(r["bits"], np.uint8)
     return BitMap(spark.sparkContext.broadcast(full), bits)
+
+
+def split_rows(rows: DataFrame, held: BitMap, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose xxhash64(id) isn't in the map, rows where it may be): the second share alone needs a join."""
+    ship_code(rows.sparkSession)
+    short_batches(rows.sparkSession)
+    names = rows.columns
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    keyed = rows.withColumn("__lb_at", F.xxhash64(rows[id_col]))
+
+    def chosen(marked: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                take = held.has(b.column(len(names)).to_numpy(zero_copy_only=False))
+                yield b.select(names).filter(pa.array(take if marked else ~take))
+
+        return run
+
+    return keyed.mapInArrow(chosen(False), fields), keyed.mapInArrow(chosen(True), fields)

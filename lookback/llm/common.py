@@ -104,5 +104,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_or_empty(c: str = "text") -> Column:
-    return F.coalesce(F.col(c), F.lit(""))
+def without(df: DataFrame, made: tuple[str, ...]) -> DataFrame:
+    """``df`` without columns that have the name of one that an operator makes (in any case)."""
+    low = {m.lower() for m in made}
+    return df.select(*[df[c] for c in df.columns if c.lower() not in low])

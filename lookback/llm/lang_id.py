@@ -13,7 +13,7 @@ the tasks.  Each document is scored whole, in one pass, without a shuffle.
 
 Defined cases: null text or no letter: ``und``, score 0, no spans; letters of a script that no
 training text has: the most frequent language, score 0; no training rows: ``und`` for all; equal
-scores: the language that sorts first; rows with a null id are never trained on.
+scores: the language that sorts first; input columns called like one that is made are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_code, short_batches
+from .common import ship_code, short_batches, without
 
 #: Trigram hash buckets per language: the model's size is this times the number of languages.
 BUCKETS = 1 << 16
@@ -241,6 +241,7 @@ def with_language(docs: DataFrame, model: Model, penalty: float = 14.0, word_cap
     ship_code(docs.sparkSession)
     short_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS numbers
+    docs = without(docs, ("lang_pred", "score", "spans"))
     names, at = docs.columns, docs.columns.index(text_col)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))

@@ -17,7 +17,8 @@ one group in a reducible aggregation and a hot key of an equi-join, which AQE sp
 
 Defined cases: null text stays null, empty text stays empty, nothing is removed; rows with a null id
 keep their text and are no one's first occurrence; rows that repeat an id count as one document;
-lines end at "\\n" and are compared with all their bytes.
+lines end at "\\n" and are compared with all their bytes; input columns called like one that is made are
+replaced, other columns are kept (names with ``__lb_`` are reserved).
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bits import bit_map
-from .common import ship_code, short_batches, written
+from .bits import bit_map, split_rows
+from .common import ship_code, short_batches, without, written
 
 #: A boundary follows one of so many pairs of lines on average.
 DIVISOR = 4
@@ -153,27 +154,15 @@ def strip(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str,
 
 def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with the stripped text, and ``removed_lines``, ``removed_words`` (long)."""
-    spark = docs.sparkSession
+    docs = without(docs, ("removed_lines", "removed_words"))
     marks = (repeats(docs, min_words, id_col, text_col).groupBy("doc_id")
-             .agg(F.collect_list(F.struct("start", "count")).alias("_spans"))  # bounded by the document's lines
-             .withColumnRenamed("doc_id", "_marked"))
+             .agg(F.collect_list(F.struct("start", "count")).alias("__lb_spans"))  # bounded by the document's lines
+             .withColumnRenamed("doc_id", "__lb_id"))
     marks = written(marks, "line-marks")
-    held = bit_map(marks.select(F.xxhash64("_marked").alias("at")), "at")
-    ship_code(spark)
-    short_batches(spark)
+    held = bit_map(marks.select(F.xxhash64("__lb_id").alias("at")), "at")
     names = docs.columns
     at, last = names.index(text_col), len(names)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    keyed = docs.withColumn("_at", F.xxhash64(docs[id_col]))
-
-    def chosen(marked: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                take = held.has(b.column(last).to_numpy(zero_copy_only=False))
-                yield b.select(names).filter(pa.array(take if marked else ~take))
-
-        return run
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = [(t, 0, 0) if t is None or not s else strip(t, [(x["start"], x["count"]) for x in s], min_words)
@@ -183,9 +172,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
                 cols + [pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64())],
                 names=names + ["removed_lines", "removed_words"])
 
-    whole = keyed.mapInArrow(chosen(False), fields).selectExpr("*", "0L AS removed_lines", "0L AS removed_words")
-    some = keyed.mapInArrow(chosen(True), fields)
+    whole, some = split_rows(docs, held, id_col)
+    whole = whole.selectExpr("*", "0L AS removed_lines", "0L AS removed_words")
     # A sort-merge join at every size: the texts with marks are a share of all, never a side to broadcast,
     # and a plan that broadcast the marks of a small input would only hide the shuffle of a large one.
-    joined = some.join(marks.hint("merge"), some[id_col] == F.col("_marked"), "left").drop("_marked")
+    joined = some.join(marks.hint("merge"), some[id_col] == F.col("__lb_id"), "left").drop("__lb_id")
     return whole.unionByName(joined.mapInArrow(run, f"{fields}, removed_lines long, removed_words long"))

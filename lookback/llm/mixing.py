@@ -18,7 +18,7 @@ they are few (``ONE_TASK_CELLS``), else by shuffles on each dimension; the resul
 
 Defined cases: null or empty text: 1 token (its end token), topic ``empty``; null source, language or
 topic: a value of its own, written ``(null)``; an empty table gives no rows; rows that repeat an id
-share their choice; all null ids share one.
+share their choice; all null ids share one; input columns called like one that is made are replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import without, written
 
 #: Cells that one task rakes; more are dealt by dimension.
 ONE_TASK_CELLS = 100_000
@@ -95,15 +95,16 @@ def rake(cells: DataFrame, targets: dict, cycles: int = 12) -> DataFrame:
 def mix(docs: DataFrame, targets: dict, cycles: int = 12, seed: int = 7, topic: Column | None = None,
         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with ``mix_topic, mix_tokens, mix_weight, mix_probability, mix_kept``."""
+    docs = without(docs, ("mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_kept"))
     topic = topic_of(docs[text_col]) if topic is None else topic
-    keyed = docs.select("*", *[F.coalesce(docs[d].cast("string"), F.lit(NULL)).alias(f"_{d}") for d in DIMS[:2]],
-                        F.coalesce(topic.cast("string"), F.lit(NULL)).alias("_topic"), tokens_of(docs[text_col]).alias("_tokens"))
-    cells = (keyed.groupBy(*[f"_{d}" for d in DIMS]).agg(F.sum("_tokens").alias("tokens"))
-             .select(*[F.col(f"_{d}").alias(d) for d in DIMS], "tokens"))
+    keyed = docs.select("*", *[F.coalesce(docs[d].cast("string"), F.lit(NULL)).alias(f"__lb_{d}") for d in DIMS[:2]],
+                        F.coalesce(topic.cast("string"), F.lit(NULL)).alias("__lb_topic"), tokens_of(docs[text_col]).alias("__lb_tokens"))
+    cells = (keyed.groupBy(*[f"__lb_{d}" for d in DIMS]).agg(F.sum("__lb_tokens").alias("tokens"))
+             .select(*[F.col(f"__lb_{d}").alias(d) for d in DIMS], "tokens"))
     raked = written(rake(written(cells, "mix-sums"), targets, cycles), "mix-raked")
     top = raked.agg(F.max("weight").alias("top")).first()["top"] or 1.0
-    weights = raked.select(*[F.col(d).alias(f"_{d}") for d in DIMS], F.col("weight").alias("mix_weight"),
+    weights = raked.select(*[F.col(d).alias(f"__lb_{d}") for d in DIMS], F.col("weight").alias("mix_weight"),
                            (F.col("weight") / F.lit(float(top))).alias("mix_probability"))
-    out = keyed.join(weights, [f"_{d}" for d in DIMS])
-    return out.select(*docs.columns, F.col("_topic").alias("mix_topic"), F.col("_tokens").alias("mix_tokens"),
+    out = keyed.join(weights, [f"__lb_{d}" for d in DIMS])
+    return out.select(*docs.columns, F.col("__lb_topic").alias("mix_topic"), F.col("__lb_tokens").alias("mix_tokens"),
                       "mix_weight", "mix_probability", (chance(F.col(id_col), seed) < F.col("mix_probability")).alias("mix_kept"))

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bits import bit_map
+from .bits import bit_map, split_rows
 from .common import ship_code, short_batches, written
 
 #: Longest list whose pairs are all tried, as unlinked members per list.
@@ -343,12 +343,14 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_
     Rows without an id can't be told apart and all stay; equal rows with one id count once.
     """
     gone = written(near_duplicates(docs, width, num, den, id_col=id_col, text_col=text_col)
-                   .groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("rows"))
-                   .where("doc_id is not null and (kept = 0 or rows > 1)"), "near-gone")
-    away = gone.where("kept = 0").select(F.col("doc_id").alias(id_col))
-    left = docs.join(away, id_col, "left_anti").select(*docs.columns)
-    if gone.where("kept = 1").isEmpty():
-        return left
-    again = gone.where("kept = 1").select(F.col("doc_id").alias(id_col))
-    once = left.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col, text_col])
-    return left.join(again, id_col, "left_anti").select(*docs.columns).unionByName(once)
+                   .groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("__lb_kept"), F.count("*").alias("__lb_rows"))
+                   .where("doc_id is not null and (__lb_kept = 0 or __lb_rows > 1)").withColumnRenamed("doc_id", "__lb_id"), "near-gone")
+    held = bit_map(gone.select(F.xxhash64("__lb_id").alias("at")), "at")
+    stay, some = split_rows(docs, held, id_col)
+    # Sort-merge at every size, as in line dedup; only rows that may go are shuffled.
+    judged = (some.join(gone.hint("merge"), some[id_col] == F.col("__lb_id"), "left")
+              .where("__lb_kept is null or __lb_kept = 1"))
+    if gone.where("__lb_rows > 1").isEmpty():
+        return stay.unionByName(judged.select(*docs.columns))
+    once = judged.where("__lb_rows > 1").select(*docs.columns).dropDuplicates([id_col, text_col])
+    return stay.unionByName(judged.where("__lb_rows is null or __lb_rows = 1").select(*docs.columns)).unionByName(once)

@@ -12,7 +12,8 @@ the input.  Rounds are written to the shared folder.  Items are sorted in the ta
 hash of their key, so a task that runs again makes the same bins.
 
 Defined cases: an empty table gives no rows; a null or empty text is a document of one end token;
-equal keys are allowed (repeated rows): they are packed as separate items.
+equal keys are allowed (repeated rows): they are packed as separate items; a null length or one out of
+1 to ``capacity`` raises; input columns called like one that is made are replaced.
 """
 
 from __future__ import annotations
@@ -175,7 +176,7 @@ def pack(items: DataFrame, capacity: int = 2048, nearly_full: float = 0.995, tas
     """
     spark = items.sparkSession
     ship_code(spark)
-    names = [c for c in items.columns if c != "length"]
+    names = [c for c in items.columns if c.lower() not in ("length", "sequence_id", "offset")]
     element = f"struct<{', '.join(f'`{c}`:{items.schema[c].dataType.simpleString()}' for c in names)}, `length`:bigint>"
     length = F.when(F.col("length").between(1, capacity), F.col("length").cast("long")).otherwise(
         F.raise_error(F.lit(f"a length is null or not in 1..{capacity}")).cast("long"))

@@ -19,7 +19,7 @@ DataFrame functions are used.
 
 Defined cases: null url or no ``://``: host and path are empty and no rule fits; an empty table
 gives no rows; repeated rows stay repeated; other columns of the input are kept if asked for by
-name, and names made here start with ``_u``.
+name, except those called like a column that is made here.
 """
 
 from __future__ import annotations
@@ -76,7 +76,7 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
 
     ``rule`` is null and ``verdict`` is ``default`` where no rule fits.
     """
-    keep = urls.columns if keep is None else keep
+    keep = [c for c in (urls.columns if keep is None else keep) if c.lower() not in ("host", "path", "rule", "verdict")]
     host, path = split_url(F.col(url_col))
     rows = urls.select(*[F.col(c).alias(f"_uk{i}") for i, c in enumerate(keep)],
                        host.alias("_uhost"), path.alias("_upath"))
