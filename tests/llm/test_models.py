@@ -1,0 +1,217 @@
+"""Language ID, toxicity, nearest neighbours and fingerprints: held-out accuracy, brute force, edge rows."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from llm.helpers import DOCS, WORDS, doc, prose, random_words, tables
+from pyspark.sql import functions as F
+
+from lookback.llm import ann, fingerprint, lang_id, queries, toxicity
+
+
+@pytest.fixture(scope="module")
+def docs():
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        lang = rng.choice(list(WORDS))
+        rows.append(doc(i, prose(rng, lang, rng.randint(5, 120)), lang))
+    return rows
+
+
+EDGE = [doc(9000, None), doc(9001, ""), doc(9002, "123 !!! ..."), doc(9003, "漢字"), doc(9004, "the " * 30000, None), (9005, "und der die nicht", None, None, None),
+        doc(None, "le une des", "fr"), doc(9000, None)]
+
+
+def test_language_query(spark, tmp_path, docs):
+    frame = spark.createDataFrame([(*r, 0.5) for r in docs + EDGE], DOCS + ", score double")
+    out = queries.op3_lang_id(spark, tables(spark, str(tmp_path), documents=frame)).collect()
+    assert len(out) == len(docs) + len(EDGE)
+    by_id = {r.doc_id: r for r in out}
+    truth = {r[0]: r[2] for r in docs}
+    held = [r for r in out if r.held_out and r.doc_id in truth]
+    assert len(held) > 100 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in out if r.doc_id is not None)
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.98
+    assert all(0 <= r.score <= 1 for r in out)
+    assert [(by_id[i].lang_pred, by_id[i].score) for i in (9000, 9001, 9002)] == [("und", 0.0)] * 3
+    assert by_id[9003].lang_pred in WORDS and by_id[9003].score == 0.0
+    assert (by_id[9004].lang_pred, by_id[9005].lang_pred, by_id[None].lang_pred) == ("en", "de", "fr")
+
+
+def test_language_without_training_rows(spark):
+    frame = spark.createDataFrame([doc(1, "the and of", None)], DOCS)
+    model = lang_id.train(frame)
+    assert [tuple(r) for r in lang_id.identify(frame, model, spans=False).collect()] == [(1, "und", 0.0)]
+    assert lang_id.identify(frame.limit(0), model).count() == 0
+
+
+def test_spans_of_mixed_text_and_a_clashing_column(spark, docs):
+    model = lang_id.train(spark.createDataFrame(docs, DOCS))
+    rng = random.Random(9)
+    parts = [prose(rng, lang, 40) for lang in ("en", "de", "fr")]
+    text = " ".join(parts)
+    out = lang_id.with_language(spark.createDataFrame([(1, text, "x")], "doc_id long, text string, lang_pred string"), model, spans=True).first()
+    assert [s["lang"] for s in out.spans] == ["en", "de", "fr"]
+    starts = [0, len(parts[0]) + 1, len(parts[0]) + len(parts[1]) + 2]
+    assert all(abs(s["start"] - a) <= 8 for s, a in zip(out.spans, starts)) and out.spans[-1]["end"] == len(text)
+
+
+def test_viterbi_equals_brute_force():
+    import itertools
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        s = (rng.normal(0, 3, (rng.integers(1, 7), 3))).astype(np.float32)
+        got = lang_id.viterbi([s], 4.0)[0]
+
+        def value(path):
+            return sum(s[i, p] for i, p in enumerate(path)) - 4.0 * sum(a != b for a, b in zip(path, path[1:]))
+        best = max(value(p) for p in itertools.product(range(3), repeat=len(s)))
+        assert abs(value(got.tolist()) - best) < 1e-4
+
+
+def test_toxicity_query(spark, tmp_path, docs):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i, text, *_ in docs:
+        bad = rng.random() < 0.3
+        words = text.split()
+        if bad:
+            words.insert(rng.randrange(len(words) + 1), rng.choice(["zorkish", "ZORKY", "gazork"]) + rng.choice(["", "!", "###"]))
+        rows.append(doc(i, " ".join(words)))
+        labels.append((i, 1, int(bad)))
+    truth = {i: t for i, _, t in labels}
+    labels += [(77777, 0, 1), (None, 0, 1), (5, 0, None), (6, 0, truth[6])]
+    root = tables(spark, str(tmp_path), documents=spark.createDataFrame(rows + EDGE, DOCS),
+                  labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    out = queries.op6_toxicity(spark, root).collect()
+    assert len(out) == len(rows) + len(EDGE) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
+    held = [r for r in out if r.held_out and r.doc_id in truth]
+    assert len(held) > 80 and np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.95
+    assert len({r.score for r in out if r.doc_id in (9000, 9001, 9002)}) == 1
+
+
+def test_toxicity_with_few_labels(spark, docs):
+    frame = spark.createDataFrame(docs[:20], DOCS)
+    none = toxicity.train(frame, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert {r.predicted for r in toxicity.score(frame, none).collect()} == {0}
+    one = toxicity.train(frame, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))
+    assert {r.predicted for r in toxicity.score(frame, one).collect()} == {1}
+    assert toxicity.score(frame.limit(0), none).count() == 0
+
+
+def near_brute(rows, k=20):
+    good = [(i, np.array(v, np.float32).astype(float)) for i, v in rows if i is not None and v and None not in v
+            and all(np.isfinite(x) for x in v) and any(v) and len(v) == 8]
+    out = {}
+    for q, x in good:
+        if q % 20 == 0:
+            found = sorted((-float(np.add.reduce(y * x)), i) for i, y in good if i != q)[:k]
+            out[q] = [(r + 1, i, -s) for r, (s, i) in enumerate(found)]
+    return out
+
+
+def test_neighbours_of_a_small_table_are_exact(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(0, 1 + i % 3, 8).astype(np.float32).tolist()) for i in range(60)]
+    rows += [(100 + i, rows[3][1]) for i in range(30)]  # ties
+    rows += [(200, None), (201, []), (220, [0.0] * 8), (240, [1.0] * 7 + [float("nan")]), (260, [1.0] * 7 + [float("inf")]),
+             (280, [1.0] * 7 + [None]), (300, [1.0] * 3), (None, [1.0] * 8)]
+    root = tables(spark, str(tmp_path), embeddings=spark.createDataFrame([(i, v, 1, 2.0) for i, v in rows],
+                                                                         "vec_id long, embedding array<float>, label int, score double"))
+    got: dict = {}
+    for r in queries.op4_ann(spark, root).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    want = near_brute(rows)
+    assert set(got) == set(want)
+    recall = np.mean([len({x[1] for x in got[q]} & {x[1] for x in want[q]}) / len(want[q]) for q in want])
+    assert recall >= 0.9
+    for q, found in got.items():
+        assert [x[0] for x in found] == list(range(1, 21))
+        assert found == sorted(found, key=lambda x: (-x[2], x[1]))
+        exact = dict((i, np.array(v, np.float32).astype(float)) for i, v in rows if i is not None and v and len(v) == 8 and None not in v)
+        assert all(abs(s - float(exact[q] @ exact[i])) < 1e-9 for _, i, s in found)
+
+
+def test_few_and_no_vectors(spark):
+    some = spark.createDataFrame([(20, [1.0, 0.0]), (3, [0.5, 0.5]), (4, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in ann.nearest(some, F.col("vec_id") % 20 == 0, 20).collect()]
+    assert got == [(20, 1, 4, 1.0), (20, 2, 3, 0.5)]
+    assert ann.nearest(some.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    assert ann.nearest(some.limit(1), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_probing_finds_every_code_in_the_radius():
+    rng = np.random.default_rng(4)
+    codes = rng.integers(0, 256, (3000, 16), dtype=np.uint8)
+    codes[:200] = codes[0] ^ (rng.random((200, 16)) < 0.2).astype(np.uint8)
+    index = ann.Index(codes)
+    for radius in (0, 3, 15, 16, 40, 128):
+        want = np.flatnonzero(np.bitwise_count(codes ^ codes[0]).sum(axis=1) <= radius)
+        assert np.array_equal(index.within(codes[0], radius), want)
+
+
+def test_recall_on_given_vectors(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r.vec_id, np.array(r.embedding, np.float32).astype(float)) for r in vectors.collect()]
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    got: dict = {}
+    for r in ann.nearest(vectors, F.col("vec_id") % 20 == 0, 20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = []
+    for i in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[i]
+        s[i] = -np.inf
+        recall.append(len(got[ids[i]] & set(ids[np.lexsort((ids, -s))[:20]].tolist())) / 20)
+    assert np.mean(recall) >= 0.95
+
+
+def test_fingerprint_query(spark, tmp_path, docs):
+    rng = random.Random(5)
+    rows = docs[:150] + [doc(7000 + i, random_words(rng, 300)) for i in range(20)] + EDGE[:5]
+    rows += [doc(8000, rows[3][1]), doc(8001, rows[3][1]), doc(8002, "日本語🙂 é" * 50)]
+    order = sorted(rows, key=lambda r: (r[0], zlib.crc32((r[1] or "").encode())))
+    root = tables(spark, str(tmp_path), documents=spark.createDataFrame([(*r, "f") for r in rows], DOCS + ", fingerprint string"))
+    out = {r.doc_id: r for r in queries.op5_fingerprint(spark, root).collect()}
+    assert len(out) == len(rows)
+    prints = {}
+    for a, b in zip(order, order[1:] + order[:1]):
+        t, u = a[1] or "", b[1] or ""
+        edit = t[:len(t) - len(t) // 2] + u[:len(t) // 2]
+        r = out[a[0]]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edit.encode()).hexdigest())
+        assert prints.setdefault(t, r.fingerprint) == r.fingerprint
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        assert r.near_next == fingerprint.likeness(r.fingerprint, out[b[0]].fingerprint)
+        assert r.near_edited == fingerprint.likeness(r.fingerprint, r.edited_fingerprint)
+    assert len(set(prints.values())) == len(prints)
+    assert out[8000].near_next == 1.0
+
+
+def test_fingerprints_tell_related_texts():
+    rng = random.Random(7)
+    pool = [random_words(rng, 1) for _ in range(4000)]
+    band = np.unique(np.concatenate([fingerprint.term_hashes(w) for w in pool]))
+    for size in (20, 300, 5000):
+        a, b = ([rng.choice(pool) for _ in range(size)] for _ in range(2))
+        one, half, other = (fingerprint.fingerprint(" ".join(x), band) for x in (a, a[:size // 2] + b[size // 2:], b))
+        assert fingerprint.likeness(one, one) == 1.0
+        assert fingerprint.likeness(one, half) > fingerprint.likeness(one, other)
+        assert fingerprint.fingerprint(" ".join(reversed(a)), band) == one  # order and repeats don't count
+
+
+def test_lexicon_is_an_idf_band(spark):
+    rows = [(i, " ".join(["every"] + [f"w{i % 40}"] + [f"rare{i}"])) for i in range(400)]
+    band = fingerprint.lexicon(spark.createDataFrame(rows, "doc_id long, text string"), low=1 / 100, high=1 / 20)
+    want = {int(fingerprint.term_hashes(f"w{i}")[0]) for i in range(40)}
+    assert set(band.tolist()) == want
+
+
+def test_fingerprints_of_few_rows(spark, tmp_path):
+    empty = spark.createDataFrame([], DOCS)
+    assert fingerprint.edits(empty, fingerprint.lexicon(empty)).count() == 0
+    one = spark.createDataFrame([doc(1, "alone here")], DOCS)
+    r = fingerprint.edits(one, fingerprint.lexicon(one)).first()
+    assert r.edited_sha256 == hashlib.sha256(b"alonealone").hexdigest() and r.near_next == 1.0

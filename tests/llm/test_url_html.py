@@ -1,0 +1,119 @@
+"""URL rules against brute force and SQL, HTML extraction on hand-written and given pages."""
+
+import html
+import os
+import random
+import re
+
+import duckdb
+import pytest
+from conftest import SMOKE_DIR
+from llm.helpers import tables
+
+from lookback.llm import html_text, queries, url_rules
+from lookback.llm.oracle import ORACLE_SQL
+
+
+def brute(url, rules, default="allow"):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host, path = re.match(r"([^/?#]*)([^?#]*)", rest, re.S).groups()
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = []
+    for verdict, rule in rules:
+        h, slash, p = rule.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith(slash + p) and host:
+            fits.append((len(rule), len(h), rule, verdict))
+    best = max(fits) if fits else (0, 0, None, default)
+    return host, path, best[2], best[3]
+
+
+URLS = [None, "", "no scheme", "://", "http://", "http:///x", "HTTP://WWW.Example.COM/en/1?x#y", "https://example.com/en",
+        "https://example.com/en/", "https://xexample.com/en/", "http://a.b.net/es/1", "http://net/es/", "http://a.net?/es/",
+        "http://a..com/x", "http://.com/", "https://example.com:80/en/", "http://é.com/en/#", "http://a.com/b://c.net/es/", "x" * 5000 + "://com/"]
+
+
+def test_rules_of_the_query(spark, tmp_path):
+    rows = [(i, u, None) for i, u in enumerate(URLS)] + [(3, "https://example.com/en/", None), (None, "http://a.net/fr/", None)]
+    root = tables(spark, str(tmp_path), pages=spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = sorted(map(tuple, queries.op1_url_rules(spark, root).collect()), key=repr)
+    assert got == sorted([(i, *brute(u, queries.URL_RULES)) for i, u, _ in rows], key=repr)
+
+
+def test_random_rules_and_a_hot_host(spark):
+    rng = random.Random(4)
+    hosts = ["a.com", "b.a.com", "com", "c.b.a.com", "org", "x.org", "z.y.x.org"]
+    paths = ["", "/", "/p", "/p/", "/p/q", "/q/", "/pa"]
+    rules = list({rng.choice(hosts) + rng.choice(paths): rng.choice(["allow", "block"]) for _ in range(40)}.items())
+    rules = [(v, r) for r, v in rules]
+    urls = [f"http://{rng.choice(hosts + ['n.com', 'w.x.org'])}{rng.choice(paths)}{rng.choice(['', 'r', '?k', '/1'])}" for _ in range(400)]
+    urls += [f"http://hot.a.com/p/{i}" for i in range(300)]
+    df = spark.createDataFrame([(i, u, "k") for i, u in enumerate(urls)], "page_id long, url string, verdict string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_rules.judge(df, url_rules.rules_frame(spark, rules)).collect()}
+    assert got == {i: brute(u, rules) for i, u in enumerate(urls)}
+
+
+def test_no_pages_and_no_rules(spark):
+    empty = spark.createDataFrame([], "page_id long, url string")
+    assert url_rules.judge(empty, url_rules.rules_frame(spark, queries.URL_RULES)).count() == 0
+    one = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
+    row = url_rules.judge(one, spark.createDataFrame([], url_rules.RULES), default="block").first()
+    assert (row.rule, row.verdict) == (None, "block")
+
+
+def test_native_plan(spark):
+    plan = queries.op1_url_rules(spark, SMOKE_DIR)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE_DIR), reason="no driver test data")
+def test_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SMOKE_DIR}/pages.parquet'")
+    want = con.execute(ORACLE_SQL["op1_url_rules"]).fetchall()
+    got = [tuple(r) for r in queries.op1_url_rules(spark, SMOKE_DIR).select("page_id", "host", "path", "rule", "verdict").collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+PAGES = {
+    None: "", "": "", "plain &amp; simple\n text": "plain & simple text", "<p>a<br>b": "a b",
+    "<html><body><nav><a href=x>Menu</a></nav><div class='content'><h2>Head</h2><p>A long paragraph of the article itself, with words."
+    "<p>Short.</p><ul><li>one<li>two</ul><div class='comments'><p>what a fine and long reader comment this is</div></div>"
+    "<aside>side</aside><footer>foot</footer></body></html>":
+        "Head A long paragraph of the article itself, with words. Short. one two",
+    "<body><div id='cookie-notice'>We use cookies, a long notice to read</div><section><p>First paragraph of the text, long enough.</p>"
+    "<p>x</p></section><form><label>Mail</label><input></form><div class='ad'>Buy now</div></body>":
+        "First paragraph of the text, long enough. x",
+    "<article><script>var a='<p>no</p>';</script><style>p{}</style><p>&lt;b&gt; &#233;&nbsp;x&hellip;</p><!-- no --></article>":
+        "<b> é x…",
+    "<article><header><p>by me</p></header><p>Text one</p><section role='complementary'>no</section><p hidden>no</p></article>": "Text one",
+    "<body><article><p>unclosed <b>bold": "unclosed bold",
+    "<nav>only a menu</nav>": "",
+    "<p>a</p></div></p></article><p>b</p>": "a b",
+}
+
+
+def test_hand_written_pages():
+    for page, want in PAGES.items():
+        assert html_text.main_text(page) == want, page
+
+
+def test_query_on_edge_rows(spark, tmp_path):
+    rows = [(i, f"u{i}", p, "x") for i, p in enumerate(PAGES)] + [(None, None, "<p>z</p>", "x"), (0, "u0", None, "x")]
+    root = tables(spark, str(tmp_path), pages=spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
+    got = sorted((tuple(r) for r in queries.op9_html_text(spark, root).collect()), key=repr)
+    assert got == sorted([(i, u, html_text.main_text(p), len(html_text.main_text(p))) for i, u, p, _ in rows], key=repr)
+
+
+def test_long_and_deep_pages():
+    long = "<article>" + "".join(f"<p>paragraph {i} of the text</p>" for i in range(20000)) + "</article>"
+    assert html_text.main_text(long).count("paragraph") == 20000
+    deep = "<div>" * 5000 + "deep text" + "<i>" * 5000 + "more"
+    assert html_text.main_text(deep) == "deep textmore"
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE_DIR), reason="no driver test data")
+def test_given_pages_give_the_whole_article(spark):
+    for r in queries.op9_html_text(spark, SMOKE_DIR).join(spark.read.parquet(f"{SMOKE_DIR}/pages.parquet").drop("url"), "page_id").collect():
+        body = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1|br)>", "\n", re.search(r"<article>(.*?)</article>", r.html, re.S)[1]))
+        want = " ".join(x for x in (" ".join(html.unescape(line).split()) for line in body.split("\n")) if x)
+        assert r.text == want and r.n_chars == len(want)
