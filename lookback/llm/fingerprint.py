@@ -55,7 +55,7 @@ def term_hashes(text: str | None) -> np.ndarray:
     from xxhash import xxh3_64_intdigest
 
     terms = set(TERM.findall((text or "").lower()))
-    out = np.fromiter((xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms), np.uint64, len(terms))
+    out = np.fromiter(map(xxh3_64_intdigest, terms), np.uint64, len(terms))
     out.sort()
     return out
 
@@ -95,13 +95,8 @@ def _counts(parts: list[np.ndarray], docs_here: int) -> pa.RecordBatch:
                                        pa.array(np.append(n[terms != 0], docs_here).astype(np.int64))], names=["term", "n"])
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-_SEEDS = _mixed(np.arange(1, SUBSETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+#: One odd multiplier per subset: the high bits of multiplier * term are the term's draw in it.
+_SEEDS = (np.random.default_rng(17).integers(0, 1 << 63, SUBSETS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
 def fingerprint(text: str | None, band: np.ndarray) -> str:
@@ -116,16 +111,23 @@ def fingerprint(text: str | None, band: np.ndarray) -> str:
         whole = hashlib.sha256((text or "").encode("utf-8", "surrogatepass")).hexdigest()
         return "0:" + ".".join([whole[:4]] * SUBSETS) + ";x:" + whole
     level = min(LEVELS, max(0, round(np.log(len(kept)) / np.log(4) + 0.5)))
-    out = []
-    for lv in (level, level + 1):
-        hashes = []
-        for seed in _SEEDS:
-            drawn = _mixed(kept ^ seed)
-            # The subset of a level holds the terms whose draw falls under its rate; terms are sorted already.
-            mine = kept[drawn >> np.uint64(64 - 2 * lv) == 0] if lv else kept
-            hashes.append(f"{zlib.crc32(mine.tobytes(), int(seed & np.uint64(0xFFFFFFFF))) & 0xFFFF:04x}" if len(mine) else "-")
-        out.append(f"{lv}:" + ".".join(hashes))
-    return ";".join(out)
+    # The subset of a level holds the terms whose draw falls under its rate, so that of the next level is
+    # part of it.  Terms are distinct and sorted already.
+    draws = kept[None, :] * _SEEDS[:, None]
+    return ";".join(f"{lv}:{_hashes(kept, draws, lv)}" for lv in (level, level + 1))
+
+
+def _hashes(kept: np.ndarray, draws: np.ndarray, level: int) -> str:
+    """The hash of the terms of each subset of a level, dot by dot."""
+    out = ["-"] * SUBSETS
+    inside = draws < np.uint64(1 << (64 - 2 * level)) if level else np.ones(draws.shape, bool)
+    subset, term = np.nonzero(inside)
+    cuts = np.searchsorted(subset, np.arange(SUBSETS + 1)).tolist()
+    members = kept[term].tobytes()
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if b > a:
+            out[i] = f"{zlib.crc32(members[8 * a:8 * b], i) & 0xFFFF:04x}"
+    return ".".join(out)
 
 
 def likeness(a: str, b: str) -> float:
