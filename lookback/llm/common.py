@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch.  Texts may be long, so batches are kept short.
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -76,11 +77,12 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches at BATCH_ROWS rows at most, so that long texts don't fill a worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Keep Arrow batches at BATCH_ROWS rows and BATCH_BYTES, so that long texts don't fill a worker."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(spark.conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
 
 
 def map_batches(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFrame:
