@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_code, short_batches
+from .common import ship_code, short_batches, tidy
 
 #: Bits for each key, as long as the map stays under MAX_BITS (2^29 bits are 64 MB).
 BITS_PER_KEY = 64
@@ -48,7 +48,7 @@ def bit_map(keys: DataFrame, column: str) -> BitMap:
             yield pa.RecordBatch.from_arrays([pa.array(_positions(b.column(0).to_numpy(zero_copy_only=False), bits), pa.int64())], names=["at"])
 
     # Position p goes to block p / 32768; the functions count positions from 1 in blocks from 1.
-    rows = (keys.select(column).where(F.col(column).isNotNull()).mapInArrow(place, "at long")
+    rows = (keys.select(column).where(F.col(column).isNotNull()).mapInArrow(tidy(place), "at long")
             .groupBy(F.expr("bitmap_bucket_number(at + 1)").alias("block"))
             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1))").alias("bits")).collect())
     full = np.zeros(bits // 8, np.uint8)
@@ -74,4 +74,4 @@ def split_rows(rows: DataFrame, held: BitMap, id_col: str) -> tuple[DataFrame, D
 
         return run
 
-    return keyed.mapInArrow(chosen(False), fields), keyed.mapInArrow(chosen(True), fields)
+    return keyed.mapInArrow(tidy(chosen(False)), fields), keyed.mapInArrow(tidy(chosen(True)), fields)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_code, short_batches, shuffle_partitions, written
+from .common import ship_code, short_batches, shuffle_partitions, tidy, written
 
 SUBSETS = 64
 #: The rates of the levels are 4^-level.
@@ -78,7 +78,7 @@ def lexicon(docs: DataFrame, low: float = 1 / 5000, high: float = 1 / 20, text_c
                     parts, held, docs_here = [], 0, 0
         yield _counts(parts, docs_here)
 
-    counts = docs.select(docs[text_col]).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = docs.select(docs[text_col]).mapInArrow(tidy(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     counts = written(counts, "terms")
     total = counts.where("term = 0").agg(F.sum("n").alias("n")).first()["n"] or 0
     band = counts.where((F.col("term") != 0) & (F.col("n") >= low * total) & (F.col("n") <= max(1.0, high * total)))
@@ -157,7 +157,7 @@ def fingerprints(docs: DataFrame, band: np.ndarray, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.string())], names=["doc_id", "fingerprint"])
 
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
-        run, f"doc_id {kind}, fingerprint string")
+        tidy(run), f"doc_id {kind}, fingerprint string")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
@@ -189,15 +189,15 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
                                              names=["part", "key"])
 
     schema = "part int, key long, raw binary, tie long"
-    packed = rows.mapInArrow(pack, schema).withColumn("ahead", F.lit(False))
+    packed = rows.mapInArrow(tidy(pack), schema).withColumn("ahead", F.lit(False))
     # The first row of each range that has rows: as many as there are ranges.
-    lows = {r["part"]: r["key"] for r in rows.select("key").mapInArrow(places, "part int, key long").groupBy("part")
+    lows = {r["part"]: r["key"] for r in rows.select("key").mapInArrow(tidy(places), "part int, key long").groupBy("part")
             .agg(F.min("key").alias("key")).collect()}
     if not lows:
         return packed
     order = sorted(lows)
     before = F.create_map(*[F.lit(x) for i, p in enumerate(order) for x in (p, order[i - 1])])
-    firsts = (rows.where(F.col("key").isin(list(lows.values()))).mapInArrow(pack, schema).groupBy("part")
+    firsts = (rows.where(F.col("key").isin(list(lows.values()))).mapInArrow(tidy(pack), schema).groupBy("part")
               .agg(F.min(F.struct("key", "tie", "raw")).alias("x")))
     return packed.unionByName(firsts.select(before[F.col("part")].alias("part"), "x.key", "x.raw", "x.tie", F.lit(True).alias("ahead")))
 
@@ -231,5 +231,5 @@ def edits(docs: DataFrame, band: np.ndarray, id_col: str = "doc_id", text_col: s
 
     return (rows.repartition("part").sortWithinPartitions("part", "ahead", "key", "tie", "raw")
             .select("part", "ahead", "key", "raw")
-            .mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+            .mapInArrow(tidy(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                              "near_edited double, near_next double"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_code, short_batches, without
+from .common import ship_code, short_batches, tidy, without
 
 #: Trigram hash buckets per language: the model's size is this times the number of languages.
 BUCKETS = 1 << 16
@@ -116,7 +116,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
                                              names=["lang", "at", "n"])
 
     part = docs.select(docs[text_col].alias("text"), docs[lang_col].cast("string").alias("lang")).where(
-        "text is not null and lang is not null").mapInArrow(run, "lang string, at int, n long")
+        "text is not null and lang is not null").mapInArrow(tidy(run), "lang string, at int, n long")
     rows = part.groupBy("lang", "at").agg(F.sum("n").alias("n"))
     table = rows.toArrow()
     langs = sorted(set(table["lang"].to_pylist()))
@@ -262,4 +262,4 @@ def with_language(docs: DataFrame, model: Model, penalty: float = 14.0, word_cap
                                              names=names + ["lang_pred", "score"] + (["spans"] if spans else []))
 
     more = ", spans array<struct<start: int, end: int, lang: string>>" if spans else ""
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double{more}")
+    return docs.mapInArrow(tidy(run), f"{fields}, lang_pred string, score double{more}")

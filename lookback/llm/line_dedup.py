@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_map, split_rows
-from .common import ship_code, short_batches, without, written
+from .common import ship_code, short_batches, tidy, without, written
 
 #: A boundary follows one of so many pairs of lines on average.
 DIVISOR = 4
@@ -90,7 +90,7 @@ def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_c
                 keys += [_key(_chunk(lines, *u)) for u in found]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], names=["key"])
 
-    often = written(frame.mapInArrow(hashes, "key long").groupBy("key").agg(F.count("*").alias("n"))
+    often = written(frame.mapInArrow(tidy(hashes), "key long").groupBy("key").agg(F.count("*").alias("n"))
                     .where("n > 1").select("key"), "line-keys")
     held = bit_map(often, "key")
 
@@ -107,7 +107,7 @@ def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_c
                 [pa.array(cols[0], b.schema.field(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
                  pa.array(cols[3], pa.binary())], names=["doc_id", "start", "count", "raw"])
 
-    found = written(frame.mapInArrow(bodies, f"doc_id {kind}, start int, count int, raw binary")
+    found = written(frame.mapInArrow(tidy(bodies), f"doc_id {kind}, start int, count int, raw binary")
                     .withColumn("key", F.xxhash64("raw")), "line-chunks")
     # Grouping by the bytes is the comparison.  As nearly every key then stands for one chunk, the
     # occurrences find it by the key alone, and only those of clashing keys by their bytes.
@@ -177,4 +177,4 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
     # A sort-merge join at every size: the texts with marks are a share of all, never a side to broadcast,
     # and a plan that broadcast the marks of a small input would only hide the shuffle of a large one.
     joined = some.join(marks.hint("merge"), some[id_col] == F.col("__lb_id"), "left").drop("__lb_id")
-    return whole.unionByName(joined.mapInArrow(run, f"{fields}, removed_lines long, removed_words long"))
+    return whole.unionByName(joined.mapInArrow(tidy(run), f"{fields}, removed_lines long, removed_words long"))

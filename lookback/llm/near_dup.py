@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_map, split_rows
-from .common import ship_code, short_batches, written
+from .common import ship_code, short_batches, tidy, written
 
 #: Longest list whose pairs are all tried, as unlinked members per list.
 LIST_PAIRS = 16
@@ -90,12 +90,6 @@ def _set_key(values: np.ndarray) -> int:
     return int(np.uint64(xxh3_64_intdigest(values.tobytes())).view(np.int64))
 
 
-def _row_key(doc: object, key: int) -> int:
-    from xxhash import xxh3_64_intdigest
-
-    return int(np.uint64(xxh3_64_intdigest(f"{doc}/{key}".encode())).view(np.int64))
-
-
 def sketches(docs: DataFrame, width: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n, key, sketch`` of every row; ``key`` names the set and is null for an empty one."""
     ship_code(docs.sparkSession)
@@ -111,7 +105,7 @@ def sketches(docs: DataFrame, width: int, k: int, id_col: str = "doc_id", text_c
                  _lists([s[:k] for s in sets])], names=["doc_id", "n", "key", "sketch"])
 
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n long, key long, sketch array<long>")
+        tidy(run), f"doc_id {kind}, n long, key long, sketch array<long>")
 
 
 class Linker:
@@ -177,25 +171,20 @@ class Linker:
         wanted = ids.distinct()
         reps = written(self.base.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
                        .join(wanted.withColumnRenamed("id", "key"), "key", "left_semi"), "near-wanted")
-        def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for x in batches:
-                at = [_row_key(d, k) for d, k in zip(x.column(0).to_pylist(), x.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], names=["at"])
-
-        held = bit_map(reps.select("doc_id", "key").mapInArrow(names, "at long"), "at")
+        # A row is named by a hash of its id and the key of its set: one row for each wanted set.
+        held = bit_map(reps.select(F.xxhash64("doc_id").bitwiseXOR(F.col("key")).alias("at")), "at")
         width = self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x in batches:
-                sets = [shingles(t, width) for t in x.column(1).to_pylist()]
-                keys = [_set_key(s) if len(s) else 0 for s in sets]
-                rows = np.array([_row_key(d, k) for d, k in zip(x.column(0).to_pylist(), keys)], np.int64)
-                take = [i for i in np.flatnonzero(held.has(rows)).tolist() if len(sets[i])]
+                sets = [shingles(t, width) for t in x.column(0).to_pylist()]
+                keys = np.array([_set_key(s) if len(s) else 0 for s in sets], np.int64)
+                mine = held.has(x.column(1).to_numpy(zero_copy_only=False) ^ keys)
+                take = [i for i in np.flatnonzero(mine).tolist() if len(sets[i])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[i] for i in take], pa.int64()), pa.array([sets[i].tobytes() for i in take], pa.binary())],
-                    names=["key", "values"])
+                    [pa.array(keys[take]), pa.array([sets[i].tobytes() for i in take], pa.binary())], names=["key", "values"])
 
-        found = self.docs.select(self.docs[self.id_col], self.docs[self.text_col]).mapInArrow(run, "key long, values binary")
+        found = self.docs.select(self.docs[self.text_col], F.xxhash64(self.docs[self.id_col]).alias("at")).mapInArrow(tidy(run), "key long, values binary")
         return written(found.dropDuplicates(["key"]), "near-sets")
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -218,7 +207,7 @@ class Linker:
 
         joined = (pairs.join(sets.select(F.col("key").alias("b"), F.col("values").alias("v_b")), "b")
                   .join(sets.select(F.col("key").alias("a"), F.col("values").alias("v_a")), "a").select("a", "b", "v_a", "v_b"))
-        return joined.mapInArrow(run, "a long, b long, n_b long, distance double, linked boolean")
+        return joined.mapInArrow(tidy(run), "a long, b long, n_b long, distance double, linked boolean")
 
     def among(self, star: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
         """Links between members of a hub's long lists that are in different components yet."""

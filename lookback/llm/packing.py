@@ -18,6 +18,7 @@ equal keys are allowed (repeated rows): they are packed as separate items; a nul
 
 from __future__ import annotations
 
+import functools
 import math
 import unicodedata
 from bisect import bisect_left, insort
@@ -28,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, ship_code, shuffle_partitions, written
+from .common import map_batches, ship_code, shuffle_partitions, tidy, written
 
 #: What the tokenizer splits at, besides white space: fixed by its file's pre-tokenizer.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -37,8 +38,8 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 ODD = regex.compile("<\\||[\x1c-\x1fΣİ᠎​﻿�]|\\p{Cn}|\\p{Co}")
 CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 #: Words, and pieces of words, kept with their ids by each worker: 150 to 200 bytes each.
-CACHE_WORDS = 1_200_000
-CACHE_PIECES = 1_000_000
+CACHE_WORDS = 900_000
+CACHE_PIECES = 800_000
 _tokenizers: dict = {}
 
 
@@ -62,19 +63,26 @@ class WordIds:
         import numpy as np
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        # For pieces that are normalised and split already: the same model behind a split at spaces.
+        self.path = path
+        # For pieces that are normalised and split already: the file's model behind a split at spaces.
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.tokenizer.get_vocab()
+        vocab = self.plain.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.np = np
 
+    @functools.cached_property
+    def tokenizer(self):
+        """The file's tokenizer as it is; most workers never need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def whole(self, text: str) -> bytes:
         return self.np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -194,7 +202,7 @@ def pack(items: DataFrame, capacity: int = 2048, nearly_full: float = 0.995, tas
         task = F.pmod(F.xxhash64("members", F.lit(level)), F.lit(tasks)).cast("int")
         packed = written(bins.select("members", "filled", task.alias("task")).repartition(tasks, "task")
                          .select("members", "filled", F.xxhash64("members").alias("spot"))
-                         .mapInArrow(lambda batches, level=level: _merge(batches, capacity, level), schema), f"pack-{level}")
+                         .mapInArrow(tidy(lambda batches, level=level: _merge(batches, capacity, level)), schema), f"pack-{level}")
         under = packed.where(F.col("filled") < full).count()
         if tasks == 1 or level == max_rounds or under > 0.98 * left:
             done.append(packed)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_code, short_batches
+from .common import ship_code, short_batches, tidy
 from .lang_id import letters
 
 BUCKETS = 1 << 18
@@ -122,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000, id_col: str
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(2), pa.array(made, pa.binary())], names=["id", "label", "found"])
 
     kind = labels.schema[id_col].dataType.simpleString()
-    held = rows.select("_id", "_text", "_label").mapInArrow(run, f"id {kind}, label int, found binary").toArrow().sort_by("id")
+    held = rows.select("_id", "_text", "_label").mapInArrow(tidy(run), f"id {kind}, label int, found binary").toArrow().sort_by("id")
     return fit([np.frombuffer(f.as_buffer(), np.int32) for f in held["found"]], held["label"].to_numpy())
 
 
@@ -140,4 +140,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                                              names=["doc_id", "score", "predicted"])
 
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
-        run, f"doc_id {kind}, score double, predicted int")
+        tidy(run), f"doc_id {kind}, score double, predicted int")
