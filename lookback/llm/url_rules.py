@@ -85,11 +85,11 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
              .where(F.col("_uhost").isNotNull() & F.col("verdict").isNotNull())
              .groupBy("_uhost", "_upath").agg(F.max("verdict").alias("verdict")))
     hosts = rules.groupBy("_uhost").agg(F.count("*").alias("_urules"))
-    labels = rules.agg(F.max(F.size(F.split("_uhost", r"\."))).alias("_ulabels"))
+    labels = rules.agg(F.max(F.size(F.split("_uhost", r"\.")))).scalar()  # the most labels of a rule host
 
     # A url once for each of its host suffixes that is a rule host.
     keys = (rows.select("_uhost", "_upath").where("_uhost != ''").distinct()
-            .crossJoin(F.broadcast(labels))  # one row: the most labels of a rule host
+            .withColumn("_ulabels", labels)
             .withColumn("_uparts", F.split("_uhost", r"\."))
             .withColumn("_un", F.size("_uparts"))
             .select("_uhost", "_upath", F.explode(F.expr(
@@ -100,8 +100,8 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     # Cells: a rule host gets as many as its share of the urls asks for, bounded by urls per rule.
     spread = 4 * shuffle_partitions(urls.sparkSession)
     counts = keys.groupBy("_ukey", "_urules").agg(F.count("*").alias("_uurls"))
-    total = counts.agg(F.sum("_uurls").alias("_utotal"))
-    cells = (counts.crossJoin(F.broadcast(total))  # one row: the number of keys
+    total = counts.agg(F.sum("_uurls")).scalar()
+    cells = (counts.withColumn("_utotal", total)
              .select("_ukey", F.greatest(F.lit(1), F.least(
                  F.ceil(F.lit(spread) * F.col("_uurls") / F.col("_utotal")),
                  F.floor(F.col("_uurls") / F.col("_urules")))).cast("int").alias("_ucells")))
