@@ -96,8 +96,8 @@ def test_parse_code_text(spark):
 
 
 def test_jdbc_options_only(spark):
-    q = overlap_query("medicare.admissions", "bene_id", "diagnoses", ["331.0", "O'1"], limit=10)
-    assert q == ("SELECT bene_id, diagnoses FROM medicare.admissions WHERE diagnoses && "
+    q = overlap_query("claims.events", "bene_id", "diagnoses", ["331.0", "O'1"], limit=10)
+    assert q == ("SELECT bene_id, diagnoses FROM claims.events WHERE diagnoses && "
                  "ARRAY['331.0','O''1'] LIMIT 10")
     with pytest.raises(ValueError):
         overlap_query("t", "i", "a", [])
