@@ -7,7 +7,9 @@ of ``documents``.
 * language: rows whose text has no letter (``und``) go; a missing language is filled with the one found.
 * lines: repeated passages are removed from texts; a text with nothing left (all of it stands in
   earlier documents) goes.  Texts that were empty before are no passage's copy and stay.
-* near: of each group of near-duplicates (five words, 0.8) the smallest id stays.
+* near: of each group of near-duplicates (five words, 0.8) the smallest id stays; then repeated passages that
+  start or end inside lines are removed from what stays (before, near-duplicates would be cut to fragments
+  that no longer look alike), and a text with nothing left goes.
 * mixing: documents are sampled to the raked source, language and topic shares.
 * packing: the pieces of what is left, placed in sequences of 2048 tokens.
 """
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookback.llm import lang_id, line_dedup, mixing, near_dup, packing
+from lookback.llm import lang_id, line_dedup, mixing, near_dup, packing, passages
 from lookback.llm.common import written
 from lookback.llm.queries import MIX_TARGETS, tokenizer_path
 
@@ -30,13 +32,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stripped = line_dedup.dedup_lines(docs).where("removed_lines = 0 or text != ''")
+    return _measured(line_dedup.dedup_lines(docs).where("removed_lines = 0 or text != ''"), docs)
+
+
+def _measured(stripped: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` with ``n_chars`` of the stripped text."""
     return stripped.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
                              for c in docs.columns])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.keep_one(docs)
+    one = written(near_dup.keep_one(docs), "near-one")
+    return _measured(passages.dedup_passages(one).where("cut_words = 0 or text != ''"), docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import passages
 from .bits import bit_map, split_rows
 from .common import ship_code, short_batches, tidy, without, written
 
@@ -152,6 +153,17 @@ def strip(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str,
     return "\n".join(x for x, g in zip(lines, gone) if not g), int(gone.sum()), words
 
 
+def dedup(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``dedup_lines``, then repeated passages that start or end inside lines; both count as removed."""
+    docs = without(docs, ("removed_lines", "removed_words"))
+    names = docs.columns
+    # The hash of the whole text goes along: rows that become equal only now are still two documents.
+    lines = dedup_lines(docs.withColumn("__lb_text", F.xxhash64(docs[text_col])), min_words, id_col, text_col)
+    cut = passages.dedup_passages(lines, min_words, id_col, text_col, "__lb_text")
+    return cut.select(*names, (F.col("removed_lines") + F.col("cut_lines")).alias("removed_lines"),
+                      (F.col("removed_words") + F.col("cut_words")).alias("removed_words"))
+
+
 def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with the stripped text, and ``removed_lines``, ``removed_words`` (long)."""
     docs = without(docs, ("removed_lines", "removed_words"))
@@ -177,4 +189,6 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
     # A sort-merge join at every size: the texts with marks are a share of all, never a side to broadcast,
     # and a plan that broadcast the marks of a small input would only hide the shuffle of a large one.
     joined = some.join(marks.hint("merge"), some[id_col] == F.col("__lb_id"), "left").drop("__lb_id")
-    return whole.unionByName(joined.mapInArrow(tidy(run), f"{fields}, removed_lines long, removed_words long"))
+    # Written, as what follows reads them more than once.
+    stripped = written(joined.mapInArrow(tidy(run), f"{fields}, removed_lines long, removed_words long"), "line-stripped")
+    return whole.unionByName(stripped)

@@ -63,7 +63,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines", "removed_words")
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines", "removed_words")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
