@@ -16,9 +16,10 @@ map of ids, pass through.  A chunk that a third of the documents hold is
 one group in a reducible aggregation and a hot key of an equi-join, which AQE splits.
 
 Defined cases: null text stays null, empty text stays empty, nothing is removed; rows with a null id
-keep their text and are no one's first occurrence; rows that repeat an id count as one document;
-lines end at "\\n" and are compared with all their bytes; input columns called like one that is made are
-replaced, other columns are kept (names with ``__lb_`` are reserved).
+keep their text and are no one's first occurrence; rows that repeat an id and the whole
+text count as one document, rows with one id and different texts as several; lines end at "\\n" and are
+compared with all their bytes; input columns called like one that is made are replaced, other columns
+are kept (names with ``__lb_`` are reserved).
 """
 
 from __future__ import annotations
@@ -76,11 +77,14 @@ def _key(raw: bytes) -> int:
 
 
 def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, count) of every chunk that occurs, byte for byte, in an earlier place too."""
+    """(doc_id, same, start, count) of every chunk that occurs, byte for byte, in an earlier place too.
+
+    ``same`` is a hash of the whole text: rows with one id and different texts are different documents.
+    """
     ship_code(docs.sparkSession)
     short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    frame = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).where(
+    frame = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("same")).where(
         "doc_id is not null and text is not null and text != ''")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,30 +102,30 @@ def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_c
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc, text, same in zip(*(b.column(i).to_pylist() for i in range(3))):
                 lines, found = units(text, min_words)
                 raw = [_chunk(lines, *u) for u in found]
                 keys = np.array([_key(x) for x in raw], np.int64)
-                rows += [(doc, *found[i], raw[i]) for i in np.flatnonzero(held.has(keys)).tolist()]
-            cols = list(zip(*rows)) if rows else [(), (), (), ()]
+                rows += [(doc, same, *found[i], raw[i]) for i in np.flatnonzero(held.has(keys)).tolist()]
+            cols = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], b.schema.field(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
-                 pa.array(cols[3], pa.binary())], names=["doc_id", "start", "count", "raw"])
+                [pa.array(cols[0], b.schema.field(0).type), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
+                 pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())], names=["doc_id", "same", "start", "count", "raw"])
 
-    found = written(frame.mapInArrow(tidy(bodies), f"doc_id {kind}, start int, count int, raw binary")
+    found = written(frame.mapInArrow(tidy(bodies), f"doc_id {kind}, same long, start int, count int, raw binary")
                     .withColumn("key", F.xxhash64("raw")), "line-chunks")
     # Grouping by the bytes is the comparison.  As nearly every key then stands for one chunk, the
     # occurrences find it by the key alone, and only those of clashing keys by their bytes.
-    groups = written(found.groupBy("key", "raw").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")),
+    groups = written(found.groupBy("key", "raw").agg(F.min(F.struct("doc_id", "same", "start")).alias("first"), F.count("*").alias("n")),
                      "line-groups")
     one = (groups.groupBy("key").agg(F.count("*").alias("chunks"), F.max("n").alias("n"), F.min("first").alias("first"))
            .where("chunks = 1 and n > 1").select("key", "first"))
     clash = groups.groupBy("key").agg(F.count("*").alias("chunks")).where("chunks > 1").select("key")
     clash = written(groups.where("n > 1").join(clash, "key", "left_semi").select("key", "raw", "first"), "line-clashes")
-    places = ["doc_id", "start", "count", "first"]
-    return (found.select("key", "doc_id", "start", "count").join(one, "key").select(*places)
+    places = ["doc_id", "same", "start", "count", "first"]
+    return (found.select("key", "doc_id", "same", "start", "count").join(one, "key").select(*places)
             .unionByName(found.join(clash, ["key", "raw"]).select(*places))
-            .where("doc_id != first.doc_id or start != first.start").select("doc_id", "start", "count"))
+            .where("doc_id != first.doc_id or same != first.same or start != first.start").select("doc_id", "same", "start", "count"))
 
 
 def strip(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str, int, int]:
@@ -167,9 +171,9 @@ def dedup(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col
 def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with the stripped text, and ``removed_lines``, ``removed_words`` (long)."""
     docs = without(docs, ("removed_lines", "removed_words"))
-    marks = (repeats(docs, min_words, id_col, text_col).groupBy("doc_id")
+    marks = (repeats(docs, min_words, id_col, text_col).groupBy("doc_id", "same")
              .agg(F.collect_list(F.struct("start", "count")).alias("__lb_spans"))  # bounded by the document's lines
-             .withColumnRenamed("doc_id", "__lb_id"))
+             .withColumnsRenamed({"doc_id": "__lb_id", "same": "__lb_of"}))
     marks = written(marks, "line-marks")
     held = bit_map(marks.select(F.xxhash64("__lb_id").alias("at")), "at")
     names = docs.columns
@@ -188,7 +192,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
     whole = whole.selectExpr("*", "0L AS removed_lines", "0L AS removed_words")
     # A sort-merge join at every size: the texts with marks are a share of all, never a side to broadcast,
     # and a plan that broadcast the marks of a small input would only hide the shuffle of a large one.
-    joined = some.join(marks.hint("merge"), some[id_col] == F.col("__lb_id"), "left").drop("__lb_id")
+    joined = some.join(marks.hint("merge"), (some[id_col] == F.col("__lb_id")) & (F.xxhash64(some[text_col]) == F.col("__lb_of")),
+                       "left").drop("__lb_id", "__lb_of")
     # Written, as what follows reads them more than once.
     stripped = written(joined.mapInArrow(tidy(run), f"{fields}, removed_lines long, removed_words long"), "line-stripped")
     return whole.unionByName(stripped)

@@ -6,7 +6,7 @@ from collections import defaultdict
 
 from llm.helpers import DOCS, random_words, tables
 
-from lookback.llm import passages, queries
+from lookback.llm import line_dedup, passages, queries
 
 
 def windows_brute(rows, n=50):
@@ -79,3 +79,15 @@ def test_cut_keeps_line_breaks():
                               (f"{p} b", "b", 0), (f"a {p}\n", "a", 0)):
         at = text[:text.index(p)].count(" ") + text[:text.index(p)].count("\n")
         assert passages.cut(text, [at], 50) == (want, lines, 50), text
+
+
+def test_one_id_on_two_texts(spark):
+    """Spans of one row say nothing of the other row's lines; a row twice is no copy of itself."""
+    rng = random.Random(3)
+    passage = "\n".join(random_words(rng, 20) for _ in range(3))
+    clean = "\n".join(random_words(rng, 25) for _ in range(4))
+    rows = [(1, passage + "\nend"), (5, passage + "\nmore"), (5, clean), (7, clean + "\nx"), (7, clean + "\nx"), (8, passage), (8, passage + "\nz")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted([(1, passage + "\nend"), (5, "more"), (5, clean), (7, "x"), (7, "x"), (8, ""), (8, "z")])
+    assert sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect()) == want
+    assert sorted((r.doc_id, r.text) for r in line_dedup.dedup(df).collect()) == want
