@@ -7,9 +7,10 @@ or a word of class and id) are marked as boilerplate and count with ratio 0.  Th
 characters to tags is smoothed over the lines with a Gaussian kernel, and lines above the threshold
 (the standard deviation of the smoothed ratios, or their mean if that is lower) form the clusters.
 
-The cluster with the most text says where the article is: the outermost ``article``, else ``main``,
-else the smallest element that encloses every line of that cluster.  All unmarked lines in there are
-returned in page order, also short ones between clusters, so nothing of the article is dropped.
+The clusters say where the article is: every outermost ``article`` with a line of a cluster, if these hold half
+of the largest cluster's text, else every such ``main``, else the smallest element that encloses all lines of all clusters.
+All unmarked lines in there are returned in page order, also short ones between clusters, so nothing
+of the article is dropped.
 
 Defined cases: null or empty html, or no line with text: empty text; markup that is never closed is
 closed by the end of the page; plain text without tags is returned whole.
@@ -192,20 +193,32 @@ def main_text(html: str | None, radius: int = 2) -> str:
     if not clusters:
         clusters = [[i for i, x in enumerate(lines) if not x[3]]]
     best = max(clusters, key=lambda c: sum(len(lines[i][0]) for i in c))
-    # The element that holds the article: article, else main, else the smallest that encloses the cluster.
-    weight = [0] * len(page.names)
-    for i in best:
-        weight[lines[i][2]] += len(lines[i][0])
-    total = sum(weight)
-    for e in range(len(weight) - 1, 0, -1):  # an element opens after its parent
-        weight[page.parents[e]] += weight[e]
-    root = next((e for name in ("article", "main") for e in range(len(weight))
-                 if page.names[e] == name and 2 * weight[e] >= total), None)
-    if root is None:
-        root = max(e for e in range(len(weight)) if weight[e] == total and (e == 0 or page.names[e] in HOLDERS))
-    inside = [e == root for e in range(len(weight))]
-    for e in range(root + 1, len(weight)):
-        inside[e] = inside[page.parents[e]]
+    # The elements that hold the article: articles, else mains, else the smallest that encloses all clusters.
+    def weights(at: list[int]) -> list[int]:
+        weight = [0] * len(page.names)
+        for i in at:
+            weight[lines[i][2]] += len(lines[i][0])
+        for e in range(len(weight) - 1, 0, -1):  # an element opens after its parent
+            weight[page.parents[e]] += weight[e]
+        return weight
+
+    largest, weight = weights(best), weights([i for c in clusters for i in c])
+    roots: list[int] = []
+    for name in ("article", "main"):
+        within = [False] * len(weight)
+        for e in range(1, len(weight)):
+            within[e] = within[page.parents[e]] or page.names[page.parents[e]] == name
+        outer = [e for e in range(len(weight)) if page.names[e] == name and not within[e] and weight[e]]
+        if outer and 2 * sum(largest[e] for e in outer) >= largest[0]:
+            roots = outer
+            break
+    if not roots:
+        roots = [max(e for e in range(len(weight)) if weight[e] == weight[0] and (e == 0 or page.names[e] in HOLDERS))]
+    inside = [False] * len(weight)
+    for e in roots:
+        inside[e] = True
+    for e in range(1, len(weight)):
+        inside[e] = inside[e] or inside[page.parents[e]]
     return " ".join(text for text, _, e, marked in lines if inside[e] and not marked)
 
 
