@@ -3,7 +3,9 @@
 ``html.parser`` streams its events over a page.  Block tags end a line; a line holds its text, the
 number of its tags, and the chain of elements that enclose it.  Lines inside menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and comment sections (by tag, ARIA role
-or a word of class and id) are marked as boilerplate and count with ratio 0.  The ratio of text
+or a word of class and id) are marked as boilerplate and count with ratio 0.  Headings and sections are
+never marked by a word of their id, and inside an ``article`` or ``main`` a word of class or id marks an element only if
+half of its text is links and buttons or it holds a field to fill in.  The ratio of text
 characters to tags is smoothed over the lines with a Gaussian kernel, and lines above the threshold
 (the standard deviation of the smoothed ratios, or their mean if that is lower) form the clusters.
 
@@ -59,22 +61,27 @@ ENDS_P = frozenset(BLOCK - {"br", "p", "li", "dt", "dd", "tr", "td", "th", "opti
                             "tbody", "thead", "tfoot", "body", "html", "head", "title"})
 #: Elements that may hold an article as a whole; single paragraphs and inline elements don't.
 HOLDERS = frozenset("html body article main section div table tbody tr td center".split())
+#: Elements that an id alone never marks: it is the target of a link to a part of the article.
+PARTS = frozenset("section h1 h2 h3 h4 h5 h6".split())
+CONTROLS = frozenset("input select textarea button".split())
 SCOPE = frozenset("table td th ul ol dl div article section main body html blockquote".split())
 
 
-def _boilerplate(tag: str, attrs: list) -> bool:
+def _boilerplate(tag: str, attrs: list) -> str:
+    """``sure`` (by tag, role or as hidden), ``word`` (by a word of class or id) or nothing."""
     if tag in DROPPED:
-        return True
+        return "sure"
     if tag in NEVER_MARKED:
-        return False
+        return ""
+    said = ""
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "sure"
         if value and name == "role" and value.lower() in ROLES:
-            return True
-        if value and name in ("class", "id") and not WORDS.isdisjoint(_SPLIT.split(value.lower())):
-            return True
-    return False
+            return "sure"
+        if value and (name == "class" or name == "id" and tag not in PARTS) and not WORDS.isdisjoint(_SPLIT.split(value.lower())):
+            said = "word"
+    return said
 
 
 class _Lines(HTMLParser):
@@ -82,10 +89,15 @@ class _Lines(HTMLParser):
 
     Elements are numbered as they open; ``names`` and ``parents`` describe them, so a line needs
     one number for all the elements around it and work stays linear in the page.
+    ``doubted`` are the elements in the article that a word alone marks; those in ``spared`` aren't marked.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, spared: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
+        self.spared = spared
+        self.doubted: list[int] = []
+        # By element: inside an article or main, inside a link or button, letters, those in links, fields.
+        self.central, self.linked, self.size, self.linked_size, self.fields = [False], [False], [0], [0], [0]
         self.lines: list[tuple[str, int, int, bool]] = []
         self.names: list[str] = ["#page"]
         self.parents: list[int] = [-1]
@@ -107,8 +119,10 @@ class _Lines(HTMLParser):
         del self.open[depth:]
 
     def handle_starttag(self, tag, attrs):
-        marked = _boilerplate(tag, attrs)
-        if tag in BLOCK or marked:
+        said = _boilerplate(tag, attrs)
+        if said == "word" and len(self.names) in self.spared:
+            said = ""
+        if tag in BLOCK or said:
             self.end_line()
         ends = ENDS.get(tag) or (ENDS["p"] if tag in ENDS_P else ())
         if any(self.count[x] for x in ends):
@@ -121,10 +135,19 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag not in VOID:
             _, parent, inside = self.open[-1]
-            self.open.append((tag, len(self.names), marked or inside))
+            if said == "word" and self.central[parent]:
+                self.doubted.append(len(self.names))
+            self.central.append(self.central[parent] or tag in ("article", "main"))
+            self.linked.append(self.linked[parent] or tag == "button" or tag == "a" and any(n == "href" for n, _ in attrs))
+            self.size.append(0)
+            self.linked_size.append(0)
+            self.fields.append(int(tag in CONTROLS and tag != "button"))
+            self.open.append((tag, len(self.names), bool(said) or inside))
             self.names.append(tag)
             self.parents.append(parent)
             self.count[tag] += 1
+        elif tag == "input" and not any(n == "type" and v == "hidden" for n, v in attrs):
+            self.fields[self.open[-1][1]] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -147,6 +170,18 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data):
         self.text.append(data)
+        name, e, _ = self.open[-1]
+        if name not in ("script", "style"):
+            n = len(data) - data.count(" ")
+            self.size[e] += n
+            self.linked_size[e] += n * self.linked[e]
+
+    def wrongly_marked(self) -> frozenset[int]:
+        """The doubted elements whose text is neither mostly links nor around fields."""
+        for e in range(len(self.names) - 1, 0, -1):
+            for held in (self.size, self.linked_size, self.fields):
+                held[self.parents[e]] += held[e]
+        return frozenset(e for e in self.doubted if not self.fields[e] and 2 * self.linked_size[e] < self.size[e])
 
 
 def smoothed(values: list[float], radius: int) -> list[float]:
@@ -165,14 +200,21 @@ def smoothed(values: list[float], radius: int) -> list[float]:
     return out
 
 
+def _read(html: str, spared: frozenset[int] = frozenset()) -> _Lines:
+    page = _Lines(spared)
+    page.feed(html)
+    page.close()
+    page.end_line()
+    return page
+
+
 def main_text(html: str | None, radius: int = 2) -> str:
     """The main text of one page; blocks are joined by one space."""
     if not html:
         return ""
-    page = _Lines()
-    page.feed(html)
-    page.close()
-    page.end_line()
+    page = _read(html)
+    if page.doubted and (spared := page.wrongly_marked()):
+        page = _read(html, spared)
     lines = page.lines
     if not any(not x[3] for x in lines):
         return ""
