@@ -4,7 +4,9 @@
 written as Parquet and read again as the next one's ``docs``.  All but the last return the columns
 of ``documents``.
 
-* language: rows whose text has no letter (``und``) go; a missing language is filled with the one found.
+* language: rows go whose text has no letter (``und``), no main language (a score under 0.5, also by letters of
+  scripts that no labelled text has), or surely another language than its label (a score of 0.9 or more); a
+  missing language is filled with the one found.
 * lines: repeated passages are removed from texts; a text with nothing left (all of it stands in
   earlier documents) goes.  Texts that were empty before are no passage's copy and stay.
 * near: of each group of near-duplicates (five words, 0.8) the smallest id stays; then repeated passages that
@@ -25,9 +27,9 @@ from lookback.llm.queries import MIX_TARGETS, tokenizer_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows with letters, whole; ids repeat only if they do in ``docs`` (then they are judged row by row)."""
+    """Rows that language ID accepts, whole; ids repeat only if they do in ``docs`` (then they are judged row by row)."""
     model = lang_id.train(docs)
-    return lang_id.with_language(docs, model).where("lang_pred != 'und'").select(
+    return lang_id.with_language(docs, model).where(lang_id.accepted()).select(
         *[F.coalesce("lang", "lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
 
 

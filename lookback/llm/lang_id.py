@@ -5,7 +5,8 @@ languages that may have written it to those that use the script in the training
 of a word scores every candidate with the log-probability of the character trigram around it (word
 ends count as a character); a word's score is the sum, cut to ``word_cap`` below its best language.
 Viterbi finds the best sequence of languages where each change costs ``penalty``, so a stray word
-changes nothing and a passage in another language becomes a span of its own.
+changes nothing and a passage in another language becomes a span of its own.  The score is the share of all
+letters that the language has, times the logistic of its lead; letters of unknown scripts are no language's.
 
 Training counts hashed trigrams of all labelled training texts with Spark, per task first, then
 summed; the model has ``BUCKETS`` numbers per language whatever the corpus size, and is sent to
@@ -90,6 +91,10 @@ class Model:
         self.uses = (share >= 0.001).T  # script x language
         self.common = int(np.argmax(docs)) if len(docs) else 0
 
+    def known(self, points: np.ndarray) -> np.ndarray:
+        """Whether any language uses the script of each letter."""
+        return self.uses.any(axis=1)[tables()[1][points]]
+
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Counts over all given rows with a language; what comes to the driver is bounded by languages x buckets."""
@@ -200,22 +205,24 @@ def label(texts: list[str | None], model: Model, penalty: float, word_cap: float
     """(language, score, spans) of each whole text; spans count code points, without the end."""
     if not model.langs:
         return [("und", 0.0, [])] * len(texts)
-    words = [word_scores(model, letters(t), word_cap) for t in texts]
+    points = [letters(t) for t in texts]
+    words = [word_scores(model, c, word_cap) for c in points]
     out = []
-    for (at, n, scores), path in zip(words, viterbi([w[2] for w in words], penalty)):
+    for c, (at, n, scores), path in zip(points, words, viterbi([w[2] for w in words], penalty)):
         if not len(at):
             out.append(("und", 0.0, []))
             continue
-        if not scores.any():
+        known = model.known(c[at])
+        if not known.any():
             lang = model.langs[model.common]
             out.append((lang, 0.0, [{"start": int(at[0]) - 1, "end": int(at[-1] + n[-1]) - 1, "lang": lang}]))
             continue
-        held = np.bincount(path, weights=n, minlength=len(model.langs))
+        held = np.bincount(path, weights=n * known, minlength=len(model.langs))
         top = int(np.argmax(held))
         total = scores.sum(axis=0)
         rest = np.delete(total, top)
         margin = float(total[top] - rest.max()) / np.sqrt(len(at)) if len(rest) else 50.0
-        score = float(held[top] / held.sum() / (1 + np.exp(-min(50.0, max(-50.0, margin)))))
+        score = float(held[top] / n.sum() / (1 + np.exp(-min(50.0, max(-50.0, margin)))))
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(path)]])
         out.append((model.langs[top], score, [
             {"start": int(at[a]) - 1, "end": int(at[b - 1] + n[b - 1]) - 1, "lang": model.langs[path[a]]}
@@ -223,6 +230,18 @@ def label(texts: list[str | None], model: Model, penalty: float, word_cap: float
     return out
 
 
+#: Below this score no language has most of a text's letters, or another one fits the whole of it better.
+LEAST_SCORE = 0.5
+#: From this score on, a prediction that is not the label's language contradicts the label.
+SURE_SCORE = 0.9
+
+
+def accepted(lang_col: str = "lang") -> Column:
+    """Whether language ID accepts a row of ``with_language``: letters, one main language, no sure contradiction of its label."""
+    return ((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)
+            & (F.col(lang_col).isNull() | (F.col("lang_pred") == F.col(lang_col)) | (F.col("score") < SURE_SCORE)))
+
+
 def held_out(id_col: Column, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text falls in this part of ``parts``; false for a null id."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % parts == part, F.lit(False))
