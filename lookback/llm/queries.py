@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fingerprint, html_text, lang_id, line_dedup, mixing, near_dup, packing, toxicity, url_rules
+from . import (alignment, ann, fingerprint, html_text, lang_id, line_dedup, mixing, near_dup, packing, spelling,
+               token_counts, toxicity, url_rules)
 
 #: The rules of op1: (verdict, host/path).
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -83,5 +84,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("mix_kept").alias("kept"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, tokenizer_path("piece_bpe_32k.model"), limit=4096)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.agreement(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_rules, op2_near_dup, op3_lang_id, op4_ann, op5_fingerprint, op6_toxicity, op7_line_dedup, op8_packing, op9_html_text,
-                                      op10_mixing)}
+                                      op10_mixing, op11_token_counts, op12_spelling, op13_alignment)}

@@ -1,0 +1,164 @@
+"""op13 against a brute-force version that compares all byte ranges; run skipping; edge rows."""
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+from helpers import DOCS, doc, prose, random_words, tables
+
+from lookback.llm import alignment, queries
+from lookback.llm.queries import tokenizer_path
+
+A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(tokenizer_path(A))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(B))
+    chars = {}
+    extra = 0
+    for x in range(256):  # the byte-level alphabet, as the format has it
+        if 0x21 <= x <= 0x7E or 0xA1 <= x <= 0xAC or 0xAE <= x <= 0xFF:
+            chars[chr(x)] = x
+        else:
+            chars[chr(256 + extra)] = x
+            extra += 1
+
+    def tokens(text):
+        ia = a.encode(" " + text, add_special_tokens=False).ids
+        ib = b.encode(text)
+        ra = [bytes(chars[c] for c in a.id_to_token(i)) for i in ia]
+        rb = []
+        for i in ib:
+            p = b.id_to_piece(i)
+            rb.append(bytes([int(p[3:5], 16)]) if p.startswith("<0x") and len(p) == 6 else p.replace("▁", " ").encode())
+        return ia, ra, ib, rb
+
+    return tokens
+
+
+def brute(rows, tokens):
+    per = []
+    for r in rows:
+        text = r[1] or ""
+        if not text:
+            per.append(None)
+            continue
+        ia, ra, ib, rb = tokens(text)
+        raw = (" " + text).encode()
+        if b"".join(ra) != raw or b"".join(rb) != raw:
+            per.append(None)
+            continue
+        ranges = []
+        for parts in (ra, rb):
+            at, out = 0, []
+            for p in parts:
+                out.append((at, at + len(p)))
+                at += len(p)
+            ranges.append(out)
+        links = [(ia[x], ib[y]) for x, (s, e) in enumerate(ranges[0]) for y, (t, f) in enumerate(ranges[1]) if s < f and t < e]
+        ends = sorted({e for _, e in ranges[0]} & {e for _, e in ranges[1]})
+        groups, last = [], 0
+        for end in ends:
+            groups.append("|".join(",".join(str(i) for i, (s, e) in zip(ids, rr) if last <= s and e <= end) for ids, rr in ((ia, ranges[0]), (ib, ranges[1]))))
+            last = end
+        per.append((len(ia), len(ib), len(groups), links, ";".join(groups)))
+    held = Counter(pair for p in per if p for pair in set(p[3]))
+    top = Counter()
+    for (x, _), n in held.items():
+        top[x] = max(top[x], n)
+    out = []
+    for r, p in zip(rows, per):
+        if p is None:
+            out.append((r[0], 0, 0, 0, 0, 0, 0, ""))
+        else:
+            out.append((r[0], p[0], p[1], p[2], len(p[3]), sum(held[x] == top[x[0]] for x in p[3]), sum(held[x] for x in p[3]),
+                        hashlib.sha256(p[4].encode()).hexdigest()))
+    return out
+
+
+def _rows(rng):
+    rows = [doc(1, None), doc(2, ""), doc(3, " "), doc(4, "  two  spaces "), doc(5, "a▁b plain words"), doc(6, "<s> <|endoftext|> </s> x"),
+            doc(7, "é😀 \U00010940漢字 kana かな"), doc(8, "a\x00b\ttab\nline"), doc(9, "same text here"), doc(9, "same text here"), doc(None, "no id"),
+            doc(10, "it's we'll 'd x'y 12345 ... !!!  nbsp　wide   z"), doc(11, "x" * 200), doc(12, "​ zero ᠎ \x85 next")]
+    return rows + [doc(20 + i, prose(rng, rng.choice(["en", "fr", "de"]), rng.randint(1, 60)) + rng.choice(["", "\n", " ", "!"])) for i in range(30)] + [
+        doc(60 + i, random_words(rng, 40)) for i in range(5)]
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.mark.parametrize("hot, slab", [(50_000, 20_000), (30, 3)])
+def test_query_against_brute_force(spark, tmp_dir, libraries, monkeypatch, hot, slab):
+    monkeypatch.setattr(alignment, "HOT", hot)
+    rows = _rows(random.Random(13))
+    sf = tables(spark, tmp_dir, documents=spark.createDataFrame(rows, DOCS))
+    got = queries.QUERIES["op13_alignment"](spark, sf)
+    assert got.columns == COLUMNS and [t for _, t in got.dtypes] == ["bigint"] * 7 + ["string"]
+    key = lambda x: (x[0] is None, x)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(brute(rows, libraries), key=key)
+    # The same on the driver, in slabs of few parts.
+    monkeypatch.setattr(alignment, "SLAB", slab)
+    pair = alignment.Pair(tokenizer_path(A), tokenizer_path(B))
+    for r, want in zip(rows, brute(rows, libraries)):
+        made = pair.document(r[1] or "")
+        assert (*made[:4], made[4]) == (*want[1:5], want[7]), r
+
+
+def test_parts_give_the_ids_of_whole_texts(libraries):
+    """Texts of all kinds of characters around the cuts: ids of the parts are those of the text."""
+    rng = random.Random(2)
+    pair = alignment.Pair(tokenizer_path(A), tokenizer_path(B))
+    assert pair.parted
+    some = [chr(rng.randrange(0x20, 0x3000)) for _ in range(300)] + list("  \t\n'.sA1é▁") + [" ", "​", "͸", " ", "😀"]
+    some = [c for c in some if not 0xD800 <= ord(c) < 0xE000]
+    for _ in range(800):
+        text = "".join(rng.choice(some) if rng.random() < .7 else " " for _ in range(rng.randint(1, 40)))
+        ia, _, ib, _ = libraries(text)
+        a, b = [], []
+        for x, y, _ in pair.slabs(text):
+            a += x.tolist()
+            b += y.tolist()
+        assert (a, b) == (list(ia), list(ib)), text
+
+
+def test_align_on_random_ends():
+    rng = random.Random(9)
+    for _ in range(2000):
+        n = rng.randint(1, 60)
+        p, q = rng.random(), rng.random()
+        if rng.random() < .3:
+            q = p = 1
+        ea = [x for x in range(1, n) if rng.random() < p] + [n]
+        eb = [x for x in range(1, n) if rng.random() < q] + [n]
+        runs, odd = alignment.align(ea, eb)
+        common = sorted(set(ea) & set(eb))
+        groups = sorted([(ea[i + k], 1, 1) for i, _, w in runs for k in range(w)] + [(ea[x - 1], x - i, y - j) for i, j, x, y in odd])
+        last, want = 0, []
+        for c in common:
+            want.append((c, sum(last < x <= c for x in ea), sum(last < x <= c for x in eb)))
+            last = c
+        assert groups == want
+        la, lb = alignment.links_of(runs, odd, ea, eb)
+        sa, sb = [0, *ea], [0, *eb]
+        assert sorted(zip(la.tolist(), lb.tolist())) == [(x, y) for x in range(len(ea)) for y in range(len(eb)) if sa[x] < eb[y] and sb[y] < ea[x]]
+
+
+def test_empty_table_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "some words", 5, 6)], "doc_id long, text string, n_a int, row int")
+    paths = (tokenizer_path(A), tokenizer_path(B))
+    r = alignment.agreement(docs, *paths).collect()
+    assert [(x.doc_id, x.n_links == x.n_best == x.count_sum, x.n_a > 0) for x in r] == [(1, True, True)]
+    assert alignment.agreement(docs.limit(0), *paths).count() == 0
+
+
+def test_other_files_get_whole_texts(spark):
+    """A file that lower-cases isn't parted; a text it changes has no tokens."""
+    pair = alignment.Pair(tokenizer_path("word_bpe_49k.json"), tokenizer_path(B))
+    assert not pair.parted and pair.document("Some Text")[0] == 0
