@@ -2,26 +2,23 @@
 
 * Parquet: ``partitionBy("rfrnc_yr")`` by default, one folder per year; rows are
   rebalanced on the partition columns first, so a year is a few files of good
-  size, not one file per task, and AQE splits a big year.
+  size, not one file per task, and AQE splits a big year.  Overwriting replaces the
+  years that are written and no other.
 * CSV: header, NULL as an empty field, dates as ``yyyy-MM-dd``.
-* Arrow IPC ("feather"): Spark has no Arrow file writer, so every task writes its
-  own partition with ``mapInArrow`` through pyarrow's file system layer, into a
-  folder of the run.  When the job has succeeded the driver moves the files into
-  place (a metadata operation) and then removes those they replace, so a failed
-  job leaves the old output as it was.  Paths are qualified through Hadoop's default
-  file system; a scheme that pyarrow can't open raises.
+* Arrow IPC ("feather"): Spark has no Arrow file writer; ``arrow_source.py`` is one, as a
+  data source whose job commits by one rename.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
-from urllib.parse import urlsplit
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lookback.sources.arrow_source import read_folder, write_folder
+
 FORMATS = ("parquet", "csv", "arrow")
 MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
 
@@ -36,30 +33,57 @@ def feature_schema(names: Sequence[str], id_type: T.DataType | None = None,
 
 
 def write_features(df: DataFrame, path: str, fmt: str = "parquet",
-                   partition_by: Sequence[str] | None = None, mode: str = "overwrite") -> None:
-    """Write ``df``; ``partition_by`` is ``("rfrnc_yr",)`` by default (none for Arrow, which can't be partitioned)."""
+                   partition_by: Sequence[str] | None = None, mode: str = "overwrite",
+                   replace: Iterable[int] | str | None = None) -> None:
+    """Write ``df``; ``partition_by`` is ``("rfrnc_yr",)`` by default (none for Arrow, which can't be partitioned).
+
+    ``overwrite`` of a partitioned output replaces the partitions that ``df`` has rows of and leaves all others as
+    they are, so a year is run again without touching the rest.  ``replace`` names values of the first partition
+    column that are replaced even if ``df`` has no row of them (their old rows go); ``"all"`` replaces the whole
+    output.  Partitions are put in place when the job has succeeded: a failed one leaves the old ones.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     if fmt in ("arrow", "feather"):
         if partition_by:
             raise ValueError("Arrow output can't be partitioned by columns")
-        _write_arrow(df, path, mode)
+        write_folder(df, qualified(df.sparkSession, path), mode)
         return
+    if fmt not in FORMATS:
+        raise ValueError(f"fmt must be one of {FORMATS}, got {fmt!r}")
     columns = ("rfrnc_yr",) if partition_by is None else tuple(partition_by)
+    each = bool(columns) and mode == "overwrite" and replace != "all"
+    named = sorted({int(v) for v in replace}) if each and replace is not None else []
+    seen = None
+    if named:
+        seen = Observation()
+        # As many values as there are partitions; observed while the rows are written, without a job of its own.
+        df = df.observe(seen, F.collect_set(F.col(columns[0]).cast("long")).alias("values"), F.count(F.lit(1)).alias("rows"))
     if columns:
         df = df.hint("rebalance", *[F.col(c) for c in columns])
     w = df.write.mode(mode)
     if columns:
         w = w.partitionBy(*columns)
+    if each:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if fmt == "parquet":
         w.parquet(path)
-    elif fmt == "csv":
+    else:
         (w.option("header", True).option("nullValue", "")
          .option("emptyValue", "").option("dateFormat", "yyyy-MM-dd")
          .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
-    else:
-        raise ValueError(f"fmt must be one of {FORMATS}, got {fmt!r}")
+    if seen is not None:
+        held = set(seen.get.get("values") or [])
+        for value in named:
+            if value not in held:
+                _drop_partition(df.sparkSession, path, columns[0], value)
+
+
+def _drop_partition(spark: SparkSession, path: str, column: str, value: int) -> None:
+    """Remove the folder of one partition value, if there is one."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={value}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -68,111 +92,17 @@ def qualified(spark: SparkSession, path: str) -> str:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
-def _open(uri: str):
-    """(pyarrow file system, path in it) of a qualified path."""
-    import pyarrow as pa
-    import pyarrow.fs as pafs
-
-    parts = urlsplit(uri)
-    if parts.scheme == "file":
-        return pafs.LocalFileSystem(), parts.path
-    try:
-        return pafs.FileSystem.from_uri(uri)
-    except (pa.ArrowInvalid, OSError) as e:
-        raise ValueError(f"pyarrow can't open {parts.scheme}:// paths here: {e}") from e
-
-
-def _write_arrow(df: DataFrame, path: str, mode: str) -> None:
-    import pyarrow.fs as pafs
-
-    schema = df.schema
-    uri = qualified(df.sparkSession, path)
-    fs, root = _open(uri)
-    there = fs.get_file_info(root).type != pafs.FileType.NotFound
-    old = [i.path for i in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if i.path.endswith(".arrow")]
-    if there and mode in ("error", "errorifexists"):
-        raise ValueError(f"{path} exists")
-    if there and mode == "ignore":
-        return
-    run = uuid.uuid4().hex
-    staged = f"{root}/_run-{run}"
-
-    def write_partition(batches):
-        import pyarrow as pa
-        import pyarrow.ipc as ipc
-        from pyspark import TaskContext
-
-        out_fs, out_root = _open(uri)
-        folder = f"{out_root}/_run-{run}"
-        out_fs.create_dir(folder, recursive=True)
-        part = TaskContext.get().partitionId()
-        final, tmp = f"{folder}/part-{part:05d}.arrow", f"{folder}/.tmp-{part:05d}-{uuid.uuid4().hex}"
-        rows = 0
-        writer = None
-        with out_fs.open_output_stream(tmp) as out:
-            for batch in batches:
-                if writer is None:
-                    writer = ipc.new_file(out, batch.schema)
-                writer.write_batch(batch)
-                rows += batch.num_rows
-            if writer is None:
-                from pyspark.sql.pandas.types import to_arrow_schema
-                writer = ipc.new_file(out, to_arrow_schema(schema))
-            writer.close()
-        out_fs.move(tmp, final)  # a task that runs again replaces its own file
-        yield pa.RecordBatch.from_pydict({"file": [final], "rows": [rows]})
-
-    try:
-        df.mapInArrow(write_partition, "file string, rows long").count()  # one small row per file
-        for i in fs.get_file_info(pafs.FileSelector(staged)):
-            if i.path.endswith(".arrow"):
-                name = i.path.rsplit("/", 1)[-1].removesuffix(".arrow")
-                fs.move(i.path, f"{root}/{name}-{run}.arrow")
-    finally:
-        if fs.get_file_info(staged).type == pafs.FileType.Directory:
-            fs.delete_dir(staged)
-    if mode == "overwrite":
-        for f in old:
-            fs.delete_file(f)
-
-
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet",
                   schema: T.StructType | None = None) -> DataFrame:
-    """Read features back.  A CSV has no types: it is read with ``schema`` (:func:`feature_schema`), or as text."""
+    """Read features back.  A CSV has no types: it is read with ``schema`` (:func:`feature_schema`), or as text.
+
+    Of an Arrow folder only the columns of ``schema`` are decoded.
+    """
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "csv":
         r = spark.read.option("header", True).option("nullValue", "").option("enforceSchema", False)
         return r.schema(schema).csv(path) if schema is not None else r.csv(path)
     if fmt in ("arrow", "feather"):
-        return _read_arrow(spark, path, schema)
+        return read_folder(spark, qualified(spark, path), schema)
     raise ValueError(f"fmt must be one of {FORMATS}, got {fmt!r}")
-
-
-def _read_arrow(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
-    import pyarrow.fs as pafs
-    import pyarrow.ipc as ipc
-    from pyspark.sql.pandas.types import from_arrow_schema
-
-    uri = qualified(spark, path)
-    fs, root = _open(uri)
-    files = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(root)) if i.path.endswith(".arrow"))
-    if not files:
-        raise ValueError(f"no Arrow files under {path}")
-    if schema is None:
-        with fs.open_input_file(files[0]) as f:
-            schema = from_arrow_schema(ipc.open_file(f).schema)
-
-    def read_files(batches):
-        import pyarrow.ipc as ipc2
-
-        in_fs, in_root = _open(uri)
-        for b in batches:
-            for name in b.column("file").to_pylist():
-                with in_fs.open_input_file(f"{in_root}/{name}") as f:
-                    reader = ipc2.open_file(f)
-                    for i in range(reader.num_record_batches):
-                        yield reader.get_batch(i)
-
-    names = spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in files], "file string").repartition(len(files))
-    return names.mapInArrow(read_files, schema)

@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,63 +77,131 @@ def file_year_col(template: str = DEFAULT_TEMPLATE, prefix: str = "") -> Column:
 
 def read_years(spark: SparkSession, prefix: str, years: Iterable[int],
                schema: T.StructType | None = None,
-               template: str = DEFAULT_TEMPLATE) -> DataFrame:
+               template: str = DEFAULT_TEMPLATE, ids: Sequence[str] = ("bene_id",)) -> DataFrame:
     """Scan the yearly Parquet files of ``years`` into one DataFrame + ``file_year``.
 
     Only the named files are opened; column pruning and filter pushdown still
     apply to each of them.  Rows of different files are kept apart by
     ``file_year`` (UNION ALL semantics: duplicates across files are kept).
-    Files may differ in column types (an int, bigint or double ``hmo_mo``): each
-    is read with its own types and cast to ``schema``, or to the widest ones.
+
+    Files may differ in their columns and types.  Without ``schema`` the result has
+    the columns of all years, whatever order the years come in (NULL where a year's
+    file lacks one), each with the narrowest type that holds the values of every
+    year (:func:`common_schema`).  A bigint beside a double becomes a double whose
+    values are checked as they are read: one that a double can't hold raises.
+    For ``ids`` no such pair is accepted.  With ``schema`` files are cast to it.
     """
-    paths = year_paths(prefix, years, template)
-    if not paths:
+    years = [int(y) for y in years]
+    if not years:
         raise ValueError("no years to read")
-    # Each yearly file has its own column types; files of equal types are one scan.
-    kinds: list[tuple[T.StructType, list[str]]] = []
-    for path in paths:
-        found = spark.read.parquet(path).schema
+    found = dict(zip(sorted(set(years)), _footers(spark, year_paths(prefix, sorted(set(years)), template))))
+    target = schema if schema is not None else common_schema(found, ids)
+    # Files of equal types are one scan.
+    kinds: list[tuple[T.StructType, list[int]]] = []
+    for year in years:
         for known, members in kinds:
-            if known == found:
-                members.append(path)
+            if known == found[year]:
+                members.append(year)
                 break
         else:
-            kinds.append((found, [path]))
-    target = schema if schema is not None else _common_schema([k for k, _ in kinds])
+            kinds.append((found[year], [year]))
     parts = []
-    for found, members in kinds:
-        df = spark.read.schema(found).parquet(*members)
-        held = {f.name for f in found}
+    for known, members in kinds:
+        df = spark.read.schema(known).parquet(*year_paths(prefix, members, template))
+        held = {f.name.lower(): f for f in known}
         parts.append(df.select(
-            *[(F.col(f"`{f.name}`") if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in target],
+            *[_cast(held.get(f.name.lower()), f, checked=schema is None) for f in target],
             file_year_col(template, prefix).alias("file_year")))
     return union_years(parts)
 
 
-# Numeric types from narrow to wide, as the yearly files mix them.
-_WIDER = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType())
-
-
-def _common_schema(schemas: Sequence[T.StructType]) -> T.StructType:
-    """The columns of the first schema; a column whose numeric type differs gets the widest one."""
-    out = []
-    for f in schemas[0]:
-        kinds = [s[f.name].dataType for s in schemas if f.name in s.fieldNames()]
-        kind = kinds[0]
-        for other in kinds[1:]:
-            if other == kind:
+#: Footers read at once: each is a small Spark job of its own.
+FOOTERS_AT_ONCE = 16
+
+
+def _footers(spark: SparkSession, paths: Sequence[str]) -> list[T.StructType]:
+    """The schema of each path; their footers are read at the same time."""
+    if len(paths) == 1:
+        return [spark.read.parquet(paths[0]).schema]
+    with ThreadPoolExecutor(min(FOOTERS_AT_ONCE, len(paths))) as pool:
+        return list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+
+
+# Integer types from narrow to wide with their decimal digits, as the yearly files mix them.
+_INTS = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 19}
+_FLOATS = (T.FloatType(), T.DoubleType())
+#: The largest integer up to which a double holds all.
+_EXACT = 1 << 53
+
+
+def _wider(a: T.DataType, b: T.DataType, exact: bool) -> T.DataType | None:
+    """The narrowest type that holds both, or None; ``exact`` allows no double for integers or decimals."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if a in _INTS and b in _INTS:
+        return max(a, b, key=list(_INTS).index)
+    if a in _FLOATS and b in _FLOATS:
+        return T.DoubleType()
+    numeric = [k in _INTS or k in _FLOATS or isinstance(k, T.DecimalType) for k in (a, b)]
+    if all(numeric):
+        if a in _FLOATS or b in _FLOATS:
+            return None if exact else T.DoubleType()
+        whole, scale = 0, 0
+        for k in (a, b):
+            whole = max(whole, k.precision - k.scale if isinstance(k, T.DecimalType) else _INTS[k])
+            scale = max(scale, k.scale if isinstance(k, T.DecimalType) else 0)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+    if isinstance(a, T.DateType) and isinstance(b, (T.TimestampType, T.TimestampNTZType)):
+        return b
+    if isinstance(b, T.DateType) and isinstance(a, (T.TimestampType, T.TimestampNTZType)):
+        return a
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        element = _wider(a.elementType, b.elementType, True)  # the elements of an array aren't checked one by one
+        return None if element is None else T.ArrayType(element, True)
+    return None
+
+
+def common_schema(schemas: dict[int, T.StructType], ids: Sequence[str] = ()) -> T.StructType:
+    """The columns of all years in the order of their first year, each with the narrowest type that holds all of them.
+
+    ``schemas`` are those of the years' files.  Types that have no common one (text beside a number, a double
+    beside an integer in a column of ``ids``) raise an error that names the years.
+    """
+    out: dict[str, T.StructField] = {}
+    since: dict[str, int] = {}
+    exact = {i.lower() for i in ids}
+    for year in sorted(schemas):
+        for f in schemas[year]:
+            key = f.name.lower()
+            if key not in out:
+                out[key], since[key] = T.StructField(f.name, f.dataType, True), year
                 continue
-            if kind in _WIDER and other in _WIDER:
-                mixed = {type(kind), type(other)}
-                # a float can't hold every int or long
-                kind = T.DoubleType() if mixed & {T.FloatType, T.DoubleType} else max(kind, other, key=_WIDER.index)
-            elif isinstance(kind, T.DecimalType) or isinstance(other, T.DecimalType):
-                kind = T.DoubleType()
-            else:
-                raise ValueError(f"column {f.name!r} is {kind.simpleString()} in one year and {other.simpleString()} "
-                                 "in another; pass the schema to read")
-        out.append(T.StructField(f.name, kind, True))
-    return T.StructType(out)
+            kind = _wider(out[key].dataType, f.dataType, key in exact)
+            if kind is None:
+                raise ValueError(f"column {f.name!r} is {out[key].dataType.simpleString()} from {since[key]} on and "
+                                 f"{f.dataType.simpleString()} in {year}; pass the schema to read")
+            out[key] = T.StructField(out[key].name, kind, True)
+    return T.StructType(list(out.values()))
+
+
+def _cast(held: T.StructField | None, target: T.StructField, checked: bool) -> Column:
+    """A file's column as the target's; ``checked`` raises on integers and decimals that a double can't hold."""
+    if held is None:
+        return F.lit(None).cast(target.dataType).alias(target.name)
+    col = F.col("`" + held.name.replace("`", "``") + "`")
+    cast = col.cast(target.dataType)
+    if checked and target.dataType == T.DoubleType():
+        holds = None
+        if held.dataType == T.LongType():
+            holds = col.between(-_EXACT, _EXACT)
+        elif isinstance(held.dataType, T.DecimalType):
+            holds = cast.cast(held.dataType) == col
+        if holds is not None:
+            error = F.raise_error(F.concat(F.lit(f"column {held.name}: a double can't hold "), col.cast("string")))
+            cast = F.when(col.isNull() | holds, cast).otherwise(error.cast("double"))
+    return cast.alias(target.name)
 
 
 def read_year(spark: SparkSession, prefix: str, year: int,

@@ -1,0 +1,101 @@
+"""The Arrow folder as a data source: versions, lost commits, columns, empty frames."""
+
+import os
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lookback.sources.arrow_source import FolderWriter, Written, read_folder, version, open_folder
+from lookback.sources.sinks import read_features, write_features
+
+SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType())])
+
+
+def _ids(spark, path):
+    return sorted(r.id for r in read_features(spark, path, fmt="arrow").collect())
+
+
+def _files(path):
+    return [x for x in os.listdir(path) if x.endswith(".arrow")]
+
+
+def _frame(spark, *ids):
+    return spark.createDataFrame([(i, k) for k, i in enumerate(ids)], SCHEMA)
+
+
+def test_append_and_overwrite_leave_only_named_files(spark, tmp_dir):
+    path = f"{tmp_dir}/out"
+    write_features(_frame(spark, "a", "b").repartition(4), path, fmt="arrow")
+    write_features(_frame(spark, "c"), path, fmt="arrow", mode="append")
+    assert _ids(spark, path) == ["a", "b", "c"]
+    write_features(_frame(spark, "d"), path, fmt="arrow", mode="overwrite")
+    held = version(*open_folder(f"file://{path}"))
+    assert _ids(spark, path) == ["d"] and held.number == 3 and sorted(_files(path)) == held.files
+    assert len([x for x in os.listdir(path) if x.startswith("_manifest")]) == 1
+
+
+@pytest.mark.parametrize("overwrite", [True, False])
+def test_a_commit_that_is_cut_off_leaves_the_old_output(spark, tmp_dir, monkeypatch, overwrite):
+    path = f"{tmp_dir}/out"
+    write_features(_frame(spark, "a", "b"), path, fmt="arrow")
+    batch = pa.RecordBatch.from_pydict({"id": ["x"], "n": pa.array([1], pa.int32())})
+    writer = FolderWriter(f"file://{path}", SCHEMA, overwrite)
+    messages = [writer.write(iter([batch])), writer.write(iter([]))]
+    assert [m.rows for m in messages] == [1, 0] and _ids(spark, path) == ["a", "b"]  # files of a run say nothing yet
+
+    def lost(fs, tmp, final):
+        raise OSError("the driver is gone")
+
+    monkeypatch.setattr(writer, "publish", lost)
+    with pytest.raises(OSError, match="gone"):
+        writer.commit(messages)
+    assert _ids(spark, path) == ["a", "b"]
+    monkeypatch.undo()
+    writer.commit(messages)
+    assert _ids(spark, path) == (["x"] if overwrite else ["a", "b", "x"])
+    other = FolderWriter(f"file://{path}", SCHEMA, True)
+    other.abort([other.write(iter([batch])), None])
+    assert _ids(spark, path) == (["x"] if overwrite else ["a", "b", "x"]) and not [f for f in _files(path) if other.run in f]
+
+
+def test_failed_tasks_leave_the_old_output(spark, tmp_dir):
+    path = f"{tmp_dir}/out"
+    write_features(_frame(spark, "a"), path, fmt="arrow")
+    bad = spark.range(40).repartition(8).select(
+        F.when(F.col("id") == 39, F.raise_error(F.lit("stop"))).otherwise("x").alias("id"), F.lit(1).alias("n"))
+    for mode in ("overwrite", "append"):
+        with pytest.raises(Exception, match="stop"):
+            write_features(bad, path, fmt="arrow", mode=mode)
+        assert _ids(spark, path) == ["a"]
+
+
+def test_columns_and_types_come_back(spark, tmp_dir):
+    path = f"{tmp_dir}/out"
+    df = spark.sql("""SELECT 'é' AS s, CAST(NULL AS STRING) AS z, CAST(3 AS SMALLINT) AS i, DATE'2001-02-03' AS d, TIMESTAMP_NTZ'2001-02-03 04:05:06' AS t,
+                      array('x', NULL) AS a, CAST(1.25 AS DECIMAL(10, 2)) AS c, struct(1 AS p, 'q' AS q) AS st""")
+    write_features(df, path, fmt="arrow")
+    back = read_features(spark, path, fmt="arrow")
+    assert back.schema == df.schema and back.collect() == df.collect()
+    some = T.StructType([df.schema["d"], df.schema["s"]])
+    assert [tuple(r) for r in read_features(spark, path, fmt="arrow", schema=some).collect()] == [(df.first()["d"], "é")]
+    with pytest.raises(Exception, match="no columns"):
+        read_features(spark, path, fmt="arrow", schema=T.StructType([T.StructField("none", T.LongType())])).collect()
+
+
+def test_empty_frames_and_folders_without_a_manifest(spark, tmp_dir):
+    path = f"{tmp_dir}/out"
+    write_features(_frame(spark, "a").limit(0), path, fmt="arrow")
+    back = read_features(spark, path, fmt="arrow")
+    assert back.schema == SCHEMA and back.count() == 0
+    old = f"{tmp_dir}/old"
+    os.makedirs(old)
+    for i in range(2):
+        with pa.ipc.new_file(f"{old}/part-{i}.arrow", pa.schema([("id", pa.string())])) as w:
+            w.write_batch(pa.RecordBatch.from_pydict({"id": [str(i)]}))
+    assert sorted(r.id for r in read_folder(spark, f"file://{old}").collect()) == ["0", "1"]
+    os.makedirs(f"{tmp_dir}/none")
+    with pytest.raises(ValueError, match="no Arrow files"):
+        read_features(spark, f"{tmp_dir}/none", fmt="arrow")
+    assert Written("f", 1).file == "f"
