@@ -8,10 +8,12 @@ Each query asks its views for the years it needs, so scans are pruned.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lookback.functions.codes import overlaps
 from lookback.operators.coverage import coverage
@@ -20,16 +22,20 @@ from lookback.operators.matching import match_codes, unnest_codes
 from lookback.operators.met import met
 from lookback.operators.stats import (event_stats, member_count, member_flag,
                                       pair_step_counts, peek, unique_count)
+from lookback.plans.buckets import merge_bucketed, write_bucketed
 from lookback.plans.grid import feature_grid_long
-from lookback.plans.matrix import feature_matrix, merge_chain
+from lookback.plans.matrix import feature_matrix, matrix_columns, matrix_of_grid, merge_chain
 from lookback.plans.pair import condition_feature, condition_parts, spine
+from lookback.plans.state import state_grid, state_grid_long, update_state
 from lookback.sources.code_text import parse_code_text
 from lookback.sources.codebook import read_codebook
 from lookback.sources.demo import (DEMO_CODEBOOK, EXCL_CODEBOOK, FIRST_YEAR, LAST_YEAR,
                                    REF_YEAR, WORDS_CODEBOOK, demo_admissions,
                                    demo_document_enrolment, demo_documents, demo_enrolment,
                                    demo_event_codes, demo_years, wide_codebook)
-from lookback.sources.yearly import history_years, in_years, union_years, window_years
+from lookback.sources.scratch import scratch_folder
+from lookback.sources.sinks import feature_schema, read_features, write_features
+from lookback.sources.yearly import history_years, in_years, read_years, union_years, window_years
 
 Y, F0, L = REF_YEAR, FIRST_YEAR, LAST_YEAR
 YEARS = list(range(F0, L + 1))
@@ -45,9 +51,9 @@ def _views(spark: SparkSession, sf: str, years=None, enrol_years=None):
     return demo_event_codes(spark, sf, years=years), demo_enrolment(spark, sf, years=enrol_years or years)
 
 
-def _arrays(spark: SparkSession, sf: str):
+def _arrays(spark: SparkSession, sf: str, years=None):
     """Events that hold their codes as an array, and their enrolment."""
-    return demo_documents(spark, sf), demo_document_enrolment(spark, sf)
+    return demo_documents(spark, sf, years), demo_document_enrolment(spark, sf, years)
 
 
 def _book(spark: SparkSession, which=None, exclusion_codes: str = "compat", normalize: bool = False):
@@ -109,7 +115,7 @@ def _hits(condition):
 
 def _array_hits(condition):
     def q(spark, sf):
-        ev, _ = _arrays(spark, sf)
+        ev, _ = _arrays(spark, sf, HIT_YEARS)
         return match_codes(ev.where(in_years(HIT_YEARS)), _book(spark, WORDS_CODEBOOK), condition)
     return q
 
@@ -123,7 +129,7 @@ def _met(condition, book=None, scope="oldest_year", exclusion_codes="compat"):
 
 def _array_met(condition, scope="oldest_year", exclusion_codes="compat"):
     def q(spark, sf):
-        ev, _ = _arrays(spark, sf)
+        ev, _ = _arrays(spark, sf, HIT_YEARS)
         return met(ev, _book(spark, WORDS_CODEBOOK, exclusion_codes), condition, Y, F0, exclusion_scope=scope)
     return q
 
@@ -191,7 +197,7 @@ def _pair(condition, book=None, scope="oldest_year", ever_scope="history", exclu
 
 def _array_pair(condition, scope="oldest_year", exclusion_codes="compat", normalize=False):
     def q(spark, sf):
-        ev, en = _arrays(spark, sf)
+        ev, en = _arrays(spark, sf, HISTORY)
         return condition_feature(ev, en, _book(spark, WORDS_CODEBOOK, exclusion_codes, normalize), condition, Y, F0,
                                  exclusion_scope=scope)
     return q
@@ -208,7 +214,7 @@ q_grid_status = _grid()
 
 
 def q_grid_arrays(spark, sf):
-    ev, en = _arrays(spark, sf)
+    ev, en = _arrays(spark, sf, HISTORY)
     return feature_grid_long(ev, en, _book(spark, WORDS_CODEBOOK, "all"), HISTORY, F0, exclusion_scope="window")
 
 
@@ -236,6 +242,82 @@ def q_merge_chain(spark, sf):
     return merge_chain(frames, Y)
 
 
+def q_merge_bucketed(spark, sf):
+    """The per-condition tables are saved co-bucketed in the warehouse and merged bucket against bucket."""
+    ev, en = _views(spark, sf, HISTORY)
+    cb = _book(spark)
+    run = uuid.uuid4().hex[:12]
+    names = {c: write_bucketed(condition_feature(ev, en, cb, c, Y, F0), f"lookback_pair_{c}_{Y}_{run}") for c in cb.names}
+    return merge_bucketed([(c, spark.table(t)) for c, t in names.items()], Y)
+
+
+def q_grid_state(spark, sf):
+    """The state takes the years before the last in one go, then the last year; the grid comes out of the state."""
+    ev, en = _views(spark, sf)
+    cb, years = _book(spark), demo_years(spark, sf)
+    path = scratch_folder(spark, "state")
+    for some in (years[:-1], years[-1:]):
+        if some:
+            events, enrol = _views(spark, sf, some)
+            update_state(spark, path, events, enrol, cb, some, F0)
+    return state_grid_long(spark, path, en, cb, years, F0)
+
+
+def q_matrix_state(spark, sf):
+    """The matrix of one year, 27 conditions, out of a state put together year by year."""
+    cb = _book(spark, wide_codebook())
+    path = scratch_folder(spark, "state")
+    for y in HISTORY:
+        events, enrol = _views(spark, sf, [y])
+        update_state(spark, path, events, enrol, cb, y, F0)
+    grid = state_grid(spark, path, demo_enrolment(spark, sf, years=[Y]), cb, [Y], F0, rfrnc_yr="file_year")
+    return matrix_of_grid(grid, cb.names)
+
+
+def q_read_years(spark, sf):
+    """Yearly files whose columns differ (no months in the first year, half months after the reference year) read as one table."""
+    prefix = scratch_folder(spark, "years") + "/bene"
+    for y in demo_years(spark, sf):
+        en = demo_enrolment(spark, sf, years=[y]).drop("file_year")
+        if y == F0:
+            en = en.drop("hmo_mo")
+        elif y % 2:
+            en = en.withColumn("hmo_mo", F.col("hmo_mo").cast("long"))
+        if y > Y:
+            en = en.withColumn("half_mo", F.col("hmo_mo") / 2)
+        en.write.parquet(f"{prefix}_{y}.parquet")
+    return read_years(spark, prefix, reversed(demo_years(spark, sf)))
+
+
+def _write_years(spark, sf, fmt, steps):
+    ev, en = _views(spark, sf, HISTORY)
+    path = scratch_folder(spark, f"matrix-{fmt}")
+    cb = _book(spark)
+    for years in steps:
+        write_features(feature_matrix(ev, en, cb, years, F0), path, fmt, replace=years)
+    return path, cb
+
+
+def q_write_years(spark, sf):
+    """The matrix written year by year into one output, one year twice, and read back."""
+    path, cb = _write_years(spark, sf, "parquet", [[Y - 2, Y - 1], [Y], [Y - 1]])
+    return read_features(spark, path).select(*matrix_columns(cb.names))
+
+
+def q_write_csv(spark, sf):
+    path, cb = _write_years(spark, sf, "csv", [[Y - 1], [Y]])
+    id_type, date_type = T.LongType(), T.TimestampNTZType()
+    schema = feature_schema(list(reversed(cb.names)), id_type, date_type)  # the matrix's own order
+    return read_features(spark, path, "csv", schema=schema).select(*matrix_columns(cb.names))
+
+
+def q_write_arrow(spark, sf):
+    path = scratch_folder(spark, "pair-arrow")
+    ev, en = _views(spark, sf, HISTORY)
+    write_features(condition_feature(ev, en, _book(spark), "c2", Y, F0), path, "arrow")
+    return read_features(spark, path, "arrow")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_scan_year": q_scan_year,
     "q_scan_window": q_scan_window,
@@ -289,4 +371,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_matrix_all": q_matrix_all,
     "q_matrix_k27": _matrix_one_year(wide_codebook()),
     "q_merge_chain": q_merge_chain,
+    "q_merge_bucketed": q_merge_bucketed,
+    "q_grid_state": q_grid_state,
+    "q_matrix_state": q_matrix_state,
+    "q_read_years": q_read_years,
+    "q_write_years": q_write_years,
+    "q_write_csv": q_write_csv,
+    "q_write_arrow": q_write_arrow,
 }

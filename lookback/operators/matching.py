@@ -17,17 +17,26 @@ from lookback.sources.codebook import Codebook, normalize_code
 EVENT_KEYS = ["bene_id", "admission_date", "file_year"]
 
 
-def unnest_codes(events: DataFrame, normalize: bool = False, keep: list[str] | None = None) -> DataFrame:
+def unnest_codes(events: DataFrame, normalize: bool = False, keep: list[str] | None = None,
+                 among: list[str] | None = None) -> DataFrame:
     """One row per array element: ``bene_id, admission_date, file_year, pos, code``.
 
     NULL and empty arrays give no rows; NULL elements are kept (they match nothing).
     Events already in long form (columns ``pos`` - 0-based position - and
     ``code`` instead of the ``diagnoses`` array) pass through unchanged.
+
+    ``among`` (a list, of constant size) keeps only events that hold one of these codes: an array is
+    looked at before it is unnested, a code of the long form where it is read.
     """
     cols = list(keep) if keep is not None else EVENT_KEYS
     if "diagnoses" in events.columns:
+        if among is not None:
+            plain = (lambda x: normalize_code(x)) if normalize else (lambda x: x)
+            events = events.where(F.exists("diagnoses", lambda x: plain(x).isin(among)) if among else F.lit(False))
         out = events.select(*cols, F.posexplode("diagnoses").alias("pos", "code"))
     elif {"pos", "code"} <= set(events.columns):
+        if among is not None and not normalize:
+            events = events.where(F.col("code").isin(among) if among else F.lit(False))
         out = events.select(*cols, F.col("pos").cast("int").alias("pos"), "code")
     else:
         raise ValueError("events need a 'diagnoses' array or long-form 'pos' and 'code' columns")
@@ -50,11 +59,12 @@ def coded_rows(events: DataFrame, codebook: Codebook, condition: str) -> DataFra
     """Unnested rows whose code is in the condition's include or exclude list, with its ``kind``.
 
     A code in both lists gives two rows.  The code table is sent to the scan when
-    its counted bytes allow, else both sides are shuffled on the code (AQE splits
-    a frequent one).
+    its counted bytes allow, else both sides are shuffled on the code (frequent
+    ones are split).
     """
     codes = codebook.codes.where(F.col("condition") == condition).select("code", "kind")
-    return unnest_codes(events, codebook.normalize).join(codebook.side(codes), "code")
+    rows = unnest_codes(events, codebook.normalize, among=codebook.constant_codes([condition]))
+    return codebook.match(rows, codes)
 
 
 def code_hits(events: DataFrame, codebook: Codebook, condition: str, kind: str = "include",
@@ -62,7 +72,7 @@ def code_hits(events: DataFrame, codebook: Codebook, condition: str, kind: str =
     """Unnested rows whose code is in the condition's include (or exclude) list."""
     codes = (codebook.include_codes(condition) if kind == "include"
              else codebook.exclude_codes(condition)).select("code")
-    return unnest_codes(events, codebook.normalize, keep).join(codebook.side(codes), "code")
+    return codebook.match(unnest_codes(events, codebook.normalize, keep, codebook.constant_codes([condition], (kind,))), codes)
 
 
 def match_codes(events: DataFrame, codebook: Codebook, condition: str,
@@ -76,7 +86,7 @@ def match_codes(events: DataFrame, codebook: Codebook, condition: str,
     if max_pos < rule_max_pos("all") and "diagnoses" in events.columns:
         # a position rule on an array looks at its first elements only
         codes = codebook.include_codes(condition).select("code")
-        hits = leading_codes(events, max_pos + 1, codebook.normalize).join(codebook.side(codes), "code")
+        hits = codebook.match(leading_codes(events, max_pos + 1, codebook.normalize), codes)
     else:
         hits = code_hits(events, codebook, condition, "include")
         if max_pos < rule_max_pos("all"):

@@ -42,14 +42,13 @@ PX = """px AS (
 def _words(code: str = "x") -> str:
     """The views over documents under the same names; ``code`` is an expression on a word ``x``."""
     return f"""adm AS (
-  SELECT doc_id AS adm_id, doc_id % 397 AS bene_id,
-         make_date(CAST({F0} + doc_id % 5 AS INT), 1, 1) + CAST(doc_id % 331 AS INT) AS admission_date,
-         CAST({F0} + doc_id % 5 AS INT) AS file_year,
+  SELECT doc_id AS adm_id, o_custkey AS bene_id, o_orderdate AS admission_date,
+         CAST(year(o_orderdate) AS INT) AS file_year, o_orderpriority AS priority,
          list_transform(string_split(text, ' '), lambda x: {code}) AS diagnoses
-  FROM documents),
+  FROM documents LEFT JOIN orders ON o_orderkey = doc_id),
 bene AS (
-  SELECT bene_id, file_year AS year, sum(CASE WHEN adm_id % 11 = 0 THEN 0.5 ELSE 0 END) AS hmo_mo
-  FROM adm GROUP BY 1, 2)"""
+  SELECT bene_id, file_year AS year, sum(CASE WHEN priority = '1-URGENT' THEN 0.5 ELSE 0 END) AS hmo_mo
+  FROM adm WHERE file_year IS NOT NULL GROUP BY 1, 2)"""
 
 
 def _with_words(*extra: str, code: str = "x") -> str:
@@ -267,6 +266,14 @@ def _sql() -> dict[str, str]:
         "q_matrix_all": _with() + "\nUNION ALL\n".join(matrix_year_sql(d, y) for y in YEARS),
         "q_matrix_k27": _with() + matrix_year_sql(wide_codebook(), Y),
         "q_merge_chain": _with() + matrix_year_sql(d, Y),
+        "q_merge_bucketed": _with() + matrix_year_sql(d, Y),
+        "q_grid_state": _with() + grid_sql(d, YEARS),
+        "q_matrix_state": _with() + matrix_year_sql(wide_codebook(), Y),
+        "q_read_years": _with() + f"SELECT bene_id, year, CAST(CASE WHEN year = {F0} THEN NULL ELSE hmo_mo END AS BIGINT) AS hmo_mo, "
+                                  f"CAST(CASE WHEN year > {Y} THEN hmo_mo / 2.0 END AS DOUBLE) AS half_mo, year AS file_year FROM bene",
+        "q_write_years": _with() + "\nUNION ALL\n".join(matrix_year_sql(d, y) for y in range(Y - 2, Y + 1)),
+        "q_write_csv": _with() + "\nUNION ALL\n".join(matrix_year_sql(d, y) for y in range(Y - 1, Y + 1)),
+        "q_write_arrow": _with() + pair_sql("c2", c2, Y),
     }
     return out
 

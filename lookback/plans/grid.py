@@ -19,8 +19,9 @@ every earlier year, the grid is one plan:
    aggregate over the same facts (at most one row per year, broadcast by that
    proven bound); they are always planned, and share the facts' exchange.
 4. the per-(id, file year) results are joined back to the enrolment rows of the
-   requested years (the spine), so duplicate enrolment rows each get their row;
-   AQE's skew join splits the partition of an id repeated by many copies.
+   requested years (the spine), so duplicate enrolment rows each get their row: equal
+   ones are counted before the join (in the tasks that read them) and made again after
+   it, so an id repeated by many copies is no hot key of it.
 
 Output (wide): ``bene_id, rfrnc_yr`` and per condition ``{c}`` (status 0-3) and
 ``{c}_ever``.  ``feature_grid_long`` stacks it to
@@ -76,7 +77,7 @@ def _indexed_codes(codebook: Codebook) -> DataFrame:
         idx = F.when(cond, F.lit(i)) if idx is None else idx.when(cond, F.lit(i))
     codes = codebook.codes.select("code", (F.col("kind") == EXCLUDE).alias("is_exc"),
                                   idx.alias("cidx"), rule_max_pos_col("criteria").alias("max_pos"))
-    return codebook.side(codes)
+    return codes
 
 
 def grid_facts(events: DataFrame, enrol: DataFrame, codebook: Codebook, first_year: int,
@@ -89,8 +90,8 @@ def grid_facts(events: DataFrame, enrol: DataFrame, codebook: Codebook, first_ye
     has_excl = any(s.n_exclude > 0 for s in codebook.conditions)
     span = F.col("file_year").between(first_year, last_year)
 
-    hits = (unnest_codes(events.where(span), codebook.normalize)
-            .join(_indexed_codes(codebook), "code")
+    rows = unnest_codes(events.where(span), codebook.normalize, among=codebook.constant_codes())
+    hits = (codebook.match(rows, _indexed_codes(codebook))
             .select("bene_id", "file_year", "admission_date", "pos", "is_exc", "cidx", "max_pos",
                     F.lit(0).alias("is_enrol")))
     date_type = hits.schema["admission_date"].dataType.simpleString()
@@ -207,14 +208,8 @@ def _status_exprs(codebook: Codebook, has_excl: bool) -> tuple[list[str], list[s
     return first + [f"ever{i}" for i in range(len(codebook.conditions))], second
 
 
-def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
-                 first_year: int, exclusion_scope: str = "oldest_year",
-                 rfrnc_yr: str = "year") -> DataFrame:
-    """Wide features of every enrolment row of ``years``, all codebook conditions.
-
-    ``rfrnc_yr`` is the row's ``year`` column (as in the per-pair tables) or, with
-    ``"file_year"``, the year of its file (as in the merged matrix).
-    """
+def checked_years(years, first_year: int, exclusion_scope: str, rfrnc_yr: str) -> list[int]:
+    """The reference years in order; raises where they or the named modes make no grid."""
     if rfrnc_yr not in ("year", "file_year"):
         raise ValueError(f"rfrnc_yr must be 'year' or 'file_year', got {rfrnc_yr!r}")
     if exclusion_scope not in ("oldest_year", "window"):
@@ -222,16 +217,37 @@ def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
     years = sorted({int(y) for y in years})
     if not years:
         raise ValueError("no reference years")
-    first_year = int(first_year)
-    if years[0] < first_year:
+    if years[0] < int(first_year):
         raise ValueError(f"empty look-back window: ref_year={years[0]} is before "
                          f"first_year={first_year}")
-    last_year = years[-1]
-    has_excl = any(s.n_exclude > 0 for s in codebook.conditions)
+    return years
 
+
+def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
+                 first_year: int, exclusion_scope: str = "oldest_year",
+                 rfrnc_yr: str = "year") -> DataFrame:
+    """Wide features of every enrolment row of ``years``, all codebook conditions.
+
+    ``rfrnc_yr`` is the row's ``year`` column (as in the per-pair tables) or, with
+    ``"file_year"``, the year of its file (as in the merged matrix).
+    """
+    years = checked_years(years, first_year, exclusion_scope, rfrnc_yr)
+    first_year = int(first_year)
     # The windows of the first year asked for are the oldest enrolment needed.
-    longest = max(s.ref_period for s in codebook.conditions)
-    facts = grid_facts(events, enrol, codebook, first_year, last_year, max(first_year, years[0] - longest + 1))
+    facts = grid_facts(events, enrol, codebook, first_year, years[-1], oldest_window(codebook, years, first_year))
+    return grid_of_facts(facts, enrol, codebook, years, first_year, exclusion_scope, rfrnc_yr)
+
+
+def oldest_window(codebook: Codebook, years: list[int], first_year: int) -> int:
+    """The oldest file year in the window of any of ``years``."""
+    return max(first_year, min(years) - max(s.ref_period for s in codebook.conditions) + 1)
+
+
+def grid_of_facts(facts: DataFrame, enrol: DataFrame, codebook: Codebook, years: list[int], first_year: int,
+                  exclusion_scope: str, rfrnc_yr: str) -> DataFrame:
+    """Steps 2 to 4 on facts that hold the windows of ``years`` and, for the first dates, what is before them."""
+    last_year = max(years)
+    has_excl = any(s.n_exclude > 0 for s in codebook.conditions)
     fy = F.col("file_year")
     # Rows with nothing to tell go here; the filter also keeps the window inputs out of the aggregation,
     # whose functions then stand in the same order here and in the guards: they share its exchange.
@@ -248,12 +264,24 @@ def feature_grid(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,
     first, second = _status_exprs(codebook, has_excl)
     per_key = win.selectExpr(*first)
 
-    # Step 4: one output row per enrolment row of the requested years.
-    spine = enrol.where(fy.isin(years)).selectExpr("bene_id", "file_year",
-                                                    f"CAST({rfrnc_yr} AS INT) AS rfrnc_yr")
+    # Step 4: one output row per enrolment row of the requested years.  Rows that repeat an id are
+    # counted before the join, so an id with millions of them is one row of it, and made again behind it.
+    spine = (enrol.where(fy.isin(years)).selectExpr("bene_id", "file_year", f"CAST({rfrnc_yr} AS INT) AS rfrnc_yr")
+             .groupBy("bene_id", "file_year", "rfrnc_yr").agg(F.count(F.lit(1)).alias("_copies")))
     joined = spine.join(per_key, spine["bene_id"].eqNullSafe(per_key["_rid"])
                         & (spine["file_year"] == per_key["_ryear"]), "left")
-    return joined.selectExpr(*second)
+    return repeated(joined.selectExpr(*second, "_copies"), "_copies")
+
+
+#: Copies that one array of row numbers stands for: it bounds the array, whatever the number of copies.
+COPIES = 1000
+
+
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Each row ``times`` times, without that column."""
+    blocks = df.withColumn("_block", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {COPIES})")))
+    copies = F.expr(f"sequence(1, CAST(least({COPIES}L, {times} - _block * {COPIES}) AS INT))")
+    return blocks.withColumn("_copy", F.explode(copies)).drop(times, "_block", "_copy")
 
 
 def feature_grid_long(events: DataFrame, enrol: DataFrame, codebook: Codebook, years,

@@ -43,7 +43,12 @@ def feature_matrix(events: DataFrame, enrol: DataFrame, codebook: Codebook, year
     ``rfrnc_yr`` is the year of the file, whatever the rows' ``year`` column says.
     """
     wide = feature_grid(events, enrol, codebook, years, first_year, exclusion_scope, rfrnc_yr="file_year")
-    return wide.where(F.col("bene_id").isNotNull()).select(*_matrix_select(codebook.names))
+    return matrix_of_grid(wide, codebook.names)
+
+
+def matrix_of_grid(wide: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The grid's rows with an id, in the matrix's column order."""
+    return wide.where(F.col("bene_id").isNotNull()).select(*_matrix_select(names))
 
 
 def merge_chain(frames: Sequence[tuple[str, DataFrame]], ref_year: int) -> DataFrame:

@@ -7,7 +7,7 @@ number of urgent orders of a customer in a year to HMO months.  Years come from
 the order date; the views take the ``years`` they are asked for and turn them
 into a range of that date, which is pushed down to the Parquet scan.  A second
 pair of views has its code arrays in the rows, as the original files do: the
-words of a document.
+words of a document, whose entity and date are those of the order with its key.
 """
 
 from __future__ import annotations
@@ -122,25 +122,21 @@ def demo_event_codes(spark: SparkSession, sf_dir: str, orders: DataFrame | None
     by (line number, part key, brand), the position the code has in the array
     form.  The rank is a ``row_number`` window per order: one shuffle by order
     key, and a spillable buffer, so no order's lines are ever held as one value.
-    With ``years`` only lines of their orders are ranked.  ``orders`` replaces
+    Lines are joined with the orders of ``years`` first, so no others are ranked.  ``orders`` replaces
     the orders table (same columns) when given.
     """
     orders = _orders(spark, sf_dir, years, orders).select("o_orderkey", "o_custkey", "o_orderdate")
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    if years is not None:
-        lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand").where(F.col("p_brand").isNotNull())
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "p_brand")
-    coded = (lines.join(part, lines.l_partkey == part.p_partkey)
-             .select("l_orderkey", (F.row_number().over(w) - 1).cast("int").alias("pos"),
-                     F.col("p_brand").alias("code")))
-    return orders.join(coded, orders.o_orderkey == coded.l_orderkey).select(
-        F.col("o_orderkey").alias("adm_id"),
+    return (lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(part, lines.l_partkey == part.p_partkey).select(
+        F.col("l_orderkey").alias("adm_id"),
         F.col("o_custkey").alias("bene_id"),
         F.col("o_orderdate").alias("admission_date"),
         F.year("o_orderdate").cast("int").alias("file_year"),
-        "pos", "code",
-    )
+        (F.row_number().over(w) - 1).cast("int").alias("pos"),
+        F.col("p_brand").alias("code"),
+    ))
 
 
 def demo_enrolment(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None,
@@ -157,25 +153,30 @@ def demo_enrolment(spark: SparkSession, sf_dir: str, orders: DataFrame | None =
             .withColumn("file_year", F.col("year")))
 
 
-def demo_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _coded_documents(spark: SparkSession, sf_dir: str, years: Sequence[int] | None) -> DataFrame:
+    """``documents`` beside the order whose key is their id (all documents, or those of orders of ``years``)."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    orders = _orders(spark, sf_dir, years).select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    return docs.join(orders, docs.doc_id == orders.o_orderkey, "left" if years is None else "inner")
+
+
+def demo_documents(spark: SparkSession, sf_dir: str, years: Sequence[int] | None = None) -> DataFrame:
     """Array-form events out of ``documents``: ``adm_id, bene_id, admission_date, file_year, diagnoses``.
 
-    A document is an admission, its words (split at spaces) are its codes; the
-    entity, the file year and the date follow from its id.
+    A document is an admission, its words (split at spaces) are its codes; the entity, the date and the
+    file year are those of the order with its key (NULL without such an order).
     """
-    docs = _table(spark, sf_dir, "documents")
-    year = (F.lit(FIRST_YEAR) + F.col("doc_id") % 5).cast("int")
-    return docs.select(
+    return _coded_documents(spark, sf_dir, years).select(
         F.col("doc_id").alias("adm_id"),
-        (F.col("doc_id") % 397).alias("bene_id"),
-        F.date_add(F.make_date(year, F.lit(1), F.lit(1)), (F.col("doc_id") % 331).cast("int")).alias("admission_date"),
-        year.alias("file_year"),
+        F.col("o_custkey").alias("bene_id"),
+        F.col("o_orderdate").alias("admission_date"),
+        F.year("o_orderdate").cast("int").alias("file_year"),
         F.split("text", " ").alias("diagnoses"))
 
 
-def demo_document_enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``bene_id, year, hmo_mo, file_year`` beside :func:`demo_documents`; months may be fractions."""
-    ev = demo_documents(spark, sf_dir)
-    return (ev.groupBy("bene_id", F.col("file_year").alias("year"))
-            .agg(F.sum(F.when(F.col("adm_id") % 11 == 0, 0.5).otherwise(0.0)).alias("hmo_mo"))
+def demo_document_enrolment(spark: SparkSession, sf_dir: str, years: Sequence[int] | None = None) -> DataFrame:
+    """``bene_id, year, hmo_mo, file_year`` beside :func:`demo_documents`: half a month for each urgent order."""
+    year = F.year("o_orderdate").cast("int")
+    return (_coded_documents(spark, sf_dir, years).where(F.col("o_orderdate").isNotNull()).groupBy(F.col("o_custkey").alias("bene_id"), year.alias("year"))
+            .agg(F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", 0.5).otherwise(0.0)).alias("hmo_mo"))
             .withColumn("file_year", F.col("year")))

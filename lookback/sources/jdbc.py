@@ -53,5 +53,27 @@ def jdbc_reader(spark: SparkSession, url: str, query: str, user: str | None = No
     return reader
 
 
+def hash_predicates(column: str, parts: int, hash_sql: str = "hashtext({})") -> list[str]:
+    """``parts`` conditions that split a query's rows by a hash of ``column``, a text id for instance.
+
+    Each row fits exactly one: a value the one of its hash, NULL the first.  ``hash_sql`` is the server's hash function
+    to a 32- or 64-bit integer; its sign is dropped by a mask, as the absolute value of the least integer overflows.
+    """
+    if parts < 1:
+        raise ValueError(f"parts must be >= 1, got {parts}")
+    h = f"({hash_sql.format(column)} & 2147483647) % {parts}"
+    return [f"({h} = {k} OR {column} IS NULL)" if k == 0 else f"({h} = {k} AND {column} IS NOT NULL)" for k in range(parts)]
+
+
+def read_jdbc_split(spark: SparkSession, url: str, query: str, column: str, parts: int, hash_sql: str = "hashtext({})",
+                    fetchsize: int = 10_000, **properties) -> DataFrame:
+    """``query`` read by ``parts`` tasks, each with the rows of one of :func:`hash_predicates`.
+
+    For ids that ``partition_column`` of :func:`jdbc_reader` can't take: it splits by numbers, dates and timestamps only.
+    """
+    return spark.read.jdbc(url, f"({query}) q", predicates=hash_predicates(column, parts, hash_sql),
+                           properties={"fetchsize": str(fetchsize), **{k: str(v) for k, v in properties.items()}})
+
+
 def read_jdbc(spark: SparkSession, url: str, query: str, **kw) -> DataFrame:
     return jdbc_reader(spark, url, query, **kw).load()

@@ -1,0 +1,211 @@
+"""Reduction before unnest, split hot codes, codebooks from tables, split relational reads."""
+
+import datetime as dt
+import random
+
+import pytest
+from fixtures import ADM_SCHEMA, MICRO_ADM, MICRO_BENE, MICRO_BOOK, frames
+from pyspark.sql import functions as F
+
+from lookback.operators.matching import code_hits, coded_rows, match_codes, unnest_codes
+from lookback.operators.met import met
+from lookback.operators.salting import hot_keys, salted_join, salted_sides
+from lookback.plans.grid import feature_grid
+from lookback.sources.code_text import parse_code_text
+from lookback.sources.codebook import codebook_from_tables, read_codebook
+from lookback.sources.jdbc import hash_predicates
+
+BOOK = {"a": {"ref_period": 2, "icd9": ["1.0", "2.0", "2.0"], "icd10": ["X1"], "icd10_exclusion": ["E1", "E2"]},
+        "b": {"ref_period": 1, "claims_criteria": "first_two", "icd9": [], "icd10": ["X2", "X3"], "icd9_exclusion": ["9"]},
+        "c": {"ref_period": 3, "claims_criteria": "primary", "icd9": ["3"], "icd10": ["X1"], "icd9_exclusion": ["8", "7"], "icd10_exclusion": ["E3"]}}
+
+
+def _events(spark, n=400, seed=1):
+    rng = random.Random(seed)
+    codes = ["1.0", "2.0", "X1", "X2", "X3", "E1", "E2", "E3", "9", "8", "3", None, "other", "more", "x1"]
+    rows = [(f"b{rng.randrange(40)}", dt.date(2000 + rng.randrange(4), 1 + rng.randrange(12), 3), 2000 + rng.randrange(4),
+             rng.choice([None, [], [rng.choice(codes) for _ in range(rng.randint(1, 6))]])) for _ in range(n)]
+    return spark.createDataFrame(rows, ADM_SCHEMA)
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def _generate_rows(df):
+    """Rows that come out of the plan's unnest."""
+    df.collect()
+    out = []
+
+    def walk(p):
+        kind = p.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(p.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(p.plan())
+        if kind == "GenerateExec" and "posexplode(diagnoses" in p.verboseString(1000):
+            out.append(p.metrics().apply("numOutputRows").value())
+        it = p.children().iterator()
+        while it.hasNext():
+            walk(it.next())
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+def test_arrays_are_reduced_before_the_unnest(spark):
+    ev = _events(spark).cache()
+    book = read_codebook(spark, BOOK)
+    assert book.constant_codes(["a"]) == ["1.0", "2.0", "E1", "X1"] and book.constant_codes(["a"], ("exclude",)) == ["E1"]
+    for c in BOOK:
+        wanted = set(book.constant_codes([c]))
+        held = [r.diagnoses for r in ev.collect() if r.diagnoses and wanted & set(r.diagnoses)]
+        hits = coded_rows(ev, book, c)
+        plan = hits._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate") < plan.index("exists(diagnoses")  # children are printed below
+        assert _generate_rows(hits) == [sum(map(len, held))]
+        whole = unnest_codes(ev).join(F.broadcast(book.codes.where(F.col("condition") == c).select("code", "kind")), "code")
+        assert _rows(hits.select(*whole.columns)) == _rows(whole)
+    assert sum(_generate_rows(unnest_codes(ev))) > max(sum(_generate_rows(coded_rows(ev, book, c))) for c in BOOK)
+    ev.unpersist()
+
+
+@pytest.mark.parametrize("normalize", [False, True])
+def test_large_books_and_long_forms_give_the_same_rows(spark, normalize, monkeypatch):
+    ev = _events(spark, seed=2)
+    long = unnest_codes(ev)
+    small = read_codebook(spark, BOOK, normalize=normalize)
+    monkeypatch.setattr("lookback.sources.codebook.CONSTANT_CODES", 0)
+    large = read_codebook(spark, BOOK, normalize=normalize, broadcast_bytes=0)
+    assert large.constant_codes() is None and large.constant_codes(["a"]) is None
+    for c in BOOK:
+        want = _rows(match_codes(ev, large, c))
+        assert _rows(match_codes(ev, small, c)) == _rows(match_codes(long, small, c)) == want
+        assert _rows(met(ev, small, c, 2003, 2000)) == _rows(met(long, large, c, 2003, 2000))
+    assert _rows(code_hits(ev, small, "a", "exclude")) == _rows(code_hits(ev, large, "a", "exclude").select(*code_hits(ev, small, "a", "exclude").columns))
+
+
+def test_empty_lists_match_nothing(spark):
+    book = read_codebook(spark, {"none": {"ref_period": 1, "icd9": [], "icd10": []}})
+    assert book.constant_codes() == [] and coded_rows(_events(spark), book, "none").count() == 0
+
+
+def test_a_hot_code_is_split(spark):
+    """A third of all rows on one code, books over the broadcast limit: no task reads three times the median."""
+    n, parts = 30_000, 8
+    rows = spark.range(n).select(F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 5000)).alias("code"))
+    codes = spark.createDataFrame([("hot", 1), ("hot", 2), *[(f"c{i}", 3) for i in range(5000)], ("unused", 4)], "code string, kind int")
+    assert [(r.code, r._lb_salts >= 5) for r in hot_keys(rows, "code", 2 * parts).collect()] == [("hot", True)]
+    conf = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left, right = salted_sides(rows, codes, "code", 16 * parts)
+        joined = left.join(right.hint("merge"), ["code", "_lb_salt"])
+        plain = rows.join(codes.hint("merge"), "code")
+        sizes = {}
+        for name, df in (("salted", joined), ("plain", plain)):
+            # rows of the large side in each task of the join
+            sizes[name] = sorted(r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count_distinct("id").alias("n")).collect())
+        assert sizes["plain"][-1] > 3 * sizes["plain"][parts // 2]
+        assert sizes["salted"][-1] < 3 * sizes["salted"][parts // 2]
+        assert _rows(salted_join(rows, codes, "code", 16 * parts).select("id", "code", "kind")) == _rows(plain.select("id", "code", "kind"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_a_repeated_spine_id_is_one_row_of_the_join(spark, tmp_dir):
+    """A third of all enrolment rows on one id: the join reads it as one row, and every copy comes out."""
+    ev, en = frames(spark, MICRO_ADM, MICRO_BENE)
+    copies = 25_432
+    many = spark.range(copies).selectExpr("'b1' AS bene_id", "2003 AS year", "0 AS hmo_mo", "2003 AS file_year")
+    other = spark.range(2 * copies).selectExpr("concat('z', id) AS bene_id", "2003 AS year", "1 AS hmo_mo", "2003 AS file_year")
+    nulls = spark.range(3).selectExpr("CAST(NULL AS STRING) AS bene_id", "2003 AS year", "0 AS hmo_mo", "2003 AS file_year")
+    late = spark.range(2).selectExpr("'b1' AS bene_id", "2002 AS year", "0 AS hmo_mo", "2003 AS file_year")
+    many.unionByName(en).unionByName(other).unionByName(nulls).unionByName(late).repartition(8).write.parquet(f"{tmp_dir}/en")
+    en = spark.read.parquet(f"{tmp_dir}/en")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        grid = feature_grid(ev, en, read_codebook(spark, MICRO_BOOK), [2003], 2000)
+        counts = {(r.bene_id, r.rfrnc_yr): r["count"] for r in grid.where("bene_id IS NULL OR bene_id LIKE 'b%'").groupBy("bene_id", "rfrnc_yr").count().collect()}
+        assert counts.pop(("b1", 2003)) == copies + 1 and counts.pop(("b1", 2002)) == 2 and counts.pop((None, 2003)) == 3
+        assert counts == {(f"b{i}", 2003): 1 for i in range(2, 8)}
+        grid.collect()
+        joined = []
+
+        def walk(p):
+            kind = p.getClass().getSimpleName()
+            if kind == "AdaptiveSparkPlanExec":
+                return walk(p.executedPlan())
+            if kind.endswith("QueryStageExec"):
+                return walk(p.plan())
+            if kind == "SortMergeJoinExec" and "file_year" in p.verboseString(1000):
+                joined.append(p.metrics().apply("numOutputRows").value())
+            it = p.children().iterator()
+            while it.hasNext():
+                walk(it.next())
+        walk(grid._jdf.queryExecution().executedPlan())
+        assert joined == [2 * copies + 9]  # one for each id, year and file, whatever its rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def _tables(spark, book):
+    conditions = spark.createDataFrame([(i, c, e["ref_period"], e.get("claims_criteria")) for i, (c, e) in enumerate(book.items())],
+                                       "cond_pos int, condition string, ref_period int, claims_criteria string")
+    texts = [(c, field.split("_")[0], "exclude" if field.endswith("_exclusion") else "include", " ,\n ".join(codes) + " ,")
+             for c, e in book.items() for field, codes in e.items() if isinstance(codes, list)]
+    return conditions, parse_code_text(spark.createDataFrame(texts, "condition string, version string, kind string, text string"))
+
+
+@pytest.mark.parametrize("mode", ["compat", "all"])
+@pytest.mark.parametrize("normalize", [False, True])
+def test_codebook_from_code_text(spark, mode, normalize):
+    want = read_codebook(spark, BOOK, mode, normalize)
+    got = codebook_from_tables(*_tables(spark, BOOK), mode, normalize)
+    assert got.conditions == want.conditions and got.n_bytes == want.n_bytes
+    assert _rows(got.codes.select(*want.codes.columns)) == _rows(want.codes)
+    assert got.constant_codes() == want.constant_codes()
+    ev, en = _events(spark, seed=5), frames(spark, MICRO_ADM, MICRO_BENE)[1]
+    assert _rows(feature_grid(ev, en, got, [2003], 2000)) == _rows(feature_grid(ev, en, want, [2003], 2000))
+
+
+def test_codebook_tables_are_checked(spark):
+    conditions, codes = _tables(spark, BOOK)
+    with pytest.raises(Exception, match="unknown version, kind or condition"):
+        codebook_from_tables(conditions.where("condition != 'b'"), codes)
+    with pytest.raises(Exception, match="unknown version, kind or condition"):
+        codebook_from_tables(conditions, codes.withColumn("kind", F.lit("maybe")))
+    with pytest.raises(ValueError, match="unknown claims_criteria"):
+        codebook_from_tables(conditions.withColumn("claims_criteria", F.lit("last")), codes)
+    with pytest.raises(ValueError, match="no conditions"):
+        codebook_from_tables(conditions.limit(0), codes.limit(0))
+
+
+def test_a_large_book_stays_a_table(spark):
+    n = 50_000
+    codes = spark.range(n).selectExpr("'a' AS condition", "'icd10' AS version", "'include' AS kind", "concat('K', id) AS code", "id AS code_pos")
+    conditions = spark.createDataFrame([(0, "a", 1)], "cond_pos int, condition string, ref_period int")
+    book = codebook_from_tables(conditions, codes, broadcast_bytes=1 << 20)
+    assert book.spec("a").n_include == n and book.constant_codes() is None and book.n_bytes > book.broadcast_bytes
+    ev = spark.createDataFrame([("p", dt.date(2003, 1, 1), 2003, ["K7", "K49999", "Z"]), ("q", dt.date(2003, 1, 1), 2003, ["Z"])], ADM_SCHEMA)
+    assert [r.bene_id for r in match_codes(ev, book, "a").collect()] == ["p"]
+
+
+def test_each_value_and_null_is_in_one_part(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE MACRO hashtext(x) AS CAST(CAST(hash(x) % 4294967296 AS BIGINT) - 2147483648 AS INTEGER)")
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i % 50 = 0 THEN NULL ELSE 'id' || i END AS id FROM range(5000) r(i)")
+    for parts in (1, 2, 7):
+        made = hash_predicates("id", parts)
+        assert len(made) == parts
+        sizes = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in made]
+        once = con.execute(f"SELECT count(*) FROM t WHERE {' + '.join(f'CASE WHEN {p} THEN 1 ELSE 0 END' for p in made)} = 1").fetchone()[0]
+        assert sum(sizes) == once == 5000 and min(sizes) > 0
+        assert [con.execute(f"SELECT count(*) FROM t WHERE id IS NULL AND {p}").fetchone()[0] for p in made] == [100] + [0] * (parts - 1)
+    with pytest.raises(ValueError):
+        hash_predicates("id", 0)
