@@ -5,7 +5,9 @@ number of its tags, and the chain of elements that enclose it.  Lines inside men
 footers, sidebars, notices, adverts, forms, scripts, styles and comment sections (by tag, ARIA role
 or a word of class and id) are marked as boilerplate and count with ratio 0.  Headings and sections are
 never marked by a word of their id, and inside an ``article`` or ``main`` a word of class or id marks an element only if
-half of its text is links and buttons or it holds a field to fill in.  The ratio of text
+half of its text is links and buttons or it holds a field to fill in.  Whole tokens of class that leave no doubt (``comments``,
+``comment-body``, ``advertisement``, ``cookie-notice``, ``newsletter``, ``sidebar``, ...) and reader comments by ``itemprop`` mark
+any block element, also in the article and an article itself as a comment, unless it encloses the article.  The ratio of text
 characters to tags is smoothed over the lines with a Gaussian kernel, and lines above the threshold
 (the standard deviation of the smoothed ratios, or their mean if that is lower) form the clusters.
 
@@ -48,6 +50,14 @@ WORDS = frozenset(
     "cookie cookies consent gdpr notice notices notification popup modal overlay alert disclaimer "
     "comment comments commentlist disqus replies reply respond discussion "
     "share sharing social related recommended newsletter subscribe signup login search pagination pager form".split())
+#: Whole tokens of class that name boilerplate beyond doubt, wherever they stand; an article is marked by the first kind alone.
+READERS = re.compile(r"(?:user-?|reader-?)?comments?|comments?[-_](?:list|body|content|text|section|area|thread|item|wrapper|container|form|box|block|meta)|"
+                     r"commentlist|disqus.*")
+SURE = re.compile(r"advert|adverts|advertisements?|advertising|advert[-_].*|advertisement[-_].*|ads?|ads?[-_](?:slot|box|unit|banner|container|wrapper|block|label)|"
+                  r"sponsor|sponsored|sponsored[-_].*|cookies?|cookies?[-_].*|gdpr|gdpr[-_].*|newsletter|newsletter[-_].*|sidebar|sidebar[-_].*|"
+                  r"site[-_]notice|breadcrumbs?")
+#: Ids that do the same.
+SURE_IDS = frozenset("comments comment-list disqus_thread sidebar newsletter".split())
 #: A wrapper of the article itself may carry such a word ("post has-sidebar"): these elements are never marked by class.
 NEVER_MARKED = frozenset("html body article main".split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -68,18 +78,30 @@ SCOPE = frozenset("table td th ul ol dl div article section main body html block
 
 
 def _boilerplate(tag: str, attrs: list) -> str:
-    """``sure`` (by tag, role or as hidden), ``word`` (by a word of class or id) or nothing."""
+    """``sure`` (by tag, role or as hidden), ``class`` (a token beyond doubt), ``word`` (a word of class or id) or nothing."""
     if tag in DROPPED:
         return "sure"
-    if tag in NEVER_MARKED:
+    if tag in NEVER_MARKED and tag != "article":
         return ""
     said = ""
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
+            if tag != "article":
+                return "sure"
+        if not value:
+            continue
+        low = value.lower()
+        if name == "role" and low in ROLES and tag != "article":
             return "sure"
-        if value and name == "role" and value.lower() in ROLES:
-            return "sure"
-        if value and (name == "class" or name == "id" and tag not in PARTS) and not WORDS.isdisjoint(_SPLIT.split(value.lower())):
+        if tag in BLOCK:
+            tokens = low.split()
+            if name == "itemprop" and "comment" in tokens or name == "itemtype" and low.rstrip("/").endswith("schema.org/comment"):
+                return "class"
+            if name == "class" and any(READERS.fullmatch(t) or tag != "article" and SURE.fullmatch(t) for t in tokens):
+                return "class"
+            if name == "id" and tag not in PARTS and tag != "article" and low.strip() in SURE_IDS:
+                return "class"
+        if tag != "article" and (name == "class" or name == "id" and tag not in PARTS) and not WORDS.isdisjoint(_SPLIT.split(low)):
             said = "word"
     return said
 
@@ -89,13 +111,16 @@ class _Lines(HTMLParser):
 
     Elements are numbered as they open; ``names`` and ``parents`` describe them, so a line needs
     one number for all the elements around it and work stays linear in the page.
-    ``doubted`` are the elements in the article that a word alone marks; those in ``spared`` aren't marked.
+    ``doubted`` are the elements in the article that a word alone marks, ``wrapping`` those that a class marks and
+    that hold an article or main; those in ``spared`` aren't marked.
     """
 
     def __init__(self, spared: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
         self.spared = spared
         self.doubted: list[int] = []
+        self.wrapping: set[int] = set()
+        self.by_class: list[int] = []  # open elements that a token of class marks
         # By element: inside an article or main, inside a link or button, letters, those in links, fields.
         self.central, self.linked, self.size, self.linked_size, self.fields = [False], [False], [0], [0], [0]
         self.lines: list[tuple[str, int, int, bool]] = []
@@ -114,13 +139,15 @@ class _Lines(HTMLParser):
         self.text = []
 
     def close_to(self, depth: int) -> None:
+        while self.by_class and self.by_class[-1] >= self.open[depth][1]:
+            self.by_class.pop()
         for name, _, _ in self.open[depth:]:
             self.count[name] -= 1
         del self.open[depth:]
 
     def handle_starttag(self, tag, attrs):
         said = _boilerplate(tag, attrs)
-        if said == "word" and len(self.names) in self.spared:
+        if said in ("word", "class") and len(self.names) in self.spared:
             said = ""
         if tag in BLOCK or said:
             self.end_line()
@@ -137,6 +164,10 @@ class _Lines(HTMLParser):
             _, parent, inside = self.open[-1]
             if said == "word" and self.central[parent]:
                 self.doubted.append(len(self.names))
+            if tag in ("article", "main") and not said:
+                self.wrapping.update(e for e in self.by_class if not self.central[e])
+            if said == "class":
+                self.by_class.append(len(self.names))
             self.central.append(self.central[parent] or tag in ("article", "main"))
             self.linked.append(self.linked[parent] or tag == "button" or tag == "a" and any(n == "href" for n, _ in attrs))
             self.size.append(0)
@@ -181,7 +212,7 @@ class _Lines(HTMLParser):
         for e in range(len(self.names) - 1, 0, -1):
             for held in (self.size, self.linked_size, self.fields):
                 held[self.parents[e]] += held[e]
-        return frozenset(e for e in self.doubted if not self.fields[e] and 2 * self.linked_size[e] < self.size[e])
+        return frozenset(e for e in self.doubted if not self.fields[e] and 2 * self.linked_size[e] < self.size[e]) | self.wrapping
 
 
 def smoothed(values: list[float], radius: int) -> list[float]:
@@ -213,7 +244,7 @@ def main_text(html: str | None, radius: int = 2) -> str:
     if not html:
         return ""
     page = _read(html)
-    if page.doubted and (spared := page.wrongly_marked()):
+    if (page.doubted or page.wrapping) and (spared := page.wrongly_marked()):
         page = _read(html, spared)
     lines = page.lines
     if not any(not x[3] for x in lines):
