@@ -19,7 +19,9 @@ equal keys are allowed (repeated rows): they are packed as separate items; a nul
 from __future__ import annotations
 
 import functools
+import json
 import math
+import re
 import unicodedata
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -31,32 +33,53 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, ship_code, shuffle_partitions, tidy, written
 
-#: What the tokenizer splits at, besides white space: fixed by its file's pre-tokenizer.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Texts with these go to the tokenizer as they are: special tokens, and characters for which
-#: Python's white space or lower case differ from the tokenizer's.
-ODD = regex.compile("<\\||[\x1c-\x1fΣİ᠎​﻿�]|\\p{Cn}|\\p{Co}")
-CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+#: The normaliser and splits of the files whose ids this module puts together from pieces of words; any other file
+#: gets whole texts.  Fixed values.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+PIECES = regex.compile(SPLIT)
+#: Texts of these characters alone are put together from pieces: letters, digits, marks and spaces that are letters,
+#: digits, marks and spaces in every version of Unicode, with one lower case, and that no normalisation joins.  The tests
+#: hold each of them against the tokenizer.  A text with any other character is encoded as it is.
+KNOWN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-\u012f\u0131-\u0148\u014a-\u017e\u0391-\u03a1\u03a4-\u03a9\u03b1-\u03c9\u0400-\u045f"
+                      "\u2010-\u2027\u2030-\u205e\u20ac\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
+KNOWN_LATIN = bytes(b for b in range(256) if KNOWN.fullmatch(chr(b)))
 #: Words, and pieces of words, kept with their ids by each worker: 150 to 200 bytes each.
-CACHE_WORDS = 1_200_000
-CACHE_PIECES = 1_000_000
+CACHE_WORDS = 900_000
+CACHE_PIECES = 700_000
 _tokenizers: dict = {}
 
 
 def odd(text: str) -> bool:
-    """Whether a text has to go to the tokenizer as it is."""
+    """Whether a text has to go to the tokenizer as it is: another character than the known ones, or a special token."""
+    if "<|" in text:
+        return True
     try:
-        text.encode("latin-1")
+        return bool(text.encode("latin-1").translate(None, KNOWN_LATIN))
     except UnicodeEncodeError:
-        return ODD.search(text) is not None
-    return any(x in text for x in CONTROLS)
+        return KNOWN.fullmatch(text) is None
+
+
+def known_file(path: str) -> bool:
+    """Whether a tokenizer file normalises and splits as this module does."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model = spec["model"]
+    return (spec.get("normalizer") == NORMALIZER and spec.get("pre_tokenizer") == PRE_TOKENIZER
+            and model.get("type", "BPE") == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
+            and not model.get("ignore_merges") and all(t["content"].startswith("<|") for t in spec.get("added_tokens", [])))
 
 
 class WordIds:
     """Token ids of whole texts, each distinct word tokenized once as long as it stays in the cache.
 
-    The tokenizer drops white space, splits words at punctuation and marks the end of each piece, so the
-    ids of a text are those of its pieces in order.  Unseen pieces are tokenized together, in one call.
+    For files of the known kind (``known_file``): the tokenizer drops white space, splits words at punctuation and marks the end of each piece, so the
+    ids of a text are those of its pieces in order.  Unseen pieces are tokenized together, in one call.  Other files,
+    and texts with other characters than the known ones, go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -64,6 +87,7 @@ class WordIds:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.path = path
+        self.known = known_file(path)
         # For pieces that are normalised and split already: the file's model behind a split at spaces.
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
@@ -106,7 +130,7 @@ class WordIds:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        plain = [None if odd(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
+        plain = [None if not self.known or odd(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
         new = list({w for words in plain if words for w in words}.difference(self.words))
