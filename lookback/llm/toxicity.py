@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship_code, short_batches, tidy
@@ -106,15 +106,29 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, smoothing: float = 1.0, pena
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic") -> Model:
-    """Fit on the first ``per_class`` labelled documents of each class by a hash of the id."""
+          label_col: str = "toxic", class_bytes: int = 128 << 20) -> Model:
+    """Fit on the first ``per_class`` labelled documents of each class by a hash of the id.
+
+    A document is an id: of rows that repeat one, the text with the smallest hash counts.  Documents are taken in that order as
+    long as their features fill at most ``class_bytes`` (the first one always), so what reaches the driver is
+    bounded in rows and in bytes.
+    """
     ship_code(docs.sparkSession)
     short_batches(docs.sparkSession)
     named = (labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_label"))
              .where("_id is not null and _label in (0, 1)").groupBy("_id").agg(F.max("_label").alias("_label")))
     some = [named.where(F.col("_label") == k).orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").limit(per_class) for k in (0, 1)]
     chosen = some[0].unionByName(some[1])  # at most 2 * per_class rows
-    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text")).join(F.broadcast(chosen), "_id")
+    texts = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text")).join(F.broadcast(chosen), "_id")
+    # One text of each id, by two long numbers that are summed up in the tasks; then the texts themselves.
+    most = F.least(F.lit(BUCKETS), 3 * F.coalesce(F.length("_text"), F.lit(0)) + 8) * 4
+    one = texts.groupBy("_id", "_label").agg(F.min(F.xxhash64("_text")).alias("_hash"), F.max(most).alias("_bytes"))
+    # A window over at most 2 * per_class rows.
+    order = Window.partitionBy("_label").orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").rowsBetween(Window.unboundedPreceding, 0)
+    within = (one.withColumn("_sum", F.sum("_bytes").over(order)).withColumn("_rank", F.count("*").over(order))
+              .where((F.col("_sum") <= class_bytes) | (F.col("_rank") == 1)).select("_id", "_hash"))
+    rows = (texts.withColumn("_hash", F.xxhash64("_text")).join(F.broadcast(within), ["_id", "_hash"])
+            .select("_id", "_text", "_label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -122,7 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000, id_col: str
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(2), pa.array(made, pa.binary())], names=["id", "label", "found"])
 
     kind = labels.schema[id_col].dataType.simpleString()
-    held = rows.select("_id", "_text", "_label").mapInArrow(tidy(run), f"id {kind}, label int, found binary").toArrow().sort_by("id")
+    # Equal rows of one id are equal features: one of them.
+    held = (rows.mapInArrow(tidy(run), f"id {kind}, label int, found binary").groupBy("id", "label").agg(F.min("found").alias("found"))
+            .toArrow().sort_by("id"))
     return fit([np.frombuffer(f.as_buffer(), np.int32) for f in held["found"]], held["label"].to_numpy())
 
 
