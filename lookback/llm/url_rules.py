@@ -81,7 +81,7 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     rows = urls.select(*[F.col(c).alias(f"_uk{i}") for i, c in enumerate(keep)],
                        host.alias("_uhost"), path.alias("_upath"))
     # One verdict for each (host, path) of the rule table: block wins.
-    rules = (rules.select(F.lower("host").alias("_uhost"), F.coalesce("path", F.lit("")).alias("_upath"), "verdict")
+    rules = (rules.select(ascii_lower(F.col("host")).alias("_uhost"), F.coalesce("path", F.lit("")).alias("_upath"), "verdict")
              .where(F.col("_uhost").isNotNull() & F.col("verdict").isNotNull())
              .groupBy("_uhost", "_upath").agg(F.max("verdict").alias("verdict")))
     hosts = rules.groupBy("_uhost").agg(F.count("*").alias("_urules"))
