@@ -1,8 +1,8 @@
 """Mixing to target weights: iterative proportional fitting over (source, lang, topic) cells, then sampling.
 
 Method.  Documents are summed to cells; a cell's mass starts as its tokens.  Raking scales the masses
-of each source to the source's target share, then of each language, then of each topic, and again for
-``cycles`` cycles.  A document's weight is its cell's mass over the cell's tokens; its probability
+of each source to the source's target share, then of each language, then of each topic, and again until every
+share is met to ``TOLERANCE`` of the whole (in blocks of ``cycles`` cycles).  A document's weight is its cell's mass over the cell's tokens; its probability
 is that weight over the largest weight, so the expected tokens of the sample have the raked shares, no
 document needs to be repeated, and the choice uses a hash of seed and id: it is the same in every run.
 
@@ -13,8 +13,7 @@ column expression; ``topic_of`` is a default by the build of a text, as the tabl
 
 Only DataFrame functions are used.  Texts are read once for the sums (reduced before the shuffle; a
 source with a third of all rows is summed in each task first) and once for the output, joined with the
-cells, whose size Spark knows when it plans that join.  The cells are raked in one task as long as
-they are few (``ONE_TASK_CELLS``), else by shuffles on each dimension; the result is the same.
+cells, whose size Spark knows when it plans that join.  Cells are raked by windows over each dimension.
 
 Defined cases: null or empty text: 1 token (its end token), topic ``empty``; null source, language or
 topic: a value of its own, written ``(null)``; an empty table gives no rows; rows that repeat an id
@@ -23,14 +22,17 @@ share their choice; all null ids share one; input columns called like one that i
 
 from __future__ import annotations
 
+import functools
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import without, written
 
-#: Cells that one task rakes; more are dealt by dimension.
-ONE_TASK_CELLS = 100_000
+#: Shares of the whole mass that a marginal may miss its target by, and blocks of cycles that are tried for that.
+TOLERANCE, MOST_BLOCKS = 1e-9, 12
 NULL = "(null)"
 DIMS = ("source", "lang", "topic")
 
@@ -57,10 +59,13 @@ def chance(id_col: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))
 
 
-def rake(cells: DataFrame, targets: dict, cycles: int = 12) -> DataFrame:
-    """``cells`` (the dimensions and ``tokens``) with ``mass`` and ``weight``."""
-    if cells.count() <= ONE_TASK_CELLS:
-        cells = cells.coalesce(1)
+def rake(cells: DataFrame, targets: dict, cycles: int = 12, tolerance: float = TOLERANCE) -> DataFrame:
+    """``cells`` (the dimensions and ``tokens``) with ``mass`` and ``weight``.
+
+    Blocks of ``cycles`` cycles run until no marginal misses its target by more than ``tolerance`` of the whole.  Targets
+    that the given cells can't meet together have no such end: then the blocks stop when one brings no marginal nearer,
+    with a warning that names what is missed.
+    """
     frame = cells.withColumn("mass", F.col("tokens").cast("double"))
     for dim, target in targets.items():
         if isinstance(target, DataFrame):
@@ -78,20 +83,32 @@ def rake(cells: DataFrame, targets: dict, cycles: int = 12) -> DataFrame:
     total = frame.agg(F.sum("tokens").alias("total"), *sums).first()
     if total["total"] is None:
         return frame.withColumn("weight", F.lit(1.0)).select(*cells.columns, "mass", "weight")
-    if frame.rdd.getNumPartitions() > 1 and frame.count() <= ONE_TASK_CELLS:
-        frame = frame.coalesce(1)
-    for cycle in range(1, cycles + 1):
-        for d in targets:
-            goal = F.col(f"to_{d}") * F.lit(float(total["total"]) / (total[f"sum_{d}"] or 1.0))
-            held = F.sum("mass").over(Window.partitionBy(d))
-            frame = frame.withColumn("mass", F.when(held > 0, F.col("mass") * goal / held).otherwise(F.lit(0.0)))
-        if cycle % 4 == 0 and cycle < cycles:
-            frame = written(frame, "mix-cycle")
-            if frame.rdd.getNumPartitions() > 1 and frame.count() <= ONE_TASK_CELLS:
-                frame = frame.coalesce(1)
+    goals = {d: F.col(f"to_{d}") * F.lit(float(total["total"]) / (total[f"sum_{d}"] or 1.0)) for d in targets}
+    missed = float("inf")
+    for _ in range(MOST_BLOCKS):
+        for cycle in range(1, cycles + 1):
+            for d, goal in goals.items():
+                held = F.sum("mass").over(Window.partitionBy(d))
+                frame = frame.withColumn("mass", F.when(held > 0, F.col("mass") * goal / held).otherwise(F.lit(0.0)))
+            if cycle % 4 == 0 or cycle == cycles:
+                frame = written(frame, "mix-cycle")
+        before, missed = missed, _missed(frame, goals) / float(total["total"])
+        if missed <= tolerance or not targets:
+            break
+        if missed > 0.99 * before:
+            warnings.warn(f"mixing: the targets can't be met together; a marginal misses its own by {missed:.2g} of all tokens", stacklevel=2)
+            break
+    else:
+        warnings.warn(f"mixing: after {MOST_BLOCKS * cycles} cycles a marginal misses its target by {missed:.2g} of all tokens", stacklevel=2)
     return frame.withColumn("weight", F.col("mass") / F.col("tokens")).select(*cells.columns, "mass", "weight")
 
 
+def _missed(frame: DataFrame, goals: dict) -> float:
+    """The largest difference of a marginal's mass from its target."""
+    parts = [frame.groupBy(F.col(d).alias("value")).agg(F.abs(F.sum("mass") - F.max(goal)).alias("off")).select("off") for d, goal in goals.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b), parts).agg(F.max("off").alias("off")).first()["off"] if parts else 0.0
+
+
 def mix(docs: DataFrame, targets: dict, cycles: int = 12, seed: int = 7, topic: Column | None = None,
         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with ``mix_topic, mix_tokens, mix_weight, mix_probability, mix_kept``."""
