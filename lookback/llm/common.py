@@ -104,6 +104,33 @@ def tidy(fn: Callable) -> Callable:
     return run
 
 
+#: Rows and bytes of a batch that ``gathered`` hands on.
+OUT_ROWS, OUT_BYTES = 20_000, 4 << 20
+
+
+def gathered(fn: Callable) -> Callable:
+    """A ``mapInArrow`` function whose small batches are handed on together, at most OUT_ROWS rows or OUT_BYTES bytes.
+
+    A function may then yield a batch for each text without holding those of its whole input batch.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows = size = 0
+        for b in fn(batches):
+            if not b.num_rows:
+                continue
+            held.append(b)
+            rows += b.num_rows
+            size += b.nbytes
+            if rows >= OUT_ROWS or size >= OUT_BYTES:
+                yield pa.concat_batches(held)
+                held, rows, size = [], 0, 0
+        if held:
+            yield pa.concat_batches(held)
+
+    return run
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFrame:
     """``mapInArrow`` with a function from column lists to column lists of the same or another length."""
     ship_code(df.sparkSession)

@@ -32,24 +32,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import passages
-from .bits import bit_map, split_rows
-from .common import ship_code, short_batches, tidy, without, written
+from .bits import bit_map, later_places, split_rows
+from .common import gathered, ship_code, short_batches, tidy, without, written
 
 #: A boundary follows one of so many pairs of lines on average.
 DIVISOR = 4
-_B = np.uint64(0x9E3779B97F4A7C15)
+_B, _M = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Rows that a text's chunks are handed on by.
+MOST_ROWS = 2000
 
 
-def units(text: str, min_words: int) -> tuple[list[str], list[tuple[int, int]]]:
-    """The lines of a text and its chunks as (first line, number of lines)."""
+def _hashes(lines: list[str]) -> np.ndarray:
     from xxhash import xxh3_64_intdigest
 
+    return np.fromiter((xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines), np.uint64, len(lines))
+
+
+def units(text: str, min_words: int) -> tuple[list[str], list[tuple[int, int]]]:
+    """The lines of a text and its chunks as (first line, number of lines)."""
     lines = text.split("\n")
-    h = np.fromiter((xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines), np.uint64, len(lines))
+    return lines, _chunks(lines, _hashes(lines), min_words)
+
+
+def _chunks(lines: list[str], h: np.ndarray, min_words: int) -> list[tuple[int, int]]:
     rolled = (h[:-1] * _B + h[1:])
     rolled = (rolled ^ (rolled >> np.uint64(29))) * _B >> np.uint64(40)
+    ends = (rolled % np.uint64(DIVISOR) == 0).tolist()
     # Counting words is the dear part, so only lines that can be long enough are counted.
-    long = [len(x) >= 2 * min_words - 1 and len(x.split()) >= min_words for x in lines]
+    least = 2 * min_words - 1
+    long = [len(x) >= least and len(x.split()) >= min_words for x in lines]
     out: list[tuple[int, int]] = []
     start = 0
     for i in range(len(lines)):
@@ -58,22 +69,29 @@ def units(text: str, min_words: int) -> tuple[list[str], list[tuple[int, int]]]:
                 out.append((start, i - start))
             out.append((i, 1))
             start = i + 1
-        elif i + 1 == len(lines) or rolled[i] % DIVISOR == 0:
+        elif i + 1 == len(lines) or ends[i]:
             if i + 1 - start > 2:
                 out.append((start, i + 1 - start))
             start = i + 1
     out += [(i, 2) for i in range(len(lines) - 1)]
-    return lines, out
+    return out
 
 
-def _chunk(lines: list[str], start: int, count: int) -> bytes:
-    return "\n".join(lines[start:start + count]).encode("utf-8", "surrogatepass")
+def chunk_keys(h: np.ndarray, chunks: list[tuple[int, int]]) -> np.ndarray:
+    """A key of each chunk, out of the hashes of its lines: chunks of equal lines have equal keys."""
+    if not chunks:
+        return np.empty(0, np.int64)
+    up, down = passages.power_tables(len(h) + 1)
+    sums = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(((h ^ (h >> np.uint64(31))) * _M) * up[:len(h)], out=sums[1:])
+    at = np.array(chunks, np.int64)
+    x = (sums[at[:, 0] + at[:, 1]] - sums[at[:, 0]]) * down[at[:, 0]] + at[:, 1].astype(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * _B
+    return (x ^ (x >> np.uint64(29))).view(np.int64)
 
 
-def _key(raw: bytes) -> int:
-    from xxhash import xxh3_64_intdigest
-
-    return int(np.uint64(xxh3_64_intdigest(raw)).view(np.int64))
+def _chunk(lines: list[str], start: int, count: int) -> bytes:
+    return "\n".join(lines[start:start + count]).encode("utf-8", "surrogatepass")
 
 
 def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,49 +101,54 @@ def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_c
     """
     ship_code(docs.sparkSession)
     short_batches(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
     frame = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("same")).where(
         "doc_id is not null and text is not null and text != ''")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys: list[int] = []
-            for text in b.column(1).to_pylist():
-                lines, found = units(text, min_words)
-                keys += [_key(_chunk(lines, *u)) for u in found]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], names=["key"])
+            for text in b.column(1):
+                lines = text.as_py().split("\n")
+                h = _hashes(lines)
+                yield pa.RecordBatch.from_arrays([pa.array(chunk_keys(h, _chunks(lines, h, min_words)))], names=["key"])
 
-    often = written(frame.mapInArrow(tidy(hashes), "key long").groupBy("key").agg(F.count("*").alias("n"))
+    often = written(frame.mapInArrow(tidy(gathered(hashes)), "key long").groupBy("key").agg(F.count("*").alias("n"))
                     .where("n > 1").select("key"), "line-keys")
     held = bit_map(often, "key")
+    at_kind = frame.schema["doc_id"].dataType
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[tuple] = []
-            for doc, text, same in zip(*(b.column(i).to_pylist() for i in range(3))):
-                lines, found = units(text, min_words)
-                raw = [_chunk(lines, *u) for u in found]
-                keys = np.array([_key(x) for x in raw], np.int64)
-                rows += [(doc, same, *found[i], raw[i]) for i in np.flatnonzero(held.has(keys)).tolist()]
-            cols = list(zip(*rows)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], b.schema.field(0).type), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
-                 pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())], names=["doc_id", "same", "start", "count", "raw"])
-
-    found = written(frame.mapInArrow(tidy(bodies), f"doc_id {kind}, same long, start int, count int, raw binary")
+            for r, text in enumerate(b.column(1)):
+                lines = text.as_py().split("\n")
+                h = _hashes(lines)
+                chunks = _chunks(lines, h, min_words)
+                hits = np.flatnonzero(held.has(chunk_keys(h, chunks))).tolist()
+                seen: set[bytes] = set()
+                for a in range(0, len(hits), MOST_ROWS):  # the rows of a huge text are handed on in parts
+                    some = [chunks[i] for i in hits[a:a + MOST_ROWS]]
+                    raw = [_chunk(lines, *u) for u in some]
+                    again = []
+                    for x in raw:
+                        again.append(x in seen)
+                        seen.add(x)
+                    take = pa.array(np.full(len(some), r, np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(take), b.column(2).take(take), pa.array([u[0] for u in some], pa.int32()),
+                         pa.array([u[1] for u in some], pa.int32()), pa.array(again, pa.bool_()), pa.array(raw, pa.binary())],
+                        names=["doc_id", "same", "start", "count", "again", "raw"])
+
+    found = written(frame.mapInArrow(tidy(gathered(bodies)), f"doc_id {at_kind.simpleString()}, same long, start int, count int, again boolean, raw binary")
                     .withColumn("key", F.xxhash64("raw")), "line-chunks")
     # Grouping by the bytes is the comparison.  As nearly every key then stands for one chunk, the
-    # occurrences find it by the key alone, and only those of clashing keys by their bytes.
-    groups = written(found.groupBy("key", "raw").agg(F.min(F.struct("doc_id", "same", "start")).alias("first"), F.count("*").alias("n")),
-                     "line-groups")
-    one = (groups.groupBy("key").agg(F.count("*").alias("chunks"), F.max("n").alias("n"), F.min("first").alias("first"))
-           .where("chunks = 1 and n > 1").select("key", "first"))
-    clash = groups.groupBy("key").agg(F.count("*").alias("chunks")).where("chunks > 1").select("key")
-    clash = written(groups.where("n > 1").join(clash, "key", "left_semi").select("key", "raw", "first"), "line-clashes")
-    places = ["doc_id", "same", "start", "count", "first"]
-    return (found.select("key", "doc_id", "same", "start", "count").join(one, "key").select(*places)
-            .unionByName(found.join(clash, ["key", "raw"]).select(*places))
-            .where("doc_id != first.doc_id or same != first.same or start != first.start").select("doc_id", "same", "start", "count"))
+    # occurrences find their first place by the key alone, and only those of clashing keys by their bytes.
+    clash = written(found.groupBy("key", "raw").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("chunks"))
+                    .where("chunks > 1").select("key"), "line-clashes")
+    places = ["doc_id", "same", "start", "count"]
+    if clash.isEmpty():
+        return later_places(found.drop("raw"), ["key"], docs, id_col).select(*places)
+    apart = found.join(clash, "key", "left_anti").drop("raw")
+    return (later_places(apart, ["key"], docs, id_col).select(*places)
+            .unionByName(later_places(found.join(clash, "key", "left_semi"), ["key", "raw"], docs, id_col).select(*places)))
 
 
 def strip(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str, int, int]:

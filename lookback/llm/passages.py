@@ -4,8 +4,8 @@ Method.  A word is a run of other characters than white space.  Every window of
 stands, with the bytes between its words, in an earlier place (document, then position) too is a repeat,
 and all words of repeated windows are removed.  Two texts that share a window share the smallest
 rolling hash of the runs of ``RUN`` words in it (winnowing), so it is enough to count those hashes: windows
-whose smallest one stands once can't repeat.  The others are compared by a 128-bit BLAKE2 digest of their
-bytes (a chance of 1e-20 that two of 10^9 windows clash).  No pairs are made: a passage that a third of
+whose smallest one stands once can't repeat.  The others are compared by a 128-bit digest of their
+bytes (XXH3; a chance of 1e-20 that two of 10^9 windows clash).  No pairs are made: a passage that a third of
 the documents hold is one group for each of its windows.
 
 Defined cases: rows with a null id or text and texts under ``min_words`` words stay as they are; rows
@@ -17,15 +17,14 @@ break stays, else the one before it.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bits import bit_map, split_rows
-from .common import ship_code, short_batches, tidy, without, written
+from .bits import bit_map, later_places, split_rows
+from .common import gathered, ship_code, short_batches, tidy, without, written
 
 #: Words of the runs whose hashes are winnowed (fewer, if ``min_words`` is smaller).
 RUN = 16
@@ -47,7 +46,7 @@ def word_bounds(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of _B and of its inverse modulo 2^64, for at least n positions."""
     if not _powers or len(_powers[0][0]) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length())
@@ -67,7 +66,7 @@ def smallest_runs(text: str, min_words: int) -> tuple[np.ndarray, np.ndarray, np
     if len(first) < min_words:
         return first, end, np.empty(0, np.int64)
     run = min(RUN, min_words)
-    up, down = _power_tables(len(points))
+    up, down = power_tables(len(points))
     x = (points.astype(np.uint64) + np.uint64(1)) * _M1
     x = (x ^ (x >> np.uint64(32))) * _M2
     sums = np.zeros(len(points) + 1, np.uint64)
@@ -122,36 +121,64 @@ def windows(docs: DataFrame, min_words: int, id_col: str, text_col: str, same: s
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = [np.empty(0, np.int64)]
-            for text in b.column(2).to_pylist():
-                low = smallest_runs(text, min_words)[2]
+            for text in b.column(2):
+                low = smallest_runs(text.as_py(), min_words)[2]
                 if len(low):
                     turn = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
                     # One run is in at most ``wide`` windows; more in a row hold it in two places.
-                    keys.append(np.repeat(low[turn], 1 + (np.diff(np.append(turn, len(low))) > wide)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys), pa.int64())], names=["key"])
+                    keys = np.repeat(low[turn], 1 + (np.diff(np.append(turn, len(low))) > wide))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
 
-    often = written(frame.mapInArrow(tidy(hashes), "key long").groupBy("key").agg(F.count("*").alias("n"))
+    often = written(frame.mapInArrow(tidy(gathered(hashes)), "key long").groupBy("key").agg(F.count("*").alias("n"))
                     .where("n > 1").select("key"), "passage-keys")
     held = bit_map(often, "key")
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            row, places, raws = [], [], []
-            for r, text in enumerate(b.column(2).to_pylist()):
+            for r, text in enumerate(b.column(2)):
+                text = text.as_py()
                 first, end, low = smallest_runs(text, min_words)
-                for i in np.flatnonzero(held.has(low)).tolist() if len(low) else ():
-                    row.append(r)
-                    places.append(i)
-                    raws.append(blake2b(text[first[i]:end[i + min_words - 1]].encode("utf-8", "surrogatepass"), digest_size=16).digest())
-            take = pa.array(row, pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(places, pa.int32()), pa.array(raws, pa.binary())],
-                                             names=["doc_id", "same", "at", "raw"])
-
-    found = written(frame.mapInArrow(tidy(digests), f"doc_id {kind}, same long, at int, raw binary"), "passage-windows")
-    groups = found.groupBy("raw").agg(F.min(F.struct("doc_id", "same", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    return found.join(groups.select("raw", "first"), "raw").where(
-        f"doc_id != first.doc_id or same != first.same or at >= first.at + {min_words}").select("doc_id", "same", "at")
+                hits = np.flatnonzero(held.has(low)) if len(low) else low
+                if not len(hits):
+                    continue
+                a, z = digests_of(text, first[hits], end[hits + min_words - 1])
+                # The first place of each window in this text, and whether a place is far enough behind it to be a copy.
+                back = _first_of(a, z)
+                again = hits >= hits[back] + min_words
+                take = pa.array(np.full(len(hits), r, np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(take), b.column(1).take(take), pa.array(hits.astype(np.int32)), pa.array(again), pa.array(a), pa.array(z)],
+                    names=["doc_id", "same", "at", "again", "a", "z"])
+
+    found = written(frame.mapInArrow(tidy(gathered(digests)), f"doc_id {kind}, same long, at int, again boolean, a long, z long"), "passage-windows")
+    return later_places(found, ["a", "z"], docs, id_col).select("doc_id", "same", "at")
+
+
+def digests_of(text: str, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 128-bit digest of the bytes of each window, as two numbers."""
+    from xxhash import xxh3_128_digest
+
+    raw = text.encode("utf-8", "surrogatepass")
+    if len(raw) != len(text):
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = np.ones(len(points) + 1, np.int64)
+        size[0] = 0
+        for edge in (0x80, 0x800, 0x10000):
+            size[1:] += points >= edge
+        place = np.cumsum(size)
+        first, end = place[first], place[end]
+    out = np.frombuffer(b"".join([xxh3_128_digest(raw[x:y]) for x, y in zip(first.tolist(), end.tolist())]), "<i8")
+    return out[::2].copy(), out[1::2].copy()
+
+
+def _first_of(a: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """For each pair the position of its first occurrence."""
+    order = np.lexsort((z, a))  # stable: equal pairs stay in their order
+    new = np.ones(len(a), bool)
+    new[1:] = (a[order][1:] != a[order][:-1]) | (z[order][1:] != z[order][:-1])
+    back = np.empty(len(a), np.int64)
+    back[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return back
 
 
 def dedup_passages(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text",

@@ -145,6 +145,54 @@ def test_lines_against_brute_force(spark):
     assert got[303][1] == 2 and got[None][1] == 0
 
 
+def _rules(texts, min_words=50):
+    """The line stage by its rules in words, from texts alone: which lines go from which text (no code of the stage).
+
+    A run of lines that stands in an earlier place too, two lines or a line of at least ``min_words`` words, is marked;
+    marked runs of at least ``min_words`` words go.  Chunks of more lines mark nothing that their pairs don't.
+    """
+    places = {}
+    for d, t in sorted((d, t) for d, t in texts if d is not None and t):
+        lines = t.split("\n")
+        for n in (1, 2):
+            for i in range(len(lines) - n + 1):
+                if n == 2 or len(lines[i].split()) >= min_words:
+                    places.setdefault((n, *lines[i:i + n]), []).append((d, i))
+    gone = {}
+    for (n, *_), held in places.items():
+        for d, i in held[1:]:
+            gone.setdefault(d, set()).update(range(i, i + n))
+    out = {}
+    for d, t in texts:
+        lines, marked, kept, run = (t or "").split("\n"), gone.get(d, set()), [], []
+        for i, x in enumerate([*lines, None]):
+            if x is not None and i in marked:
+                run.append(x)
+                continue
+            if sum(len(y.split()) for y in run) < min_words:
+                kept += run
+            run = []
+            if x is not None:
+                kept.append(x)
+        out[d] = None if t is None else "\n".join(kept)
+    return out
+
+
+def test_lines_against_the_rules_alone(spark):
+    rng = random.Random(16)
+    pool = [random_words(rng, rng.randint(1, 40)) for _ in range(40)] + [random_words(rng, 60), ""]
+    rows = []
+    for i in range(150):
+        lines = []
+        for _ in range(rng.randint(0, 6)):
+            a = rng.randrange(len(pool) - 5)
+            lines += pool[a:a + rng.randint(1, 5)] if rng.random() < .5 else [random_words(rng, rng.randint(0, 30))]
+        rows.append((i, "\n".join(lines)))
+    rows += [(200, None), (201, ""), (202, rows[3][1]), (203, "\n".join([pool[-2]] * 4))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()} == _rules(rows)
+
+
 def test_lines_of_an_empty_table(spark, tmp_path):
     root = tables(spark, str(tmp_path), documents=spark.createDataFrame([], DOCS))
     assert queries.op7_line_dedup(spark, root).count() == 0
