@@ -14,6 +14,11 @@ of ``documents``.
   that no longer look alike), and a text with nothing left goes.
 * mixing: documents are sampled to the raked source, language and topic shares.
 * packing: the pieces of what is left, placed in sequences of 2048 tokens.
+
+Defined cases, for every stage: an empty table gives no rows; null and empty texts have no letter, so language ID rejects
+them; a null source is a value of its own in mixing; null ids stay (they are no one's copy); rows that repeat an id are judged
+as the operators say; ties go to the smallest id.  Columns besides those of ``documents`` are kept up to packing; one called like
+a column that an operator makes is replaced.
 """
 
 from __future__ import annotations
