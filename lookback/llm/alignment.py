@@ -1,8 +1,8 @@
 """Cross-tokenizer alignment by diagonal run skipping, and how often ids of two tokenizers stand for each other.
 
 Method.  Tokens of both encodings are byte ranges of the same bytes, given by their ends.  At tokens i and j the two
-end arrays are compared at the current index shift j - i in probes of 1, 2, 4, ... tokens; a probe that differs is
-halved until the first difference is met, so a stretch of one-to-one tokens costs a logarithm of probes.  The
+end arrays are compared at the current index shift j - i: the first SINGLE tokens one by one, then in probes that double; a
+probe that differs is halved until the first difference is met, so a stretch of one-to-one tokens costs a logarithm of probes.  The
 irregular group behind it is settled locally: the tokenizer that lags goes on until both end at the same byte, each
 step giving a link of two tokens that overlap; its sizes change the shift and probing starts again.
 
@@ -23,12 +23,13 @@ kept; an empty table gives no rows; columns of the input besides id and text don
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,44 +38,56 @@ from .vocab import GAP, open_tokenizer
 
 #: Pairs with this share of all rows, or more, are counted in the tasks.
 HOT = 50_000
-#: Parts of a slab; parts that a worker keeps, and the longest of them.
+#: Parts of a slab, and parts that a worker keeps before it starts anew (about 250 bytes each).
 SLAB = 20_000
-CACHE_PARTS, CACHE_CHARS = 250_000, 48
+CACHE_PARTS = 1_000_000
+#: Tokens of a stretch that are compared one by one before probes are worth their cost.
+SINGLE = 8
 #: Rows of a batch of output.
 OUT_ROWS = 64
 
-CUT = regex.compile(f"(?<=[^{GAP}]) (?=[^{GAP}])")
-CLOSED = regex.compile(f"[^{GAP}](?:.*[^{GAP}])?", regex.DOTALL)
+CUT = re.compile(f"(?<=[^{GAP}]) (?=[^{GAP}])")
+CLOSED = re.compile(f"[^{GAP}](?:.*[^{GAP}])?", re.DOTALL)
 
 
-def align(ea: list[int], eb: list[int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
-    """One-to-one stretches (i, j, tokens) and irregular groups (i, j, after the last of A, of B), in order.
+def align(ea: list[int], eb: list[int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]], tuple[list[int], list[int]]]:
+    """One-to-one stretches (i, j, tokens); irregular groups (i, j, after the last of A, of B); tokens of A and B linked in those.
 
-    ``ea`` and ``eb`` are the increasing ends of both encodings of the same bytes; the last ones are equal.
+    ``ea`` and ``eb`` are the increasing ends of both encodings of the same bytes; the last ones are equal.  All is in order.
     """
     runs: list[tuple[int, int, int]] = []
     odd: list[tuple[int, int, int, int]] = []
-    i = j = 0
+    la: list[int] = []
+    lb: list[int] = []
     n = len(ea)
+    ea, eb = [*ea, -1], [*eb, -2]  # differ behind the end
+    i = j = 0
     while i < n:
-        k, w = 0, 1
-        while (probe := ea[i + k:i + k + w]) and probe == eb[j + k:j + k + w]:
-            k += len(probe)
-            w += w
-        if probe:  # the first difference lies within the last probe
-            w >>= 1
-            while w:
-                if ea[i + k:i + k + w] == eb[j + k:j + k + w]:
-                    k += w
-                w >>= 1
-        if k:
-            runs.append((i, j, k))
-            i += k
-            j += k
-        if i >= n:
-            break
+        first, shift = i, j - i
+        while ea[i] == eb[j]:
+            i += 1
+            j += 1
+            if i - first == SINGLE:
+                w = SINGLE
+                while ea[i:i + w] == eb[j:j + w]:
+                    i += w
+                    j += w
+                    w += w
+                w >>= 1  # the first difference lies within the last probe
+                while w:
+                    if ea[i:i + w] == eb[j:j + w]:
+                        i += w
+                        j += w
+                    w >>= 1
+                break
+        if i > first:
+            runs.append((first, first + shift, i - first))
+            if i >= n:
+                break
         p, q = i, j
         a, b = ea[p], eb[q]
+        la.append(p)
+        lb.append(q)
         while a != b:
             if a < b:
                 p += 1
@@ -82,33 +95,22 @@ def align(ea: list[int], eb: list[int]) -> tuple[list[tuple[int, int, int]], lis
             else:
                 q += 1
                 b = eb[q]
+            la.append(p)
+            lb.append(q)
         odd.append((i, j, p + 1, q + 1))
         i, j = p + 1, q + 1
-    return runs, odd
+    return runs, odd, (la, lb)
 
 
-def links_of(runs: list, odd: list, ea: list[int], eb: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def links_of(runs: list, odd_links: tuple[list[int], list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Indices of A and of B of all overlapping tokens."""
-    la: list[int] = []
-    lb: list[int] = []
-    for i, j, p, q in odd:
-        while True:
-            la.append(i)
-            lb.append(j)
-            a, b = ea[i], eb[j]
-            if a == b:
-                break
-            if a < b:
-                i += 1
-            else:
-                j += 1
+    la, lb = (np.array(x, np.int64) for x in odd_links)
     if not runs:
-        return np.array(la, np.int64), np.array(lb, np.int64)
+        return la, lb
     first = np.array(runs, np.int64)
     size = first[:, 2]
     step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    return (np.concatenate([np.repeat(first[:, 0], size) + step, np.array(la, np.int64)]),
-            np.concatenate([np.repeat(first[:, 1], size) + step, np.array(lb, np.int64)]))
+    return (np.concatenate([np.repeat(first[:, 0], size) + step, la]), np.concatenate([np.repeat(first[:, 1], size) + step, lb]))
 
 
 def spell(runs: list, odd: list, sa: list[str], sb: list[str]) -> str:
@@ -120,87 +122,125 @@ def spell(runs: list, odd: list, sa: list[str], sb: list[str]) -> str:
             x, y, k = runs[r]
             out.extend(map("|".join, zip(sa[x:x + k], sb[y:y + k])))
             r += 1
-        out.append(",".join(sa[i:p]) + "|" + ",".join(sb[j:q]))
+        out.append((sa[i] if p == i + 1 else ",".join(sa[i:p])) + "|" + (sb[j] if q == j + 1 else ",".join(sb[j:q])))
     if r < last:
         x, y, k = runs[r]
         out.extend(map("|".join, zip(sa[x:x + k], sb[y:y + k])))
     return ";".join(out)
 
 
+class _Ids:
+    """Ids of parts behind each other: part k has ``flat[start[k]:start[k] + size[k]]``."""
+
+    def __init__(self) -> None:
+        self.flat, self.start, self.size = np.empty(1 << 16, np.uint32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.ids = self.parts = 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The next parts; ``ids`` are theirs, one after the other."""
+        for name, need in (("flat", self.ids + len(ids)), ("start", self.parts + len(sizes)), ("size", self.parts + len(sizes))):
+            held = getattr(self, name)
+            if need > len(held):
+                setattr(self, name, np.resize(held, max(need, 2 * len(held))))
+        self.flat[self.ids:self.ids + len(ids)] = ids
+        self.size[self.parts:self.parts + len(sizes)] = sizes
+        self.start[self.parts:self.parts + len(sizes)] = self.ids + np.cumsum(sizes) - sizes
+        self.ids += len(ids)
+        self.parts += len(sizes)
+
+    def of(self, parts: np.ndarray) -> np.ndarray:
+        """The ids of these parts in order."""
+        size = self.size[parts]
+        before = np.cumsum(size) - size
+        return self.flat[np.repeat(self.start[parts] - before, size) + np.arange(int(size.sum()))]
+
+
 class Pair:
-    """Two tokenizers on the same texts; A gets a space and the text, B the text."""
+    """Two tokenizers on the same texts; A gets a space and the text, B the text.  Parts met before are kept with their ids."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
         self.a, self.b = open_tokenizer(a_path), open_tokenizer(b_path)
         self.parted = self.a.cuts_at_spaces and self.b.cuts_at_spaces
         self.names = [[str(i) for i in range(t.size)] for t in (self.a, self.b)]
-        self.kept: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.kept: dict[str, int] = {}
+        self.ids = (_Ids(), _Ids())
+        self.wrong: set[int] = set()  # parts whose bytes don't come back
 
     def parts(self, text: str) -> list[str]:
         """The text's parts; a space stands between them, and before the first one in what is encoded."""
         return CUT.split(text) if self.parted else [text]
 
-    def _made(self, part: str, a: list[int], b: list[int]) -> tuple[bytes, bytes, bool]:
-        raw = b" " + part.encode()
-        right = b"".join([self.a.bytes[i] for i in a]) == raw and b"".join([self.b.bytes[i] for i in b]) == raw
-        return np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes(), right
-
-    def _alone(self, part: str) -> tuple[bytes, bytes, bool]:
-        return self._made(part, self.a.encode([" " + part])[0], self.b.encode([part])[0])
-
-    def learn(self, parts: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
-        """Ids of parts, each with whether its bytes come back; closed ones are encoded together."""
-        found: dict[str, tuple[bytes, bytes, bool]] = {}
-        together = []
-        for p in parts:
-            if self.parted and len(p) <= CACHE_CHARS and CLOSED.fullmatch(p):
-                together.append(p)
-            else:
-                found[p] = self._alone(p)
-        for at in range(0, len(together), 2000):
-            group = together[at:at + 2000]
-            text = " ".join(group)
-            cuts = np.cumsum([len(p.encode()) + 1 for p in group])
-            rows = []
-            for ids, lengths in ((self.a.encode([" " + text])[0], self.a.lengths), (self.b.encode([text])[0], self.b.lengths)):
-                ends = np.cumsum(lengths[np.array(ids, np.int64)])
-                to = np.searchsorted(ends, cuts)
-                if len(to) and (to[-1] + 1 != len(ends) or not np.array_equal(ends[to], cuts)):
-                    break
-                to = [0, *(to + 1).tolist()]
-                rows.append([ids[x:y] for x, y in zip(to, to[1:])])
-            if len(rows) < 2:  # bytes that don't come back: each by itself
-                found.update((p, self._alone(p)) for p in group)
-            else:
-                found.update((p, self._made(p, a, b)) for p, a, b in zip(group, *rows))
-        return found
+    def _spelt(self, ids: tuple[list[int], list[int]], raw: bytes) -> bool:
+        return all(b"".join([t.bytes[i] for i in x]) == raw for t, x in zip((self.a, self.b), ids))
+
+    def _alone(self, part: str) -> None:
+        ids = self.a.encode([" " + part])[0], self.b.encode([part])[0]
+        if not self._spelt(ids, b" " + part.encode()):
+            self.wrong.add(len(self.kept))
+        for held, x in zip(self.ids, ids):
+            held.add(np.array(x, np.uint32), np.array([len(x)]))
+        self.kept[part] = len(self.kept)
+
+    def learn(self, parts: list[str], closed: bool) -> None:
+        """Keep the ids of new parts; ``closed`` ones, with no gap at either end, are encoded together."""
+        for at in range(0, len(parts), 2000):
+            group = parts[at:at + 2000]
+            made = self._together(group) if closed else None
+            if made is None:  # bytes that don't come back, or open ends: each by itself
+                for p in group:
+                    self._alone(p)
+                continue
+            for held, (ids, sizes) in zip(self.ids, made):
+                held.add(ids, sizes)
+            first = len(self.kept)
+            self.kept.update(zip(group, range(first, first + len(group))))
+
+    def _together(self, group: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Ids and numbers of ids of parts that are encoded as one text, if all its bytes come back."""
+        text = " ".join(group)
+        ids = self.a.encode([" " + text])[0], self.b.encode([text])[0]
+        if not self._spelt(ids, b" " + text.encode()):
+            return None
+        cuts = np.cumsum([len(p.encode()) + 1 for p in group])
+        out = []
+        for x, t in zip(ids, (self.a, self.b)):
+            x = np.array(x, np.uint32)
+            ends = np.cumsum(t.lengths[x])
+            to = np.searchsorted(ends, cuts)
+            if not np.array_equal(ends[to], cuts):
+                raise RuntimeError("a token crosses from one part into the next")
+            out.append((x, np.diff(to, prepend=-1)))
+        return out
+
+    def _places(self, parts: list[str], first: bool, last: bool) -> np.ndarray:
+        """Where the ids of each part are kept; ``first`` and ``last``: the text starts or ends with these parts."""
+        at = list(map(self.kept.get, parts))
+        if None in at:
+            if len(self.kept) > CACHE_PARTS:
+                self.forget()
+            kept = self.kept
+            new = [p for p in dict.fromkeys(parts) if p not in kept]
+            # Inner parts are closed by the cuts; the first may start with a gap, the last may end with one.
+            ends = {p for p in (parts[:1] if first else []) + (parts[-1:] if last else []) if not self.parted or not CLOSED.fullmatch(p)}
+            self.learn([p for p in new if p not in ends], True)
+            self.learn([p for p in new if p in ends], False)
+            at = list(map(kept.get, parts))
+        return np.array(at, np.int64)
 
     def slabs(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
         """Ids of A and B of the text's parts, SLAB of them at a time, and whether their bytes come back."""
         parts = self.parts(text)
-        kept = self.kept
         for at in range(0, len(parts), SLAB):
-            some = parts[at:at + SLAB]
-            new = [p for p in dict.fromkeys(some) if p not in kept]
-            if new:
-                made = self.learn(new)
-                if len(kept) > CACHE_PARTS:
-                    kept.clear()
-                    new = list(dict.fromkeys(some))
-                    made = self.learn([p for p in new if p not in made]) | made
-                kept.update((p, x) for p, x in made.items() if len(p) <= CACHE_CHARS)
-                rows = [kept.get(p) or made[p] for p in some]
-            else:
-                rows = [kept[p] for p in some]
-            yield (np.frombuffer(b"".join([r[0] for r in rows]), "<u4"), np.frombuffer(b"".join([r[1] for r in rows]), "<u4"),
-                   all([r[2] for r in rows]))
+            places = self._places(parts[at:at + SLAB], at == 0, at + SLAB >= len(parts))
+            yield (*(held.of(places) for held in self.ids), not self.wrong or self.wrong.isdisjoint(places.tolist()))
 
     def whole(self, text: str) -> bool:
         """Whether the joined bytes of all tokens are a space and the text, if they aren't part by part."""
-        raw = b" " + text.encode()
-        ids = list(self.slabs(text))
-        return all(b"".join([t.bytes[i] for x in ids for i in x[side].tolist()]) == raw
-                   for side, t in ((0, self.a), (1, self.b)))
+        slabs = list(self.slabs(text))
+        return self._spelt(tuple(np.concatenate([x[side] for x in slabs]).tolist() for side in (0, 1)), b" " + text.encode())
 
     def document(self, text: str) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
         """n_a, n_b, n_groups, n_links, the groups' SHA-256, and distinct pairs (A id << 32 | B id) with their times."""
@@ -211,24 +251,24 @@ class Pair:
         digest = hashlib.sha256()
         keys, times = none[5], none[6]
         checked = False
+        na, nb = self.names
         for ids_a, ids_b, right in self.slabs(text):
             if not right and not checked:
                 if not self.whole(text):
                     return none
                 checked = True
             ea, eb = np.cumsum(self.a.lengths[ids_a]).tolist(), np.cumsum(self.b.lengths[ids_b]).tolist()
-            if checked and ea[-1] != eb[-1]:
-                raise RuntimeError("parts end at different bytes in texts whose bytes come back")
-            runs, odd = align(ea, eb)
-            la, lb = links_of(runs, odd, ea, eb)
-            (na, nb) = self.names
-            digest.update((";" if n_groups else "").encode())
-            digest.update(spell(runs, odd, [na[i] for i in ids_a.tolist()], [nb[i] for i in ids_b.tolist()]).encode())
+            if ea[-1] != eb[-1]:
+                raise RuntimeError("parts end at different bytes in a text whose bytes come back")
+            runs, odd, links = align(ea, eb)
+            la, lb = links_of(runs, links)
+            if n_groups:
+                digest.update(b";")
+            digest.update(spell(runs, odd, list(map(na.__getitem__, ids_a.tolist())), list(map(nb.__getitem__, ids_b.tolist()))).encode())
             n_a += len(ids_a)
             n_b += len(ids_b)
-            n_groups += len(odd) + sum(r[2] for r in runs)
-            key = ids_a[la].astype(np.int64) << 32 | ids_b[lb].astype(np.int64)
-            key, n = np.unique(key, return_counts=True)
+            n_groups += len(odd) + sum([r[2] for r in runs])
+            key, n = np.unique(ids_a[la].astype(np.int64) << 32 | ids_b[lb].astype(np.int64), return_counts=True)
             if len(keys):
                 both, at = np.unique(np.concatenate([keys, key]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([times, n])).astype(np.int64)
@@ -268,7 +308,11 @@ def links(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
         for b in batches:
             for at in range(0, b.num_rows, OUT_ROWS):
                 part = b.slice(at, OUT_ROWS)
-                made = list(zip(*[pair.document(t or "") for t in part.column(2).to_pylist()]))
+                gc.disable()  # nothing here refers to itself, and what is kept is too much to search again and again
+                try:
+                    made = list(zip(*[pair.document(t or "") for t in part.column(2).to_pylist()]))
+                finally:
+                    gc.enable()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *[pa.array(made[k], pa.int64()) for k in range(4)], pa.array(made[4], pa.string()),
                      _lists(made[5], pa.int64()), _lists(made[6], pa.int64())],

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 
 import numpy as np
 
@@ -66,6 +67,8 @@ class Words:
     best_pair = False  # pieces never cross the file's own split, which looks ahead: whole texts only
 
     def __init__(self, path: str) -> None:
+        # A worker is one of many on its machine: the library's own pool of threads would only wait beside it.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
@@ -90,7 +93,7 @@ class Words:
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [self.model.encode(t, add_special_tokens=False).ids for t in texts]
+        return [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @functools.lru_cache(maxsize=4)

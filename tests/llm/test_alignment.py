@@ -137,7 +137,7 @@ def test_align_on_random_ends():
             q = p = 1
         ea = [x for x in range(1, n) if rng.random() < p] + [n]
         eb = [x for x in range(1, n) if rng.random() < q] + [n]
-        runs, odd = alignment.align(ea, eb)
+        runs, odd, links = alignment.align(ea, eb)
         common = sorted(set(ea) & set(eb))
         groups = sorted([(ea[i + k], 1, 1) for i, _, w in runs for k in range(w)] + [(ea[x - 1], x - i, y - j) for i, j, x, y in odd])
         last, want = 0, []
@@ -145,7 +145,7 @@ def test_align_on_random_ends():
             want.append((c, sum(last < x <= c for x in ea), sum(last < x <= c for x in eb)))
             last = c
         assert groups == want
-        la, lb = alignment.links_of(runs, odd, ea, eb)
+        la, lb = alignment.links_of(runs, links)
         sa, sb = [0, *ea], [0, *eb]
         assert sorted(zip(la.tolist(), lb.tolist())) == [(x, y) for x in range(len(ea)) for y in range(len(eb)) if sa[x] < eb[y] and sb[y] < ea[x]]
 
