@@ -22,7 +22,8 @@ order and needs no other.  Texts are shuffled once, compressed.
 
 Defined cases: null text is empty; a text without terms of the lexicon: the hash of the whole text in
 every subset of level 0, and in full, so only equal texts have equal ones; null ids sort first; equal ids are
-ordered by text; a single document is its own next; very long texts are read whole.
+ordered by text; a single document is its own next; very long texts are read whole; an empty table gives no rows; columns besides id and
+text don't matter.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ All unmarked lines in there are returned in page order, also short ones between
 of the article is dropped.
 
 Defined cases: null or empty html, or no line with text: empty text; markup that is never closed is
-closed by the end of the page; plain text without tags is returned whole.
+closed by the end of the page; plain text without tags is returned whole; rows that repeat an id or url are read row by
+row; long pages are read whole; an empty table gives no rows; columns besides the html and ``keep`` don't matter.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ the tasks.  Each document is scored whole, in one pass, without a shuffle.
 
 Defined cases: null text or no letter: ``und``, score 0, no spans; letters of a script that no
 training text has: the most frequent language, score 0; no training rows: ``und`` for all; equal
-scores: the language that sorts first; input columns called like one that is made are replaced.
+scores: the language that sorts first; rows that repeat an id are judged row by row; an empty table gives no rows; input
+columns called like one that is made are replaced.
 """
 
 from __future__ import annotations

@@ -30,7 +30,9 @@ shuffled.  Joins on list values, hubs and keys are plain equi-joins whose hot ke
 aggregations reduce before the shuffle.  Each round is written to the shared folder.
 
 Defined cases: null or empty text, or no words: ``n_shingles`` 0, linked with nothing, its own
-component; null ids never name a component that has others; repeated ids are separate rows.
+component; null ids never name a component that has others; repeated ids are separate rows; an empty table gives no
+rows; whole texts are shingled, however long; columns besides id and text don't matter, ``keep_one`` keeps them (names
+with ``__lb_`` are reserved).
 """
 
 from __future__ import annotations

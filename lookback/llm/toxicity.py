@@ -12,7 +12,8 @@ has ``BUCKETS`` numbers.  Every document is scored whole, in one pass, without a
 
 Defined cases: null or empty text, or no letters: the score of no features (the intercept); no labelled
 rows: score 0 for all; one class only: the share of that class; a document labelled both ways counts
-as toxic; labels without a document, null labels and null ids are left out; long texts are scored whole.
+as toxic; labels without a document, null labels and null ids are left out of the fit; long texts are scored whole; of rows that
+repeat an id one counts in the fit, and each is scored; an empty table gives no rows; columns besides those named don't matter.
 """
 
 from __future__ import annotations
