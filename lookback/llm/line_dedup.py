@@ -13,9 +13,9 @@ to the tasks as a bit map of a fixed largest size, so only the bytes of chunks t
 shuffled, and again reduced by groups before; a false positive of the map costs a row, no error.
 Only texts with lines to remove are shuffled, in the join with those lines; the others, known by a bit
 map of ids, pass through.  A chunk that a third of the documents hold is
-one group in a reducible aggregation and a hot key of an equi-join, which AQE splits.
+one group in a reducible aggregation; its rows meet their first place by a list that goes to all tasks (``bits.later_places``).
 
-Defined cases: null text stays null, empty text stays empty, nothing is removed; rows with a null id
+Defined cases: an empty table gives no rows; null text stays null, empty text stays empty, nothing is removed; rows with a null id
 keep their text and are no one's first occurrence; rows that repeat an id and the whole
 text count as one document, rows with one id and different texts as several; lines end at "\\n" and are
 compared with all their bytes; input columns called like one that is made are replaced, other columns
@@ -51,16 +51,31 @@ def _hashes(lines: list[str]) -> np.ndarray:
 def units(text: str, min_words: int) -> tuple[list[str], list[tuple[int, int]]]:
     """The lines of a text and its chunks as (first line, number of lines)."""
     lines = text.split("\n")
-    return lines, _chunks(lines, _hashes(lines), min_words)
+    return lines, _chunks(text, lines, _hashes(lines), min_words)
 
 
-def _chunks(lines: list[str], h: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+#: White space besides space and line break.
+_OTHERS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+
+
+def _has_words(line: str, least: int, spaces: bool) -> bool:
+    """Whether a line has at least ``least`` words; ``spaces``: it has no white space but spaces."""
+    if not spaces:
+        return len(line.split()) >= least
+    n = line.count(" ")
+    if n + 1 < least or "  " in line:
+        return n + 1 >= least and len(line.split()) >= least
+    return n + 1 - line.startswith(" ") - line.endswith(" ") >= least
+
+
+def _chunks(text: str, lines: list[str], h: np.ndarray, min_words: int) -> list[tuple[int, int]]:
     rolled = (h[:-1] * _B + h[1:])
     rolled = (rolled ^ (rolled >> np.uint64(29))) * _B >> np.uint64(40)
     ends = (rolled % np.uint64(DIVISOR) == 0).tolist()
-    # Counting words is the dear part, so only lines that can be long enough are counted.
+    # Only lines that can be long enough are counted, and split only where spaces don't tell.
     least = 2 * min_words - 1
-    long = [len(x) >= least and len(x.split()) >= min_words for x in lines]
+    spaces = not any(c in text for c in _OTHERS)
+    long = [len(x) >= least and _has_words(x, min_words, spaces) for x in lines]
     out: list[tuple[int, int]] = []
     start = 0
     for i in range(len(lines)):
@@ -107,9 +122,10 @@ def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_c
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text in b.column(1):
-                lines = text.as_py().split("\n")
+                whole = text.as_py()
+                lines = whole.split("\n")
                 h = _hashes(lines)
-                yield pa.RecordBatch.from_arrays([pa.array(chunk_keys(h, _chunks(lines, h, min_words)))], names=["key"])
+                yield pa.RecordBatch.from_arrays([pa.array(chunk_keys(h, _chunks(whole, lines, h, min_words)))], names=["key"])
 
     often = written(frame.mapInArrow(tidy(gathered(hashes)), "key long").groupBy("key").agg(F.count("*").alias("n"))
                     .where("n > 1").select("key"), "line-keys")
@@ -119,9 +135,10 @@ def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_c
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r, text in enumerate(b.column(1)):
-                lines = text.as_py().split("\n")
+                whole = text.as_py()
+                lines = whole.split("\n")
                 h = _hashes(lines)
-                chunks = _chunks(lines, h, min_words)
+                chunks = _chunks(whole, lines, h, min_words)
                 hits = np.flatnonzero(held.has(chunk_keys(h, chunks))).tolist()
                 seen: set[bytes] = set()
                 for a in range(0, len(hits), MOST_ROWS):  # the rows of a huge text are handed on in parts

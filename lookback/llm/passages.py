@@ -8,7 +8,7 @@ whose smallest one stands once can't repeat.  The others are compared by a 128-b
 bytes (XXH3; a chance of 1e-20 that two of 10^9 windows clash).  No pairs are made: a passage that a third of
 the documents hold is one group for each of its windows.
 
-Defined cases: rows with a null id or text and texts under ``min_words`` words stay as they are; rows
+Defined cases: an empty table gives no rows; rows with a null id or text and texts under ``min_words`` words stay as they are; rows
 with equal id and equal text are one document; a window that overlaps the first one of its kind in the
 same text ("w w w ...") is no repeat of it; of the white space on both sides of a removed run the part with a line
 break stays, else the one before it.
@@ -34,16 +34,24 @@ _spaces: list[np.ndarray] = []
 _powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point whether it is white space, and its value in hashes."""
+    if not _spaces:
+        space = np.zeros(0x110000, bool)
+        space[[i for i in range(0x3001) if chr(i).isspace()]] = True
+        x = (np.arange(0x110000, dtype=np.uint64) + np.uint64(1)) * _M1
+        _spaces[:] = [space, (x ^ (x >> np.uint64(32))) * _M2]
+    return _spaces[0], _spaces[1]
+
+
 def word_bounds(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First position of each word and the one after its last, as ``str.split`` has them."""
-    if not _spaces:
-        table = np.zeros(0x110000, bool)
-        table[[i for i in range(0x3001) if chr(i).isspace()]] = True
-        _spaces.append(table)
-    word = np.zeros(len(points) + 2, np.int8)
-    word[1:-1] = ~_spaces[0][points]
-    turn = np.diff(word)
-    return np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+    space = np.flatnonzero(_tables()[0][points])
+    edge = np.empty(len(space) + 2, np.int64)
+    edge[0], edge[1:-1], edge[-1] = -1, space, len(points)
+    first, end = edge[:-1] + 1, edge[1:]
+    held = end > first
+    return first[held], end[held]
 
 
 def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,16 +69,16 @@ def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def smallest_runs(text: str, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first, end) of each word, and the smallest run hash in the window that starts at each word."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.intp)
     first, end = word_bounds(points)
     if len(first) < min_words:
         return first, end, np.empty(0, np.int64)
     run = min(RUN, min_words)
     up, down = power_tables(len(points))
-    x = (points.astype(np.uint64) + np.uint64(1)) * _M1
-    x = (x ^ (x >> np.uint64(32))) * _M2
+    x = _tables()[1][points]
+    x *= up[:len(points)]
     sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(x * up[:len(points)], out=sums[1:])
+    np.cumsum(x, out=sums[1:])
     starts = first[:len(first) - run + 1]
     h = (sums[end[run - 1:]] - sums[starts]) * down[starts]
     h = (h ^ (h >> np.uint64(29))) * _M1
