@@ -9,7 +9,7 @@ files say about an entity is kept as tables of one folder:
 * ``first/file_year=Y``: the first dates over all files up to Y, one row per entity
   seen so far.  It is last year's table and the year's facts, merged by ``min``;
 * ``book``: one row with a digest of the codebook and the first year, so that no
-  state is carried on with other codes.
+  state is carried on with other codes, and the facts' schema; ``years``: the years put in.
 
 A new year scans its own event and enrolment files, its window's facts (three years at
 most in the known codebooks) and one table of first dates.  Running a year again gives the same
@@ -24,11 +24,13 @@ code reaches a task as raw rows.  A NULL id is an entity, as in the grid.
 from __future__ import annotations
 
 import functools
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lookback.plans.grid import checked_years, grid_facts, grid_of_facts, oldest_window, stack_conditions
 from lookback.schemas import check_schema
@@ -36,9 +38,6 @@ from lookback.sources.codebook import Codebook
 from lookback.sources.sinks import write_features
 from lookback.sources.yearly import in_years
 
-PARTS = ("facts", "first", "book")
-
-
 def _date_columns(codebook: Codebook) -> list[str]:
     return [f"d{i}" for i in range(len(codebook.conditions))]
 
@@ -69,33 +68,37 @@ def merge_facts(parts: Sequence[DataFrame]) -> DataFrame:
     return both.groupBy("bene_id", "file_year").agg(*aggs)
 
 
-def _read(spark: SparkSession, path: str, part: str) -> DataFrame | None:
+def _read(spark: SparkSession, path: str, part: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """A table of the state, or None before its first write; a ``schema`` also reads one that no row was written to."""
     try:
-        df = spark.read.parquet(f"{path}/{part}")
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(f"{path}/{part}")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return df.withColumn("file_year", F.col("file_year").cast("int")) if part != "book" else df
 
 
 def state_years(spark: SparkSession, path: str) -> list[int]:
-    """The file years that a state holds, in order."""
-    first = _read(spark, path, "first")
-    return [] if first is None else sorted(r["file_year"] for r in first.select("file_year").distinct().collect())
+    """The file years that a state holds, in order; a year whose files say nothing of anyone is one of them."""
+    held = _read(spark, path, "years", T.StructType([T.StructField("year", T.IntegerType())]))
+    return [] if held is None else sorted({r["year"] for r in held.select("year").collect()})
 
 
-def _check_book(spark: SparkSession, path: str, codebook: Codebook, first_year: int, write: bool) -> None:
+def _schemas(spark: SparkSession, path: str, codebook: Codebook, first_year: int, facts: T.StructType | None = None) -> dict[str, T.StructType]:
+    """The schemas of a state's tables; raises if it was made with another codebook.  ``facts``: that of a new state."""
     key = book_digest(codebook, first_year)
     held = _read(spark, path, "book")
     if held is None:
-        if not write:
+        if facts is None:
             raise ValueError(f"no state under {path}")
-        spark.createDataFrame([(key,)], "book string").coalesce(1).write.mode("overwrite").parquet(f"{path}/book")
-        return
-    rows = [r["book"] for r in held.collect()]
-    if rows != [key]:
-        raise ValueError(f"the state under {path} was made with another codebook or first year ({rows}, now {key})")
+        spark.createDataFrame([(key, facts.json())], "book string, facts string").coalesce(1).write.parquet(f"{path}/book")
+    else:
+        rows = held.collect()
+        if [r["book"] for r in rows] != [key]:
+            raise ValueError(f"the state under {path} was made with another codebook or first year ({[r['book'] for r in rows]}, now {key})")
+        facts = T.StructType.fromJson(json.loads(rows[0]["facts"]))
+    dates = {"bene_id", "file_year", *_date_columns(codebook)}
+    return {"facts": facts, "first": T.StructType([f for f in facts if f.name in dates])}
 
 
 def year_facts(events: DataFrame, enrol: DataFrame, codebook: Codebook, years: Sequence[int]) -> DataFrame:
@@ -120,34 +123,37 @@ def update_state(spark: SparkSession, path: str, events: DataFrame, enrol: DataF
     held = state_years(spark, path)
     if years[0] < first_year or (years[0] > first_year and years[0] - 1 not in held):
         raise ValueError(f"the state holds {held}; {years[0]} needs all years from {first_year} to {years[0] - 1} before it")
-    _check_book(spark, path, codebook, first_year, write=not held)
     facts = year_facts(events, enrol, codebook, years)
+    schemas = _schemas(spark, path, codebook, first_year, facts.schema)
     if mode == "add":
-        old = _read(spark, path, "facts")
+        old = _read(spark, path, "facts", schemas["facts"])
         if old is not None:
             facts = merge_facts([old.where(in_years(years)).select(*facts.columns), facts])
     write_features(facts, f"{path}/facts", partition_by=("file_year",), replace=years)
     # First dates are carried from year to year; those of later years follow from what is kept.
     for year in range(years[0], max([*held, years[-1]]) + 1):
-        _carry(spark, path, codebook, year, first_year)
+        _carry(spark, path, codebook, year, first_year, schemas)
+    marks = spark.createDataFrame([(y, y) for y in years], "year int, file_year int")
+    write_features(marks, f"{path}/years", partition_by=("file_year",))
 
 
-def _carry(spark: SparkSession, path: str, codebook: Codebook, year: int, first_year: int) -> None:
+def _carry(spark: SparkSession, path: str, codebook: Codebook, year: int, first_year: int, schemas: dict[str, T.StructType]) -> None:
     """Write the first dates up to ``year``: those up to the year before and the year's own, one row per entity."""
     dates = _date_columns(codebook)
-    rows = _read(spark, path, "facts").where(F.col("file_year") == year).select("bene_id", *dates)
+    rows = _read(spark, path, "facts", schemas["facts"]).where(F.col("file_year") == year).select("bene_id", *dates)
     if year > first_year:
-        rows = rows.unionByName(_read(spark, path, "first").where(F.col("file_year") == year - 1).select("bene_id", *dates))
+        rows = rows.unionByName(_read(spark, path, "first", schemas["first"]).where(F.col("file_year") == year - 1).select("bene_id", *dates))
     merged = rows.groupBy("bene_id").agg(*[F.min(d).alias(d) for d in dates]).withColumn("file_year", F.lit(year))
     write_features(merged, f"{path}/first", partition_by=("file_year",), replace=[year])
 
 
-def state_facts(spark: SparkSession, path: str, codebook: Codebook, years: Sequence[int], first_year: int) -> DataFrame:
+def state_facts(spark: SparkSession, path: str, codebook: Codebook, years: Sequence[int], first_year: int,
+                schemas: dict[str, T.StructType]) -> DataFrame:
     """The facts that the grid of ``years`` needs: those of its windows, and first dates from before as rows of the year before."""
     lo = oldest_window(codebook, list(years), first_year)
-    facts = _read(spark, path, "facts").where(in_years(range(lo, max(years) + 1)))
+    facts = _read(spark, path, "facts", schemas["facts"]).where(in_years(range(lo, max(years) + 1)))
     if lo > first_year:
-        before = _read(spark, path, "first").where(F.col("file_year") == lo - 1)
+        before = _read(spark, path, "first", schemas["first"]).where(F.col("file_year") == lo - 1)
         facts = facts.unionByName(before.withColumn("enrolled", F.lit(0)), allowMissingColumns=True)
     return facts
 
@@ -159,8 +165,7 @@ def state_grid(spark: SparkSession, path: str, enrol: DataFrame, codebook: Codeb
     missing = sorted(set(years) - set(state_years(spark, path)))
     if missing:
         raise ValueError(f"the state under {path} doesn't hold {missing}")
-    _check_book(spark, path, codebook, first_year, write=False)
-    facts = state_facts(spark, path, codebook, years, first_year)
+    facts = state_facts(spark, path, codebook, years, first_year, _schemas(spark, path, codebook, first_year))
     return grid_of_facts(facts, enrol, codebook, years, int(first_year), exclusion_scope, rfrnc_yr)
 
 
