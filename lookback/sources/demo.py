@@ -72,6 +72,12 @@ def wide_codebook(n_conditions: int = 27, n_brands: int = 25) -> dict:
     return book
 
 
+#: Lines that one task ranks; its sorts hold some 300 bytes of each.
+RANKED_LINES = 500_000
+#: Parts are sent to all tasks up to this size, each counted as PART_BYTES (its row and hash entry).
+PART_BROADCAST, PART_BYTES = 64 << 20, 48
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -124,12 +130,15 @@ def demo_event_codes(spark: SparkSession, sf_dir: str, orders: DataFrame | None
     key, and a spillable buffer, so no order's lines are ever held as one value.
     Lines are joined with the orders of ``years`` first, so no others are ranked.  ``orders`` replaces
     the orders table (same columns) when given.
+
+    A task's sorts don't grow with the table: where the session's shuffle partitions would get more than
+    ``RANKED_LINES`` lines each, lines are dealt over as many tasks as that takes (``_beside_orders``).
     """
     orders = _orders(spark, sf_dir, years, orders).select("o_orderkey", "o_custkey", "o_orderdate")
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand").where(F.col("p_brand").isNotNull())
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "p_brand")
-    return (lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(part, lines.l_partkey == part.p_partkey).select(
+    return (_beside_orders(lines, orders, part).select(
         F.col("l_orderkey").alias("adm_id"),
         F.col("o_custkey").alias("bene_id"),
         F.col("o_orderdate").alias("admission_date"),
@@ -139,6 +148,20 @@ def demo_event_codes(spark: SparkSession, sf_dir: str, orders: DataFrame | None
     ))
 
 
+def _beside_orders(lines: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+    """``lines`` with their order and part, dealt by order over enough tasks for their number (counted by the footers)."""
+    on_order, on_part = F.col("l_orderkey") == F.col("o_orderkey"), F.col("l_partkey") == F.col("p_partkey")
+    tasks = -(-lines.count() // RANKED_LINES)
+    if tasks <= int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return lines.join(orders, on_order).join(part, on_part)
+    if part.count() * PART_BYTES <= PART_BROADCAST:
+        return lines.repartition(tasks, "l_orderkey").join(orders, on_order).join(F.broadcast(part), on_part)
+    # Parts too many to be sent: their join deals the lines by part (hashed, as parts are fewer than lines; a hot part is
+    # split by AQE), so it comes before the one by order, whose partitions the rank then needs.
+    coded = lines.join(part.hint("shuffle_hash"), on_part)
+    return coded.repartition(tasks, "l_orderkey").join(orders, on_order)
+
+
 def demo_enrolment(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None,
                    years: Sequence[int] | None = None) -> DataFrame:
     """``bene_id, year, hmo_mo, file_year``: one row per customer and order year.
