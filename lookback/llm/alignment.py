@@ -7,8 +7,8 @@ irregular group behind it is settled locally: the tokenizer that lags goes on un
 step giving a link of two tokens that overlap; its sizes change the shift and probing starts again.
 
 Encoding.  Both tokenizers are taken only where they are proven to encode the parts between single spaces alone as
-together (``vocab``), so a part is encoded once and kept with its ids by the worker; others get whole texts.  Long texts are
-aligned in slabs of parts (a part's end is an end of both).
+together (``vocab``), so a part is encoded and aligned once (a part's end is an end of both) and kept with its ids, links and
+spelt groups by the worker; others get whole texts.  Long texts go through in slabs of parts.
 
 Corpus counts.  ``links`` writes each document's distinct id pairs with how often they occur.  An id pair's count is the
 number of documents that hold it; the highest count of each A id is at most one number for each id of the vocabulary.
@@ -38,9 +38,9 @@ from .vocab import GAP, open_tokenizer
 
 #: Pairs with this share of all rows, or more, are counted in the tasks.
 HOT = 50_000
-#: Parts of a slab, and parts that a worker keeps before it starts anew (about 250 bytes each).
+#: Parts of a slab, and parts and their links that a worker keeps before it starts anew (about 450 bytes a part).
 SLAB = 20_000
-CACHE_PARTS = 1_000_000
+CACHE_PARTS, CACHE_LINKS = 400_000, 4_000_000
 #: Tokens of a stretch that are compared one by one before probes are worth their cost.
 SINGLE = 8
 #: Rows of a batch of output.
@@ -113,8 +113,14 @@ def links_of(runs: list, odd_links: tuple[list[int], list[int]]) -> tuple[np.nda
     return (np.concatenate([np.repeat(first[:, 0], size) + step, la]), np.concatenate([np.repeat(first[:, 1], size) + step, lb]))
 
 
-def spell(runs: list, odd: list, sa: list[str], sb: list[str]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group, in order."""
+def starts_of(runs: list, odd: list) -> np.ndarray:
+    """Index of the first A token of each group, in order."""
+    first = np.array([(i, k) for i, _, k in runs] + [(i, 1) for i, *_ in odd], np.int64)
+    return np.sort(np.repeat(first[:, 0] - np.cumsum(first[:, 1]) + first[:, 1], first[:, 1]) + np.arange(int(first[:, 1].sum())))
+
+
+def spell(runs: list, odd: list, sa: list[str], sb: list[str]) -> list[str]:
+    """``a1,a2|b1``, ``a3|b2,b3``: the ids of each group, in order."""
     out: list[str] = []
     r, last = 0, len(runs)
     for i, j, p, q in odd:
@@ -126,14 +132,14 @@ def spell(runs: list, odd: list, sa: list[str], sb: list[str]) -> str:
     if r < last:
         x, y, k = runs[r]
         out.extend(map("|".join, zip(sa[x:x + k], sb[y:y + k])))
-    return ";".join(out)
+    return out
 
 
 class _Ids:
     """Ids of parts behind each other: part k has ``flat[start[k]:start[k] + size[k]]``."""
 
-    def __init__(self) -> None:
-        self.flat, self.start, self.size = np.empty(1 << 16, np.uint32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+    def __init__(self, kind=np.uint32) -> None:
+        self.flat, self.start, self.size = np.empty(1 << 16, kind), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int32)
         self.ids = self.parts = 0
 
     def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
@@ -167,23 +173,61 @@ class Pair:
     def forget(self) -> None:
         self.kept: dict[str, int] = {}
         self.ids = (_Ids(), _Ids())
-        self.wrong: set[int] = set()  # parts whose bytes don't come back
+        self.links = _Ids(np.int64)  # linked ids (A id << 32 | B id)
+        self.groups: list[bytes] = []  # spelt, and their number
+        self.n_groups = np.empty(1 << 14, np.int32)
+        self.wrong: set[int] = set()  # parts whose bytes don't come back: without links and groups
 
     def parts(self, text: str) -> list[str]:
         """The text's parts; a space stands between them, and before the first one in what is encoded."""
         return CUT.split(text) if self.parted else [text]
 
     def _spelt(self, ids: tuple[list[int], list[int]], raw: bytes) -> bool:
-        return all(b"".join([t.bytes[i] for i in x]) == raw for t, x in zip((self.a, self.b), ids))
+        return all(b"".join(map(t.bytes.__getitem__, x)) == raw for t, x in zip((self.a, self.b), ids))
 
     def _alone(self, part: str) -> None:
         ids = self.a.encode([" " + part])[0], self.b.encode([part])[0]
-        if not self._spelt(ids, b" " + part.encode()):
+        made = [(np.array(x, np.uint32), np.array([len(x)])) for x in ids]
+        if self._spelt(ids, b" " + part.encode()):
+            self._settle(made)
+        else:
             self.wrong.add(len(self.kept))
-        for held, x in zip(self.ids, ids):
-            held.add(np.array(x, np.uint32), np.array([len(x)]))
+            self._settled(np.empty(0, np.int64), np.zeros(1, np.int64), [b""], np.zeros(1, np.int64))
+        for held, x in zip(self.ids, made):
+            held.add(*x)
         self.kept[part] = len(self.kept)
 
+    def _settled(self, links: np.ndarray, n_links: np.ndarray, groups: list[bytes], n_groups: np.ndarray) -> None:
+        """The next parts' links (one part's after the other's) and groups."""
+        self.links.add(links, n_links)
+        need = len(self.groups) + len(groups)
+        if need > len(self.n_groups):
+            self.n_groups = np.resize(self.n_groups, max(need, 2 * len(self.n_groups)))
+        self.n_groups[len(self.groups):need] = n_groups
+        self.groups += groups
+
+    def _settle(self, made: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Align the next parts, one after the other: their ids and numbers of ids of A and B."""
+        (ids_a, sizes), (ids_b, _) = made
+        runs, odd, links, spelt = self._aligned(ids_a, ids_b)
+        ends = np.cumsum(sizes)
+        part = np.searchsorted(ends, links[0], "right")
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(starts_of(runs, odd), ends).tolist()  # all groups end where their part does, or before
+        before = [0, *cuts[:-1]]
+        self._settled((ids_a[links[0]].astype(np.int64) << 32 | ids_b[links[1]].astype(np.int64))[order], np.bincount(part, minlength=len(sizes)),
+                      [";".join(spelt[x:y]).encode() for x, y in zip(before, cuts)], np.array(cuts) - before)
+
+    def _aligned(self, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[list, list, tuple[np.ndarray, np.ndarray], list[str]]:
+        """Runs, irregular groups, links (as indices) and spelt groups of ids that spell the same bytes."""
+        ea, eb = np.cumsum(self.a.lengths[ids_a]).tolist(), np.cumsum(self.b.lengths[ids_b]).tolist()
+        if ea[-1] != eb[-1]:
+            raise RuntimeError("parts end at different bytes in a text whose bytes come back")
+        runs, odd, links = align(ea, eb)
+        na, nb = self.names
+        spelt = spell(runs, odd, list(map(na.__getitem__, ids_a.tolist())), list(map(nb.__getitem__, ids_b.tolist())))
+        return runs, odd, links_of(runs, links), spelt
+
     def learn(self, parts: list[str], closed: bool) -> None:
         """Keep the ids of new parts; ``closed`` ones, with no gap at either end, are encoded together."""
         for at in range(0, len(parts), 2000):
@@ -193,6 +237,7 @@ class Pair:
                 for p in group:
                     self._alone(p)
                 continue
+            self._settle(made)
             for held, (ids, sizes) in zip(self.ids, made):
                 held.add(ids, sizes)
             first = len(self.kept)
@@ -204,7 +249,7 @@ class Pair:
         ids = self.a.encode([" " + text])[0], self.b.encode([text])[0]
         if not self._spelt(ids, b" " + text.encode()):
             return None
-        cuts = np.cumsum([len(p.encode()) + 1 for p in group])
+        cuts = np.cumsum(list(map(len, group if text.isascii() else map(str.encode, group)))) + np.arange(1, len(group) + 1)
         out = []
         for x, t in zip(ids, (self.a, self.b)):
             x = np.array(x, np.uint32)
@@ -212,30 +257,39 @@ class Pair:
             to = np.searchsorted(ends, cuts)
             if not np.array_equal(ends[to], cuts):
                 raise RuntimeError("a token crosses from one part into the next")
-            out.append((x, np.diff(to, prepend=-1)))
+            sizes = to + 1
+            sizes[1:] -= sizes[:-1].copy()
+            out.append((x, sizes))
         return out
 
-    def _places(self, parts: list[str], first: bool, last: bool) -> np.ndarray:
+    def _places(self, parts: list[str], first: bool, last: bool) -> list[int]:
         """Where the ids of each part are kept; ``first`` and ``last``: the text starts or ends with these parts."""
         at = list(map(self.kept.get, parts))
         if None in at:
-            if len(self.kept) > CACHE_PARTS:
+            if len(self.kept) > CACHE_PARTS or self.links.ids > CACHE_LINKS:
                 self.forget()
+                at = [None] * len(parts)
             kept = self.kept
-            new = [p for p in dict.fromkeys(parts) if p not in kept]
+            new = list(dict.fromkeys([p for p, k in zip(parts, at) if k is None]))
             # Inner parts are closed by the cuts; the first may start with a gap, the last may end with one.
             ends = {p for p in (parts[:1] if first else []) + (parts[-1:] if last else []) if not self.parted or not CLOSED.fullmatch(p)}
             self.learn([p for p in new if p not in ends], True)
             self.learn([p for p in new if p in ends], False)
-            at = list(map(kept.get, parts))
-        return np.array(at, np.int64)
+            at = [kept[p] if k is None else k for p, k in zip(parts, at)]
+        return at
 
-    def slabs(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-        """Ids of A and B of the text's parts, SLAB of them at a time, and whether their bytes come back."""
+    def _slabs(self, text: str) -> Iterator[tuple[list[int], bool]]:
+        """Where the text's parts are kept, SLAB of them at a time, and whether their bytes come back."""
         parts = self.parts(text)
         for at in range(0, len(parts), SLAB):
             places = self._places(parts[at:at + SLAB], at == 0, at + SLAB >= len(parts))
-            yield (*(held.of(places) for held in self.ids), not self.wrong or self.wrong.isdisjoint(places.tolist()))
+            yield places, not self.wrong or self.wrong.isdisjoint(places)
+
+    def slabs(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """Ids of A and B of the text's parts, SLAB of them at a time, and whether their bytes come back."""
+        for places, right in self._slabs(text):
+            at = np.array(places, np.int64)
+            yield (*(held.of(at) for held in self.ids), right)
 
     def whole(self, text: str) -> bool:
         """Whether the joined bytes of all tokens are a space and the text, if they aren't part by part."""
@@ -251,24 +305,27 @@ class Pair:
         digest = hashlib.sha256()
         keys, times = none[5], none[6]
         checked = False
-        na, nb = self.names
-        for ids_a, ids_b, right in self.slabs(text):
-            if not right and not checked:
-                if not self.whole(text):
-                    return none
-                checked = True
-            ea, eb = np.cumsum(self.a.lengths[ids_a]).tolist(), np.cumsum(self.b.lengths[ids_b]).tolist()
-            if ea[-1] != eb[-1]:
-                raise RuntimeError("parts end at different bytes in a text whose bytes come back")
-            runs, odd, links = align(ea, eb)
-            la, lb = links_of(runs, links)
+        for places, right in self._slabs(text):
+            at = np.array(places, np.int64)
+            if right:
+                spelt, linked = b";".join(map(self.groups.__getitem__, places)), self.links.of(at)
+                n_here = int(self.n_groups[at].sum())
+            else:
+                ids_a, ids_b = (held.of(at) for held in self.ids)
+                if not checked:
+                    if not self.whole(text):
+                        return none
+                    checked = True
+                _, _, (la, lb), groups = self._aligned(ids_a, ids_b)
+                spelt, n_here = ";".join(groups).encode(), len(groups)
+                linked = ids_a[la].astype(np.int64) << 32 | ids_b[lb].astype(np.int64)
+            n_a += int(self.ids[0].size[at].sum()) if right else len(ids_a)
+            n_b += int(self.ids[1].size[at].sum()) if right else len(ids_b)
             if n_groups:
                 digest.update(b";")
-            digest.update(spell(runs, odd, list(map(na.__getitem__, ids_a.tolist())), list(map(nb.__getitem__, ids_b.tolist()))).encode())
-            n_a += len(ids_a)
-            n_b += len(ids_b)
-            n_groups += len(odd) + sum([r[2] for r in runs])
-            key, n = np.unique(ids_a[la].astype(np.int64) << 32 | ids_b[lb].astype(np.int64), return_counts=True)
+            digest.update(spelt)
+            n_groups += n_here
+            key, n = np.unique(linked, return_counts=True)
             if len(keys):
                 both, at = np.unique(np.concatenate([keys, key]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([times, n])).astype(np.int64)

@@ -47,7 +47,8 @@ class Pieces:
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        # A list starts a thread: one text goes without.
+        return [self.model.encode(texts[0])] if len(texts) == 1 else self.model.encode(texts, num_threads=1)
 
     def places(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the first and last byte offset of each token's own text (the space put before it begins at -1)."""

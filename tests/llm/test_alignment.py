@@ -162,3 +162,21 @@ def test_other_files_get_whole_texts(spark):
     """A file that lower-cases isn't parted; a text it changes has no tokens."""
     pair = alignment.Pair(tokenizer_path("word_bpe_49k.json"), tokenizer_path(B))
     assert not pair.parted and pair.document("Some Text")[0] == 0
+
+
+def test_known_parts_are_not_aligned_again(libraries, monkeypatch):
+    """A text of known parts takes their links and groups as kept; starting anew in between changes nothing."""
+    rows = _rows(random.Random(3))
+    pair = alignment.Pair(tokenizer_path(A), tokenizer_path(B))
+    first = [pair.document(r[1] or "") for r in rows]
+    calls, align = [], alignment.align
+    monkeypatch.setattr(alignment, "align", lambda *x: calls.append(1) or align(*x))
+    again = [pair.document(r[1] or "") for r in rows]
+    assert not calls
+    monkeypatch.setattr(alignment, "CACHE_PARTS", 5)
+    monkeypatch.setattr(alignment, "SLAB", 4)
+    bounded = alignment.Pair(tokenizer_path(A), tokenizer_path(B))
+    small = [bounded.document(r[1] or "") for r in rows]
+    assert calls
+    for x, y, z in zip(first, again, small):
+        assert x[:5] == y[:5] == z[:5] and all(x[k].tolist() == y[k].tolist() == z[k].tolist() for k in (5, 6))
