@@ -42,73 +42,81 @@ _B, _M = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 MOST_ROWS = 2000
 
 
-def _hashes(lines: list[str]) -> np.ndarray:
-    from xxhash import xxh3_64_intdigest
-
-    return np.fromiter((xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines), np.uint64, len(lines))
-
-
 def units(text: str, min_words: int) -> tuple[list[str], list[tuple[int, int]]]:
     """The lines of a text and its chunks as (first line, number of lines)."""
-    lines = text.split("\n")
-    return lines, _chunks(text, lines, _hashes(lines), min_words)
+    c = Chunks([text], min_words)
+    return text.split("\n"), list(zip(c.start.tolist(), c.count.tolist()))
 
 
 #: White space besides space and line break.
 _OTHERS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 
 
-def _has_words(line: str, least: int, spaces: bool) -> bool:
+def _has_words(line: bytes, least: int, spaces: bool) -> bool:
     """Whether a line has at least ``least`` words; ``spaces``: it has no white space but spaces."""
     if not spaces:
-        return len(line.split()) >= least
-    n = line.count(" ")
-    if n + 1 < least or "  " in line:
+        return len(line.decode("utf-8", "surrogatepass").split()) >= least
+    n = line.count(b" ")
+    if n + 1 < least or b"  " in line:
         return n + 1 >= least and len(line.split()) >= least
-    return n + 1 - line.startswith(" ") - line.endswith(" ") >= least
-
-
-def _chunks(text: str, lines: list[str], h: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    rolled = (h[:-1] * _B + h[1:])
-    rolled = (rolled ^ (rolled >> np.uint64(29))) * _B >> np.uint64(40)
-    ends = (rolled % np.uint64(DIVISOR) == 0).tolist()
-    # Only lines that can be long enough are counted, and split only where spaces don't tell.
-    least = 2 * min_words - 1
-    spaces = not any(c in text for c in _OTHERS)
-    long = [len(x) >= least and _has_words(x, min_words, spaces) for x in lines]
-    out: list[tuple[int, int]] = []
-    start = 0
-    for i in range(len(lines)):
-        if long[i]:
-            if i - start > 2:
-                out.append((start, i - start))
-            out.append((i, 1))
-            start = i + 1
-        elif i + 1 == len(lines) or ends[i]:
-            if i + 1 - start > 2:
-                out.append((start, i + 1 - start))
-            start = i + 1
-    out += [(i, 2) for i in range(len(lines) - 1)]
-    return out
-
-
-def chunk_keys(h: np.ndarray, chunks: list[tuple[int, int]]) -> np.ndarray:
-    """A key of each chunk, out of the hashes of its lines: chunks of equal lines have equal keys."""
-    if not chunks:
-        return np.empty(0, np.int64)
+    return n + 1 - line.startswith(b" ") - line.endswith(b" ") >= least
+
+
+class Chunks:
+    """The chunks of some texts: ``of`` (the text), ``start``, ``count`` (lines) and ``key`` of each; ``lines`` as bytes."""
+
+    def __init__(self, texts: list[str], min_words: int) -> None:
+        from xxhash import xxh3_64_intdigest
+
+        whole = "\n".join(texts)
+        self.lines = whole.encode("utf-8", "surrogatepass").split(b"\n")
+        n = len(self.lines)
+        h = np.fromiter(map(xxh3_64_intdigest, self.lines), np.uint64, n)
+        counts = np.array([t.count("\n") + 1 for t in texts])
+        of = np.repeat(np.arange(len(texts)), counts)
+        self.begins = np.cumsum(counts) - counts  # the first line of each text
+        last = np.zeros(n, bool)
+        last[np.cumsum(counts) - 1] = True
+        rolled = (h[:-1] * _B + h[1:])
+        rolled = (rolled ^ (rolled >> np.uint64(29))) * _B >> np.uint64(40)
+        ends = last.copy()
+        ends[:-1] |= rolled % np.uint64(DIVISOR) == 0
+        # Only lines that can be long enough are counted, and split only where spaces don't tell.
+        least = 2 * min_words - 1
+        others = any(c in whole for c in _OTHERS)
+        spaces = [not others or not any(c in t for c in _OTHERS) for t in texts]
+        long = np.zeros(n, bool)
+        for i, x in enumerate(self.lines):
+            if len(x) >= least:
+                long[i] = _has_words(x, min_words, spaces[of[i]])
+        # A long line is a chunk by itself; the lines between boundaries are one, and each pair of neighbours.
+        begin = long.copy()
+        begin[0] = True
+        begin[1:] |= ends[:-1] | long[:-1]
+        start = np.flatnonzero(begin)
+        count = np.diff(np.append(start, n))
+        chosen = (count > 2) | long[start]
+        pairs = np.flatnonzero(~last)
+        at = np.concatenate([start[chosen], pairs])
+        size = np.concatenate([count[chosen], np.full(len(pairs), 2)])
+        self.at, self.count, self.of = at, size, of[at]
+        self.key = chunk_keys(h, np.stack([at, size], axis=1))
+
+    @property
+    def start(self) -> np.ndarray:
+        return self.at - self.begins[self.of]
+
+
+def chunk_keys(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A key of each chunk (first line, number of lines), out of the hashes of its lines: chunks of equal lines have equal keys."""
     up, down = passages.power_tables(len(h) + 1)
     sums = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(((h ^ (h >> np.uint64(31))) * _M) * up[:len(h)], out=sums[1:])
-    at = np.array(chunks, np.int64)
     x = (sums[at[:, 0] + at[:, 1]] - sums[at[:, 0]]) * down[at[:, 0]] + at[:, 1].astype(np.uint64)
     x = (x ^ (x >> np.uint64(32))) * _B
     return (x ^ (x >> np.uint64(29))).view(np.int64)
 
 
-def _chunk(lines: list[str], start: int, count: int) -> bytes:
-    return "\n".join(lines[start:start + count]).encode("utf-8", "surrogatepass")
-
-
 def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, same, start, count) of every chunk that occurs, byte for byte, in an earlier place too.
 
@@ -121,37 +129,31 @@ def repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_c
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for text in b.column(1):
-                whole = text.as_py()
-                lines = whole.split("\n")
-                h = _hashes(lines)
-                yield pa.RecordBatch.from_arrays([pa.array(chunk_keys(h, _chunks(whole, lines, h, min_words)))], names=["key"])
+            for _, texts in passages.packs(b.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(Chunks(texts, min_words).key)], names=["key"])
 
-    often = written(frame.mapInArrow(tidy(gathered(hashes)), "key long").groupBy("key").agg(F.count("*").alias("n"))
+    often = written(frame.select("text").mapInArrow(tidy(gathered(hashes)), "key long").groupBy("key").agg(F.count("*").alias("n"))
                     .where("n > 1").select("key"), "line-keys")
     held = bit_map(often, "key")
     at_kind = frame.schema["doc_id"].dataType
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r, text in enumerate(b.column(1)):
-                whole = text.as_py()
-                lines = whole.split("\n")
-                h = _hashes(lines)
-                chunks = _chunks(whole, lines, h, min_words)
-                hits = np.flatnonzero(held.has(chunk_keys(h, chunks))).tolist()
-                seen: set[bytes] = set()
+            for r, texts in passages.packs(b.column(1)):
+                c = Chunks(texts, min_words)
+                hits = np.flatnonzero(held.has(c.key))
+                seen: set[tuple[int, bytes]] = set()
                 for a in range(0, len(hits), MOST_ROWS):  # the rows of a huge text are handed on in parts
-                    some = [chunks[i] for i in hits[a:a + MOST_ROWS]]
-                    raw = [_chunk(lines, *u) for u in some]
+                    some = hits[a:a + MOST_ROWS]
+                    raw = [b"\n".join(c.lines[i:i + n]) for i, n in zip(c.at[some].tolist(), c.count[some].tolist())]
                     again = []
-                    for x in raw:
+                    for x in zip(c.of[some].tolist(), raw):
                         again.append(x in seen)
                         seen.add(x)
-                    take = pa.array(np.full(len(some), r, np.int32))
+                    take = pa.array((c.of[some] + r).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(take), b.column(2).take(take), pa.array([u[0] for u in some], pa.int32()),
-                         pa.array([u[1] for u in some], pa.int32()), pa.array(again, pa.bool_()), pa.array(raw, pa.binary())],
+                        [b.column(0).take(take), b.column(2).take(take), pa.array(c.start[some].astype(np.int32)),
+                         pa.array(c.count[some].astype(np.int32)), pa.array(again, pa.bool_()), pa.array(raw, pa.binary())],
                         names=["doc_id", "same", "start", "count", "again", "raw"])
 
     found = written(frame.mapInArrow(tidy(gathered(bodies)), f"doc_id {at_kind.simpleString()}, same long, start int, count int, again boolean, raw binary")

@@ -5,8 +5,10 @@ stands, with the bytes between its words, in an earlier place (document, then po
 and all words of repeated windows are removed.  Two texts that share a window share the smallest
 rolling hash of the runs of ``RUN`` words in it (winnowing), so it is enough to count those hashes: windows
 whose smallest one stands once can't repeat.  The others are compared by a 128-bit digest of their
-bytes (XXH3; a chance of 1e-20 that two of 10^9 windows clash).  No pairs are made: a passage that a third of
-the documents hold is one group for each of its windows.
+bytes (XXH3; a chance of 1e-20 that two of 10^9 windows clash).  Windows in a row with the same smallest run are one
+stretch; where all stretches with that run are equal in the whole table, each is compared as one row for all its windows,
+since equal windows share their run.  The others, at the ends of passages, are compared window by window.  No pairs are
+made: a passage that a third of the documents hold is one group for each of its stretches and windows.
 
 Defined cases: an empty table gives no rows; rows with a null id or text and texts under ``min_words`` words stay as they are; rows
 with equal id and equal text are one document; a window that overlaps the first one of its kind in the
@@ -16,7 +18,7 @@ break stays, else the one before it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_map, later_places, split_rows
-from .common import gathered, ship_code, short_batches, tidy, without, written
+from .common import OUT_ROWS, gathered, ship_code, short_batches, tidy, without, written
 
 #: Words of the runs whose hashes are winnowed (fewer, if ``min_words`` is smaller).
 RUN = 16
@@ -67,38 +69,100 @@ def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0]
 
 
-def smallest_runs(text: str, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, end) of each word, and the smallest run hash in the window that starts at each word."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.intp)
-    first, end = word_bounds(points)
-    if len(first) < min_words:
-        return first, end, np.empty(0, np.int64)
-    run = min(RUN, min_words)
-    up, down = power_tables(len(points))
-    x = _tables()[1][points]
-    x *= up[:len(points)]
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(x, out=sums[1:])
-    starts = first[:len(first) - run + 1]
-    h = (sums[end[run - 1:]] - sums[starts]) * down[starts]
-    h = (h ^ (h >> np.uint64(29))) * _M1
-    h ^= h >> np.uint64(32)
-    wide = min_words - run + 1
-    low, held = h, 1  # the minimum over ``held`` runs from each one on
-    while held < wide:
-        step = min(held, wide - held)
-        low = np.minimum(low[:-step], low[step:])
-        held += step
-    return first, end, low.view(np.int64)
-
-
-def cut(text: str, at: list[int], min_words: int) -> tuple[str, int, int]:
-    """A text without the words of the windows that start at words ``at``; emptied lines and removed words."""
+#: Code points that texts are worked on together by; longer texts are worked on alone.
+PACK = 1 << 16
+
+
+def packs(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """The texts of a column in groups of some PACK code points: (position of the first, texts)."""
+    first, held, size = 0, [], 0
+    for r, value in enumerate(column):
+        held.append(value.as_py())
+        size += len(held[-1])
+        if size >= PACK:
+            yield first, held
+            first, held, size = r + 1, [], 0
+    if held:
+        yield first, held
+
+
+class Stretches:
+    """The windows of some texts, in stretches of neighbours with the same smallest run hash.
+
+    ``of``, ``at``, ``count``, ``low``: for each stretch its text, first window (the word it starts at), number of windows and run
+    hash.  ``part`` is a hash of its characters.  ``alone``: its windows can't stand for each other (the text has
+    the run in two places).
+    """
+
+    def __init__(self, texts: list[str], min_words: int) -> None:
+        self.text = "\n".join(texts)  # no word goes over the end of a text
+        points = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.intp)
+        self.points, self.min_words = points, min_words
+        self.first, self.end = first, end = word_bounds(points)
+        begins = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum([len(t) + 1 for t in texts], out=begins[1:])
+        self.words = np.searchsorted(first, begins)  # the first word of each text
+        empty = np.empty(0, np.int64)
+        self.of, self.at, self.count, self.low, self.part, self.alone = empty, empty, empty, empty, empty, empty.astype(bool)
+        of = np.repeat(np.arange(len(texts)), np.diff(self.words))
+        whole = np.flatnonzero(of[:len(of) - min_words + 1] == of[min_words - 1:]) if len(of) >= min_words else empty
+        if not len(whole):
+            return
+        run = min(RUN, min_words)
+        up, down = power_tables(len(points))
+        x = _tables()[1][points]
+        x *= up[:len(points)]
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(x, out=sums[1:])
+        starts = first[:len(first) - run + 1]
+        h = (sums[end[run - 1:]] - sums[starts]) * down[starts]
+        h = (h ^ (h >> np.uint64(29))) * _M1
+        h ^= h >> np.uint64(32)
+        wide = min_words - run + 1
+        low, held = h, 1  # the minimum over ``held`` runs from each one on
+        while held < wide:
+            step = min(held, wide - held)
+            low = np.minimum(low[:-step], low[step:])
+            held += step
+        low, of = low.view(np.int64)[whole], of[whole]
+        turn = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (of[1:] != of[:-1])]))
+        self.of, self.at, self.low = of[turn], whole[turn], low[turn]
+        self.count = np.diff(np.append(turn, len(whole)))
+        a = first[self.at]
+        part = (sums[end[self.at + self.count + min_words - 2]] - sums[a]) * down[a]
+        self.part = ((part ^ (part >> np.uint64(31))) * _M2).view(np.int64)
+        # One run is in at most ``wide`` windows; more in a row hold it in two places.
+        self.alone = self.count > wide
+        order = np.lexsort((self.low, self.of))
+        twice = (self.low[order][1:] == self.low[order][:-1]) & (self.of[order][1:] == self.of[order][:-1])
+        self.alone[order[1:][twice]] = True
+        self.alone[order[:-1][twice]] = True
+
+    def digests(self, at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The 128-bit digest of the bytes of ``count`` windows from each of ``at`` on, as two numbers."""
+        from xxhash import xxh3_128_digest
+
+        first, end = self.first[at], self.end[at + count + self.min_words - 2]
+        raw = self.text.encode("utf-8", "surrogatepass")
+        if len(raw) != len(self.points):
+            size = np.ones(len(self.points) + 1, np.int64)
+            size[0] = 0
+            for edge in (0x80, 0x800, 0x10000):
+                size[1:] += self.points >= edge
+            place = np.cumsum(size)
+            first, end = place[first], place[end]
+        out = np.frombuffer(b"".join([xxh3_128_digest(raw[x:y]) for x, y in zip(first.tolist(), end.tolist())]), "<i8")
+        return out[::2].copy(), out[1::2].copy()
+
+
+def cut(text: str, at: Sequence[int] | np.ndarray, min_words: int, counts: np.ndarray | None = None) -> tuple[str, int, int]:
+    """A text without the words of the windows that start at words ``at`` (``counts`` of them from each on, else one);
+    emptied lines and removed words."""
     first, end = word_bounds(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
     gone = np.zeros(len(first) + 1, np.int32)
-    for i in at:
-        gone[i] += 1
-        gone[i + min_words] -= 1
+    at = np.asarray(at, np.int64)
+    np.add.at(gone, at, 1)
+    np.add.at(gone, at + (min_words - 1 + np.asarray(1 if counts is None else counts, np.int64)), -1)
     gone = np.cumsum(gone) > 0  # the last is False
     edges = np.flatnonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)))
     out, done = [], 0
@@ -118,73 +182,60 @@ def cut(text: str, at: list[int], min_words: int) -> tuple[str, int, int]:
 
 
 def windows(docs: DataFrame, min_words: int, id_col: str, text_col: str, same: str) -> DataFrame:
-    """(doc_id, same, at): the word at which each repeated window of a document starts."""
+    """(doc_id, same, at, count): the word at which repeated windows of a document start, and how many do from there on."""
     ship_code(docs.sparkSession)
     short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     frame = docs.select(docs[id_col].alias("doc_id"), docs[same].alias("same"), docs[text_col].alias("text")).where(
         f"doc_id is not null and length(text) >= {2 * min_words - 1}")
 
-    wide = min_words - min(RUN, min_words) + 1
-
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for text in b.column(2):
-                low = smallest_runs(text.as_py(), min_words)[2]
-                if len(low):
-                    turn = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-                    # One run is in at most ``wide`` windows; more in a row hold it in two places.
-                    keys = np.repeat(low[turn], 1 + (np.diff(np.append(turn, len(low))) > wide))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
-
-    often = written(frame.mapInArrow(tidy(gathered(hashes)), "key long").groupBy("key").agg(F.count("*").alias("n"))
-                    .where("n > 1").select("key"), "passage-keys")
-    held = bit_map(often, "key")
+            for _, texts in packs(b.column(0)):
+                s = Stretches(texts, min_words)
+                # A second row with another hash marks the key as one with unequal stretches.
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([s.low, s.low[s.alone]])),
+                                                  pa.array(np.concatenate([s.part, ~s.part[s.alone]]))], names=["key", "part"])
+
+    often = written(frame.select("text").mapInArrow(tidy(gathered(hashes)), "key long, part long").groupBy("key")
+                    .agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+                    .where("n > 1").selectExpr("key", "lo != hi AS mixed"), "passage-keys")
+    held, mixed = bit_map(often, "key"), bit_map(often.where("mixed"), "key")
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r, text in enumerate(b.column(2)):
-                text = text.as_py()
-                first, end, low = smallest_runs(text, min_words)
-                hits = np.flatnonzero(held.has(low)) if len(low) else low
+            for r, texts in packs(b.column(2)):
+                s = Stretches(texts, min_words)
+                hits = np.flatnonzero(held.has(s.low)) if len(s.low) else s.low
                 if not len(hits):
                     continue
-                a, z = digests_of(text, first[hits], end[hits + min_words - 1])
-                # The first place of each window in this text, and whether a place is far enough behind it to be a copy.
-                back = _first_of(a, z)
-                again = hits >= hits[back] + min_words
-                take = pa.array(np.full(len(hits), r, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(take), b.column(1).take(take), pa.array(hits.astype(np.int32)), pa.array(again), pa.array(a), pa.array(z)],
-                    names=["doc_id", "same", "at", "again", "a", "z"])
-
-    found = written(frame.mapInArrow(tidy(gathered(digests)), f"doc_id {kind}, same long, at int, again boolean, a long, z long"), "passage-windows")
-    return later_places(found, ["a", "z"], docs, id_col).select("doc_id", "same", "at")
-
-
-def digests_of(text: str, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 128-bit digest of the bytes of each window, as two numbers."""
-    from xxhash import xxh3_128_digest
-
-    raw = text.encode("utf-8", "surrogatepass")
-    if len(raw) != len(text):
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        size = np.ones(len(points) + 1, np.int64)
-        size[0] = 0
-        for edge in (0x80, 0x800, 0x10000):
-            size[1:] += points >= edge
-        place = np.cumsum(size)
-        first, end = place[first], place[end]
-    out = np.frombuffer(b"".join([xxh3_128_digest(raw[x:y]) for x, y in zip(first.tolist(), end.tolist())]), "<i8")
-    return out[::2].copy(), out[1::2].copy()
-
-
-def _first_of(a: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """For each pair the position of its first occurrence."""
-    order = np.lexsort((z, a))  # stable: equal pairs stay in their order
-    new = np.ones(len(a), bool)
-    new[1:] = (a[order][1:] != a[order][:-1]) | (z[order][1:] != z[order][:-1])
-    back = np.empty(len(a), np.int64)
+                # A stretch is one row, or one for each window where its key has unequal ones.
+                rows = np.where(mixed.has(s.low[hits]), s.count[hits], 1)
+                row = np.repeat(hits, rows)
+                nth = np.arange(len(row)) - np.repeat(np.cumsum(rows) - rows, rows)
+                at, count, of = s.at[row] + nth, np.repeat(np.where(rows > 1, 1, s.count[hits]), rows), s.of[row]
+                a, z = s.digests(at, count)
+                # The first place of each window in its text, and whether a place is far enough behind it to be a copy.
+                again = at >= at[_first_of(a, z, of)] + min_words
+                take = pa.array((of + r).astype(np.int32))
+                for i in range(0, len(at), OUT_ROWS):
+                    n = slice(i, i + OUT_ROWS)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(take[n]), b.column(1).take(take[n]), pa.array((at - s.words[of])[n].astype(np.int32)),
+                         pa.array(count[n].astype(np.int32)), pa.array(again[n]), pa.array(a[n]), pa.array(z[n])],
+                        names=["doc_id", "same", "at", "count", "again", "a", "z"])
+
+    found = written(frame.mapInArrow(tidy(gathered(digests)), f"doc_id {kind}, same long, at int, count int, again boolean, a long, z long"),
+                    "passage-windows")
+    return later_places(found, ["a", "z"], docs, id_col).select("doc_id", "same", "at", "count")
+
+
+def _first_of(*keys: np.ndarray) -> np.ndarray:
+    """For each combination of keys the position of its first occurrence."""
+    order = np.lexsort(keys)  # stable: equal ones stay in their order
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    back = np.empty(len(order), np.int64)
     back[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     return back
 
@@ -198,8 +249,8 @@ def dedup_passages(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     docs = without(docs, ("cut_lines", "cut_words"))
     names = docs.columns
     docs = docs.withColumn("__lb_same", F.xxhash64(docs[text_col]) if same is None else docs[same])
-    marks = written(windows(docs, min_words, id_col, text_col, "__lb_same").distinct().groupBy("doc_id", "same")
-                    .agg(F.collect_list("at").alias("__lb_at"))  # bounded by the document's words
+    marks = written(windows(docs, min_words, id_col, text_col, "__lb_same").groupBy("doc_id", "same")
+                    .agg(F.collect_set(F.expr("shiftleft(cast(at AS long), 32) | count")).alias("__lb_at"))  # bounded by the document's words
                     .withColumnsRenamed({"doc_id": "__lb_id", "same": "__lb_of"}), "passage-marks")
     held = bit_map(marks.select(F.xxhash64("__lb_id").alias("at")), "at")
     at, last = names.index(text_col), len(names)
@@ -207,8 +258,9 @@ def dedup_passages(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [(t, 0, 0) if t is None or not s else cut(t, s, min_words)
-                    for t, s in zip(b.column(at).to_pylist(), b.column(last).to_pylist())]
+            marks = [m.values.to_numpy() if m.is_valid else None for m in b.column(last)]
+            made = [(t, 0, 0) if t is None or s is None else cut(t, s >> 32, min_words, s & 0xFFFFFFFF)
+                    for t, s in zip(b.column(at).to_pylist(), marks)]
             cols = [pa.array([m[0] for m in made], b.schema.field(at).type) if i == at else b.column(i) for i in range(last)]
             yield pa.RecordBatch.from_arrays(cols + [pa.array([m[i] for m in made], pa.int64()) for i in (1, 2)],
                                              names=names + ["cut_lines", "cut_words"])
