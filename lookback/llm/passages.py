@@ -7,8 +7,8 @@ rolling hash of the runs of ``RUN`` words in it (winnowing), so it is enough to
 whose smallest one stands once can't repeat.  The others are compared by a 128-bit digest of their
 bytes (XXH3; a chance of 1e-20 that two of 10^9 windows clash).  Windows in a row with the same smallest run are one
 stretch; where all stretches with that run are equal in the whole table, each is compared as one row for all its windows,
-since equal windows share their run.  The others, at the ends of passages, are compared window by window.  No pairs are
-made: a passage that a third of the documents hold is one group for each of its stretches and windows.
+since equal windows share their run.  The others, at the ends of passages, are compared window by window, but for copies
+of windows of the same text, which are marked as they are.  No pairs are made: a passage that a third of the documents hold is one group for each of its stretches and windows.
 
 Defined cases: an empty table gives no rows; rows with a null id or text and texts under ``min_words`` words stay as they are; rows
 with equal id and equal text are one document; a window that overlaps the first one of its kind in the
@@ -217,17 +217,23 @@ def windows(docs: DataFrame, min_words: int, id_col: str, text_col: str, same: s
                 a, z = s.digests(at, count)
                 # The first place of each window in its text, and whether a place is far enough behind it to be a copy.
                 again = at >= at[_first_of(a, z, of)] + min_words
-                take = pa.array((of + r).astype(np.int32))
-                for i in range(0, len(at), OUT_ROWS):
-                    n = slice(i, i + OUT_ROWS)
+                # Copies within a text are marked whatever the other texts hold: a run of them is one row.
+                copies = np.flatnonzero(again)
+                turn = np.flatnonzero(np.concatenate([[len(copies) > 0], (np.diff(at[copies]) != 1) | (of[copies][1:] != of[copies][:-1])]))
+                count[copies[turn]] = np.diff(np.append(turn, len(copies)))
+                kept = np.sort(np.concatenate([np.flatnonzero(~again), copies[turn]]))
+                for i in range(0, len(kept), OUT_ROWS):
+                    n = kept[i:i + OUT_ROWS]
+                    take = pa.array((of[n] + r).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(take[n]), b.column(1).take(take[n]), pa.array((at - s.words[of])[n].astype(np.int32)),
+                        [b.column(0).take(take), b.column(1).take(take), pa.array((at[n] - s.words[of[n]]).astype(np.int32)),
                          pa.array(count[n].astype(np.int32)), pa.array(again[n]), pa.array(a[n]), pa.array(z[n])],
                         names=["doc_id", "same", "at", "count", "again", "a", "z"])
 
     found = written(frame.mapInArrow(tidy(gathered(digests)), f"doc_id {kind}, same long, at int, count int, again boolean, a long, z long"),
                     "passage-windows")
-    return later_places(found, ["a", "z"], docs, id_col).select("doc_id", "same", "at", "count")
+    names = ["doc_id", "same", "at", "count"]
+    return later_places(found.where("not again"), ["a", "z"], docs, id_col).select(*names).unionByName(found.where("again").select(*names))
 
 
 def _first_of(*keys: np.ndarray) -> np.ndarray:

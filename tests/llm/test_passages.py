@@ -91,3 +91,38 @@ def test_one_id_on_two_texts(spark):
     want = sorted([(1, passage + "\nend"), (5, "more"), (5, clean), (7, "x"), (7, "x"), (8, ""), (8, "z")])
     assert sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect()) == want
     assert sorted((r.doc_id, r.text) for r in line_dedup.dedup(df).collect()) == want
+
+
+def test_windows_are_compared_in_stretches(spark, monkeypatch):
+    """Equal stretches of windows are one row, unequal ones a row a window, copies within a text a row a run: as each window alone."""
+    rng = random.Random(11)
+    shared, other = random_words(rng, 400), random_words(rng, 300)
+    rows = [(1, shared), (2, random_words(rng, 30) + " " + shared + " " + random_words(rng, 30)), (3, shared), (4, " ".join(shared.split()[100:260])),
+            (5, other + " é \U0001f600 " + other), (6, "w " * 300), (7, "a b  c\t" * 120 + other), (8, "w " * 90), (8, other), (9, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    later = passages.later_places
+    monkeypatch.setattr(passages, "later_places", lambda found, *rest: seen.append(found.count()) or later(found, *rest))
+    got = sorted(map(tuple, passages.dedup_passages(df).collect()), key=repr)
+    assert got == sorted(_window_by_window(rows), key=repr)
+    held = sum(max(0, len(t.split()) - 49) for _, t in rows if t)
+    assert seen[0] < held / 2
+
+
+def _window_by_window(rows, n=50):
+    first, own, out = {}, {}, []
+    places = []
+    for d, t in rows:
+        at = [(m.start(), m.end()) for m in re.finditer(r"\S+", t or "")]
+        for i in range(len(at) - n + 1):
+            w = t[at[i][0]:at[i + n - 1][1]]
+            places.append((d, t, i, w))
+            first[w] = min(first.get(w, d), d)
+            own.setdefault((d, t, w), i)
+    marks = {}
+    for d, t, i, w in places:
+        if d != first[w] or i >= own[d, t, w] + n:
+            marks.setdefault((d, t), []).append(i)
+    for d, t in rows:
+        out.append((d, *(passages.cut(t, marks[d, t], n) if (d, t) in marks else (t, 0, 0))))
+    return out
