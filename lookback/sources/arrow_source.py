@@ -170,7 +170,8 @@ class FolderWriter(DataSourceArrowWriter):
         fs, root = open_folder(self.uri)
         fs.create_dir(root, recursive=True)
         old = version(fs, root)
-        files = ([] if self.overwrite else old.files) + sorted(m.file for m in messages if m is not None)
+        kept = [] if self.overwrite else [n for n in old.files if self.run not in n]  # without a manifest, all files are old ones
+        files = kept + sorted(m.file for m in messages if m is not None)
         text = json.dumps({"version": old.number + 1, "files": files, "schema": self.fields.jsonValue()})
         tmp, final = f"{root}/.manifest-{self.run}", f"{root}/{_MANIFEST}{old.number + 1:010d}.json"
         with fs.open_output_stream(tmp) as f:
