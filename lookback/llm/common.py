@@ -86,12 +86,29 @@ def short_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def tidy(fn: Callable) -> Callable:
+_kept: dict[str, dict] = {}
+
+
+def kept(owner: str) -> dict:
+    """What the worker keeps from task to task of one operator (``owner``), until it gets a task of another."""
+    return _kept.setdefault(owner, {})
+
+
+def drop_others(owner: str | None) -> None:
+    """Forget what the worker keeps for others than ``owner``."""
+    for name, held in _kept.items():
+        if name != owner:
+            held.clear()
+
+
+def tidy(fn: Callable, owner: str | None = None) -> Callable:
     """A ``mapInArrow`` function that hands its worker's free memory back when its task ends.
 
-    Workers live on between tasks, and several of them share an executor's memory.
+    Workers live on between tasks, and several of them share an executor's memory; what one keeps for another operator
+    than ``owner`` goes as the task starts.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_others(owner)
         yield from fn(batches)
         pa.default_memory_pool().release_unused()
         if sys.platform == "linux":
@@ -131,7 +148,7 @@ def gathered(fn: Callable) -> Callable:
     return run
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[dict], dict], schema: str, owner: str | None = None) -> DataFrame:
     """``mapInArrow`` with a function from column lists to column lists of the same or another length."""
     ship_code(df.sparkSession)
     short_batches(df.sparkSession)
@@ -145,7 +162,7 @@ def map_batches(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataF
             made = fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
             yield pa.RecordBatch.from_arrays([pa.array(made[f.name], type=f.type) for f in out], schema=out)
 
-    return df.mapInArrow(tidy(run), schema)
+    return df.mapInArrow(tidy(run, owner), schema)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

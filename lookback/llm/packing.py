@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, ship_code, shuffle_partitions, tidy, written
+from .common import kept, map_batches, ship_code, shuffle_partitions, tidy, written
 
 #: The normaliser and splits of the files whose ids this module puts together from pieces of words; any other file
 #: gets whole texts.  Fixed values.
@@ -48,10 +48,10 @@ PIECES = regex.compile(SPLIT)
 KNOWN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-\u012f\u0131-\u0148\u014a-\u017e\u0391-\u03a1\u03a4-\u03a9\u03b1-\u03c9\u0400-\u045f"
                       "\u2010-\u2027\u2030-\u205e\u20ac\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
 KNOWN_LATIN = bytes(b for b in range(256) if KNOWN.fullmatch(chr(b)))
-#: Words, and pieces of words, kept with their ids by each worker: 150 to 200 bytes each.
-CACHE_WORDS = 900_000
-CACHE_PIECES = 700_000
-_tokenizers: dict = {}
+#: Words, and pieces of words, kept with their ids by each worker: some 230 bytes each.  The ids don't depend on it.
+CACHE_WORDS = 300_000
+#: Whose tasks a worker keeps its tokenizers and words for (``common.kept``).
+OWNER = "packing"
 
 
 def odd(text: str) -> bool:
@@ -97,7 +97,6 @@ class WordIds:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         self.np = np
 
     @functools.cached_property
@@ -110,12 +109,11 @@ class WordIds:
     def whole(self, text: str) -> bytes:
         return self.np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: list[str]) -> None:
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
-        split = [PIECES.findall(w) for w in words]
-        held = self.pieces
-        unseen = list({p for parts in split for p in parts if p not in held})
+    def learn(self, words: set[str]) -> None:
+        """Put words, new to ``self.words``, into it; a piece of a word is a word of one piece."""
+        held = self.words
+        split = {w: PIECES.findall(w) for w in words if not w.isalpha()}  # letters alone are one piece
+        unseen = list(words.difference(split).union([p for parts in split.values() for p in parts if p not in held]))
         for a in range(0, len(unseen), 2000):
             new = unseen[a:a + 2000]
             ids = self.np.array(self.plain.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
@@ -125,15 +123,16 @@ class WordIds:
                 held.update(zip(new, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
             else:  # a piece without an end mark: each by itself
                 held.update((p, self.whole(p)) for p in new)
-        for word, parts in zip(words, split):
-            self.words[word] = held[parts[0]] if len(parts) == 1 else b"".join([held[p] for p in parts])
+        for word, parts in split.items():
+            if parts != [word]:
+                held[word] = b"".join([held[p] for p in parts])
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         plain = [None if not self.known or odd(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        new = list({w for words in plain if words for w in words}.difference(self.words))
+        new = set().union(*[words for words in plain if words]).difference(self.words)
         if new:
             self.learn(new)
         get = self.words.__getitem__
@@ -142,9 +141,10 @@ class WordIds:
 
 def word_ids(path: str) -> WordIds:
     """The worker's own instance for a tokenizer file."""
-    if path not in _tokenizers:
-        _tokenizers[path] = WordIds(path)
-    return _tokenizers[path]
+    held = kept(OWNER)
+    if path not in held:
+        held[path] = WordIds(path)
+    return held[path]
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
@@ -170,7 +170,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id:
 
     kind = docs.schema[id_col].dataType.simpleString()
     pieces = map_batches(docs.select(docs[id_col].alias("k"), docs[text_col].alias("t")), run,
-                         f"doc_id {kind}, piece int, start long, length long, ids binary")
+                         f"doc_id {kind}, piece int, start long, length long, ids binary", OWNER)
     return pieces if ids else pieces.drop("ids")
 
 
@@ -226,7 +226,7 @@ def pack(items: DataFrame, capacity: int = 2048, nearly_full: float = 0.995, tas
         task = F.pmod(F.xxhash64("members", F.lit(level)), F.lit(tasks)).cast("int")
         packed = written(bins.select("members", "filled", task.alias("task")).repartition(tasks, "task")
                          .select("members", "filled", F.xxhash64("members").alias("spot"))
-                         .mapInArrow(tidy(lambda batches, level=level: _merge(batches, capacity, level)), schema), f"pack-{level}")
+                         .mapInArrow(tidy(lambda batches, level=level: _merge(batches, capacity, level), OWNER), schema), f"pack-{level}")
         under = packed.where(F.col("filled") < full).count()
         if tasks == 1 or level == max_rounds or under > 0.98 * left:
             done.append(packed)
