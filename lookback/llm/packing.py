@@ -26,8 +26,8 @@ import unicodedata
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +41,13 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
     {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-PIECES = regex.compile(SPLIT)
 #: Texts of these characters alone are put together from pieces: letters, digits, marks and spaces that are letters,
 #: digits, marks and spaces in every version of Unicode, with one lower case, and that no normalisation joins.  The tests
 #: hold each of them against the tokenizer.  A text with any other character is encoded as it is.
 KNOWN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-\u012f\u0131-\u0148\u014a-\u017e\u0391-\u03a1\u03a4-\u03a9\u03b1-\u03c9\u0400-\u045f"
                       "\u2010-\u2027\u2030-\u205e\u20ac\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
 KNOWN_LATIN = bytes(b for b in range(256) if KNOWN.fullmatch(chr(b)))
-#: Words, and pieces of words, kept with their ids by each worker: some 230 bytes each.  The ids don't depend on it.
+#: Pieces kept with their ids by each worker: some 230 bytes each.  The ids don't depend on it.
 CACHE_WORDS = 300_000
 #: Whose tasks a worker keeps its tokenizers and words for (``common.kept``).
 OWNER = "packing"
@@ -74,30 +73,71 @@ def known_file(path: str) -> bool:
             and not model.get("ignore_merges") and all(t["content"].startswith("<|") for t in spec.get("added_tokens", [])))
 
 
+#: Code points that are split into pieces together, up to the next space.
+BLOCK = 1 << 19
+SPACES = " \t\n\r"  # the white space among the known characters
+LETTER, DIGIT, OTHER = 1, 2, 3
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """For each code point up to the last known one 4 * the bytes of its UTF-8 + its kind; 0 for white space."""
+    kinds = np.zeros(0xD7A4, np.uint8)
+    for i in range(len(kinds)):
+        c = chr(i)
+        if KNOWN.fullmatch(c) and c not in SPACES:
+            kinds[i] = 4 * len(c.encode()) + {"L": LETTER, "N": DIGIT}.get(unicodedata.category(c)[0], OTHER)
+    return kinds
+
+
+def split_pieces(text: str) -> tuple[np.ndarray, pa.StringArray]:
+    """The pieces that SPLIT makes of a text of known characters in lower case, with the position of each."""
+    points = np.frombuffer((text + "\n\n").encode("utf-32-le"), np.uint32)
+    kinds = _kinds()[points]
+    kind = kinds & 3
+    start = kind != 0
+    start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    # A shortened word ('s, 'll) is a piece where its apostrophe begins one; letters behind it are the next.
+    mark = np.flatnonzero((points == ord("'")) & start)
+    one, two = points[mark + 1], points[mark + 2]
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    start[mark[short | long] + 1] = False
+    end = np.concatenate([mark[short] + 2, mark[long] + 3])
+    start[end] |= kind[end] == LETTER
+    at = np.flatnonzero(start)
+    ends = np.cumsum(kinds >> 2, dtype=np.int32)  # in bytes, white space left out
+    offsets = np.append(ends[at] - (kinds[at] >> 2), ends[-1]).astype(np.int32)
+    raw = text.encode().translate(None, SPACES.encode())
+    return at, pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(raw))
+
+
 class WordIds:
-    """Token ids of whole texts, each distinct word tokenized once as long as it stays in the cache.
+    """Token ids of whole texts, each distinct piece of them tokenized once as long as it stays in the cache.
 
-    For files of the known kind (``known_file``): the tokenizer drops white space, splits words at punctuation and marks the end of each piece, so the
-    ids of a text are those of its pieces in order.  Unseen pieces are tokenized together, in one call.  Other files,
+    For files of the known kind (``known_file``): the tokenizer drops white space, splits texts as SPLIT does and marks the end of each piece, so the
+    ids of a text are those of its pieces in order.  Unseen pieces are tokenized together, in one call for many.  Other files,
     and texts with other characters than the known ones, go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
-        import numpy as np
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.path = path
         self.known = known_file(path)
-        # For pieces that are normalised and split already: the file's model behind a split at spaces.
+        # For pieces that are normalised and split already, with their bytes written as the model has them: the file's
+        # model behind a split at spaces.
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocab = self.plain.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        # Byte-level: printable bytes stand for themselves, the others for the characters from U+0100 on.
+        shown = np.isin(np.arange(256), [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)])
+        self.shown = np.where(shown, np.arange(256), 255 + np.cumsum(~shown)).astype("<u2")
+        self.shown[ord(" ")] = ord(" ")
         self.words: dict[str, bytes] = {}
-        self.np = np
 
     @functools.cached_property
     def tokenizer(self):
@@ -107,36 +147,54 @@ class WordIds:
         return Tokenizer.from_file(self.path)
 
     def whole(self, text: str) -> bytes:
-        return self.np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        """Put words, new to ``self.words``, into it; a piece of a word is a word of one piece."""
-        held = self.words
-        split = {w: PIECES.findall(w) for w in words if not w.isalpha()}  # letters alone are one piece
-        unseen = list(words.difference(split).union([p for parts in split.values() for p in parts if p not in held]))
-        for a in range(0, len(unseen), 2000):
-            new = unseen[a:a + 2000]
-            ids = self.np.array(self.plain.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-            cuts = [0, *((self.np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, unseen: list[str]) -> None:
+        """Put pieces, new to ``self.words``, into it."""
+        for a in range(0, len(unseen), 500):
+            new = unseen[a:a + 500]
+            line = self.shown[np.frombuffer(" ".join(new).encode(), np.uint8)].tobytes().decode("utf-16-le")
+            ids = np.array(self.plain.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
             if len(cuts) == len(new) + 1:
                 raw = ids.tobytes()
-                held.update(zip(new, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+                self.words.update(zip(new, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
             else:  # a piece without an end mark: each by itself
-                held.update((p, self.whole(p)) for p in new)
-        for word, parts in split.items():
-            if parts != [word]:
-                held[word] = b"".join([held[p] for p in parts])
+                self.words.update((p, self.whole(p)) for p in new)
+
+    def joined(self, text: str, begins: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The ids of a text of known characters; how many of their bytes stand before each of ``begins`` (sorted), and in all."""
+        parts, cuts, done, a = [], [], 0, 0
+        while a < len(text):
+            b = text.find(" ", a + BLOCK)
+            b = len(text) if b < 0 else b
+            at, pieces = split_pieces(text[a:b].lower())
+            coded = pieces.dictionary_encode()
+            distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            if len(self.words) > CACHE_WORDS:
+                self.words.clear()
+            self.learn([p for p in distinct if p not in self.words])
+            size, raw = np.zeros(1, np.int32), b""
+            if len(at):
+                _, size, raw = pa.array(list(map(self.words.__getitem__, distinct)), pa.binary()).take(coded.indices).buffers()
+                size = np.frombuffer(size, np.int32, len(at) + 1)
+            parts.append(memoryview(raw)[:size[-1]])
+            here = begins[np.searchsorted(begins, a):np.searchsorted(begins, b)]
+            cuts.append(done + size[np.searchsorted(at, here - a)].astype(np.int64))
+            done += int(size[-1])
+            a = b
+        return b"".join(parts), np.append(np.concatenate(cuts), done)
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        plain = [None if not self.known or odd(t) else unicodedata.normalize("NFC", t).lower().split() for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        new = set().union(*[words for words in plain if words]).difference(self.words)
-        if new:
-            self.learn(new)
-        get = self.words.__getitem__
-        return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, plain)]
+        known = [self.known and not odd(t) for t in texts]
+        some = [t for t, k in zip(texts, known) if k]
+        if not some:
+            return [self.whole(t) for t in texts]
+        begins = np.cumsum([0, *[len(t) + 1 for t in some[:-1]]])
+        raw, cuts = self.joined("\n".join(some) + "\n", begins)
+        made = iter([raw[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())])
+        return [next(made) if k else self.whole(t) for t, k in zip(texts, known)]
 
 
 def word_ids(path: str) -> WordIds:
@@ -243,7 +301,6 @@ def pack(items: DataFrame, capacity: int = 2048, nearly_full: float = 0.995, tas
 
 def _merge(batches: Iterator[pa.RecordBatch], capacity: int, level: int) -> Iterator[pa.RecordBatch]:
     """One task of one round: best fit over its bins, largest first."""
-    import numpy as np
     from pyspark import TaskContext
 
     held = pa.Table.from_batches(batches) if (batches := list(batches)) else None
