@@ -52,14 +52,14 @@ def units(text: str, min_words: int) -> tuple[list[str], list[tuple[int, int]]]:
 _OTHERS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 
 
-def _has_words(line: bytes, least: int, spaces: bool) -> bool:
-    """Whether a line has at least ``least`` words; ``spaces``: it has no white space but spaces."""
-    if not spaces:
-        return len(line.decode("utf-8", "surrogatepass").split()) >= least
-    n = line.count(b" ")
-    if n + 1 < least or b"  " in line:
-        return n + 1 >= least and len(line.split()) >= least
-    return n + 1 - line.startswith(b" ") - line.endswith(b" ") >= least
+def word_counts(raw: bytes) -> np.ndarray:
+    """The number of words of each line of a text that has no other white space than spaces and line breaks."""
+    points = np.frombuffer(raw, np.uint8)
+    breaks = points == 10
+    gap = breaks | (points == 32)
+    word = ~gap
+    word[1:] &= gap[:-1]
+    return np.diff(np.searchsorted(np.flatnonzero(word), np.concatenate([[0], np.flatnonzero(breaks), [len(points)]])))
 
 
 class Chunks:
@@ -69,7 +69,8 @@ class Chunks:
         from xxhash import xxh3_64_intdigest
 
         whole = "\n".join(texts)
-        self.lines = whole.encode("utf-8", "surrogatepass").split(b"\n")
+        raw = whole.encode("utf-8", "surrogatepass")
+        self.lines = raw.split(b"\n")
         n = len(self.lines)
         h = np.fromiter(map(xxh3_64_intdigest, self.lines), np.uint64, n)
         counts = np.array([t.count("\n") + 1 for t in texts])
@@ -81,14 +82,11 @@ class Chunks:
         rolled = (rolled ^ (rolled >> np.uint64(29))) * _B >> np.uint64(40)
         ends = last.copy()
         ends[:-1] |= rolled % np.uint64(DIVISOR) == 0
-        # Only lines that can be long enough are counted, and split only where spaces don't tell.
-        least = 2 * min_words - 1
-        others = any(c in whole for c in _OTHERS)
-        spaces = [not others or not any(c in t for c in _OTHERS) for t in texts]
-        long = np.zeros(n, bool)
-        for i, x in enumerate(self.lines):
-            if len(x) >= least:
-                long[i] = _has_words(x, min_words, spaces[of[i]])
+        long = word_counts(raw) >= min_words
+        if any(c in whole for c in _OTHERS):  # lines of texts where spaces don't tell are split
+            spaces = [not any(c in t for c in _OTHERS) for t in texts]
+            for i in np.flatnonzero(~np.array(spaces)[of]):
+                long[i] = len(self.lines[i].decode("utf-8", "surrogatepass").split()) >= min_words
         # A long line is a chunk by itself; the lines between boundaries are one, and each pair of neighbours.
         begin = long.copy()
         begin[0] = True

@@ -145,11 +145,8 @@ class Stretches:
         first, end = self.first[at], self.end[at + count + self.min_words - 2]
         raw = self.text.encode("utf-8", "surrogatepass")
         if len(raw) != len(self.points):
-            size = np.ones(len(self.points) + 1, np.int64)
-            size[0] = 0
-            for edge in (0x80, 0x800, 0x10000):
-                size[1:] += self.points >= edge
-            place = np.cumsum(size)
+            # The first byte of each code point is the one that continues none.
+            place = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))
             first, end = place[first], place[end]
         out = np.frombuffer(b"".join([xxh3_128_digest(raw[x:y]) for x, y in zip(first.tolist(), end.tolist())]), "<i8")
         return out[::2].copy(), out[1::2].copy()
@@ -238,11 +235,18 @@ def windows(docs: DataFrame, min_words: int, id_col: str, text_col: str, same: s
 
 def _first_of(*keys: np.ndarray) -> np.ndarray:
     """For each combination of keys the position of its first occurrence."""
+    back = np.arange(len(keys[0]))
+    ranked = np.sort(keys[0])
+    again = ranked[1:][ranked[1:] == ranked[:-1]]
+    if not len(again):
+        return back
+    # Only rows whose first key stands on several are compared by all keys.
+    some = np.flatnonzero(np.isin(keys[0], again))
+    keys = tuple(k[some] for k in keys)
     order = np.lexsort(keys)  # stable: equal ones stay in their order
     new = np.ones(len(order), bool)
     new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
-    back = np.empty(len(order), np.int64)
-    back[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    back[some[order]] = some[order[np.flatnonzero(new)][np.cumsum(new) - 1]]
     return back
 
 

@@ -4,6 +4,8 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pytest
 from llm.helpers import DOCS, random_words, tables
 
 from lookback.llm import line_dedup, passages, queries
@@ -126,3 +128,26 @@ def _window_by_window(rows, n=50):
     for d, t in rows:
         out.append((d, *(passages.cut(t, marks[d, t], n) if (d, t) in marks else (t, 0, 0))))
     return out
+
+
+@pytest.mark.parametrize("min_words", [1, 3])
+def test_long_lines_are_those_with_enough_words_whatever_the_white_space(min_words):
+    rng = random.Random(6)
+    some = ["a", "\u00e9", " ", "  ", "\n", "\t", "\xa0", "\x85", "\u4e2d", "w w", "\U0001f600"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    plain = [t for t in texts if not re.search(r"[^\S \n]", t)]
+    for t in plain:
+        assert line_dedup.word_counts(t.encode()).tolist() == [len(x.split()) for x in t.split("\n")], ascii(t)
+    for some in (texts, plain):
+        chunks = line_dedup.Chunks(some, min_words)
+        alone = set(zip(chunks.of.tolist(), chunks.start.tolist(), chunks.count.tolist()))
+        long = {(i, j, 1) for i, t in enumerate(some) for j, x in enumerate(t.split("\n")) if len(x.split()) >= min_words}
+        assert long and long <= alone
+
+
+def test_first_places_go_by_all_keys():
+    rng = random.Random(8)
+    for most in (3, 1 << 40):
+        rows = [(rng.randint(0, most), rng.randint(0, 1), rng.randint(0, 1)) for _ in range(200)]
+        got = passages._first_of(*(np.array(k, np.int64) for k in zip(*rows)))
+        assert got.tolist() == [rows.index(r) for r in rows]
